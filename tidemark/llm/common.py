@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,9 +61,12 @@ def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(([0], cut)), np.concatenate((cut, [len(keys)]))
 
 
-def sample_by_hash(df: DataFrame, key: str, weight: int, total: int) -> DataFrame:
-    """About `weight` of `total` rows, chosen by a hash of `key`: the same rows at each run, from everywhere in the table."""
-    if total <= weight:
-        return df
-    top = int((weight / total) * (1 << 31))
-    return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 31)) < top)
+def filtered(docs: DataFrame, keep) -> DataFrame:
+    """docs, with every column, of the rows that keep(texts) marks; batch by batch, without a shuffle. Null texts reach it as empty ones."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(keep([t or "" for t in b.column(at).to_pylist()]), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

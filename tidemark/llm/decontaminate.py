@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks
+from tidemark.llm.common import blocks, filtered
 
 Q = 10
 #: Edits allowed, as a part of the item's length; less where the lemma would leave no shared q-gram.
@@ -65,7 +65,7 @@ class Index:
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]], q: int = Q, budget: float = BUDGET) -> "Index":
-        items = sorted((i, t) for i, t in {(i, normal(t)) for i, t in rows} if t)
+        items = sorted(((i, t) for i, t in {(i, normal(t)) for i, t in rows} if t), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         size = np.array([len(t) for _, t in items], np.int64)
         k = np.maximum(0, np.minimum((budget * size).astype(np.int64), (size - q) // q))
         h, item, place = [], [], []
@@ -198,20 +198,37 @@ def contamination(docs: DataFrame, benchmark: DataFrame, index_chars: int = INDE
     a shorter one only as it stands; an empty or null one never. Repeated documents give their rows again, repeated items (of one id) once. The benchmark's size is
     counted first: up to `index_chars` characters make one index, more are dealt by a hash of the id to as many as needed, each searched over all documents.
     """
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts, found = max(1, -(-total // index_chars)), None
-    for p in range(parts):
-        index = Index.of([(r.item_id, r.text) for r in rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p).collect()])
+    found = None
+    for index in indexes(benchmark, index_chars):
         got = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("text is not null").mapInArrow(_find(index), "doc_id long, item_id long, start long, end long, edits long")
         found = got if found is None else found.union(got)
     return found
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def indexes(benchmark: DataFrame, index_chars: int = INDEX_CHARS) -> Iterator[Index]:
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
+    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = max(1, -(-total // index_chars))
+    for p in range(parts):
+        yield Index.of([(r.item_id, r.text) for r in rows.filter(F.pmod(F.coalesce(F.xxhash64("item_id"), F.lit(0)), F.lit(parts)) == p).collect()])
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, index_chars: int = INDEX_CHARS) -> DataFrame:
     """docs without the documents that hold a benchmark item."""
-    dirty = contamination(docs, benchmark).select("doc_id").distinct()
-    return docs.join(dirty, "doc_id", "left_anti").select(docs.columns)
+
+    def without(index: Index):
+        def keep(texts: list[str]) -> list[bool]:
+            plain, out = list(map(normal, texts)), [True] * len(texts)
+            for s, e in blocks([len(t) for t in plain], BLOCK_CHARS):
+                for i, *_ in matches(plain[s:e], index):
+                    out[s + i] = False
+            return out
+
+        return keep
+
+    for index in indexes(benchmark, index_chars):
+        docs = filtered(docs, without(index))
+    return docs
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, held_out
+from tidemark.llm.common import filtered, fold, held_out
 
 #: The network is fitted on about so many labelled documents of each language, chosen by a hash of their ids, from all of the table.
 SAMPLE_DOCS = 300
@@ -180,6 +180,19 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_identify(net), "doc_id long, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, net: Network | None, least: float = 0.4) -> DataFrame:
+    """docs without the rows whose language stays unknown or whose score is below `least`; without a network nothing is known and all stay."""
+    if net is None:
+        return docs
+    label = _identify(net)
+
+    def keep(texts: list[str]) -> list[bool]:
+        got = next(label(iter([pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])])))
+        return [p != UNKNOWN and s >= least for p, s in zip(got.column(1).to_pylist(), got.column(2).to_pylist())]
+
+    return filtered(docs, keep)
+
+
 def position_labels(net: Network, text: str) -> list[str | None]:
     """The language of each byte of the text; None for white space."""
     raw = text.encode()

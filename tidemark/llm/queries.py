@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, knn, language, lines, packing, pii, secrets, simhash, toxicity
+from tidemark.llm import decontaminate, knn, language, lines, packing, pii, secrets, simhash, suffix, toxicity
 
 QUERIES = {
     "op1_semi_markov_pii": pii.query,
     "op2_grammar_toxicity": toxicity.query,
     "op3_simhash_near_dedup": simhash.query,
     "op4_qgram_decontamination": decontaminate.query,
+    "op5_previous_factor_dedup": suffix.query,
     "op6_voronoi_top_k": knn.query,
     "op7_byte_network_language": language.query,
     "op8_set_join_lines": lines.query,
