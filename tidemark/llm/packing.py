@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import blocks, staged
 
 WINDOW = 2048
 END_ID = 1
 #: Documents whose last pieces are packed together; their lengths fill all but the last few windows without a gap.
 GROUP = 8192
 #: Distinct chunks of text whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 
 
 def closest_fill(counts: Counter, lengths: list[int], capacity: int) -> list[int]:
@@ -70,26 +71,26 @@ def pack(sizes: list[int], capacity: int) -> list[list[int]]:
 
 def _tokenize(tokenizer_path: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(tokenizer_path)
         known: dict[bytes, bytes] = {}
-        end = np.array([END_ID], "<u4").tobytes()
+        end = array("I", [END_ID]).tobytes()
         for b in batches:
             rows = []
-            for t in b.column(1):
-                words = (t.as_py() or "").encode().split()  # white space of ASCII always ends a token, and gives none
-                new = list(set(words).difference(known))
-                if new:
-                    if len(known) + len(new) > REMEMBERED:
-                        known, new = {}, list(set(words))
-                    for i in range(0, len(new), 5000):
-                        part = new[i : i + 5000]
-                        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, tok.encode_batch([w.decode() for w in part], add_special_tokens=False)))
-                ids = b"".join([*map(known.__getitem__, words), end])
-                n, step = len(ids) // 4, 4 * window
-                crcs = [zlib.crc32(ids[i : i + step]) for i in range(0, len(ids), step)]
-                rows.append((n, crcs))
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            for s, e in blocks([len(t) for t in texts], 1_000_000):
+                split = [t.encode().split() for t in texts[s:e]]  # white space of ASCII always ends a token, and gives none
+                new = list(set().union(*split).difference(known))
+                if len(known) + len(new) > REMEMBERED:
+                    known, new = {}, list(set().union(*split))
+                got = tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+                known.update((w, array("I", x.ids).tobytes()) for w, x in zip(new, got))
+                for words in split:
+                    ids = b"".join([*map(known.__getitem__, words), end])
+                    n, step = len(ids) // 4, 4 * window
+                    rows.append((n, [zlib.crc32(ids[i : i + step]) for i in range(0, len(ids), step)]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["doc_id", "doc_tokens", "crcs"])
 
     return run
