@@ -15,7 +15,7 @@ from tidemark.llm.common import blocks, runs, staged
 SIMILARITY = 0.8
 #: Lines with fewer distinct words stay as they are.
 LEAST_WORDS = 5
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 250_000
 #: Counters of word frequency: words are ordered by the count of their counter, then by hash. 512 KB, whatever the corpus.
 COUNTERS = 1 << 16
 #: Slots of the sieve that tells lines which may have a similar one from those that cannot; 1 MB, whatever the corpus.
@@ -23,8 +23,18 @@ SIEVE = 1 << 23
 #: Members of a group that one task compares; a larger group is compared in pairs of parts.
 GROUP_MOST = 4096
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SOLID = np.ones(256, np.int8)
+_SOLID[[9, 10, 11, 12, 13, 32]] = 0
+_BYTE = np.random.default_rng(8).integers(1, 1 << 63, 256, np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2^64."""
+    if not _POWERS or len(_POWERS[0]) < n + 1:
+        _POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(2 * n, b, np.uint64)])) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return _POWERS[0], _POWERS[1]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -42,22 +52,19 @@ class Lines:
 
     def __init__(self, texts: list[str], least: int = LEAST_WORDS) -> None:
         raw = np.frombuffer("\n".join(texts).lower().encode("utf-8", "surrogatepass"), np.uint8)
-        solid = ~_SPACE[raw]
-        edge = np.diff(np.concatenate([[0], solid.astype(np.int8), [0]]))
+        solid = np.zeros(len(raw) + 2, np.int8)
+        solid[1:-1] = _SOLID[raw]
+        edge = solid[1:] - solid[:-1]
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        size = ends - starts
         counts = [t.count("\n") + 1 for t in texts]
         self.text_of = np.repeat(np.arange(len(texts)), counts)
         self.number = np.arange(sum(counts)) - np.repeat(np.cumsum([0, *counts[:-1]]), counts) if counts else np.zeros(0, np.int64)
-        if not len(size):
-            word, line = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        else:
-            with np.errstate(over="ignore"):
-                power = np.cumprod(np.full(size.max(), 0x9E3779B97F4A7C15, np.uint64))
-                first = np.concatenate([[0], np.cumsum(size)[:-1]])
-                place = np.arange(size.sum()) - np.repeat(first, size)
-                word = _mix(np.add.reduceat((raw[solid].astype(np.uint64) + np.uint64(1)) * power[place], first) + size.astype(np.uint64))
-            line = np.searchsorted(np.flatnonzero(raw == 10), starts)
+        scale, inverse = _powers(len(raw))
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(raw) + 1, np.uint64)
+            np.cumsum(_BYTE[raw] * scale[: len(raw)], out=sums[1:])
+            word = _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        line = np.searchsorted(np.flatnonzero(raw == 10), starts)
         order = np.lexsort((word, line))
         word, line = word[order], line[order]
         new = np.ones(len(word), bool)
@@ -72,6 +79,8 @@ class Lines:
         else:
             self.word, self.line, self.first = word, line, np.zeros(1, np.int64)
         self.size = np.diff(self.first)
+        #: For each set, which of 64 classes hold an odd number of its words: where two differ, the sets differ.
+        self.parity = np.bitwise_xor.reduceat(np.uint64(1) << (self.word & np.uint64(63)), self.first[:-1]).view(np.int64) if len(self.size) else np.zeros(0, np.int64)
         with np.errstate(over="ignore"):
             self.sid = _mix(np.add.reduceat(_mix(self.word + np.uint64(0x51)), self.first[:-1]) + self.size.astype(np.uint64)).view(np.int64) if len(self.size) else np.zeros(0, np.int64)
 
@@ -127,63 +136,92 @@ def _prefixes(rarity: np.ndarray, similarity: float):
             order = np.lexsort((got.word, rarity[(got.word >> np.uint64(48)).astype(np.int64)], owner))
             place = np.arange(len(order)) - got.first[owner]
             take = (place < need[owner]) & fresh[owner]
-            cols = [got.word[order][take].view(np.int64), got.sid[owner[take]], (size[owner[take]] << 32) | place[take]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["word", "sid", "shape"])
+            cols = [got.word[order][take].view(np.int64), got.sid[owner[take]], (size[owner[take]] << 32) | place[take], got.parity[owner[take]]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["word", "sid", "shape", "parity"])
 
     return run
 
 
-def _may_match(size: np.ndarray, place: np.ndarray, similarity: float) -> np.ndarray:
-    """Which members of a group pass the length and positional filters with another one."""
-    n = len(size)
-    if n > 256:
-        return np.ones(n, bool)
-    small, large = np.minimum(size[:, None], size[None]), np.maximum(size[:, None], size[None])
-    need = np.ceil(similarity / (1 + similarity) * (size[:, None] + size[None]) - 1e-9)
-    rest = 1 + np.minimum(size[:, None] - place[:, None] - 1, size[None] - place[None] - 1)
-    ok = (small >= similarity * large - 1e-9) & (rest >= need)
-    np.fill_diagonal(ok, False)
-    return ok.any(1)
+def _pairs_may(x: tuple, y: tuple, similarity: float):
+    """Whether sets of (size, place of the shared word, parity) can reach the similarity: length, positional and parity filters."""
+    total, least = x[0] + y[0], np.minimum(x[0], y[0])
+    need = np.ceil(similarity / (1 + similarity) * total - 1e-9)
+    rest = 1 + np.minimum(x[0] - x[1], y[0] - y[1]) - 1
+    return (least >= need) & (rest >= need) & (total - np.bitwise_count(x[2] ^ y[2]) >= 2 * need)
+
+
+#: Members of one word's group whose pairs are looked at all; a larger group goes on whole.
+FILTER_MOST = 4096
+
+
+def _teams(sid: np.ndarray, size: np.ndarray, place: np.ndarray, parity: np.ndarray, similarity: float) -> list[np.ndarray]:
+    """The sids of one word's group, in parts that the filters keep together; lone ones are out."""
+    n = len(sid)
+    if n > FILTER_MOST:
+        return [sid]
+    label = np.arange(n)
+    links = []
+    for s in range(0, n, 256):
+        ok = _pairs_may((size[s : s + 256, None], place[s : s + 256, None], parity[s : s + 256, None]), (size[None], place[None], parity[None]), similarity)
+        ok[np.arange(len(ok)), np.arange(s, s + len(ok))] = False
+        links.append(ok)
+    ok = np.concatenate(links)
+    while True:
+        new = np.minimum(label, np.where(ok, label[None], n).min(1, initial=n))
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            break
+        label = new
+    order = np.argsort(label, kind="stable")
+    return [sid[order[s:e]] for s, e in zip(*runs(label[order])) if e - s > 1]
 
 
 def _groups(similarity: float):
-    """Rows sorted by word to (team, sid): sets that share a prefix word and pass the filters. Groups with the same members have the same team."""
+    """Rows sorted by word and sid to (team, sid): sets that share a prefix word and pass the filters. Teams with the same members have the same name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        at = None
-        out: list[np.ndarray] = []
-
-        def close() -> None:
-            rows = np.concatenate(held, axis=1)
-            sid, first = np.unique(rows[0], return_index=True)
-            if len(sid) > 1:
-                shape = rows[1][first]
-                ok = _may_match(shape >> 32, shape & 0xFFFFFFFF, similarity)
-                sid = sid[ok]
-            if len(sid) > 1:
-                team = int.from_bytes(hashlib.blake2b(sid.tobytes(), digest_size=8).digest(), "little", signed=True)
-                out.append(np.stack([np.full(len(sid), team), sid]))
+        rest = np.zeros((4, 0), np.int64)
+        made: set[int] = set()
+
+        def teams(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            new = np.ones(rows.shape[1], bool)
+            new[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(0)
+            rows = rows[:, new]
+            if not rows.shape[1]:
+                return
+            word, sid, shape, parity = rows
+            size, place = shape >> 32, shape & 0xFFFFFFFF
+            starts, ends = runs(word)
+            two = starts[ends - starts == 2]
+            at = lambda i: (size[i], place[i], parity[i])
+            two = two[_pairs_may(at(two), at(two + 1), similarity)]
+            with np.errstate(over="ignore"):
+                name = _mix(_mix(sid[two].view(np.uint64)) + sid[two + 1].view(np.uint64)).view(np.int64)
+            name, once = np.unique(name, return_index=True)
+            yield np.concatenate([name, name]), np.concatenate([sid[two[once]], sid[two[once] + 1]])
+            for s, e in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
+                for team in _teams(sid[s:e], size[s:e], place[s:e], parity[s:e], similarity):
+                    if len(team) == 2:
+                        with np.errstate(over="ignore"):
+                            key = int(_mix(_mix(team[:1].view(np.uint64)) + team[1:].view(np.uint64)).view(np.int64)[0])
+                    else:
+                        key = int.from_bytes(hashlib.blake2b(team.tobytes(), digest_size=8).digest(), "little", signed=True)
+                    if key not in made:
+                        if len(made) < 500_000:
+                            made.add(key)
+                        yield np.full(len(team), key), team
+
+        def batch(some: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in some] or [np.zeros(0, np.int64)])) for k in (0, 1)], names=["team", "sid"])
 
         for b in batches:
-            word, sid, shape = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            if not len(word):
+            rows = np.concatenate([rest, np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(4)])], axis=1)
+            if not rows.shape[1]:
                 continue
-            for s, e in zip(*runs(word)):
-                if word[s] != at:
-                    if at is not None and (len(held) > 1 or held[0].shape[1] > 1):
-                        close()
-                    at, held = word[s], []
-                held.append(np.stack([sid[s:e], shape[s:e]]))
-            if sum(x.shape[1] for x in out) > 50_000:
-                both = np.concatenate(out, axis=1)
-                out.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["team", "sid"])
-        if at is not None:
-            close()
-        if out:
-            both = np.concatenate(out, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["team", "sid"])
+            cut = np.searchsorted(rows[0], rows[0][-1])  # the last word may go on
+            rest = rows[:, cut:]
+            yield batch(list(teams(rows[:, :cut])))
+        yield batch(list(teams(rest)))
 
     return run
 
@@ -195,19 +233,24 @@ def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _parts(np.packbits(seen).view(np.int64))
 
 
-def _sets(sieve: np.ndarray):
-    """(sid, words) of the lines whose slot of the sieve is set; a block sends a set once."""
+def _occurrences(sieve: np.ndarray):
+    """(sid, doc, rev, line, words) of every line; words, the set itself, once in a task where the slot of the sieve is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
-        for _, texts, _ in _texts(batches):
-            got = Lines(texts)
-            sids, at = np.unique(got.sid, return_index=True)
-            keep = sieve[sids.view(np.uint64) >> np.uint64(41)]
-            rows = [(s, got.word[got.first[i] : got.first[i + 1]].tobytes()) for s, i in zip(sids[keep].tolist(), at[keep]) if s not in sent]
-            if len(sent) < 300_000:
-                sent.update(s for s, _ in rows)
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.int64()), pa.array([w for _, w in rows], pa.binary())], names=["sid", "words"])
+        for b in batches:
+            ids, revs, texts = b.column(0), b.column(2), [t or "" for t in b.column(1).to_pylist()]
+            for s, e in blocks([len(t) for t in texts], BLOCK_CHARS):
+                got = Lines(texts[s:e])
+                words: list[bytes | None] = [None] * len(got.sid)
+                for i in np.flatnonzero(sieve[got.sid.view(np.uint64) >> np.uint64(41)]).tolist():
+                    k = int(got.sid[i])
+                    if k not in sent:
+                        if len(sent) < 300_000:
+                            sent.add(k)
+                        words[i] = got.word[got.first[i] : got.first[i + 1]].tobytes()
+                at = pa.array(s + got.text_of[got.line])
+                yield pa.RecordBatch.from_arrays([pa.array(got.sid), ids.take(at), revs.take(at), pa.array(got.number[got.line]), pa.array(words, pa.binary())], names=["sid", "doc", "rev", "line", "words"])
 
     return run
 
@@ -253,15 +296,6 @@ def _compare(similarity: float):
     return run
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids, revs, texts = b.column(0), b.column(2), [t or "" for t in b.column(1).to_pylist()]
-        for s, e in blocks([len(t) for t in texts], BLOCK_CHARS):
-            got = Lines(texts[s:e])
-            at = pa.array(s + got.text_of[got.line])
-            yield pa.RecordBatch.from_arrays([pa.array(got.sid), ids.take(at), revs.take(at), pa.array(got.number[got.line])], names=["sid", "doc", "rev", "line"])
-
-
 def _keyed(docs: DataFrame) -> tuple[Column, Column]:
     """Key of a row: its doc_id (null: last), and a hash of its text, which orders rows that share an id."""
     return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -278,15 +312,16 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most:
     doc, rev = _keyed(docs)
     whole = docs.select(doc.alias("doc"), F.col("text").cast("string").alias("text"), rev.alias("rev"))
     rarity = _merged(whole.mapInArrow(_count, "part int, counts array<long>"), COUNTERS, np.add)
-    prefix = whole.mapInArrow(_prefixes(rarity, similarity), "word long, sid long, shape long").repartition("word").sortWithinPartitions("word", "sid")
+    prefix = whole.mapInArrow(_prefixes(rarity, similarity), "word long, sid long, shape long, parity long").repartition("word").sortWithinPartitions("word", "sid")
     teams = staged(prefix.mapInArrow(_groups(similarity), "team long, sid long").distinct(), "teams")
     bits = _merged(teams.select("sid").mapInArrow(_sieve, "part int, counts array<long>"), SIEVE // 64, np.bitwise_or)
     sieve = np.unpackbits(bits.view(np.uint8)).astype(bool)
 
-    seen = staged(whole.mapInArrow(_occurrences, "sid long, doc long, rev long, line long"), "occurrences")
+    found = staged(whole.mapInArrow(_occurrences(sieve), "sid long, doc long, rev long, line long, words binary"), "occurrences")
+    seen = found.drop("words")
     firsts = seen.groupBy("sid").agg(F.min(F.struct("doc", "rev", "line")).alias("first"), F.count("*").alias("n"))
     firsts = staged(firsts, "firsts")
-    sets = whole.mapInArrow(_sets(sieve), "sid long, words binary").groupBy("sid").agg(F.first("words").alias("words"))
+    sets = found.filter("words is not null").select("sid", "words").join(teams.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.first("words").alias("words"))
     parts = F.ceil(F.col("size") / group_most)
     sizes = teams.groupBy("team").agg(F.count("*").alias("size"))
     members = teams.join(sizes, "team").join(firsts.select("sid", "first"), "sid").join(sets, "sid")
