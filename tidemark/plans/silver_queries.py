@@ -196,35 +196,37 @@ def _bronze(spark, d, name, column, change):
     return landing.pack_bronze(first.unionByName(second), name, LOADED)
 
 
-LATEST = "FROM v QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY _updated_at DESC NULLS FIRST) = 1"
+LATEST = "FROM v QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY _updated_at DESC NULLS FIRST{ties}) = 1"
+#: item_id repeats in lineitem, and such rows have the same version time; as the operator, by the remaining columns.
+ITEM_TIES = "".join(f", {c} DESC NULLS FIRST" for c in ("order_id", "product_id", "quantity", "unit_price", "discount_percent", "_deleted"))
 
 
-@query("t1_silver_customers", f"""WITH v AS ({_versions('customers', "'Global ' || company_name AS company_name")}), r AS (SELECT * {LATEST.format(key='customer_id')})
+@query("t1_silver_customers", f"""WITH v AS ({_versions('customers', "'Global ' || company_name AS company_name")}), r AS (SELECT * {LATEST.format(key='customer_id', ties='')})
 SELECT customer_id, first_name || ' ' || last_name AS full_name, company_name, annual_revenue, created_at,
  CASE WHEN company_name ILIKE '%corp%' OR company_name ILIKE '%global%' THEN 'ENTERPRISE' WHEN company_name ILIKE '%inc%' OR company_name ILIKE '%solutions%' THEN 'MID_MARKET' WHEN company_name ILIKE '%startup%' THEN 'STARTUP' ELSE 'SMB' END AS customer_segment FROM r WHERE NOT _deleted""")
 def t1(spark, d):
     return silver.silver_customers(_bronze(spark, d, "customers", "company_name", "'Global ' || company_name")).select("customer_id", "full_name", "company_name", "annual_revenue", "created_at", "customer_segment")
 
 
-@query("t2_silver_orders", f"""WITH v AS ({_versions('sales', "'returned' AS status")}), r AS (SELECT * {LATEST.format(key='order_id')})
+@query("t2_silver_orders", f"""WITH v AS ({_versions('sales', "'returned' AS status")}), r AS (SELECT * {LATEST.format(key='order_id', ties='')})
 SELECT order_id, customer_id, order_date, status, total_amount, CAST(date_trunc('month', order_date) AS DATE) AS order_month, CAST(date_diff('day', order_date, DATE '{AS_OF}') AS INT) AS days_since_order FROM r WHERE NOT _deleted""")
 def t2(spark, d):
     return silver.silver_orders(_bronze(spark, d, "sales", "status", "'returned'"), AS_OF).select("order_id", "customer_id", "order_date", "status", "total_amount", "order_month", "days_since_order")
 
 
-@query("t3_silver_products", f"""WITH v AS ({_versions('products', "CAST(price + 1 AS DECIMAL(10,2)) AS price")}), r AS (SELECT * {LATEST.format(key='product_id')})
+@query("t3_silver_products", f"""WITH v AS ({_versions('products', "CAST(price + 1 AS DECIMAL(10,2)) AS price")}), r AS (SELECT * {LATEST.format(key='product_id', ties='')})
 SELECT product_id, product_name, category, price, cost, price - cost AS margin FROM r WHERE NOT _deleted""")
 def t3(spark, d):
     return silver.silver_products(_bronze(spark, d, "products", "price", "price + 1")).select("product_id", "product_name", "category", "price", "cost", "margin")
 
 
-@query("t4_silver_order_items", f"""WITH v AS ({_versions('items', "quantity + 1 AS quantity")}), r AS (SELECT * {LATEST.format(key='item_id')})
+@query("t4_silver_order_items", f"""WITH v AS ({_versions('items', "quantity + 1 AS quantity")}), r AS (SELECT * {LATEST.format(key='item_id', ties=ITEM_TIES)})
 SELECT item_id, order_id, product_id, quantity, CAST(quantity * unit_price AS DECIMAL(18,2)) AS gross_total FROM r WHERE NOT _deleted""")
 def t4(spark, d):
     return silver.silver_items(_bronze(spark, d, "items", "quantity", "quantity + 1")).select("item_id", "order_id", "product_id", "quantity", "gross_total")
 
 
-@query("t5_silver_tickets", f"""WITH v AS ({_versions('tickets', "'closed' AS status")}), r AS (SELECT * {LATEST.format(key='ticket_id')})
+@query("t5_silver_tickets", f"""WITH v AS ({_versions('tickets', "'closed' AS status")}), r AS (SELECT * {LATEST.format(key='ticket_id', ties='')})
 SELECT ticket_id, customer_id, priority, status, CAST(date_diff('hour', created_at, resolved_at) AS BIGINT) AS resolution_hours FROM r WHERE NOT _deleted""")
 def t5(spark, d):
     return silver.silver_tickets(_bronze(spark, d, "tickets", "status", "'closed'")).select("ticket_id", "customer_id", "priority", "status", "resolution_hours")
