@@ -335,21 +335,23 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most:
     return gone.groupBy("doc", "rev").agg(F.collect_set("line").alias("lines"))
 
 
-def without_repeats(docs: DataFrame, **how) -> DataFrame:
-    """docs, each text without the lines that resemble an earlier one, n_chars (if there) renewed; _lines and _removed count lines before and lines that went.
+def without_repeats(docs: DataFrame, counts: bool = True, **how) -> DataFrame:
+    """docs, each text without the lines that resemble an earlier one, n_chars (if there) renewed; with counts, _lines and _removed are the numbers of lines before and of lines that went.
 
     Null texts stay null, and count as one empty line. Repeated rows of one id and text are one document: none is earlier than the other, and both keep the same lines.
-    Rows of one id with different texts come in the order of a hash of the text. An empty table gives an empty one.
+    Rows of one id with different texts come in the order of a hash of the text. An empty table gives an empty one. With counts, columns of docs that have their names give way.
     """
     doc, rev = _keyed(docs)
     gone = repeated_lines(docs, **how).select(F.col("doc").alias("_doc"), F.col("rev").alias("_rev"), F.col("lines").alias("_gone"))
-    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    kept = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(F.split(body, "\n", -1), lambda x, i: ~F.array_contains("_gone", i.cast("long"))), "\n"))
-    found = docs.withColumns({"_doc": doc, "_rev": rev}).join(gone, ["_doc", "_rev"], "left")
-    found = found.withColumns({"_lines": F.size(F.split(body, "\n", -1)), "_removed": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")), "text": kept})
+    found = docs.select(doc.alias("_doc"), rev.alias("_rev"), F.struct(*docs.columns).alias("_row")).join(gone, ["_doc", "_rev"], "left")
+    text = F.col("_row.text")
+    parts = F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1)
+    kept = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i.cast("long"))), "\n"))
+    new = {"text": kept}
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return found.select(*docs.columns, "_lines", "_removed")
+        new["n_chars"] = F.when(F.col("_gone").isNull(), F.col("_row.n_chars")).otherwise(F.length(kept).cast(docs.schema["n_chars"].dataType))
+    added = {"_lines": F.size(parts), "_removed": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))} if counts else {}
+    return found.select(*(new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns if c.lower() not in added), *(v.alias(k) for k, v in added.items()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

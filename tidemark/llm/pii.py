@@ -231,7 +231,7 @@ def train(texts: list[str], epochs: int = 4, most_windows: int = 1500) -> SemiMa
             samples.append((part, set(inside)))
             if len(inside) == 1:
                 k, s, e = inside[0]
-                samples += [(part[:s] + v + part[e:], {(k, s, s + len(v))}) for v in _variants(k, part[s:e])]
+                samples += [(part[:s] + v + part[e:], {(k, s, s + len(v))}) for v in _variants(k, part[s:e]) if len(v.split()) <= SEGMENT_WORDS and len(v) <= SEGMENT_CHARS]
     for n in range(epochs):
         for part, inside in samples:
             crf.learn(part, tokens(part, 0, len(part)), inside, 0.3 / (1 + n))
