@@ -5,6 +5,9 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -60,3 +63,9 @@ def test_runs(spark, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_import_needs_no_session():
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()) >= len(e.oracle_sql()) > 100)"], cwd=root, capture_output=True, text=True)
+    assert said.stdout.split()[-1:] == ["True"], said.stderr

@@ -11,7 +11,12 @@ from tidemark.plans.base import query, scratch
 from tidemark.plans.bindings import AS_OF, entity
 from tidemark.sources import landing
 
-LOADED = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+
+
+def loaded():
+    """The load time of all rows; a function, as columns need a running session, and importing must not."""
+    return F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+
 
 
 @query("s1_read_landing", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
@@ -31,19 +36,19 @@ def s4(spark, d):
 
 @query("s5_ingest_json", "SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n, 'events' AS source FROM events GROUP BY 1")
 def s5(spark, d):
-    rows = landing.ingest_json(entity(spark, d, "payloads"), "payload_json", "events", LOADED)
+    rows = landing.ingest_json(entity(spark, d, "payloads"), "payload_json", "events", loaded())
     return rows.groupBy(F.try_variant_get("raw_payload", "$.k", "long").alias("k")).agg(F.count("*").alias("n"), F.first("_metadata_source").alias("source"))
 
 
 @query("s6_pack_bronze", "SELECT product_id, cost, CASE WHEN cost IS NULL THEN 6 ELSE 7 END AS n_keys FROM products")
 def s6(spark, d):
-    packed = landing.pack_bronze(entity(spark, d, "products"), "products", LOADED)
+    packed = landing.pack_bronze(entity(spark, d, "products"), "products", loaded())
     return packed.select(F.variant_get("payload", "$.product_id", "long").alias("product_id"), F.try_variant_get("payload", "$.cost", "decimal(10,2)").alias("cost"), F.size(F.json_object_keys("payload_json")).alias("n_keys"))
 
 
 @query("s7_union_bronze", "SELECT 'customers' AS source_table, count(*) AS n FROM customers UNION ALL SELECT 'products', count(*) FROM products")
 def s7(spark, d):
-    packed = [landing.pack_bronze(entity(spark, d, t), t, LOADED) for t in ("customers", "products")]
+    packed = [landing.pack_bronze(entity(spark, d, t), t, loaded()) for t in ("customers", "products")]
     return landing.union_bronze(*packed).groupBy("source_table").agg(F.count("*").alias("n"))
 
 
@@ -193,7 +198,7 @@ def _bronze(spark, d, name, column, change):
     key = base.columns[0]
     first = base.withColumn("_updated_at", F.lit("2001-09-01").cast("date")).withColumn("_deleted", F.lit(False))
     second = base.filter(f"{key} % 3 = 0").withColumn(column, F.expr(change).cast(base.schema[column].dataType)).withColumn("_updated_at", F.lit("2001-09-02").cast("date")).withColumn("_deleted", F.expr(f"{key} % 10 = 0"))
-    return landing.pack_bronze(first.unionByName(second), name, LOADED)
+    return landing.pack_bronze(first.unionByName(second), name, loaded())
 
 
 LATEST = "FROM v QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY _updated_at DESC NULLS FIRST{ties}) = 1"
@@ -242,7 +247,7 @@ def t6(spark, d):
 
 @query("t7_silver_snapshot", "SELECT customer_id, coalesce(first_name, 'Unknown') AS first_name, upper(segment) AS segment, annual_revenue FROM customers WHERE customer_id IS NOT NULL")
 def t7(spark, d):
-    raw = landing.pack_bronze(entity(spark, d, "customers"), "customers", LOADED)
+    raw = landing.pack_bronze(entity(spark, d, "customers"), "customers", loaded())
     return silver.silver_snapshot(raw, [("customer_id", "$.customer_id", "long"), ("first_name", "$.first_name", "string"), ("segment", "$.segment", "string"), ("annual_revenue", "$.annual_revenue", "decimal(15,2)")], ["customer_id"], {"first_name": "Unknown"}, ["segment"])
 
 
