@@ -97,15 +97,15 @@ def product_performance_basic(products: DataFrame, items: DataFrame) -> DataFram
     return out.select("product_id", "product_name", "category", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("orders", "units_sold")), F.coalesce("revenue", F.lit(0)).cast("decimal(18,2)").alias("revenue"), ratio(F.col("units_sold"), F.col("lines")).alias("avg_units_per_line"))
 
 
-def category_metrics(products: DataFrame, items: DataFrame) -> DataFrame:
-    """Per category: products, active ones, prices (each product as often as it has lines), average selling price."""
+def category_metrics(products: DataFrame, items: DataFrame, digits: int = 4) -> DataFrame:
+    """Per category: products, active ones, prices (each product as often as it has lines), average selling price; averages are rounded once, to `digits`."""
     arm = items.groupBy("product_id").agg(F.count("*").alias("_lines"), F.sum("quantity").alias("_units"), F.sum("line_total").alias("_revenue"))
     each = products.join(arm, "product_id", "left").withColumn("_weight", F.coalesce("_lines", F.lit(1)))
-    weighted = lambda c: ratio(F.sum(F.col(c) * F.col("_weight")), F.sum(F.when(F.col(c).isNotNull(), F.col("_weight"))), 4)
+    weighted = lambda c: ratio(F.sum(F.col(c) * F.col("_weight")), F.sum(F.when(F.col(c).isNotNull(), F.col("_weight"))), digits)
     each = each.withColumn("_margin", F.col("price") - F.col("cost"))
     return each.groupBy("category").agg(
         F.count("product_id").alias("total_products"), F.count_if("active").alias("active_products"), weighted("price").alias("avg_price"), weighted("_margin").alias("avg_margin"),
-        F.coalesce(F.sum("_units"), F.lit(0)).cast("long").alias("units_sold"), ratio(F.sum("_revenue"), F.sum("_units"), 4).alias("avg_selling_price"))
+        F.coalesce(F.sum("_units"), F.lit(0)).cast("long").alias("units_sold"), ratio(F.sum("_revenue"), F.sum("_units"), digits).alias("avg_selling_price"))
 
 
 def order_summary(orders: DataFrame, customers: DataFrame) -> DataFrame:

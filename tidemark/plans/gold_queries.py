@@ -80,8 +80,7 @@ def a6(spark, d):
 SELECT category, count(DISTINCT product_id) AS total_products, count(DISTINCT CASE WHEN active THEN product_id END) AS active_products, round(avg(CAST(price AS DOUBLE)), 3) AS avg_price, round(avg(CAST(price - cost AS DOUBLE)), 3) AS avg_margin,
  CAST(coalesce(sum(quantity), 0) AS BIGINT) AS units_sold, round(CAST(sum(line_total) AS DOUBLE) / sum(quantity), 3) AS avg_selling_price FROM j GROUP BY 1""")
 def a7(spark, d):
-    got = gold.category_metrics(*_e(spark, d, "products", "items"))
-    return got.withColumns({c: F.round(c, 3) for c in ("avg_price", "avg_margin", "avg_selling_price")})
+    return gold.category_metrics(*_e(spark, d, "products", "items"), digits=3)
 
 
 @query("a8_order_summary", """SELECT CAST(date_trunc('month', order_date) AS DATE) AS order_month, segment, count(*) AS orders, count(DISTINCT customer_id) AS customers, CAST(sum(total_amount) AS DECIMAL(18,2)) AS revenue,

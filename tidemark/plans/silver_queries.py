@@ -12,13 +12,11 @@ from tidemark.plans.bindings import AS_OF, entity
 from tidemark.sources import landing
 
 
-
 def loaded():
     """The load time of all rows; a function, as columns need a running session, and importing must not."""
     return F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
 
 
-
 @query("s1_read_landing", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def s1(spark, d):
     return spark.read.schema("o_orderkey long, o_custkey long, o_orderstatus string").parquet(f"{d}/orders.parquet")
