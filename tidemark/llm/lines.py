@@ -44,6 +44,33 @@ def _mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
+def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each lower-cased word of the texts and number of its line, counted over all texts, in their order."""
+    raw = np.frombuffer("\n".join(texts).lower().encode("utf-8", "surrogatepass"), np.uint8)
+    solid = np.zeros(len(raw) + 2, np.int8)
+    solid[1:-1] = _SOLID[raw]
+    edge = solid[1:] - solid[:-1]
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    scale, inverse = _powers(len(raw))
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(_BYTE[raw] * scale[: len(raw)], out=sums[1:])
+        word = _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return word, np.searchsorted(np.flatnonzero(raw == 10), starts)
+
+
+def _sorted(owner: np.ndarray, rank: np.ndarray | None, word: np.ndarray) -> np.ndarray:
+    """Order by owner, then rank of the word's counter (a counter has its own), then word: by one key, or by all where that one leaves ties of different words."""
+    if len(owner) and owner[-1] < 1 << 24:
+        rest = word >> np.uint64(24) if rank is None else (rank << np.uint64(24)) | (word >> np.uint64(24) & np.uint64(0xFFFFFF))
+        key = (owner.astype(np.uint64) << np.uint64(40)) | rest
+        order = np.argsort(key)
+        key, put = key[order], word[order]
+        if not ((key[1:] == key[:-1]) & (put[1:] != put[:-1])).any():
+            return order
+    return np.lexsort((word, owner) if rank is None else (word, rank, owner))
+
+
 class Lines:
     """The lines of some texts with the hashes of their distinct lower-cased words.
 
@@ -51,21 +78,11 @@ class Lines:
     """
 
     def __init__(self, texts: list[str], least: int = LEAST_WORDS) -> None:
-        raw = np.frombuffer("\n".join(texts).lower().encode("utf-8", "surrogatepass"), np.uint8)
-        solid = np.zeros(len(raw) + 2, np.int8)
-        solid[1:-1] = _SOLID[raw]
-        edge = solid[1:] - solid[:-1]
-        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         counts = [t.count("\n") + 1 for t in texts]
         self.text_of = np.repeat(np.arange(len(texts)), counts)
         self.number = np.arange(sum(counts)) - np.repeat(np.cumsum([0, *counts[:-1]]), counts) if counts else np.zeros(0, np.int64)
-        scale, inverse = _powers(len(raw))
-        with np.errstate(over="ignore"):
-            sums = np.zeros(len(raw) + 1, np.uint64)
-            np.cumsum(_BYTE[raw] * scale[: len(raw)], out=sums[1:])
-            word = _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-        line = np.searchsorted(np.flatnonzero(raw == 10), starts)
-        order = np.lexsort((word, line))
+        word, line = _hashed(texts)
+        order = _sorted(line, None, word)
         word, line = word[order], line[order]
         new = np.ones(len(word), bool)
         new[1:] = (word[1:] != word[:-1]) | (line[1:] != line[:-1])
@@ -114,13 +131,16 @@ def _parts(counts: np.ndarray, n: int = 64) -> pa.RecordBatch:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(COUNTERS, np.int64)
     for _, texts, _ in _texts(batches):
-        total += np.bincount((Lines(texts).word >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
+        total += np.bincount((_hashed(texts)[0] >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
     yield _parts(total)
 
 
 def _prefixes(rarity: np.ndarray, similarity: float):
     """(word, sid, size, place): the rarest words of each set, as many as a similar set must share one of. A batch sends a set once."""
 
+    rank = np.empty(len(rarity), np.uint64)
+    rank[np.argsort(rarity, kind="stable")] = np.arange(len(rarity), dtype=np.uint64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for _, texts, _ in _texts(batches):
@@ -133,7 +153,7 @@ def _prefixes(rarity: np.ndarray, similarity: float):
             size = got.size
             need = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
             owner = np.repeat(np.arange(len(size)), size)
-            order = np.lexsort((got.word, rarity[(got.word >> np.uint64(48)).astype(np.int64)], owner))
+            order = _sorted(owner, rank[(got.word >> np.uint64(48)).astype(np.int64)], got.word)
             place = np.arange(len(order)) - got.first[owner]
             take = (place < need[owner]) & fresh[owner]
             cols = [got.word[order][take].view(np.int64), got.sid[owner[take]], (size[owner[take]] << 32) | place[take], got.parity[owner[take]]]
@@ -152,6 +172,33 @@ def _pairs_may(x: tuple, y: tuple, similarity: float):
 
 #: Members of one word's group whose pairs are looked at all; a larger group goes on whole.
 FILTER_MOST = 4096
+#: Groups up to this size are looked at together.
+SMALL_GROUP = 256
+
+
+def _linked(starts: np.ndarray, ends: np.ndarray, n: int, may) -> np.ndarray:
+    """Labels of n rows: equal for rows of one range that pairs for which may(i, j) holds connect."""
+    label, one, two = np.arange(n), [], []
+    for step in range(1, int((ends - starts).max(initial=1))):
+        wide = ends - starts > step
+        starts, ends = starts[wide], ends[wide]
+        many = ends - starts - step
+        i = np.repeat(starts - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        i = i[may(i, i + step)]
+        one.append(i)
+        two.append(i + step)
+    if not one:
+        return label
+    i, j = np.concatenate(one), np.concatenate(two)
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
 
 
 def _teams(sid: np.ndarray, size: np.ndarray, place: np.ndarray, parity: np.ndarray, similarity: float) -> list[np.ndarray]:
@@ -192,24 +239,34 @@ def _groups(similarity: float):
             word, sid, shape, parity = rows
             size, place = shape >> 32, shape & 0xFFFFFFFF
             starts, ends = runs(word)
-            two = starts[ends - starts == 2]
             at = lambda i: (size[i], place[i], parity[i])
-            two = two[_pairs_may(at(two), at(two + 1), similarity)]
+            small = ends - starts <= SMALL_GROUP
+            label = _linked(starts[small], ends[small], len(word), lambda i, j: _pairs_may(at(i), at(j), similarity))
+            order = np.argsort(label, kind="stable")
+            a, b = runs(label[order])
+            one = order[a[b - a == 2]]
+            two = order[a[b - a == 2] + 1]
             with np.errstate(over="ignore"):
-                name = _mix(_mix(sid[two].view(np.uint64)) + sid[two + 1].view(np.uint64)).view(np.int64)
+                name = _mix(_mix(sid[one].view(np.uint64)) + sid[two].view(np.uint64)).view(np.int64)
             name, once = np.unique(name, return_index=True)
-            yield np.concatenate([name, name]), np.concatenate([sid[two[once]], sid[two[once] + 1]])
-            for s, e in zip(starts[ends - starts > 2], ends[ends - starts > 2]):
-                for team in _teams(sid[s:e], size[s:e], place[s:e], parity[s:e], similarity):
-                    if len(team) == 2:
-                        with np.errstate(over="ignore"):
-                            key = int(_mix(_mix(team[:1].view(np.uint64)) + team[1:].view(np.uint64)).view(np.int64)[0])
-                    else:
-                        key = int.from_bytes(hashlib.blake2b(team.tobytes(), digest_size=8).digest(), "little", signed=True)
-                    if key not in made:
-                        if len(made) < 500_000:
-                            made.add(key)
-                        yield np.full(len(team), key), team
+            fresh = np.array([k not in made for k in name.tolist()], bool)
+            name, once = name[fresh], once[fresh]
+            if len(made) < 500_000:
+                made.update(name.tolist())
+            yield np.concatenate([name, name]), np.concatenate([sid[one[once]], sid[two[once]]])
+            large = [sid[order[s:e]] for s, e in zip(a[b - a > 2], b[b - a > 2])]
+            for s, e in zip(starts[~small], ends[~small]):
+                large += _teams(sid[s:e], size[s:e], place[s:e], parity[s:e], similarity)
+            for team in large:
+                if len(team) == 2:
+                    with np.errstate(over="ignore"):
+                        key = int(_mix(_mix(team[:1].view(np.uint64)) + team[1:].view(np.uint64)).view(np.int64)[0])
+                else:
+                    key = int.from_bytes(hashlib.blake2b(team.tobytes(), digest_size=8).digest(), "little", signed=True)
+                if key not in made:
+                    if len(made) < 500_000:
+                        made.add(key)
+                    yield np.full(len(team), key), team
 
         def batch(some: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in some] or [np.zeros(0, np.int64)])) for k in (0, 1)], names=["team", "sid"])
@@ -343,7 +400,7 @@ def without_repeats(docs: DataFrame, counts: bool = True, **how) -> DataFrame:
     """
     doc, rev = _keyed(docs)
     gone = repeated_lines(docs, **how).select(F.col("doc").alias("_doc"), F.col("rev").alias("_rev"), F.col("lines").alias("_gone"))
-    found = docs.select(doc.alias("_doc"), rev.alias("_rev"), F.struct(*docs.columns).alias("_row")).join(gone, ["_doc", "_rev"], "left")
+    found = docs.select(doc.alias("_doc"), rev.alias("_rev"), F.struct(*docs.columns).alias("_row")).join(gone.hint("shuffle_hash"), ["_doc", "_rev"], "left")  # no sort of whole texts; gone is unique by key
     text = F.col("_row.text")
     parts = F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1)
     kept = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i.cast("long"))), "\n"))
