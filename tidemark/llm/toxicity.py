@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, held_out
 
-#: Fitted on about so many labelled documents of each label, chosen by a hash of their ids, from all of the table.
+#: Fitted on at most so many labelled documents of each label, chosen by a hash of their ids, from all of the table.
 SAMPLE_DOCS = 3000
 THRESHOLD = 0.7
 
@@ -196,12 +196,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_DOCS) -> Mod
     """A model learned from text and label of documents outside the held-out fold."""
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter((fold(F.col("doc_id")) != 1) & F.col("toxic").isin(0, 1)).dropDuplicates(["doc_id"])
     counts = {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    spot, chosen = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 31)), F.lit(False)
+    spot, chosen = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 31)), marks.limit(0)
     for k, n in counts.items():
-        chosen |= (F.col("toxic") == k) & (spot < min(1 << 31, int((1 << 31) * per_label / n) + 1))
+        near = marks.filter((F.col("toxic") == k) & (spot < min(1 << 31, int((1 << 31) * per_label / n) + 1)))
+        chosen = chosen.union(near.orderBy(spot, "doc_id").limit(per_label))
     texts: list[list[str]] = [[], []]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    for r in rows.join(marks.filter(chosen), "doc_id").select("doc_id", "toxic", "text").toLocalIterator():
+    # at most per_label ids of each label, so the texts are not shuffled
+    for r in rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text").toLocalIterator():
         texts[r.toxic].append((r.doc_id, r.text))
     return fit_texts(*([t for _, t in sorted(texts[k])] for k in (1, 0)))
 
