@@ -162,6 +162,20 @@ def test_lines_of_odd_rows(spark):
     assert lines.without_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [lines.GROUP_MOST, 3])
+def test_short_lines(spark, most):
+    rows = prose(9) + [(200, "Les.\n\na b c d\nall rights reserved\nx y z"), (201, "les.\nLES.\n\na b c d e\nReserved all rights\nx y w\nx y"), (202, "d c b a\na b c")]
+    got = {r.doc_id: r.text or "" for r in lines.without_repeats(frame(spark, rows), group_most=most, least=1).collect()}
+    assert got == brute.kept_lines(rows, least=1)
+    assert (got[201], got[202]) == ("\nx y w\nx y", "a b c")  # four words of five are similar, three of four are not
+
+
+def test_line_query_takes_short_lines(spark, tmp_path):
+    rows = [(1, "all rights reserved\n\none"), (2, "All rights reserved\n\none two")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: (r.n_lines, r.n_removed) for r in lines.query(spark, str(tmp_path)).collect()} == {1: (3, 0), 2: (3, 1)}
+
+
 def test_language_on_held_out_documents(spark):
     got = language.query(spark, DATA).join(table(spark, DATA, "documents").select("doc_id", "lang"), "doc_id").filter("held_out and lang is not null and lang_pred <> 'und'").collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got) > 100

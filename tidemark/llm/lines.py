@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import blocks, runs, staged
 
 SIMILARITY = 0.8
-#: Lines with fewer distinct words stay as they are.
+#: Without another `least`, lines with fewer distinct words stay as they are; op8 and the pipeline take every line with a word (`least=1`).
 LEAST_WORDS = 5
 BLOCK_CHARS = 250_000
 #: Counters of word frequency: words are ordered by the count of their counter, then by hash. 512 KB, whatever the corpus.
@@ -135,8 +135,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _parts(total)
 
 
-def _prefixes(rarity: np.ndarray, similarity: float):
-    """(word, sid, size, place): the rarest words of each set, as many as a similar set must share one of. A batch sends a set once."""
+def _prefixes(rarity: np.ndarray, similarity: float, least: int):
+    """(word, sid, size, place): the rarest words of each set, as many as a similar set must share one of. A batch sends a set once.
+
+    A set that is similar to no set of one word more (at 0.8, of one to three words) is similar to its equals only, and sends none.
+    """
 
     rank = np.empty(len(rarity), np.uint64)
     rank[np.argsort(rarity, kind="stable")] = np.arange(len(rarity), dtype=np.uint64)
@@ -144,14 +147,14 @@ def _prefixes(rarity: np.ndarray, similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for _, texts, _ in _texts(batches):
-            got = Lines(texts)
+            got = Lines(texts, least)
             fresh = np.zeros(len(got.sid), bool)
             fresh[np.unique(got.sid, return_index=True)[1]] = True
             fresh &= np.array([s not in sent for s in got.sid.tolist()], bool) if len(sent) else True
             if len(sent) < 300_000:
                 sent.update(got.sid[fresh].tolist())
             size = got.size
-            need = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
+            need = np.where(size >= similarity * (size + 1) - 1e-9, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
             owner = np.repeat(np.arange(len(size)), size)
             order = _sorted(owner, rank[(got.word >> np.uint64(48)).astype(np.int64)], got.word)
             place = np.arange(len(order)) - got.first[owner]
@@ -290,15 +293,15 @@ def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _parts(np.packbits(seen).view(np.int64))
 
 
-def _occurrences(sieve: np.ndarray):
-    """(sid, doc, rev, line, words) of every line; words, the set itself, once in a task where the slot of the sieve is set."""
+def _occurrences(sieve: np.ndarray, least: int):
+    """(sid, doc, rev, line, words) of every line with at least `least` distinct words; words, the set itself, once in a task where the slot of the sieve is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for b in batches:
             ids, revs, texts = b.column(0), b.column(2), [t or "" for t in b.column(1).to_pylist()]
             for s, e in blocks([len(t) for t in texts], BLOCK_CHARS):
-                got = Lines(texts[s:e])
+                got = Lines(texts[s:e], least)
                 words: list[bytes | None] = [None] * len(got.sid)
                 for i in np.flatnonzero(sieve[got.sid.view(np.uint64) >> np.uint64(41)]).tolist():
                     k = int(got.sid[i])
@@ -358,10 +361,10 @@ def _keyed(docs: DataFrame) -> tuple[Column, Column]:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most: int = GROUP_MOST) -> DataFrame:
+def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most: int = GROUP_MOST, least: int = LEAST_WORDS) -> DataFrame:
     """(doc, rev, lines): numbers of the lines that resemble an earlier line of the corpus, for rows that have such.
 
-    Lines end at newlines; a line counts as the set of its lower-cased words (of ASCII white space), and takes part from `LEAST_WORDS` distinct words on. Two lines
+    Lines end at newlines; a line counts as the set of its lower-cased words (of ASCII white space), and takes part from `least` distinct words on (1: all but blank lines, which always stay). Two lines
     are similar from a Jaccard index of `similarity` on; earlier means a smaller doc_id, or the same and an earlier line. Sets are known by 64-bit hashes of their words
     and by a 64-bit hash of these. Equal sets are one set with its first occurrence, and a task sends each once, so a line that very many documents hold makes no large
     group. Sets that share no rare word with another drop out before all of their words are shuffled.
@@ -369,12 +372,12 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most:
     doc, rev = _keyed(docs)
     whole = docs.select(doc.alias("doc"), F.col("text").cast("string").alias("text"), rev.alias("rev"))
     rarity = _merged(whole.mapInArrow(_count, "part int, counts array<long>"), COUNTERS, np.add)
-    prefix = whole.mapInArrow(_prefixes(rarity, similarity), "word long, sid long, shape long, parity long").repartition("word").sortWithinPartitions("word", "sid")
+    prefix = whole.mapInArrow(_prefixes(rarity, similarity, least), "word long, sid long, shape long, parity long").repartition("word").sortWithinPartitions("word", "sid")
     teams = staged(prefix.mapInArrow(_groups(similarity), "team long, sid long").distinct(), "teams")
     bits = _merged(teams.select("sid").mapInArrow(_sieve, "part int, counts array<long>"), SIEVE // 64, np.bitwise_or)
     sieve = np.unpackbits(bits.view(np.uint8)).astype(bool)
 
-    found = staged(whole.mapInArrow(_occurrences(sieve), "sid long, doc long, rev long, line long, words binary"), "occurrences")
+    found = staged(whole.mapInArrow(_occurrences(sieve, least), "sid long, doc long, rev long, line long, words binary"), "occurrences")
     seen = found.drop("words")
     firsts = seen.groupBy("sid").agg(F.min(F.struct("doc", "rev", "line")).alias("first"), F.count("*").alias("n"))
     firsts = staged(firsts, "firsts")
@@ -414,5 +417,5 @@ def without_repeats(docs: DataFrame, counts: bool = True, **how) -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     from tidemark.llm.common import table
 
-    got = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    got = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), least=1)
     return got.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
