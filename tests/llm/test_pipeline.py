@@ -1,11 +1,12 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
 from tests.llm.test_operators import _packed_well
-from tidemark.llm import language
+from tidemark.llm import language, shingles
 from tidemark.llm.common import table
 
 
@@ -38,6 +39,60 @@ def test_stages_against_brute_force(spark, tmp_path):
     _packed_well(corpus_pipeline.run(spark, str(tmp_path)).collect(), kept, 2048)
 
 
+def near_copies(seed):
+    """Documents and copies with some words changed, so that Jaccard indexes of shingles lie on both sides of 0.8; odd and repeated rows."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(900)}" for _ in range(rng.randint(3, 160))]
+        for _ in range(6):
+            copy = list(words)
+            for _ in range(rng.randint(0, max(1, len(words) // 40))):
+                copy[rng.randrange(len(copy))] = f"W{rng.randrange(900)}"
+            rows.append((len(rows), " ".join(copy)))
+    return rows + [(900, None), (901, ""), (902, " \n\t"), (903, rows[5][1].upper()), (5, rows[5][1]), (904, "one two"), (905, "One\ntwo")]
+
+
+def by_jaccard(rows, size=5, similarity=0.8):
+    sets = []
+    for d, text in rows:
+        words = (text or "").lower().split()
+        sets.append((d, {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()))
+    root = {d: d for d, _ in sets}
+
+    def top(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if x == y or len(x & y) >= similarity * len(x | y) - 1e-9:
+                p, q = sorted((top(a), top(b)))
+                root[q] = p
+    return {d: top(d) for d in root}
+
+
+@pytest.mark.parametrize("most", [shingles.GROUP_MOST, 2])
+def test_shingle_groups_against_brute_force(spark, most):
+    rows = near_copies(3)
+    want = by_jaccard(rows)
+    assert 20 < len(set(want.values())) < 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.component_id) for r in shingles.near_duplicates(docs, group_most=most).collect()]
+    assert len(got) == len(rows) and dict(got) == want
+    assert shingles.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_stage_drops_near_copies_beyond_four_bits(spark):
+    rows = near_copies(7)
+    want = by_jaccard(rows)
+    marks = {d: brute.fingerprint(t) for d, t in rows}
+    assert any((marks[d] ^ marks[c]).bit_count() > 4 for d, c in want.items())
+    got = corpus_pipeline.distinct_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(want.values()))
+
+
 def test_stages_keep_the_columns(spark, tmp_path):
     corpus(spark, str(tmp_path))
     docs = table(spark, str(tmp_path), "documents").withColumn("_lines", F.lit(1))

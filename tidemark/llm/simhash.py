@@ -202,12 +202,12 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
     return marks.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """docs without all but one document of each group: the one with the smallest doc_id stays, and of repeated rows with that id one.
+def keep_one(docs: DataFrame, groups=near_duplicates, **how) -> DataFrame:
+    """docs without all but one document of each group that `groups` finds: the one with the smallest doc_id stays, and of repeated rows with that id one.
 
     Rows without an id all stay: nothing can name the one to keep.
     """
-    firsts = near_duplicates(docs, **how).filter("doc_id = component_id").select("doc_id").distinct()
+    firsts = groups(docs, **how).filter("doc_id = component_id").select("doc_id").distinct()
     kept = docs.filter("doc_id is not null").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(docs.columns).union(docs.filter("doc_id is null"))
 
