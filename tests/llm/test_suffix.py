@@ -79,6 +79,25 @@ def test_repeated_rows_and_empty_table(spark):
     assert suffix.remove_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("group_bytes", [suffix.GROUP_BYTES, 300])
+def test_repeated_rows_beside_other_contexts(spark, group_bytes):
+    rows = corpus(11)
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())) for r in suffix.remove_repeats(docs, group_bytes).collect()]
+    assert len(got) == 2 * len(rows)
+    assert set(got) == set(brute(rows).items())
+
+
+def test_a_context_under_two_keys_is_one():
+    rng = random.Random(4)
+    made = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    middle, left, right = made(40), made(50), made(50)
+    x, y, z = left + middle + right, left + middle + made(50), made(50) + middle + right
+    rows = [(1, 1, 5, 0, 140, 0, 90, x), (1, 2, 5, 0, 140, 0, 90, y), (2, 1, 5, 0, 140, 50, 90, x), (2, 3, 5, 0, 140, 50, 90, z)]
+    got = list(suffix._factors(suffix.GROUP_BYTES)(iter([suffix._batch(1, rows)])))
+    assert sum(b.num_rows for b in got) == 0  # no string of 100 bytes stands in two of them
+
+
 def test_longest_previous_factors():
     rng = np.random.default_rng(3)
     text = np.concatenate([rng.integers(1, 4, 300), [0], rng.integers(1, 3, 120), np.full(130, 2)])

@@ -231,8 +231,8 @@ def longest_previous_factors(text: np.ndarray, most: int = 112) -> np.ndarray:
 
 
 def _repeats(rows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
-    """(doc, rev, start, end) covered in contexts (doc, rev, start, bytes) by strings that start earlier in one of them."""
-    rows = sorted(rows)
+    """(doc, rev, start, end) covered in contexts (doc, rev, start, bytes) by strings that start earlier in one of them; a context that came twice is one."""
+    rows = sorted(set(rows))
     text = np.zeros(sum(len(r[3]) + 1 for r in rows), np.int64)
     at, out, spots = 0, [], []
     for r in rows:
@@ -266,9 +266,13 @@ def _batch(kind: int, rows: list[tuple]) -> pa.RecordBatch:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Joined rows (doc, rev, blob, wanted) to contexts; off and width tell where in the context its anchor stands."""
+    last = None
     for b in batches:
         out = []
         for doc, rev, blob, wanted in zip(*(b.column(i).to_pylist() for i in range(4))):
+            if (doc, rev, blob) == last:  # a repeated row
+                continue
+            last = (doc, rev, blob)
             raw = zstandard.decompress(blob)
             for w in wanted:
                 a, z = w["start"], w["end"] + SPAN
