@@ -222,6 +222,14 @@ def test_secrets(spark):
     assert secrets.scan(frame(spark, [])).count() == 0
 
 
+def test_the_sample_of_findings_is_drawn_in_parallel(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(secrets, "staged", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    found = secrets.label(secrets.with_features(secrets.candidates(frame(spark, [(1, "order number 20240101000001 was shipped")]))))
+    assert secrets.train(found) is None
+    assert "Coalesce" not in plans[0] and "Exchange" in plans[0]
+
+
 def _packed_well(got, texts, window):
     from tokenizers import Tokenizer
 

@@ -105,7 +105,7 @@ def train(labelled: DataFrame, most: int = SAMPLE_FINDINGS):
     n = known.count()
     spot = F.pmod(F.xxhash64("doc_id", "start", F.lit(7)), F.lit(1 << 31))
     some = known.filter(spot < min(1 << 31, int((1 << 31) * most / max(n, 1)) + 1)).select("label", *FEATURES)
-    some = staged(some.coalesce(1).sortWithinPartitions("label", *FEATURES), "findings")
+    some = staged(some.repartition(1).sortWithinPartitions("label", *FEATURES), "findings")
     if some.select("label").distinct().count() < 2:
         return None
     return RandomForestClassifier(labelCol="label", featuresCol="vector", numTrees=TREES, maxDepth=DEPTH, seed=11, subsamplingRate=0.8).fit(VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(some))
