@@ -48,15 +48,15 @@ def components(marks, radius=4):
     return {d: find(d) for d in root}
 
 
-def kept_lines(rows, similarity=0.8, least=5):
+def kept_lines(rows, similarity=0.8):
     """doc_id to the text without lines that resemble an earlier one, of (doc_id, text)."""
     earlier, out = [], {}
     for d, text in sorted(rows):
         kept = []
         for line in (text or "").split("\n"):
             words = set(re.findall(r"[^\x20\x09-\x0D]+", line.lower()))
-            similar = len(words) >= least and any(len(words & e) >= similarity * len(words | e) - 1e-9 for e in earlier)
-            if len(words) >= least:
+            similar = bool(words) and any(len(words & e) >= similarity * len(words | e) - 1e-9 for e in earlier)
+            if words:
                 earlier.append(words)
             if not similar:
                 kept.append(line)

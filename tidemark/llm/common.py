@@ -33,6 +33,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing lazy reads any more."""
+    for df in tables:
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def column(name: str, inside: str | None = None) -> Column:
+    """A column of any name, dots and backticks included; inside: of that struct."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(f"{inside}.{quoted}" if inside else quoted)
+
+
+def columns(df: DataFrame) -> list[Column]:
+    return [column(c) for c in df.columns]
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3; null ids are in no fold and count as 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3, F.lit(0))

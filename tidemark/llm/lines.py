@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,16 +9,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, runs, staged
+from tidemark.llm.common import blocks, column, columns, released, runs, staged, table
 
 SIMILARITY = 0.8
-#: Without another `least`, lines with fewer distinct words stay as they are; op8 and the pipeline take every line with a word (`least=1`).
-LEAST_WORDS = 5
 BLOCK_CHARS = 250_000
-#: Counters of word frequency: words are ordered by the count of their counter, then by hash. 512 KB, whatever the corpus.
-COUNTERS = 1 << 16
-#: Slots of the sieve that tells lines which may have a similar one from those that cannot; 1 MB, whatever the corpus.
-SIEVE = 1 << 23
+#: Counters of word frequency, a byte each once they are summed: 4 MB, whatever the corpus. A counter is never below the count of one of its words.
+COUNTERS = 1 << 22
+COUNTER_BLOCK = 1 << 12
+#: Steps of a counter's byte to a doubling: 5 reach 2^51.
+STEPS = 5
+#: A word counted more often keys a set only together with the next word, from DEEPER on with the next two, so that common words make no large groups.
+DEEP, DEEPER = 1 << 13, 1 << 21
+#: Slots of the sieve that tells sets which may have a similar one from those that cannot; 4 MB, whatever the corpus.
+SIEVE = 1 << 25
 #: Members of a group that one task compares; a larger group is compared in pairs of parts.
 GROUP_MOST = 4096
 
@@ -60,9 +62,9 @@ def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sorted(owner: np.ndarray, rank: np.ndarray | None, word: np.ndarray) -> np.ndarray:
-    """Order by owner, then rank of the word's counter (a counter has its own), then word: by one key, or by all where that one leaves ties of different words."""
+    """Order by owner, then rank of the word (a byte), then word: by one key, or by all where that one leaves ties of different words."""
     if len(owner) and owner[-1] < 1 << 24:
-        rest = word >> np.uint64(24) if rank is None else (rank << np.uint64(24)) | (word >> np.uint64(24) & np.uint64(0xFFFFFF))
+        rest = word >> np.uint64(24) if rank is None else (rank.astype(np.uint64) << np.uint64(32)) | (word >> np.uint64(32))
         key = (owner.astype(np.uint64) << np.uint64(40)) | rest
         order = np.argsort(key)
         key, put = key[order], word[order]
@@ -71,117 +73,168 @@ def _sorted(owner: np.ndarray, rank: np.ndarray | None, word: np.ndarray) -> np.
     return np.lexsort((word, owner) if rank is None else (word, rank, owner))
 
 
+def _counter(word: np.ndarray) -> np.ndarray:
+    return (word >> np.uint64(64 - (COUNTERS.bit_length() - 1))).astype(np.int64)
+
+
 class Lines:
     """The lines of some texts with the hashes of their distinct lower-cased words.
 
-    Of the lines with at least `least` distinct words: text and number within it, words (rows of `word` from `first` on), and a hash of the set.
+    Of the lines with a word: text and number within it, words (rows of `word` from `first` on, by rank if there is one), and the name of the set in two halves,
+    of which the first is `parity`: which of 64 classes hold an odd number of its words.
     """
 
-    def __init__(self, texts: list[str], least: int = LEAST_WORDS) -> None:
+    def __init__(self, texts: list[str], rank: np.ndarray | None = None) -> None:
         counts = [t.count("\n") + 1 for t in texts]
         self.text_of = np.repeat(np.arange(len(texts)), counts)
         self.number = np.arange(sum(counts)) - np.repeat(np.cumsum([0, *counts[:-1]]), counts) if counts else np.zeros(0, np.int64)
         word, line = _hashed(texts)
-        order = _sorted(line, None, word)
+        order = _sorted(line, None if rank is None else rank[_counter(word)], word)
         word, line = word[order], line[order]
         new = np.ones(len(word), bool)
         new[1:] = (word[1:] != word[:-1]) | (line[1:] != line[:-1])
-        word, line = word[new], line[new]
-        if len(word):
-            a, b = runs(line)
-            enough = b - a >= least
-            kept = np.repeat(enough, b - a)
-            self.word, self.line = word[kept], line[a[enough]]
-            self.first = np.concatenate([[0], np.cumsum((b - a)[enough])])
+        self.word, line = word[new], line[new]
+        a, b = runs(line) if len(line) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.line, self.first = line[a], np.concatenate([[0], b])
+        self.size = b - a
+        if len(a):
+            self.parity = np.bitwise_xor.reduceat(np.uint64(1) << (self.word & np.uint64(63)), a).view(np.int64)
+            with np.errstate(over="ignore"):
+                self.name = _mix(np.add.reduceat(_mix(self.word + np.uint64(0x51)), a) + self.size.astype(np.uint64)).view(np.int64)
         else:
-            self.word, self.line, self.first = word, line, np.zeros(1, np.int64)
-        self.size = np.diff(self.first)
-        #: For each set, which of 64 classes hold an odd number of its words: where two differ, the sets differ.
-        self.parity = np.bitwise_xor.reduceat(np.uint64(1) << (self.word & np.uint64(63)), self.first[:-1]).view(np.int64) if len(self.size) else np.zeros(0, np.int64)
-        with np.errstate(over="ignore"):
-            self.sid = _mix(np.add.reduceat(_mix(self.word + np.uint64(0x51)), self.first[:-1]) + self.size.astype(np.uint64)).view(np.int64) if len(self.size) else np.zeros(0, np.int64)
+            self.parity = self.name = np.zeros(0, np.int64)
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[str], list[int]]]:
-    """Blocks of the batches: ids, texts (null: empty)."""
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, list[str]]]:
+    """Blocks of the batches: the batch, where its block starts, texts (null: empty)."""
     for b in batches:
-        ids, texts = b.column(0), [t or "" for t in b.column(1).to_pylist()]
+        texts = [t or "" for t in b.column("text").to_pylist()]
         for s, e in blocks([len(t) for t in texts], BLOCK_CHARS):
-            yield ids.slice(s, e - s), texts[s:e], range(s, e)
-
+            yield b, s, texts[s:e]
 
-def _merged(rows: DataFrame, slots: int, join: np.ufunc) -> np.ndarray:
-    """Sum or union of arrays that tasks sent in parts (part, counts): a bounded number of parts reaches the driver."""
 
-    def merge(t: pa.Table) -> pa.Table:
-        counts = t.column("counts").combine_chunks()
-        total = join.reduce(np.asarray(counts.flatten()).reshape(len(counts), -1), axis=0)
-        return pa.table({"part": t.column("part")[:1], "counts": pa.array([total], pa.list_(pa.int64()))})
-
-    out = np.zeros(slots, np.int64)
-    for r in rows.groupBy("part").applyInArrow(merge, "part int, counts array<long>").toLocalIterator():
-        out[r.part * len(r.counts) : (r.part + 1) * len(r.counts)] = r.counts
-    return out
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, slots, counts): the counters above zero, in blocks."""
+    total = np.zeros(COUNTERS, np.int64)
+    for _, _, texts in _texts(batches):
+        slot, n = np.unique(_counter(_hashed(texts)[0]), return_counts=True)
+        total[slot] += n
+    slot = np.flatnonzero(total)
+    if len(slot):
+        a, b = runs(slot // COUNTER_BLOCK)
+        rows = [((slot[s:e] % COUNTER_BLOCK).astype(np.uint16).tobytes(), total[slot[s:e]].tobytes()) for s, e in zip(a, b)]
+        yield pa.RecordBatch.from_arrays([pa.array((slot[a] // COUNTER_BLOCK).astype(np.int32)), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "slots", "counts"])
 
 
-def _parts(counts: np.ndarray, n: int = 64) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(range(n), pa.int32()), pa.array(list(counts.reshape(n, -1)), pa.list_(pa.int64()))], names=["part", "counts"])
+def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block to (block, bytes): the logarithm of each counter of the block, in steps; 0 is one occurrence or none."""
+    at, total = None, np.zeros(COUNTER_BLOCK, np.int64)
 
+    def close(found: list) -> None:
+        if at is not None:
+            found.append((at, np.minimum(255, np.round(STEPS * np.log2(np.maximum(total, 1)))).astype(np.uint8).tobytes()))
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(COUNTERS, np.int64)
-    for _, texts, _ in _texts(batches):
-        total += np.bincount((_hashed(texts)[0] >> np.uint64(48)).astype(np.int64), minlength=COUNTERS)
-    yield _parts(total)
+    for b in batches:
+        found: list = []
+        for block, slots, counts in zip(*(b.column(i).to_pylist() for i in range(3))):
+            if block != at:
+                close(found)
+                at, total = block, np.zeros(COUNTER_BLOCK, np.int64)
+            total[np.frombuffer(slots, np.uint16)] += np.frombuffer(counts, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary())], names=["block", "bytes"])
+    found = []
+    close(found)
+    yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary())], names=["block", "bytes"])
+
+
+def rarity(whole: DataFrame) -> np.ndarray:
+    """A byte for each counter, larger for commoner words, counted over all texts; 4 MB reach the driver, whatever the corpus."""
+    dealt = whole.mapInArrow(_count, "block int, slots binary, counts binary").repartition("block").sortWithinPartitions("block")
+    out = np.zeros(COUNTERS, np.uint8)
+    for r in dealt.mapInArrow(_sum, "block int, bytes binary").toLocalIterator():
+        out[r.block * COUNTER_BLOCK : (r.block + 1) * COUNTER_BLOCK] = np.frombuffer(r.bytes, np.uint8)
+    return out
 
 
-def _prefixes(rarity: np.ndarray, similarity: float, least: int):
-    """(word, sid, size, place): the rarest words of each set, as many as a similar set must share one of. A batch sends a set once.
+def _prefixes(rank: np.ndarray, similarity: float):
+    """(key, name, parity, shape): the rarest words of each set, as many as a similar set must share one of. A batch sends a set once.
 
-    A set that is similar to no set of one word more (at 0.8, of one to three words) is similar to its equals only, and sends none.
+    A common word is sent in pairs or triples with later words, over a prefix as much longer: sets that share the words they must share that many of the
+    longer prefix, and the first ones in it begin with the same word. shape: size, and the most words that sets meeting in this key can share.
+    A word counted once meets nothing and is not sent; neither is a set that is similar to no set of one word more (at 0.8, of one to three words): it is similar to its equals only.
     """
-
-    rank = np.empty(len(rarity), np.uint64)
-    rank[np.argsort(rarity, kind="stable")] = np.arange(len(rarity), dtype=np.uint64)
+    limits = [int(round(STEPS * np.log2(n))) for n in (DEEP, DEEPER)] if similarity >= 0.75 else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
-        for _, texts, _ in _texts(batches):
-            got = Lines(texts, least)
-            fresh = np.zeros(len(got.sid), bool)
-            fresh[np.unique(got.sid, return_index=True)[1]] = True
-            fresh &= np.array([s not in sent for s in got.sid.tolist()], bool) if len(sent) else True
-            if len(sent) < 300_000:
-                sent.update(got.sid[fresh].tolist())
+        sent: set[tuple[int, int]] = set()
+        for _, _, texts in _texts(batches):
+            got = Lines(texts, rank)
+            fresh = np.zeros(len(got.name), bool)
+            for i, k in enumerate(zip(got.name.tolist(), got.parity.tolist())):
+                if k not in sent:
+                    fresh[i] = True
+                    sent.add(k)
+            if len(sent) > 300_000:
+                sent.clear()
             size = got.size
-            need = np.where(size >= similarity * (size + 1) - 1e-9, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
+            need = np.where(fresh & (size >= similarity * (size + 1) - 1e-9), size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
             owner = np.repeat(np.arange(len(size)), size)
-            order = _sorted(owner, rank[(got.word >> np.uint64(48)).astype(np.int64)], got.word)
-            place = np.arange(len(order)) - got.first[owner]
-            take = (place < need[owner]) & fresh[owner]
-            cols = [got.word[order][take].view(np.int64), got.sid[owner[take]], (size[owner[take]] << 32) | place[take], got.parity[owner[take]]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["word", "sid", "shape", "parity"])
+            place = np.arange(len(owner)) - got.first[owner]
+            at = np.flatnonzero(place < need[owner])
+            byte = rank[_counter(got.word[at])]
+            at, byte = at[byte > 0], byte[byte > 0]
+            depth = np.searchsorted(limits, byte, side="left") + 1
+            key, last = got.word[at], at
+            out = []
+            for d in range(1, 4):
+                done = depth == d
+                own = owner[last[done]]
+                out.append((key[done], own, d + size[own] - place[last[done]] - 1))
+                key, last, depth = key[~done], last[~done], depth[~done]
+                if not len(key):
+                    break
+                more = need[owner[last]] + d - 1 - place[last]  # later words of the prefix that is longer by d
+                step = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
+                last = np.repeat(last, more) + 1 + step
+                depth = np.repeat(depth, more)
+                with np.errstate(over="ignore"):
+                    key = _mix(np.repeat(key, more) + got.word[last] * np.uint64(0x9E3779B97F4A7C15))
+            key, own, most = (np.concatenate([o[i] for o in out]) for i in range(3))
+            cols = [key.view(np.int64), got.name[own], got.parity[own], (size[own] << 32) | most]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["key", "name", "parity", "shape"])
 
     return run
 
 
 def _pairs_may(x: tuple, y: tuple, similarity: float):
-    """Whether sets of (size, place of the shared word, parity) can reach the similarity: length, positional and parity filters."""
-    total, least = x[0] + y[0], np.minimum(x[0], y[0])
+    """Whether sets of (size, most words shared, parity) can reach the similarity: length, positional and parity filters."""
+    total = x[0] + y[0]
     need = np.ceil(similarity / (1 + similarity) * total - 1e-9)
-    rest = 1 + np.minimum(x[0] - x[1], y[0] - y[1]) - 1
-    return (least >= need) & (rest >= need) & (total - np.bitwise_count(x[2] ^ y[2]) >= 2 * need)
+    return (np.minimum(x[0], y[0]) >= need) & (np.minimum(x[1], y[1]) >= need) & (total - np.bitwise_count(x[2] ^ y[2]) >= 2 * need)
 
 
-#: Members of one word's group whose pairs are looked at all; a larger group goes on whole.
-FILTER_MOST = 4096
 #: Groups up to this size are looked at together.
 SMALL_GROUP = 256
 
 
+def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels after the rows i and j of each link are given the lesser label, until nothing changes."""
+    while True:
+        new = label.copy()
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        np.minimum.at(new, label[i], low)
+        np.minimum.at(new, label[j], low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
 def _linked(starts: np.ndarray, ends: np.ndarray, n: int, may) -> np.ndarray:
     """Labels of n rows: equal for rows of one range that pairs for which may(i, j) holds connect."""
-    label, one, two = np.arange(n), [], []
+    one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for step in range(1, int((ends - starts).max(initial=1))):
         wide = ends - starts > step
         starts, ends = starts[wide], ends[wide]
@@ -190,168 +243,199 @@ def _linked(starts: np.ndarray, ends: np.ndarray, n: int, may) -> np.ndarray:
         i = i[may(i, i + step)]
         one.append(i)
         two.append(i + step)
-    if not one:
-        return label
-    i, j = np.concatenate(one), np.concatenate(two)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
+    return _joined(np.arange(n), np.concatenate(one), np.concatenate(two))
 
 
-def _teams(sid: np.ndarray, size: np.ndarray, place: np.ndarray, parity: np.ndarray, similarity: float) -> list[np.ndarray]:
-    """The sids of one word's group, in parts that the filters keep together; lone ones are out."""
-    n = len(sid)
-    if n > FILTER_MOST:
-        return [sid]
-    label = np.arange(n)
-    links = []
-    for s in range(0, n, 256):
-        ok = _pairs_may((size[s : s + 256, None], place[s : s + 256, None], parity[s : s + 256, None]), (size[None], place[None], parity[None]), similarity)
-        ok[np.arange(len(ok)), np.arange(s, s + len(ok))] = False
-        links.append(ok)
-    ok = np.concatenate(links)
-    while True:
-        new = np.minimum(label, np.where(ok, label[None], n).min(1, initial=n))
-        new = np.minimum(new, new[new])
-        if (new == label).all():
-            break
-        label = new
-    order = np.argsort(label, kind="stable")
-    return [sid[order[s:e]] for s, e in zip(*runs(label[order])) if e - s > 1]
+def _large(start: int, end: int, size: np.ndarray, may, similarity: float, label: np.ndarray) -> np.ndarray:
+    """label, with the rows of one large range (sorted by size) joined where may holds: each row against the rows of a size it can reach, block by block."""
+    for s in range(start, end, 128):
+        e = min(s + 128, end)
+        top = start + int(np.searchsorted(size[start:end], size[e - 1] / similarity + 1e-6, side="right"))
+        for t in range(s, top, 1 << 14):
+            u = min(t + (1 << 14), top)
+            i, j = np.nonzero(may(np.arange(s, e)[:, None], np.arange(t, u)[None]))
+            apart = i + s != j + t
+            if apart.any():
+                label = _joined(label, i[apart] + s, j[apart] + t)
+    return label
 
 
 def _groups(similarity: float):
-    """Rows sorted by word and sid to (team, sid): sets that share a prefix word and pass the filters. Teams with the same members have the same name."""
+    """Rows sorted by key and shape to (team, size, name, parity): sets that share a key and pass the filters. Teams with the same members have the same name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.zeros((4, 0), np.int64)
+        held: list[np.ndarray] = []
         made: set[int] = set()
 
-        def teams(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            new = np.ones(rows.shape[1], bool)
-            new[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(0)
-            rows = rows[:, new]
-            if not rows.shape[1]:
-                return
-            word, sid, shape, parity = rows
-            size, place = shape >> 32, shape & 0xFFFFFFFF
-            starts, ends = runs(word)
-            at = lambda i: (size[i], place[i], parity[i])
-            small = ends - starts <= SMALL_GROUP
-            label = _linked(starts[small], ends[small], len(word), lambda i, j: _pairs_may(at(i), at(j), similarity))
-            order = np.argsort(label, kind="stable")
-            a, b = runs(label[order])
-            one = order[a[b - a == 2]]
-            two = order[a[b - a == 2] + 1]
-            with np.errstate(over="ignore"):
-                name = _mix(_mix(sid[one].view(np.uint64)) + sid[two].view(np.uint64)).view(np.int64)
-            name, once = np.unique(name, return_index=True)
-            fresh = np.array([k not in made for k in name.tolist()], bool)
-            name, once = name[fresh], once[fresh]
-            if len(made) < 500_000:
-                made.update(name.tolist())
-            yield np.concatenate([name, name]), np.concatenate([sid[one[once]], sid[two[once]]])
-            large = [sid[order[s:e]] for s, e in zip(a[b - a > 2], b[b - a > 2])]
-            for s, e in zip(starts[~small], ends[~small]):
-                large += _teams(sid[s:e], size[s:e], place[s:e], parity[s:e], similarity)
-            for team in large:
-                if len(team) == 2:
-                    with np.errstate(over="ignore"):
-                        key = int(_mix(_mix(team[:1].view(np.uint64)) + team[1:].view(np.uint64)).view(np.int64)[0])
-                else:
-                    key = int.from_bytes(hashlib.blake2b(team.tobytes(), digest_size=8).digest(), "little", signed=True)
-                if key not in made:
-                    if len(made) < 500_000:
-                        made.add(key)
-                    yield np.full(len(team), key), team
-
-        def batch(some: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in some] or [np.zeros(0, np.int64)])) for k in (0, 1)], names=["team", "sid"])
+        def teams() -> pa.RecordBatch:
+            rows = np.concatenate(held, axis=1) if held else np.zeros((4, 0), np.int64)
+            held.clear()
+            key, name, parity, shape = rows
+            new = np.ones(len(key), bool)
+            new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)  # a set that more than one task sent
+            key, name, parity, shape = rows[:, new]
+            size, most = shape >> 32, shape & 0xFFFFFFFF
+            team, order, first, last = (np.zeros(0, np.int64) for _ in range(4))
+            if len(key):
+                starts, ends = runs(key)
+                may = lambda i, j: _pairs_may((size[i], most[i], parity[i]), (size[j], most[j], parity[j]), similarity)
+                small = ends - starts <= SMALL_GROUP
+                label = _linked(starts[small], ends[small], len(key), may)
+                for s, e in zip(starts[~small].tolist(), ends[~small].tolist()):
+                    label = _large(s, e, size, may, similarity, label)
+                order = np.lexsort((parity, name, label))
+                first, last = runs(label[order])
+                first, last = first[last - first > 1], last[last - first > 1]
+                with np.errstate(over="ignore"):
+                    one = _mix(_mix(name.view(np.uint64)) + parity.view(np.uint64))
+                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(one[order]))])
+                    team = _mix(sums[last] - sums[first] + (last - first).astype(np.uint64)).view(np.int64)
+                fresh = np.zeros(len(team), bool)
+                fresh[np.unique(team, return_index=True)[1]] = True
+                fresh &= np.array([k not in made for k in team.tolist()], bool)
+                team, first, last = team[fresh], first[fresh], last[fresh]
+                if len(made) < 500_000:
+                    made.update(team.tolist())
+            many = last - first
+            rows_of = order[np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())] if len(many) else np.zeros(0, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (np.repeat(team, many), np.repeat(many, many), name[rows_of], parity[rows_of])], names=["team", "size", "name", "parity"])
 
         for b in batches:
-            rows = np.concatenate([rest, np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(4)])], axis=1)
+            rows = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
             if not rows.shape[1]:
                 continue
-            cut = np.searchsorted(rows[0], rows[0][-1])  # the last word may go on
-            rest = rows[:, cut:]
-            yield batch(list(teams(rows[:, :cut])))
-        yield batch(list(teams(rest)))
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last key may go on
+            if cut or (held and held[0][0, 0] != rows[0, 0]):
+                held.append(rows[:, :cut])
+                yield teams()
+                rows = rows[:, cut:]
+            held.append(rows)
+        yield teams()
 
     return run
 
 
 def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, bits): the slots of the sets of some teams."""
     seen = np.zeros(SIEVE, bool)
     for b in batches:
-        seen[b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(41)] = True
-    yield _parts(np.packbits(seen).view(np.int64))
+        seen[_slot(b.column(0).to_numpy(zero_copy_only=False))] = True
+    bits = np.packbits(seen).reshape(-1, COUNTER_BLOCK)
+    full = np.flatnonzero(bits.any(1))
+    yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([bits[k].tobytes() for k in full], pa.binary())], names=["block", "bits"])
+
+
+def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each block of this task, of the bits of all of its rows; a bounded number of blocks."""
+    held: dict[int, np.ndarray] = {}
+    for b in batches:
+        for block, bits in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            held[block] = held.get(block, 0) | np.frombuffer(bits, np.uint8)
+    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], names=["block", "bits"])
 
 
-def _occurrences(sieve: np.ndarray, least: int):
-    """(sid, doc, rev, line, words) of every line with at least `least` distinct words; words, the set itself, once in a task where the slot of the sieve is set."""
+def _slot(name: np.ndarray) -> np.ndarray:
+    return (name.view(np.uint64) >> np.uint64(64 - (SIEVE.bit_length() - 1))).astype(np.int64)
+
+
+def has_slot(sieve: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """Whether the slot of each name is set."""
+    slot = _slot(name)
+    return (sieve[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def sieve_of(names: DataFrame) -> np.ndarray:
+    """One bit for each slot: whether one of the names (the only column) falls into it; 4 MB reach the driver, whatever the corpus."""
+    out = np.zeros((SIEVE // 8 // COUNTER_BLOCK, COUNTER_BLOCK), np.uint8)
+    dealt = names.mapInArrow(_sieve, "block int, bits binary").repartition("block")
+    for r in dealt.mapInArrow(_union, "block int, bits binary").toLocalIterator():
+        out[r.block] = np.frombuffer(r.bits, np.uint8)
+    return out.reshape(-1)
+
+
+def _occurrences(sieve: np.ndarray):
+    """(name, parity, doc, rev, line, words) of every line with a word; words, the set itself, once in a task where the slot of the sieve is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
-        for b in batches:
-            ids, revs, texts = b.column(0), b.column(2), [t or "" for t in b.column(1).to_pylist()]
-            for s, e in blocks([len(t) for t in texts], BLOCK_CHARS):
-                got = Lines(texts[s:e], least)
-                words: list[bytes | None] = [None] * len(got.sid)
-                for i in np.flatnonzero(sieve[got.sid.view(np.uint64) >> np.uint64(41)]).tolist():
-                    k = int(got.sid[i])
-                    if k not in sent:
-                        if len(sent) < 300_000:
-                            sent.add(k)
-                        words[i] = got.word[got.first[i] : got.first[i + 1]].tobytes()
-                at = pa.array(s + got.text_of[got.line])
-                yield pa.RecordBatch.from_arrays([pa.array(got.sid), ids.take(at), revs.take(at), pa.array(got.number[got.line]), pa.array(words, pa.binary())], names=["sid", "doc", "rev", "line", "words"])
+        sent: set[tuple[int, int]] = set()
+        for b, s, texts in _texts(batches):
+            got = Lines(texts)
+            words: list[bytes | None] = [None] * len(got.name)
+            for i in np.flatnonzero(has_slot(sieve, got.name)).tolist():
+                k = (int(got.name[i]), int(got.parity[i]))
+                if k not in sent:
+                    if len(sent) < 300_000:
+                        sent.add(k)
+                    words[i] = got.word[got.first[i] : got.first[i + 1]].tobytes()
+            at = pa.array(s + got.text_of[got.line])
+            yield pa.RecordBatch.from_arrays([pa.array(got.name), pa.array(got.parity), b.column("doc").take(at), b.column("rev").take(at), pa.array(got.number[got.line]), pa.array(words, pa.binary())], names=["name", "parity", "doc", "rev", "line", "words"])
 
     return run
 
 
-def similar_earlier(members: list[tuple], similarity: float, first_of_part: int | None = None) -> list[int]:
-    """Indices of members (order, set), sorted by order, that resemble an earlier one; with first_of_part, only pairs across the two parts count."""
+def similar_earlier(sets: list[np.ndarray], similarity: float, part: list[int] | None = None) -> list[int]:
+    """Indices of sets (sorted word hashes; in order of first occurrence) that resemble an earlier one; with part, only pairs across the two parts count."""
+    size = np.array([len(x) for x in sets])
+    words = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(words, kind="stable")
+    _, code = np.unique(words, return_inverse=True)
+    where = owner[order]
+    a, b = runs(words[order])
+    ends = np.cumsum(size)
     out = []
-    for i, (_, x, p) in enumerate(members):
-        for _, y, r in members[:i]:
-            if first_of_part is not None and p == r:
-                continue
-            small, large = (len(x), len(y)) if len(x) < len(y) else (len(y), len(x))
-            if small < similarity * large - 1e-9:
-                continue
-            both = len(x & y)
-            if both >= similarity * (len(x) + len(y) - both) - 1e-9:
-                out.append(i)
-                break
+    for i in range(1, len(sets)):
+        holders = [where[a[k] : b[k]] for k in code[ends[i] - size[i] : ends[i]].tolist()]
+        both = np.bincount(np.concatenate(holders), minlength=len(sets))[:i]
+        ok = both >= similarity * (size[i] + size[:i] - both) - 1e-9
+        if part is not None:
+            ok &= np.array(part[:i]) != part[i]
+        if ok.any():
+            out.append(i)
     return out
 
 
+def _pairs(one: list[np.ndarray], two: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Whether the sets of each pair are similar, all pairs at once."""
+    n, m = np.array([len(x) for x in one]), np.array([len(x) for x in two])
+    words = np.concatenate([*one, *two])
+    pair = np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)])
+    order = np.lexsort((words, pair))
+    words, pair = words[order], pair[order]
+    both = np.bincount(pair[1:][(words[1:] == words[:-1]) & (pair[1:] == pair[:-1])], minlength=len(n))
+    return both >= similarity * (n + m - both) - 1e-9
+
+
 def _compare(similarity: float):
-    """Rows sorted by team and pair of parts, then by first occurrence, to the sids that resemble an earlier one."""
+    """Rows sorted by team and pair of parts, then by first occurrence, to the sets that resemble an earlier one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, out = None, [], []
+        at, held, twos, out = None, [], [], []
 
         def close() -> None:
-            across = 0 if at is not None and at[1] != at[2] else None
-            out.extend(held[i][0] for i in similar_earlier(held, similarity, across))
+            if len(held) == 2 and (at[1] == at[2] or held[0][2] != held[1][2]):
+                twos.append((held[0][3], held[1][3], held[1][:2]))
+            elif len(held) > 2:
+                part = [h[2] for h in held] if at[1] != at[2] else None
+                out.extend(held[i][:2] for i in similar_earlier([h[3] for h in held], similarity, part))
+
+        def batch() -> pa.RecordBatch:
+            if twos:
+                out.extend(x[2] for x, ok in zip(twos, _pairs([x[0] for x in twos], [x[1] for x in twos], similarity)) if ok)
+            got = pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["name", "parity"])
+            twos.clear()
+            out.clear()
+            return got
 
         for b in batches:
-            for team, lo, hi, part, sid, words in zip(*(b.column(i).to_pylist() for i in range(6))):
+            for team, lo, hi, part, name, parity, words in zip(*(b.column(i).to_pylist() for i in range(7))):
                 if (team, lo, hi) != at:
                     close()
                     at, held = (team, lo, hi), []
-                held.append((sid, frozenset(words[k : k + 8] for k in range(0, len(words), 8)), part))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["sid"])
-            out = []
+                held.append((name, parity, part, np.frombuffer(words, np.uint64)))
+            yield batch()
         close()
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["sid"])
+        yield batch()
 
     return run
 
@@ -361,37 +445,33 @@ def _keyed(docs: DataFrame) -> tuple[Column, Column]:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
-def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most: int = GROUP_MOST, least: int = LEAST_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most: int = GROUP_MOST) -> DataFrame:
     """(doc, rev, lines): numbers of the lines that resemble an earlier line of the corpus, for rows that have such.
 
-    Lines end at newlines; a line counts as the set of its lower-cased words (of ASCII white space), and takes part from `least` distinct words on (1: all but blank lines, which always stay). Two lines
-    are similar from a Jaccard index of `similarity` on; earlier means a smaller doc_id, or the same and an earlier line. Sets are known by 64-bit hashes of their words
-    and by a 64-bit hash of these. Equal sets are one set with its first occurrence, and a task sends each once, so a line that very many documents hold makes no large
-    group. Sets that share no rare word with another drop out before all of their words are shuffled.
+    Lines end at newlines; a line counts as the set of its lower-cased words (of ASCII white space). Every line with a word takes part; blank lines stay. Two lines
+    are similar from a Jaccard index of `similarity` on; earlier means a smaller doc_id, or the same and an earlier line. Words are known by 64-bit hashes, sets by
+    128-bit names. Equal sets are one set with its first occurrence, and a task sends each once, so a line that very many documents hold makes no large
+    group; sets of common words are keyed by several of them at once. Only sets that pass every filter with another one have their words shuffled.
     """
     doc, rev = _keyed(docs)
     whole = docs.select(doc.alias("doc"), F.col("text").cast("string").alias("text"), rev.alias("rev"))
-    rarity = _merged(whole.mapInArrow(_count, "part int, counts array<long>"), COUNTERS, np.add)
-    prefix = whole.mapInArrow(_prefixes(rarity, similarity, least), "word long, sid long, shape long, parity long").repartition("word").sortWithinPartitions("word", "sid")
-    teams = staged(prefix.mapInArrow(_groups(similarity), "team long, sid long").distinct(), "teams")
-    bits = _merged(teams.select("sid").mapInArrow(_sieve, "part int, counts array<long>"), SIEVE // 64, np.bitwise_or)
-    sieve = np.unpackbits(bits.view(np.uint8)).astype(bool)
-
-    found = staged(whole.mapInArrow(_occurrences(sieve, least), "sid long, doc long, rev long, line long, words binary"), "occurrences")
-    seen = found.drop("words")
-    firsts = seen.groupBy("sid").agg(F.min(F.struct("doc", "rev", "line")).alias("first"), F.count("*").alias("n"))
-    firsts = staged(firsts, "firsts")
-    sets = found.filter("words is not null").select("sid", "words").join(teams.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.first("words").alias("words"))
+    prefix = whole.mapInArrow(_prefixes(rarity(whole.select("text")), similarity), "key long, name long, parity long, shape long").repartition("key").sortWithinPartitions("key", "shape", "name", "parity")
+    teams = staged(prefix.mapInArrow(_groups(similarity), "team long, size long, name long, parity long").distinct(), "teams")
+
+    found = staged(whole.mapInArrow(_occurrences(sieve_of(teams.select("name"))), "name long, parity long, doc long, rev long, line long, words binary"), "occurrences")
+    sets = staged(found.groupBy("name", "parity").agg(F.min(F.struct("doc", "rev", "line")).alias("first"), F.count("*").alias("n")), "sets")
+    words = found.filter("words is not null").select("name", "parity", "words")
+    # a set's words come once from every task that saw it; each member of a team needs them once
+    members = teams.join(sets.select("name", "parity", "first"), ["name", "parity"]).join(words.groupBy("name", "parity").agg(F.min("words").alias("words")), ["name", "parity"])
     parts = F.ceil(F.col("size") / group_most)
-    sizes = teams.groupBy("team").agg(F.count("*").alias("size"))
-    members = teams.join(sizes, "team").join(firsts.select("sid", "first"), "sid").join(sets, "sid")
-    members = members.withColumn("part", F.pmod(F.xxhash64("sid"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    members = members.select("team", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "sid", "words", "first")
-    dealt = members.repartition("team", "lo", "hi").sortWithinPartitions("team", "lo", "hi", "first", "sid").drop("first")
-    later = staged(dealt.mapInArrow(_compare(similarity), "sid long").distinct(), "later")
-
-    marked = firsts.join(later.withColumn("later", F.lit(True)), "sid", "left").filter("n > 1 or later")
-    gone = seen.join(marked, "sid").filter("later or struct(doc, rev, line) <> first")
+    members = members.withColumn("part", F.pmod(F.xxhash64("name"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    members = members.select("team", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "name", "parity", "words", "first")
+    dealt = members.repartition("team", "lo", "hi").sortWithinPartitions("team", "lo", "hi", "first", "name", "parity").drop("first")
+    later = staged(dealt.mapInArrow(_compare(similarity), "name long, parity long").distinct(), "later")
+    released(teams)
+
+    marked = sets.join(later.withColumn("later", F.lit(True)), ["name", "parity"], "left").filter("n > 1 or later")
+    gone = found.drop("words").join(marked, ["name", "parity"]).filter("later or struct(doc, rev, line) <> first")
     return gone.groupBy("doc", "rev").agg(F.collect_set("line").alias("lines"))
 
 
@@ -403,7 +483,7 @@ def without_repeats(docs: DataFrame, counts: bool = True, **how) -> DataFrame:
     """
     doc, rev = _keyed(docs)
     gone = repeated_lines(docs, **how).select(F.col("doc").alias("_doc"), F.col("rev").alias("_rev"), F.col("lines").alias("_gone"))
-    found = docs.select(doc.alias("_doc"), rev.alias("_rev"), F.struct(*docs.columns).alias("_row")).join(gone.hint("shuffle_hash"), ["_doc", "_rev"], "left")  # no sort of whole texts; gone is unique by key
+    found = docs.select(doc.alias("_doc"), rev.alias("_rev"), F.struct(*columns(docs)).alias("_row")).join(gone.hint("shuffle_hash"), ["_doc", "_rev"], "left")  # no sort of whole texts; gone is unique by key
     text = F.col("_row.text")
     parts = F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1)
     kept = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i.cast("long"))), "\n"))
@@ -411,11 +491,9 @@ def without_repeats(docs: DataFrame, counts: bool = True, **how) -> DataFrame:
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("_gone").isNull(), F.col("_row.n_chars")).otherwise(F.length(kept).cast(docs.schema["n_chars"].dataType))
     added = {"_lines": F.size(parts), "_removed": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))} if counts else {}
-    return found.select(*(new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns if c.lower() not in added), *(v.alias(k) for k, v in added.items()))
+    return found.select(*(new.get(c, column(c, "_row")).alias(c) for c in docs.columns if c.lower() not in added), *(v.alias(k) for k, v in added.items()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from tidemark.llm.common import table
-
-    got = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), least=1)
+    got = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
