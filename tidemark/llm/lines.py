@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import blocks, column, columns, released, runs, staged, table
@@ -25,6 +25,9 @@ SIEVE = 1 << 25
 #: Members of a group that one task compares; a larger group is compared in pairs of parts.
 GROUP_MOST = 4096
 
+#: A set that holds more than this part of all lines is joined by broadcast: there are fewer such sets than that.
+HOT_LINES = 1000
+
 _SOLID = np.ones(256, np.int8)
 _SOLID[[9, 10, 11, 12, 13, 32]] = 0
 _BYTE = np.random.default_rng(8).integers(1, 1 << 63, 256, np.uint64)
@@ -213,55 +216,39 @@ def _pairs_may(x: tuple, y: tuple, similarity: float):
     return (np.minimum(x[0], y[0]) >= need) & (np.minimum(x[1], y[1]) >= need) & (total - np.bitwise_count(x[2] ^ y[2]) >= 2 * need)
 
 
-#: Groups up to this size are looked at together.
-SMALL_GROUP = 256
-
-
-def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Labels after the rows i and j of each link are given the lesser label, until nothing changes."""
+def _joined(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels of n rows: the least row that links (i, j) reach."""
+    label = np.arange(n)
     while True:
         new = label.copy()
         low = np.minimum(label[i], label[j])
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        np.minimum.at(new, label[i], low)
-        np.minimum.at(new, label[j], low)
+        for at in (i, j, label[i], label[j]):
+            np.minimum.at(new, at, low)
         new = new[new]
         if (new == label).all():
             return label
         label = new
 
 
-def _linked(starts: np.ndarray, ends: np.ndarray, n: int, may) -> np.ndarray:
-    """Labels of n rows: equal for rows of one range that pairs for which may(i, j) holds connect."""
+def _linked(end: np.ndarray, size: np.ndarray, may, similarity: float) -> np.ndarray:
+    """Labels of rows sorted by group and size: equal for rows of one group that pairs for which may(i, j) holds connect.
+
+    Each row is held against those after it, step by step, until the group ends (at `end`) or the sizes lie too far apart.
+    """
     one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for step in range(1, int((ends - starts).max(initial=1))):
-        wide = ends - starts > step
-        starts, ends = starts[wide], ends[wide]
-        many = ends - starts - step
-        i = np.repeat(starts - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        i = i[may(i, i + step)]
-        one.append(i)
-        two.append(i + step)
-    return _joined(np.arange(n), np.concatenate(one), np.concatenate(two))
-
-
-def _large(start: int, end: int, size: np.ndarray, may, similarity: float, label: np.ndarray) -> np.ndarray:
-    """label, with the rows of one large range (sorted by size) joined where may holds: each row against the rows of a size it can reach, block by block."""
-    for s in range(start, end, 128):
-        e = min(s + 128, end)
-        top = start + int(np.searchsorted(size[start:end], size[e - 1] / similarity + 1e-6, side="right"))
-        for t in range(s, top, 1 << 14):
-            u = min(t + (1 << 14), top)
-            i, j = np.nonzero(may(np.arange(s, e)[:, None], np.arange(t, u)[None]))
-            apart = i + s != j + t
-            if apart.any():
-                label = _joined(label, i[apart] + s, j[apart] + t)
-    return label
+    i, step = np.arange(len(end)), 0
+    while len(i):
+        step += 1
+        i = i[i + step < end[i]]
+        i = i[size[i] >= similarity * size[i + step] - 1e-9]
+        ok = i[may(i, i + step)]
+        one.append(ok)
+        two.append(ok + step)
+    return _joined(len(end), np.concatenate(one), np.concatenate(two))
 
 
 def _groups(similarity: float):
-    """Rows sorted by key and shape to (team, size, name, parity): sets that share a key and pass the filters. Teams with the same members have the same name."""
+    """Rows sorted by key and shape to (team, name, parity): sets that share a key and that pairs which pass the filters connect. Teams with the same members have the same name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -279,10 +266,7 @@ def _groups(similarity: float):
             if len(key):
                 starts, ends = runs(key)
                 may = lambda i, j: _pairs_may((size[i], most[i], parity[i]), (size[j], most[j], parity[j]), similarity)
-                small = ends - starts <= SMALL_GROUP
-                label = _linked(starts[small], ends[small], len(key), may)
-                for s, e in zip(starts[~small].tolist(), ends[~small].tolist()):
-                    label = _large(s, e, size, may, similarity, label)
+                label = _linked(np.repeat(ends, ends - starts), size, may, similarity)
                 order = np.lexsort((parity, name, label))
                 first, last = runs(label[order])
                 first, last = first[last - first > 1], last[last - first > 1]
@@ -298,7 +282,7 @@ def _groups(similarity: float):
                     made.update(team.tolist())
             many = last - first
             rows_of = order[np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())] if len(many) else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in (np.repeat(team, many), np.repeat(many, many), name[rows_of], parity[rows_of])], names=["team", "size", "name", "parity"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (np.repeat(team, many), name[rows_of], parity[rows_of])], names=["team", "name", "parity"])
 
         for b in batches:
             rows = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
@@ -354,37 +338,39 @@ def sieve_of(names: DataFrame) -> np.ndarray:
 
 
 def _occurrences(sieve: np.ndarray):
-    """(name, parity, doc, rev, line, words) of every line with a word; words, the set itself, once in a task where the slot of the sieve is set."""
+    """(name, parity, doc, rev, line, maybe, words) of every line with a word. maybe: the slot of the sieve is set; then words, the set itself, once in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[tuple[int, int]] = set()
         for b, s, texts in _texts(batches):
             got = Lines(texts)
             words: list[bytes | None] = [None] * len(got.name)
-            for i in np.flatnonzero(has_slot(sieve, got.name)).tolist():
+            maybe = has_slot(sieve, got.name)
+            for i in np.flatnonzero(maybe).tolist():
                 k = (int(got.name[i]), int(got.parity[i]))
                 if k not in sent:
                     if len(sent) < 300_000:
                         sent.add(k)
                     words[i] = got.word[got.first[i] : got.first[i + 1]].tobytes()
             at = pa.array(s + got.text_of[got.line])
-            yield pa.RecordBatch.from_arrays([pa.array(got.name), pa.array(got.parity), b.column("doc").take(at), b.column("rev").take(at), pa.array(got.number[got.line]), pa.array(words, pa.binary())], names=["name", "parity", "doc", "rev", "line", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(got.name), pa.array(got.parity), b.column("doc").take(at), b.column("rev").take(at), pa.array(got.number[got.line]), pa.array(maybe), pa.array(words, pa.binary())], names=["name", "parity", "doc", "rev", "line", "maybe", "words"])
 
     return run
 
 
-def similar_earlier(sets: list[np.ndarray], similarity: float, part: list[int] | None = None) -> list[int]:
-    """Indices of sets (sorted word hashes; in order of first occurrence) that resemble an earlier one; with part, only pairs across the two parts count."""
+def similar_earlier(sets: list[np.ndarray], similarity: float, ask: list[bool] | None = None, part: list[int] | None = None) -> list[int]:
+    """Indices of sets (word hashes; in order of first occurrence) that resemble an earlier one. With ask, only of those marked; with part, only pairs across the two parts count."""
     size = np.array([len(x) for x in sets])
     words = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), size)
     order = np.argsort(words, kind="stable")
     _, code = np.unique(words, return_inverse=True)
-    where = owner[order]
+    where = np.repeat(np.arange(len(sets)), size)[order]
     a, b = runs(words[order])
     ends = np.cumsum(size)
     out = []
     for i in range(1, len(sets)):
+        if ask is not None and not ask[i]:
+            continue
         holders = [where[a[k] : b[k]] for k in code[ends[i] - size[i] : ends[i]].tolist()]
         both = np.bincount(np.concatenate(holders), minlength=len(sets))[:i]
         ok = both >= similarity * (size[i] + size[:i] - both) - 1e-9
@@ -395,44 +381,45 @@ def similar_earlier(sets: list[np.ndarray], similarity: float, part: list[int] |
     return out
 
 
-def _pairs(one: list[np.ndarray], two: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Whether the sets of each pair are similar, all pairs at once."""
-    n, m = np.array([len(x) for x in one]), np.array([len(x) for x in two])
-    words = np.concatenate([*one, *two])
-    pair = np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)])
-    order = np.lexsort((words, pair))
-    words, pair = words[order], pair[order]
-    both = np.bincount(pair[1:][(words[1:] == words[:-1]) & (pair[1:] == pair[:-1])], minlength=len(n))
-    return both >= similarity * (n + m - both) - 1e-9
+def _check(similarity: float):
+    """(name, parity, words, others) to (name, parity, same): whether the two sets of each row are similar, a batch at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [b.column(i).to_pylist() for i in (2, 3)]
+            n, m = (np.fromiter(map(len, x), np.int64, b.num_rows) // 8 for x in sets)
+            words = np.frombuffer(b"".join(sets[0] + sets[1]), np.uint64)
+            pair = np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)])
+            order = np.lexsort((words, pair))
+            words, pair = words[order], pair[order]
+            both = np.bincount(pair[1:][(words[1:] == words[:-1]) & (pair[1:] == pair[:-1])], minlength=len(n))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both >= similarity * (n + m - both) - 1e-9)], names=["name", "parity", "same"])
+
+    return run
 
 
 def _compare(similarity: float):
-    """Rows sorted by team and pair of parts, then by first occurrence, to the sets that resemble an earlier one."""
+    """Rows sorted by team and pair of parts, then by first occurrence, to the open sets that resemble an earlier one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, twos, out = None, [], [], []
+        at, held, out = None, [], []
 
         def close() -> None:
-            if len(held) == 2 and (at[1] == at[2] or held[0][2] != held[1][2]):
-                twos.append((held[0][3], held[1][3], held[1][:2]))
-            elif len(held) > 2:
+            if len(held) > 1:
                 part = [h[2] for h in held] if at[1] != at[2] else None
-                out.extend(held[i][:2] for i in similar_earlier([h[3] for h in held], similarity, part))
+                out.extend(held[i][:2] for i in similar_earlier([h[4] for h in held], similarity, [h[3] for h in held], part))
 
         def batch() -> pa.RecordBatch:
-            if twos:
-                out.extend(x[2] for x, ok in zip(twos, _pairs([x[0] for x in twos], [x[1] for x in twos], similarity)) if ok)
             got = pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["name", "parity"])
-            twos.clear()
             out.clear()
             return got
 
         for b in batches:
-            for team, lo, hi, part, name, parity, words in zip(*(b.column(i).to_pylist() for i in range(7))):
+            for team, lo, hi, part, name, parity, is_open, words in zip(*(b.column(i).to_pylist() for i in range(8))):
                 if (team, lo, hi) != at:
                     close()
                     at, held = (team, lo, hi), []
-                held.append((name, parity, part, np.frombuffer(words, np.uint64)))
+                held.append((name, parity, part, is_open, np.frombuffer(words, np.uint64)))
             yield batch()
         close()
         yield batch()
@@ -455,23 +442,39 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most:
     """
     doc, rev = _keyed(docs)
     whole = docs.select(doc.alias("doc"), F.col("text").cast("string").alias("text"), rev.alias("rev"))
+    key = ["name", "parity"]
     prefix = whole.mapInArrow(_prefixes(rarity(whole.select("text")), similarity), "key long, name long, parity long, shape long").repartition("key").sortWithinPartitions("key", "shape", "name", "parity")
-    teams = staged(prefix.mapInArrow(_groups(similarity), "team long, size long, name long, parity long").distinct(), "teams")
-
-    found = staged(whole.mapInArrow(_occurrences(sieve_of(teams.select("name"))), "name long, parity long, doc long, rev long, line long, words binary"), "occurrences")
-    sets = staged(found.groupBy("name", "parity").agg(F.min(F.struct("doc", "rev", "line")).alias("first"), F.count("*").alias("n")), "sets")
-    words = found.filter("words is not null").select("name", "parity", "words")
-    # a set's words come once from every task that saw it; each member of a team needs them once
-    members = teams.join(sets.select("name", "parity", "first"), ["name", "parity"]).join(words.groupBy("name", "parity").agg(F.min("words").alias("words")), ["name", "parity"])
-    parts = F.ceil(F.col("size") / group_most)
-    members = members.withColumn("part", F.pmod(F.xxhash64("name"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    members = members.select("team", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "name", "parity", "words", "first")
-    dealt = members.repartition("team", "lo", "hi").sortWithinPartitions("team", "lo", "hi", "first", "name", "parity").drop("first")
-    later = staged(dealt.mapInArrow(_compare(similarity), "name long, parity long").distinct(), "later")
+    teams = staged(prefix.mapInArrow(_groups(similarity), "team long, name long, parity long").distinct(), "teams")
+    found = staged(whole.mapInArrow(_occurrences(sieve_of(teams.select("name"))), "name long, parity long, doc long, rev long, line long, maybe boolean, words binary"), "occurrences")
+    first = F.min(F.struct("doc", "rev", "line")).alias("first")
+    sets = staged(found.filter("maybe").groupBy(*key).agg(first, F.min("words").alias("words")), "sets")
+
+    # each set is first held against the earliest set of its teams, which nearly always settles it
+    ranked = teams.join(sets.select(*key, "first"), key).withColumn("lead", F.min(F.struct("first", *key)).over(Window.partitionBy("team")))
+    ranked = staged(ranked, "ranked")
     released(teams)
-
-    marked = sets.join(later.withColumn("later", F.lit(True)), ["name", "parity"], "left").filter("n > 1 or later")
-    gone = found.drop("words").join(marked, ["name", "parity"]).filter("later or struct(doc, rev, line) <> first")
+    asked = ranked.filter("name <> lead.name or parity <> lead.parity").groupBy(*key).agg(F.min("lead").alias("lead")).select(*key, F.col("lead.name").alias("_name"), F.col("lead.parity").alias("_parity"))
+    leads = sets.select(F.col("name").alias("_name"), F.col("parity").alias("_parity"), F.col("words").alias("others"))
+    checked = asked.join(sets.select(*key, "words"), key).join(leads, ["_name", "_parity"]).select(*key, "words", "others")
+    checked = staged(checked.mapInArrow(_check(similarity), "name long, parity long, same boolean"), "checked")
+    later = checked.filter("same").select(*key)
+    # the others are held against all earlier sets of their teams
+    undecided = checked.filter("not same").select(*key, F.lit(True).alias("open"))
+    if not undecided.isEmpty():
+        again = ranked.join(undecided, key).filter("name <> lead.name or parity <> lead.parity").select("team").distinct()
+        some = ranked.join(again, "team", "left_semi")
+        parts = F.ceil(F.col("size") / group_most)
+        members = some.join(some.groupBy("team").agg(F.count("*").alias("size")), "team").join(undecided, key, "left").join(sets.select(*key, "words"), key)
+        members = members.withColumn("part", F.pmod(F.xxhash64("name"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+        members = members.select("team", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", *key, F.coalesce("open", F.lit(False)).alias("open"), "words", "first")
+        dealt = members.repartition("team", "lo", "hi").sortWithinPartitions("team", "lo", "hi", "first", *key).drop("first")
+        later = staged(later.union(dealt.mapInArrow(_compare(similarity), "name long, parity long").distinct()), "later")
+
+    seen = found.select(*key, "doc", "rev", "line")
+    marked = seen.groupBy(*key).agg(first, F.count("*").alias("n")).join(later.withColumn("later", F.lit(True)), key, "left").filter("n > 1 or later")
+    marked, most = staged(marked, "marked"), found.count() // HOT_LINES
+    hot, other = marked.filter(F.col("n") > most), marked.filter(F.col("n") <= most)  # fewer than HOT_LINES sets hold more than that part of all lines
+    gone = seen.join(F.broadcast(hot), key).unionByName(seen.join(F.broadcast(hot.select(*key)), key, "left_anti").join(other, key)).filter("later or struct(doc, rev, line) <> first")
     return gone.groupBy("doc", "rev").agg(F.collect_set("line").alias("lines"))
 
 
