@@ -170,6 +170,22 @@ def test_short_lines(spark, most):
     assert (got[201], got[202]) == ("\nx y w\nx y", "a b c")  # four words of five are similar, three of four are not
 
 
+@pytest.mark.parametrize("deep,deeper", [(1, 4), (2, 1 << 21)])
+def test_lines_of_common_words(spark, monkeypatch, deep, deeper):
+    monkeypatch.setattr(lines, "DEEP", deep)
+    monkeypatch.setattr(lines, "DEEPER", deeper)
+    rows = [(d, "\n".join("zz " + line for line in (t or "").split("\n"))) for d, t in prose(11)]  # one word in all lines
+    got = {r.doc_id: r.text or "" for r in lines.without_repeats(frame(spark, rows), group_most=3).collect()}
+    assert got == brute.kept_lines(rows)
+
+
+def test_lines_with_other_column_names(spark):
+    docs = frame(spark, [(1, "one two three"), (2, "One two three\nb")]).withColumn("a.b", F.lit(7)).withColumn("c`d", F.lit(8))
+    got = lines.without_repeats(docs, counts=False)
+    assert got.columns == docs.columns and sorted((r.doc_id, r.text, r["a.b"], r["c`d"]) for r in got.collect()) == [(1, "one two three", 7, 8), (2, "b", 7, 8)]
+    assert simhash.keep_one(docs).columns == docs.columns
+
+
 def test_line_query_takes_short_lines(spark, tmp_path):
     rows = [(1, "all rights reserved\n\none"), (2, "All rights reserved\n\none two")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
@@ -258,12 +274,30 @@ def _packed_well(got, texts, window):
 
 @pytest.mark.parametrize("window,group", [(2048, 8192), (64, 10)])
 def test_packing_is_a_round_trip(spark, window, group):
-    docs = table(spark, SMALL, "documents").select("doc_id", "text").union(spark.createDataFrame([(900001, None), (900002, ""), (900003, "x y z\x1cq\x85w don't <|endoftext|> </w>")], "doc_id long, text string"))
+    docs = table(spark, DATA if window == 2048 else SMALL, "documents").select("doc_id", "text").union(spark.createDataFrame([(900001, None), (900002, ""), (900003, "x y z\x1cq\x85w don't <|endoftext|> </w>")], "doc_id long, text string"))
     texts = {r.doc_id: r.text for r in docs.collect()}
-    assert _packed_well(packing.pack_documents(docs, packing.tokenizer(), window, group).collect(), texts, window) > (0.9 if window == 2048 else 0.95)
+    assert _packed_well(packing.pack_documents(docs, packing.tokenizer(), window, group).collect(), texts, window) > (0.99 if window == 2048 else 0.95)
     assert packing.pack_documents(docs.limit(0), packing.tokenizer()).count() == 0
 
 
+def test_packing_of_odd_rows(spark):
+    docs = frame(spark, [(1, "one two"), (1, "one two"), (2, None), (3, ""), (None, "x"), (4, "word " * 5000)])
+    got = packing.pack_documents(docs, packing.tokenizer()).collect()
+    assert sorted((str(r.doc_id), r.start, r.length) for r in got if r.doc_id != 4) == [("1", 0, 3), ("1", 0, 3), ("2", 0, 1), ("3", 0, 1), ("None", 0, 2)]
+    assert [(r.start, r.length, r.doc_tokens) for r in sorted((r for r in got if r.doc_id == 4), key=lambda r: r.start)] == [(0, 2048, 5001), (2048, 2048, 5001), (4096, 905, 5001)]
+
+
+def test_word_ids_are_those_of_the_whole_tokenizer():
+    rng = random.Random(1)
+    known = packing.WordIds(packing.tokenizer())
+    letters = "aZé'ßſ st TM.,!1½²ªİıǅŉ\xad\xa0’Σσ́<|>_-\t\n\x1d字"
+    texts = ["don't İstanbul ΣΑΣ'S x|y <|endoftext|> a<|endoftext|>b \x1c q\x85w 'll they'LL 12ab3 ...!?a-b_c", *("".join(rng.choice(letters) for _ in range(rng.randint(1, 30))) for _ in range(4000))]
+    for t, x in zip(texts, known.whole.encode_batch(texts, add_special_tokens=False)):
+        words = [w.decode() for w in t.encode().split()]
+        known.learn(set(words))
+        assert np.frombuffer(b"".join(map(known.words.__getitem__, words)), np.uint32).tolist() == x.ids, t
+
+
 def test_closest_fill_is_best():
     rng = random.Random(8)
     for _ in range(200):

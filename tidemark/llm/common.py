@@ -34,7 +34,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def released(*tables: DataFrame) -> None:
-    """Deletes staged tables that nothing lazy reads any more."""
+    """Deletes staged tables that nothing lazy reads any more, and lets the driver notice which shuffles have ended, so that their files go too before the next step."""
+    tables[0].sparkSession._jvm.System.gc()
     for df in tables:
         for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(name)
@@ -51,6 +52,17 @@ def columns(df: DataFrame) -> list[Column]:
     return [column(c) for c in df.columns]
 
 
+#: A key that holds more than this part of all rows is joined by broadcast: there are fewer such keys than that.
+HOT_PART = 1000
+
+
+def with_hot(rows: DataFrame, keyed: DataFrame, on: list[str], total: int) -> DataFrame:
+    """rows joined with keyed, which has one row for each key and n, the number of rows with it. The rows of a hot key stay where they are; total: the number of all rows."""
+    hot = keyed.filter(F.col("n") > total // HOT_PART)
+    cold = keyed.filter(F.col("n") <= total // HOT_PART)
+    return rows.join(F.broadcast(hot), on).unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on))
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3; null ids are in no fold and count as 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3, F.lit(0))

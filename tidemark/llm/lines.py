@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, column, columns, released, runs, staged, table
+from tidemark.llm.common import blocks, column, columns, released, runs, staged, table, with_hot
 
 SIMILARITY = 0.8
 BLOCK_CHARS = 250_000
@@ -25,9 +25,6 @@ SIEVE = 1 << 25
 #: Members of a group that one task compares; a larger group is compared in pairs of parts.
 GROUP_MOST = 4096
 
-#: A set that holds more than this part of all lines is joined by broadcast: there are fewer such sets than that.
-HOT_LINES = 1000
-
 _SOLID = np.ones(256, np.int8)
 _SOLID[[9, 10, 11, 12, 13, 32]] = 0
 _BYTE = np.random.default_rng(8).integers(1, 1 << 63, 256, np.uint64)
@@ -213,7 +210,7 @@ def _pairs_may(x: tuple, y: tuple, similarity: float):
     """Whether sets of (size, most words shared, parity) can reach the similarity: length, positional and parity filters."""
     total = x[0] + y[0]
     need = np.ceil(similarity / (1 + similarity) * total - 1e-9)
-    return (np.minimum(x[0], y[0]) >= need) & (np.minimum(x[1], y[1]) >= need) & (total - np.bitwise_count(x[2] ^ y[2]) >= 2 * need)
+    return (np.minimum(x[0], y[0]) >= need) & (np.minimum(x[1], y[1]) >= need) & (total - np.bitwise_count((x[2] ^ y[2]).view(np.uint64)) >= 2 * need)
 
 
 def _joined(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -248,11 +245,14 @@ def _linked(end: np.ndarray, size: np.ndarray, may, similarity: float) -> np.nda
 
 
 def _groups(similarity: float):
-    """Rows sorted by key and shape to (team, name, parity): sets that share a key and that pairs which pass the filters connect. Teams with the same members have the same name."""
+    """Rows sorted by key and shape to (team, name, parity): sets that share a key and that pairs which pass the filters connect.
+
+    A team is named by its least member, so that the teams which a cluster of sets forms under its many words are mostly one; their union holds all of their pairs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        made: set[int] = set()
+        made: set[tuple[int, int, int]] = set()
 
         def teams() -> pa.RecordBatch:
             rows = np.concatenate(held, axis=1) if held else np.zeros((4, 0), np.int64)
@@ -261,28 +261,24 @@ def _groups(similarity: float):
             new = np.ones(len(key), bool)
             new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)  # a set that more than one task sent
             key, name, parity, shape = rows[:, new]
-            size, most = shape >> 32, shape & 0xFFFFFFFF
-            team, order, first, last = (np.zeros(0, np.int64) for _ in range(4))
+            out: list[tuple[int, int, int]] = []
             if len(key):
+                size, most = shape >> 32, shape & 0xFFFFFFFF
                 starts, ends = runs(key)
                 may = lambda i, j: _pairs_may((size[i], most[i], parity[i]), (size[j], most[j], parity[j]), similarity)
                 label = _linked(np.repeat(ends, ends - starts), size, may, similarity)
                 order = np.lexsort((parity, name, label))
                 first, last = runs(label[order])
                 first, last = first[last - first > 1], last[last - first > 1]
-                with np.errstate(over="ignore"):
-                    one = _mix(_mix(name.view(np.uint64)) + parity.view(np.uint64))
-                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(one[order]))])
-                    team = _mix(sums[last] - sums[first] + (last - first).astype(np.uint64)).view(np.int64)
-                fresh = np.zeros(len(team), bool)
-                fresh[np.unique(team, return_index=True)[1]] = True
-                fresh &= np.array([k not in made for k in team.tolist()], bool)
-                team, first, last = team[fresh], first[fresh], last[fresh]
-                if len(made) < 500_000:
-                    made.update(team.tolist())
-            many = last - first
-            rows_of = order[np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())] if len(many) else np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in (np.repeat(team, many), name[rows_of], parity[rows_of])], names=["team", "name", "parity"])
+                many = last - first
+                member = order[np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())] if len(many) else order[:0]
+                for row in zip(name[np.repeat(order[first], many)].tolist(), name[member].tolist(), parity[member].tolist()):
+                    if row not in made:
+                        made.add(row)
+                        out.append(row)
+                if len(made) > 500_000:
+                    made.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], names=["team", "name", "parity"])
 
         for b in batches:
             rows = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
@@ -358,19 +354,25 @@ def _occurrences(sieve: np.ndarray):
     return run
 
 
-def similar_earlier(sets: list[np.ndarray], similarity: float, ask: list[bool] | None = None, part: list[int] | None = None) -> list[int]:
-    """Indices of sets (word hashes; in order of first occurrence) that resemble an earlier one. With ask, only of those marked; with part, only pairs across the two parts count."""
+def similar_earlier(sets: list[np.ndarray], similarity: float, part: list[int] | None = None) -> list[int]:
+    """Indices of sets (word hashes; in order of first occurrence) that resemble an earlier one; with part, only pairs across the two parts count."""
     size = np.array([len(x) for x in sets])
-    words = np.concatenate(sets)
-    order = np.argsort(words, kind="stable")
-    _, code = np.unique(words, return_inverse=True)
-    where = np.repeat(np.arange(len(sets)), size)[order]
-    a, b = runs(words[order])
+    owner = np.repeat(np.arange(len(sets)), size)
+    words, code = np.unique(np.concatenate(sets), return_inverse=True)
+    if len(sets) * len(words) <= 1 << 22:  # all shared words at once
+        has = np.zeros((len(sets), len(words)), np.float32)
+        has[owner, code] = 1
+        both = has @ has.T
+        ok = np.tril(both >= similarity * (size[:, None] + size - both) - 1e-6, -1)
+        if part is not None:
+            ok &= np.not_equal.outer(part, part)
+        return np.flatnonzero(ok.any(1)).tolist()
+    order = np.argsort(code, kind="stable")
+    where = owner[order]
+    a, b = runs(code[order])
     ends = np.cumsum(size)
     out = []
     for i in range(1, len(sets)):
-        if ask is not None and not ask[i]:
-            continue
         holders = [where[a[k] : b[k]] for k in code[ends[i] - size[i] : ends[i]].tolist()]
         both = np.bincount(np.concatenate(holders), minlength=len(sets))[:i]
         ok = both >= similarity * (size[i] + size[:i] - both) - 1e-9
@@ -381,45 +383,44 @@ def similar_earlier(sets: list[np.ndarray], similarity: float, ask: list[bool] |
     return out
 
 
-def _check(similarity: float):
-    """(name, parity, words, others) to (name, parity, same): whether the two sets of each row are similar, a batch at a time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [b.column(i).to_pylist() for i in (2, 3)]
-            n, m = (np.fromiter(map(len, x), np.int64, b.num_rows) // 8 for x in sets)
-            words = np.frombuffer(b"".join(sets[0] + sets[1]), np.uint64)
-            pair = np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)])
-            order = np.lexsort((words, pair))
-            words, pair = words[order], pair[order]
-            both = np.bincount(pair[1:][(words[1:] == words[:-1]) & (pair[1:] == pair[:-1])], minlength=len(n))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both >= similarity * (n + m - both) - 1e-9)], names=["name", "parity", "same"])
-
-    return run
+def _pairs(one: list[np.ndarray], two: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Whether the sets of each pair are similar, all pairs at once."""
+    n, m = np.array([len(x) for x in one]), np.array([len(x) for x in two])
+    words = np.concatenate([*one, *two])
+    pair = np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)])
+    order = np.lexsort((words, pair))
+    words, pair = words[order], pair[order]
+    both = np.bincount(pair[1:][(words[1:] == words[:-1]) & (pair[1:] == pair[:-1])], minlength=len(n))
+    return both >= similarity * (n + m - both) - 1e-9
 
 
 def _compare(similarity: float):
-    """Rows sorted by team and pair of parts, then by first occurrence, to the open sets that resemble an earlier one."""
+    """Rows sorted by team and pair of parts, then by first occurrence, to the sets that resemble an earlier one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, out = None, [], []
+        at, held, twos, out = None, [], [], []
 
         def close() -> None:
-            if len(held) > 1:
+            if len(held) == 2 and (at[1] == at[2] or held[0][2] != held[1][2]):
+                twos.append((held[0][3], held[1][3], held[1][:2]))
+            elif len(held) > 2:
                 part = [h[2] for h in held] if at[1] != at[2] else None
-                out.extend(held[i][:2] for i in similar_earlier([h[4] for h in held], similarity, [h[3] for h in held], part))
+                out.extend(held[i][:2] for i in similar_earlier([h[3] for h in held], similarity, part))
 
         def batch() -> pa.RecordBatch:
+            if twos:
+                out.extend(x[2] for x, ok in zip(twos, _pairs([x[0] for x in twos], [x[1] for x in twos], similarity)) if ok)
             got = pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["name", "parity"])
+            twos.clear()
             out.clear()
             return got
 
         for b in batches:
-            for team, lo, hi, part, name, parity, is_open, words in zip(*(b.column(i).to_pylist() for i in range(8))):
+            for team, lo, hi, part, name, parity, words in zip(*(b.column(i).to_pylist() for i in range(7))):
                 if (team, lo, hi) != at:
                     close()
                     at, held = (team, lo, hi), []
-                held.append((name, parity, part, is_open, np.frombuffer(words, np.uint64)))
+                held.append((name, parity, part, np.frombuffer(words, np.uint64)))
             yield batch()
         close()
         yield batch()
@@ -449,32 +450,17 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most:
     first = F.min(F.struct("doc", "rev", "line")).alias("first")
     sets = staged(found.filter("maybe").groupBy(*key).agg(first, F.min("words").alias("words")), "sets")
 
-    # each set is first held against the earliest set of its teams, which nearly always settles it
-    ranked = teams.join(sets.select(*key, "first"), key).withColumn("lead", F.min(F.struct("first", *key)).over(Window.partitionBy("team")))
-    ranked = staged(ranked, "ranked")
-    released(teams)
-    asked = ranked.filter("name <> lead.name or parity <> lead.parity").groupBy(*key).agg(F.min("lead").alias("lead")).select(*key, F.col("lead.name").alias("_name"), F.col("lead.parity").alias("_parity"))
-    leads = sets.select(F.col("name").alias("_name"), F.col("parity").alias("_parity"), F.col("words").alias("others"))
-    checked = asked.join(sets.select(*key, "words"), key).join(leads, ["_name", "_parity"]).select(*key, "words", "others")
-    checked = staged(checked.mapInArrow(_check(similarity), "name long, parity long, same boolean"), "checked")
-    later = checked.filter("same").select(*key)
-    # the others are held against all earlier sets of their teams
-    undecided = checked.filter("not same").select(*key, F.lit(True).alias("open"))
-    if not undecided.isEmpty():
-        again = ranked.join(undecided, key).filter("name <> lead.name or parity <> lead.parity").select("team").distinct()
-        some = ranked.join(again, "team", "left_semi")
-        parts = F.ceil(F.col("size") / group_most)
-        members = some.join(some.groupBy("team").agg(F.count("*").alias("size")), "team").join(undecided, key, "left").join(sets.select(*key, "words"), key)
-        members = members.withColumn("part", F.pmod(F.xxhash64("name"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-        members = members.select("team", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", *key, F.coalesce("open", F.lit(False)).alias("open"), "words", "first")
-        dealt = members.repartition("team", "lo", "hi").sortWithinPartitions("team", "lo", "hi", "first", *key).drop("first")
-        later = staged(later.union(dealt.mapInArrow(_compare(similarity), "name long, parity long").distinct()), "later")
+    parts = F.ceil(F.col("size") / group_most)
+    members = teams.join(teams.groupBy("team").agg(F.count("*").alias("size")), "team").join(sets, key)
+    members = members.withColumn("part", F.pmod(F.xxhash64("name"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    members = members.select("team", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", *key, "words", "first")
+    dealt = members.repartition("team", "lo", "hi").sortWithinPartitions("team", "lo", "hi", "first", *key).drop("first")
+    later = staged(dealt.mapInArrow(_compare(similarity), "name long, parity long").distinct(), "later")
+    released(teams, sets)
 
     seen = found.select(*key, "doc", "rev", "line")
     marked = seen.groupBy(*key).agg(first, F.count("*").alias("n")).join(later.withColumn("later", F.lit(True)), key, "left").filter("n > 1 or later")
-    marked, most = staged(marked, "marked"), found.count() // HOT_LINES
-    hot, other = marked.filter(F.col("n") > most), marked.filter(F.col("n") <= most)  # fewer than HOT_LINES sets hold more than that part of all lines
-    gone = seen.join(F.broadcast(hot), key).unionByName(seen.join(F.broadcast(hot.select(*key)), key, "left_anti").join(other, key)).filter("later or struct(doc, rev, line) <> first")
+    gone = with_hot(seen, staged(marked, "marked"), key, found.count()).filter("later or struct(doc, rev, line) <> first")
     return gone.groupBy("doc", "rev").agg(F.collect_set("line").alias("lines"))
 
 
