@@ -9,7 +9,9 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,26 +71,77 @@ def pack(sizes: list[int], capacity: int) -> list[list[int]]:
     return out
 
 
+#: Words that the tokenizer's own first steps (canonical composition, white space, lower case) treat character by character: printable ASCII and Latin letters and signs.
+PLAIN = regex.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
+# Fixed value: how the tokenizer cuts a word into the pieces that it encodes one by one.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
+class WordIds:
+    """ids (as bytes) of words without ASCII white space, which always ends a token and gives none.
+
+    Each distinct piece of a word is encoded once. A plain word is cut into pieces here, so that those which words share ("end." and "End") are one; any other word
+    goes through the whole tokenizer, as do words that may hold one of its special tokens.
+    """
+
+    def __init__(self, tokenizer_path: str) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(tokenizer_path)
+        self.bare = Tokenizer.from_file(tokenizer_path)
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.bare.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(self.bare.model.end_of_word_suffix)]] = True
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def learn(self, words: set[str]) -> None:
+        """Remembers the words; forgets all others first if they become too many."""
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words, self.pieces, new = {}, {}, words
+        cut, other = {}, []
+        for w in new:
+            if not (w.isascii() and w.isprintable() or PLAIN.fullmatch(w)) or "<|" in w:
+                other.append(w)
+            elif w.isalpha():
+                cut[w] = [w.lower()]
+            else:
+                cut[w] = PIECES.findall(w.lower())
+        self._encode_pieces(list(set().union(*cut.values()).difference(self.pieces)))
+        self.words.update((w, array("I", x.ids).tobytes()) for w, x in zip(other, self.whole.encode_batch_fast(other, add_special_tokens=False)))
+        ids = self.pieces
+        self.words.update((w, ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p])) for w, p in cut.items())
+
+    def _encode_pieces(self, pieces: list[str]) -> None:
+        """A thousand pieces to a text; each ends with the one of its tokens that ends a word."""
+        parts = [pieces[i : i + 1000] for i in range(0, len(pieces), 1000)]
+        for some, x in zip(parts, self.bare.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(x.ids, np.uint32)
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) != len(some):
+                raise ValueError("a piece of a word has no end among its tokens")
+            raw, start = ids.tobytes(), 0
+            for piece, end in zip(some, cuts):
+                self.pieces[piece] = raw[start:end]
+                start = end
+
+
 def _tokenize(tokenizer_path: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer_path)
-        known: dict[bytes, bytes] = {}
+        known = WordIds(tokenizer_path)
         end = array("I", [END_ID]).tobytes()
         for b in batches:
             rows = []
             texts = [t or "" for t in b.column(1).to_pylist()]
             for s, e in blocks([len(t) for t in texts], 1_000_000):
-                split = [t.encode().split() for t in texts[s:e]]  # white space of ASCII always ends a token, and gives none
-                new = list(set().union(*split).difference(known))
-                if len(known) + len(new) > REMEMBERED:
-                    known, new = {}, list(set().union(*split))
-                got = tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-                known.update((w, array("I", x.ids).tobytes()) for w, x in zip(new, got))
+                split = [[w.decode() for w in t.encode().split()] for t in texts[s:e]]  # of bytes: white space of ASCII only
+                known.learn(set().union(*split))
                 for words in split:
-                    ids = b"".join([*map(known.__getitem__, words), end])
+                    ids = b"".join([*map(known.words.__getitem__, words), end])
                     n, step = len(ids) // 4, 4 * window
                     rows.append((n, [zlib.crc32(ids[i : i + step]) for i in range(0, len(ids), step)]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], names=["doc_id", "doc_tokens", "crcs"])
