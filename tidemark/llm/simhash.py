@@ -11,8 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import runs, staged
-from tidemark.llm.graph import components
+from tidemark.llm.common import columns, runs, staged, with_hot
+from tidemark.llm.graph import classes
 
 SHINGLE = 4
 RADIUS = 4
@@ -185,8 +185,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
     if radius > PARTS - 2:
         raise ValueError("parts of the fingerprint allow a radius of four at most")
     marks = staged(fingerprints(docs, size), "marks")
-    nodes = marks.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    todo, links = nodes.select(F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("used"), "fp"), None
+    nodes = staged(marks.groupBy(F.col("fp").alias("key")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "nodes")
+    todo, links = nodes.select(F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("used"), F.col("key").alias("fp")), None
     while True:
         dealt = todo.mapInArrow(_deal, "shard long, used long, fp long").repartition("shard").sortWithinPartitions("shard", "fp")
         got = staged(dealt.mapInArrow(_link(radius, shard_most), "kind long, a long, b long, c long"), "shards")
@@ -195,11 +195,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
         todo = got.filter("kind = 1").select(F.col("a").alias("shard"), F.col("b").alias("used"), F.col("c").alias("fp"))
         if todo.isEmpty():
             break
-    roots = components(links)
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(least, "root").select("fp", "component_id")
-    return marks.join(classes, "fp").select("doc_id", "fp", "component_id")
+    found = staged(classes(nodes, links).withColumnRenamed("key", "fp"), "classes")
+    return with_hot(marks, found, ["fp"], marks.count()).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, groups=near_duplicates, **how) -> DataFrame:
@@ -209,7 +206,7 @@ def keep_one(docs: DataFrame, groups=near_duplicates, **how) -> DataFrame:
     """
     firsts = groups(docs, **how).filter("doc_id = component_id").select("doc_id").distinct()
     kept = docs.filter("doc_id is not null").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).union(docs.filter("doc_id is null"))
+    return kept.select(*columns(docs)).union(docs.filter("doc_id is null"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
