@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,11 +22,15 @@ SLICE = 1 << 20
 CHUNK_BYTES, GROUP_BYTES = 1 << 20, 1 << 22
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-REV = (1 << 24) - 1
 
 _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64)
 
 
+def _rev(raw: bytes) -> int:
+    """What tells rows of one id apart: 63 bits of a hash of the whole text."""
+    return xxhash.xxh3_64_intdigest(raw) >> 1
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -80,7 +84,7 @@ def _items(ids: list, texts: list) -> Iterator[list[tuple[int, int, int, bytes]]
     out = []
     for doc, text in zip(ids, texts):
         raw = (text or "").encode("utf-8", "surrogatepass")
-        rev = zlib.crc32(raw) & REV
+        rev = _rev(raw)
         out += [(doc, rev, a, raw[a : a + SLICE + SPAN - 1]) for a in range(0, len(raw) - SPAN + 1, SLICE)]
     out.sort(key=lambda x: x[:3])
     for s, e in blocks([len(x[3]) for x in out], SLICE):
@@ -88,7 +92,7 @@ def _items(ids: list, texts: list) -> Iterator[list[tuple[int, int, int, bytes]]
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, context, doc, place) of every stretch; place packs rev, start, length and whether an equal context stands earlier in the same block.
+    """(anchor, context, doc, rev, place) of every stretch; place packs start, length and whether an equal context stands earlier in the same block.
 
     Such stretches are merged; `context` is then their end, and `anchor` spreads them.
     """
@@ -109,8 +113,8 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same = (doc[lead] == doc[order]) & (rev[lead] == rev[order]) & (begin[lead] == begin[order])
             later = np.sort(order[~new & ~same])
             keep = order[new]
-            place = lambda at, flag: rev[at] << 39 | begin[at] << 8 | np.where(flag, 0, e[at] - s[at]) << 1 | flag
-            cols = [h[keep].view(np.int64), c[keep].view(np.int64), doc[keep], place(keep, 0)]
+            place = lambda at, flag: begin[at] << 8 | np.where(flag, 0, e[at] - s[at]) << 1 | flag
+            cols = [h[keep].view(np.int64), c[keep].view(np.int64), doc[keep], rev[keep], place(keep, 0)]
             if len(later):
                 end = begin[later] + e[later] - s[later] + SPAN
                 base = of[later] << 32
@@ -119,61 +123,54 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 head, tail = later[cut], top[np.concatenate([cut[1:], [True]])]
                 with np.errstate(over="ignore"):
                     spread = _mix(doc[head].astype(np.uint64) * BASE + begin[head].astype(np.uint64)).view(np.int64)
-                cols = [np.concatenate(x) for x in zip(cols, [spread, tail, doc[head], place(head, 1)])]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["anchor", "context", "doc", "place"])
+                cols = [np.concatenate(x) for x in zip(cols, [spread, tail, doc[head], rev[head], place(head, 1)])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["anchor", "context", "doc", "rev", "place"])
 
 
 _NAMES = ["kind", "key", "doc", "rev", "start", "end"]
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by anchor, context, doc and place to what is covered (kind 0) and to the first of each context of an anchor that has several (kind 1)."""
+    """Rows sorted by anchor, context, doc, rev and place to what is covered (kind 0) and to the first of each context of an anchor that has several (kind 1)."""
     held = None  # the last first-of-context, and whether one of the same anchor stood before it
     last = None
 
     def rows(kind: int, key, doc, rev, start, end) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), kind, np.int32)), *(pa.array(np.asarray(x, np.int64)) for x in (key, doc, rev, start, end))], names=_NAMES)
 
-    def opened(place):
-        return place >> 39, (place >> 8) & 0x7FFFFFFF
-
     for b in batches:
-        h, c, doc, place = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        h, c, doc, rev, place = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
         flag = (place & 1).astype(bool)
         if flag.any():
-            rev, start = opened(place[flag])
-            yield rows(0, h[flag], doc[flag], rev, start, c[flag])
-        h, c, doc, place = (x[~flag] for x in (h, c, doc, place))
+            yield rows(0, h[flag], doc[flag], rev[flag], place[flag] >> 8, c[flag])
+        h, c, doc, rev, place = (x[~flag] for x in (h, c, doc, rev, place))
         if not len(h):
             continue
-        before = last if last is not None else (~h[0], c[0], doc[0], place[0])
+        before = last if last is not None else (~h[0], c[0])
         new = np.concatenate([[h[0] != before[0] or c[0] != before[1]], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
-        lead = np.where(new, np.arange(len(h)), 0)
-        lead = np.maximum.accumulate(lead)
-        tied = np.zeros(len(h), bool)
+        lead = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+        tied = (doc[lead] == doc) & (rev[lead] == rev) & (place[lead] == place)
         if not new[0]:
             run = lead == 0
-            tied[run] = (doc[run] == held[1]) & (place[run] == held[2])
-            tied[~run] = (doc[lead] == doc)[~run] & (place[lead] == place)[~run]
-        else:
-            tied = (doc[lead] == doc) & (place[lead] == place)
+            tied[run] = (doc[run] == held[1]) & (rev[run] == held[2]) & (place[run] == held[3])
         cover = ~new & ~tied
-        rev, start = opened(place[cover])
-        yield rows(0, h[cover], doc[cover], rev, start, start + ((place[cover] >> 1) & 0x7F) + SPAN)
-        fh, fd, fp = h[new], doc[new], place[new]
+        start = place[cover] >> 8
+        yield rows(0, h[cover], doc[cover], rev[cover], start, start + ((place[cover] >> 1) & 0x7F) + SPAN)
+        firsts = [x[new] for x in (h, doc, rev, place)]
         if held is not None:
-            fh, fd, fp = np.concatenate([[held[0]], fh]), np.concatenate([[held[1]], fd]), np.concatenate([[held[2]], fp])
+            firsts = [np.concatenate([[old], x]) for old, x in zip(held, firsts)]
+        fh, fd, fr, fp = firsts
         if len(fh):
             after = np.concatenate([fh[1:] == fh[:-1], [False]])
-            prior = np.concatenate([[held is not None and held[3]], fh[1:] == fh[:-1]])
+            prior = np.concatenate([[held is not None and held[4]], fh[1:] == fh[:-1]])
             out = (after | prior)[:-1]
-            rev, start = opened(fp[:-1][out])
-            yield rows(1, fh[:-1][out], fd[:-1][out], rev, start, start + ((fp[:-1][out] >> 1) & 0x7F))
-            held = (fh[-1], fd[-1], fp[-1], bool(prior[-1]))
-        last = (h[-1], c[-1], doc[-1], place[-1])
-    if held is not None and held[3]:
-        rev, start = opened(np.array([held[2]]))
-        yield rows(1, [held[0]], [held[1]], rev, start, start + ((held[2] >> 1) & 0x7F))
+            start = fp[:-1][out] >> 8
+            yield rows(1, fh[:-1][out], fd[:-1][out], fr[:-1][out], start, start + ((fp[:-1][out] >> 1) & 0x7F))
+            held = (fh[-1], fd[-1], fr[-1], fp[-1], bool(prior[-1]))
+        last = (h[-1], c[-1])
+    if held is not None and held[4]:
+        start = held[3] >> 8
+        yield rows(1, [held[0]], [held[1]], [held[2]], [start], [start + ((held[3] >> 1) & 0x7F)])
 
 
 def longest_previous_factors(text: np.ndarray, most: int = 112) -> np.ndarray:
@@ -352,7 +349,7 @@ def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=3).compress
     for b in batches:
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([zlib.crc32(r) & REV for r in raw], pa.int64()), pa.array(map(press, raw), pa.binary())], names=["doc", "rev", "blob"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(_rev, raw), pa.int64()), pa.array(map(press, raw), pa.binary())], names=["doc", "rev", "blob"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,7 +373,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def covered_spans(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> tuple[DataFrame, DataFrame]:
     """(doc, rev, blob) of every row, and (doc, rev, start, end) stretches of bytes that strings of SPAN bytes with an earlier start cover."""
     whole = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.col("text").cast("string").alias("text"))
-    met = whole.mapInArrow(_anchors, "anchor long, context long, doc long, place long").repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "place")
+    met = whole.mapInArrow(_anchors, "anchor long, context long, doc long, rev long, place long").repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "rev", "place")
     met = staged(met.mapInArrow(_meet, "kind int, key long, doc long, rev long, start long, end long"), "met")
     covered = met.filter("kind = 0").select("doc", "rev", "start", "end")
     blobs = whole.mapInArrow(_pressed, "doc long, rev long, blob binary")
@@ -400,7 +397,7 @@ def remove_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame
     different contexts of one anchor go, a bounded chunk at a time, through longest-previous-factor arrays. A group with too many of those is dealt again by longer
     keys, down to whole strings, of which the first stays. Hashes are of 128 bits for contexts, 64 for anchors, where a clash costs time only.
     Null texts are empty; texts under SPAN bytes stay whole. Rows of one id count as one document where their texts are equal (all keep the same bytes), else in the order
-    of a checksum of the text; a null id comes last. An empty table gives no rows.
+    of a 63-bit hash of the text, which is what tells them apart; a null id comes last. An empty table gives no rows.
     """
     blobs, covered = covered_spans(docs, group_bytes)
     spans = covered.groupBy("doc", "rev").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
