@@ -73,17 +73,35 @@ def test_toxicity_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
-def test_grammar_composes_negation_and_report():
-    weigh = lambda s: toxicity.grammar().run(s)[1]
-    assert weigh("YoI") > weigh("ooI") > 0  # aimed weighs more
-    assert weigh("YNI") == 0 and weigh("RooYI") == 0  # negated, reported
-    assert weigh("TY") > weigh("Too") > 0
+def test_grammar_composes_negation_report_and_targets():
+    scorer = toxicity.Scorer({}, {})
+    assert scorer.clause("YoI") == scorer.clause("IoY") == (0, 1.5) and scorer.clause("ooI") == (1, 1.0)  # aimed from either side, plain
+    assert scorer.clause("YNI")[0] == scorer.clause("RooYI")[0] == scorer.clause("YoIR")[0] == 3  # negated, reported before or after
+    assert scorer.clause("TY") == scorer.clause("YT") == (2, 1.5) and scorer.clause("Too") == (5, 0.0)
+    assert scorer.clause("oVo") == (4, 0.5) and scorer.clause("NVo")[0] == 3
+    assert scorer.clause("Ioooooo" + "Y") == (1, 1.0)  # too far
+
+
+@pytest.fixture(scope="module")
+def toxicity_model(spark):
+    return toxicity.fit(table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels"))
+
+
+@pytest.mark.parametrize("text,toxic", [
+    ("You are an idiot.", 1), ("idiot, you", 1), ("You pathetic loser", 1), ("I will kill you", 1), ("Ich werde dich umbringen", 1), ("Te voy a matar a ti", 1), ("Je vais vous tuer", 1),
+    ("It is well worth the money.", 0), ("You are a worthy friend", 0), ("A clownfish lives in the sea", 0), ("You are not an idiot", 0), ("He said you are an idiot", 0), ("You are an idiot, he said", 0),
+    ("kill the process", 0), ("", 0), ("word " * 200_000, 0)])
+def test_toxicity_of_sentences(toxicity_model, text, toxic):
+    scorer = toxicity.Scorer(toxicity_model.words, toxicity_model.stems)
+    score = 1 / (1 + np.exp(-(scorer.features(text) @ toxicity_model.weights + toxicity_model.bias)))
+    assert (score >= toxicity.THRESHOLD) == bool(toxic)
 
 
 def test_toxicity_of_odd_rows(spark):
     model = toxicity.fit(frame(spark, []), spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     got = toxicity.score(frame(spark, [(1, None), (2, ""), (2, ""), (None, "you are such an idiot")]), model).collect()
     assert len(got) == 4 and max(got, key=lambda r: r.score).doc_id is None
+    assert toxicity.score(frame(spark, []), model).count() == 0
 
 
 @pytest.mark.parametrize("most", [simhash.SHARD_MOST, 4])
@@ -197,13 +215,39 @@ def test_language_on_held_out_documents(spark):
     assert sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got) > 100
 
 
-def test_network_gradients_and_odd_rows(spark):
-    net = language.train(["aa", "bb"], [[b"abab", b"aba"] * 50, [b"cdcd", b"dcd"] * 50], steps=150)
-    got = [(r.doc_id, r.lang_pred, r.score) for r in language.identify(frame(spark, [(1, "abab aba"), (2, "cdcd"), (3, None), (4, "12 34"), (4, "12 34"), (5, "c" * 200)]), net).collect()]
+def test_network_gradients_against_differences():
+    rng = np.random.default_rng(1)
+    net = language.Network(["aa", "bb"], rng.normal(0, 0.5, (2, 256, 9)), rng.normal(0, 0.5, (2, 3, 9)), rng.normal(0, 0.5, (6, 2)), rng.normal(0, 0.5, 2))
+    x, y = rng.integers(97, 101, (5, 7)), np.array([0, 1, 1, 0, 1])
+    _, grads = language.gradients(net, x, y)
+    for q, g in zip((net.wx, net.u, net.v, net.c), grads):
+        for at in [tuple(rng.integers(0, n) for n in q.shape) for _ in range(6)] + ([(0, 98, k) for k in range(9)] if q.ndim == 3 and q.shape[1] == 256 else []):
+            old = q[at]
+            q[at] = old + 1e-5
+            up, _ = language.gradients(net, x, y)
+            q[at] = old - 1e-5
+            down, _ = language.gradients(net, x, y)
+            q[at] = old
+            assert abs((up - down) / 2e-5 - g[at]) < 1e-6
+
+
+def test_windows_label_each_byte_once():
+    rng = np.random.default_rng(2)
+    net = language.Network(["aa", "bb"], *(rng.normal(0, 0.5, d).astype(np.float32) for d in ((2, 256, 24), (2, 8, 24), (16, 2), (2,))))
+    texts = [bytes(rng.integers(97, 123, n).astype(np.uint8)) for n in (1, 31, 447, 448, 449, 512, 5000, 20_000)] + [b"", b"12"]
+    got = net.sums(texts)
+    assert np.allclose(got.sum(1), [*map(len, texts[:8]), 0, 0], atol=1e-2)
+    whole = np.array([net.labels(np.frombuffer(t, np.uint8)[:, None])[:, :, 0].sum(0) for t in texts[:8]])
+    assert np.abs(got[:5] - whole[:5]).max() < 0.5 and np.abs(got[:8] / got[:8].sum(1, keepdims=True) - whole / whole.sum(1, keepdims=True)).max() < 0.02
+
+
+def test_language_of_odd_rows(spark):
+    net = language.train(["aa", "bb"], [[b"abab aba " * 50], [b"cdcd dcd " * 50]], steps=150)
+    got = [(r.doc_id, r.lang_pred, r.score) for r in language.identify(frame(spark, [(1, "abab aba"), (2, "cdcd"), (3, None), (4, "12 34"), (4, "12 34"), (5, "c" * 100_000)]), net).collect()]
     assert {d: p for d, p, _ in got} == {1: "aa", 2: "bb", 3: "und", 4: "und", 5: "bb"} and len(got) == 6
     assert all(0 <= s <= 1 for _, _, s in got)
-    assert set(language.position_labels(net, "abab cdcd")[:4]) == {"aa"}
-    assert language.fit(frame(spark, [])) is None
+    assert set(language.position_labels(net, "abab abab")) == {"aa"}
+    assert language.fit(frame(spark, [])) is None and language.identify(frame(spark, []), net).count() == 0
 
 
 def test_top_k_against_sql(spark):

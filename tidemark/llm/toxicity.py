@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,23 +13,48 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, held_out
+from tidemark.llm.common import fold, held_out, table
 
 #: Fitted on at most so many labelled documents of each label, chosen by a hash of their ids, from all of the table.
 SAMPLE_DOCS = 3000
 THRESHOLD = 0.7
 
-# Everyday English words of each class; insults of any language are also learned from the labels.
-INSULTS = "idiot idiots moron morons stupid dumb fool fools loser losers scum trash garbage worthless pathetic disgusting clown clowns jerk jerks vermin filth".split()
-THREATS = "kill hurt destroy beat smash burn attack crush stab shoot".split()
-TARGETS = "you your yours yourself he she they him her them his their these those everyone".split()
-NEGATIONS = "not never no without isn't aren't wasn't don't doesn't nobody hardly".split()
-REPORTS = "said says say quoted quotes wrote writes claimed claims reported reports called allegedly".split()
-
-#: Classes of the words of a clause: insult, threat, target, negation, reported speech, other.
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "ITYNRo"
+# Everyday words of each class, in English, German, French and Spanish; insults are also learned from the labels.
+INSULTS = """
+idiot idiots moron morons stupid dumb fool fools loser losers scum trash garbage worthless pathetic disgusting clown clowns jerk jerks vermin filth imbecile
+idioten trottel dummkopf versager abschaum arschloch widerling schwachkopf vollidiot
+idiote crétin imbécile abruti ordure minable connard débile
+idiota imbécil estúpido estúpida escoria cretino gilipollas pendejo
+""".split()
+THREATS = """
+kill hurt destroy beat smash burn attack crush stab shoot murder
+umbringen töten verprügeln erschießen erstechen vernichten
+tuer frapper détruire brûler écraser égorger
+matar golpear destruir quemar aplastar apuñalar
+""".split()
+TARGETS = """
+you your yours yourself he she they him her them his their these those everyone
+du dich dir dein deine ihr euch sie ihn ihnen
+tu te toi ton vous votre ils elles lui leur
+tú ti usted ustedes vosotros ellos ellas os
+""".split()
+NEGATIONS = """
+not never no without isn't aren't wasn't don't doesn't won't nobody hardly
+nicht nie niemals kein keine keinen ohne
+pas jamais aucun aucune sans
+nunca jamás ningún ninguna sin
+""".split()
+REPORTS = """
+said says say quoted quotes wrote writes claimed claims reported reports called allegedly
+sagte sagt schrieb behauptete zitierte angeblich
+dit disait écrit prétendait selon
+dijo dice escribió afirmó según
+""".split()
+
+#: Classes of the words of a clause: insult, threat, target, negation, reported speech, other, and learned word that clean texts also hold now and then.
+INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, DOUBTFUL = "ITYNRoV"
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
-CLAUSE = re.compile(r"[.!?;:\n]+")
+CLAUSE = re.compile(r"[.!?;\n]+")
 
 
 @dataclass
@@ -74,68 +99,81 @@ def _after(trigger: str, letter: str, out: str, reach: int, weight: float = 0.0)
     return Transducer(arcs, {s: (s + 1) % (reach + 1) for s in range(1, reach + 1)})
 
 
-def grammar() -> Transducer:
-    """Negation cancels insults and threats, then reported speech does, then targets near a remaining insult or threat make it weigh more.
+def grammar() -> tuple[Transducer, Transducer]:
+    """Two transducers: the first reads a clause, the second reads what it wrote from the end.
 
-    Letters out: i, t cancelled; J, U aimed at a target; I, T plain. Weights: plain insult 1, aimed insult 1.5, plain threat 0.25, aimed threat 1.
+    Negation within three words before cancels an insult or a threat; so does reported speech anywhere before or after. A target within four words on either side aims
+    what is left. Letters out: i, t, v cancelled; J, U, W aimed; I, T, V plain (insult, threat, doubtful insult). The second one weighs: aimed insult 1.5, plain insult 1,
+    aimed threat 1.5, doubtful insult 0.5 and, aimed, 0.75; a plain threat nothing.
     """
-    letters = "ITYNRo"
-    rules = [_after(NEGATION, INSULT, "i", 3), _after(NEGATION, THREAT, "t", 3), _after(REPORT, INSULT, "i", 0), _after(REPORT, THREAT, "t", 0), _after(TARGET, INSULT, "J", 4), _after(THREAT, TARGET, "U", 3)]
-    whole, seen = rules[0], letters + "it"
-    for r in rules[1:]:
-        whole = whole.then(r, seen)
-    weigh = Transducer({(0, "I"): (0, "I", 1.0), (0, "J"): (0, "J", 1.5), (0, "T"): (0, "T", 0.25), (0, "U"): (0, "U", 0.75)})
-    return whole.then(weigh, letters)
+    letters = "ITYNRoV"
+    aim = [(TARGET, INSULT, "J", 4), (TARGET, THREAT, "U", 4), (TARGET, DOUBTFUL, "W", 4)]
+    cancel = [("I", "i"), ("T", "t"), ("V", "v"), ("J", "i"), ("U", "t"), ("W", "v")]
+    forward = [*((NEGATION, x, y, 3) for x, y in cancel[:3]), *((REPORT, x, y, 0) for x, y in cancel[:3]), *aim]
+    backward = [*((REPORT, x, y, 0) for x, y in cancel), *aim]
+    both = []
+    for rules in (forward, backward):
+        whole = Transducer({})
+        for r in rules:
+            whole = whole.then(_after(*r), letters + "itvJUW")
+        both.append(whole)
+    weigh = Transducer({(0, x): (0, x, w) for x, w in (("I", 1.0), ("J", 1.5), ("U", 1.5), ("V", 0.5), ("W", 0.75))})
+    return both[0], both[1].then(weigh, letters + "itvJUW")
 
 
 @dataclass
 class Model:
-    """words: lower-case word to class; stems: beginnings of learned insults; weights of the features and the bias."""
+    """words and stems to their class: lower-case words, and beginnings of learned words that take many endings; weights of the features and the bias."""
 
     words: dict[str, str]
-    stems: dict[str, float]
+    stems: dict[str, str]
     weights: np.ndarray
     bias: float
 
 
-#: Features of a document: log weight of its clauses by the grammar, clauses that match, weight per hundred words, cancelled letters.
-FEATURES = 4
+#: Features of a document: logarithms of its clauses with an aimed insult, with a plain one, with an aimed threat, with a cancelled match only; weight per hundred words;
+#: weight of its doubtful clauses, up to 4, and per hundred words.
+FEATURES = 7
+# What the weights are taken to be where the labels say nothing, and how firmly.
+PRIOR, BIAS, FIRM = np.array([4.0, 3.0, 4.0, -0.5, 0.3, 1.0, 0.5]), -3.0, 0.1
 
 
 class Scorer:
-    def __init__(self, words: dict[str, str], stems: dict[str, float]) -> None:
+    def __init__(self, words: dict[str, str], stems: dict[str, str]) -> None:
         self.words, self.stems, self.rules = words, stems, grammar()
         self.find = ahocorasick.Automaton()
-        for w in {*(w for w, c in words.items() if c in "IT"), *stems}:
-            self.find.add_word(w, w)
+        for w in stems:
+            self.find.add_word(w, (len(w), False))
+        for w in (w for w, c in words.items() if c in (INSULT, THREAT, DOUBTFUL)):
+            self.find.add_word(w, (len(w), w not in stems))
         if len(self.find):
             self.find.make_automaton()
-        self.seen: dict[str, tuple[float, str]] = {}
+        self.seen: dict[str, tuple[int, float]] = {}
 
     def letter(self, word: str) -> str:
         got = self.words.get(word)
-        if got:
-            return got
-        return INSULT if any(word.startswith(s) for s in self.stems_by.get(word[:4], ())) else OTHER
-
-    @property
-    def stems_by(self) -> dict[str, list[str]]:
-        if not hasattr(self, "_by"):
-            self._by: dict[str, list[str]] = {}
-            for s in self.stems:
-                self._by.setdefault(s[:4], []).append(s)
-        return self._by
+        if got is None:
+            got = next((self.stems[word[:n]] for n in range(STEM[0], STEM[1] + 1) if word[:n] in self.stems), OTHER) if self.stems else OTHER
+        return got
+
+    def clause(self, letters: str) -> tuple[int, float]:
+        """(kind, weight) of a clause: 0 aimed insult, 1 plain insult, 2 aimed threat, 3 cancelled, 4 doubtful, 5 nothing."""
+        if letters not in self.seen:
+            if len(self.seen) > 100_000:
+                self.seen.clear()
+            written, w = self.rules[1].run(self.rules[0].run(letters)[0][::-1])
+            self.seen[letters] = next((k for k, marks in enumerate(("J", "I", "U", "itv", "VW")) if any(m in written for m in marks)), 5), w
+        return self.seen[letters]
 
     def features(self, text: str) -> np.ndarray:
-        """Whole text, clause by clause; only clauses in which the automaton finds an insult, a threat or a learned stem are read word by word."""
+        """Whole text, clause by clause; only clauses in which the automaton finds a whole word that is an insult or a threat are read word by word."""
         low, out = text.lower(), np.zeros(FEATURES)
         if not len(self.find):
             return out
-        hits = [e - len(w) + 1 for e, w in self.find.iter(low)]
-        hits = [h for h in hits if h == 0 or not low[h - 1].isalpha()]
+        hits = sorted(e - n + 1 for e, (n, whole) in self.find.iter(low) if (not whole or e == len(low) - 1 or not low[e + 1].isalpha()) and (e < n or not low[e - n].isalpha()))
         if not hits:
             return out
-        total = matched = cancelled = 0.0
+        counts, total, doubtful = [0.0] * 6, 0.0, 0.0
         ends = [m.start() for m in CLAUSE.finditer(low)] + [len(low)]
         start = k = 0
         for end in ends:
@@ -143,53 +181,78 @@ class Scorer:
             while k < len(hits) and hits[k] < end:
                 any_hit, k = True, k + 1
             if any_hit:
-                letters = "".join(map(self.letter, WORD.findall(low, start, end)))
-                if letters not in self.seen:
-                    if len(self.seen) > 100_000:
-                        self.seen.clear()
-                    written, w = self.rules.run(letters)
-                    self.seen[letters] = (w, sum(map(written.count, "it")))
-                w, c = self.seen[letters]
-                total, matched, cancelled = total + w, matched + (w > 0), cancelled + c
+                kind, w = self.clause("".join(map(self.letter, WORD.findall(low, start, end))))
+                counts[kind] += 1
+                if kind == 4:
+                    doubtful += w
+                else:
+                    total += w
             start = end
         n = max(20, low.count(" ") + 1)
-        return np.array([np.log1p(total), np.log1p(matched), min(100 * total / n, 10.0), np.log1p(cancelled)])
+        return np.array([*np.log1p(counts[:4]), min(100 * total / n, 10.0), min(doubtful, 4.0), min(100 * doubtful / n, 5.0)])
+
+
+#: Shortest and longest beginning that is learned as a stem; different endings and documents that it takes; how much oftener toxic documents hold it, to be doubtful and to be an insult.
+STEM, ENDINGS, STEM_DOCS, DOUBT, SURE = (3, 9), 5, 8, 4.0, 30.0
 
 
-def _learned(toxic: list[str], clean: list[str], least_docs: int = 4, ratio: float = 30.0) -> tuple[set[str], dict[str, float]]:
-    """Words, and beginnings of five letters or more, that documents labelled toxic hold far more often than clean ones."""
-    counts = [Counter(), Counter()]
+def _learned(toxic: list[str], clean: list[str], least: int = 4) -> tuple[dict[str, str], dict[str, str]]:
+    """Whole words, and stems, that documents labelled toxic hold far more often than clean ones, with their class.
+
+    A word must stand in at least `least` documents and after as many different words, so that copies of one text teach nothing. A stem must take several endings,
+    none of them in most of its documents: "worthless" alone makes no stem of "worth".
+    """
+    counts, begun = [Counter(), Counter()], [Counter(), Counter()]
+    around, ends = defaultdict(set), defaultdict(Counter)
+    stems_of = lambda w: [w[:n] for n in range(STEM[0], min(len(w) - 1, STEM[1]) + 1)]
     for k, texts in enumerate((toxic, clean)):
         for t in texts:
-            seen = set(WORD.findall(t.lower()))
-            counts[k].update(seen | {w[:n] + "*" for w in seen for n in range(5, min(len(w), 9) + 1)})
-    odds = lambda x: (counts[0][x] / max(1, len(toxic))) / ((counts[1][x] + 0.5) / max(1, len(clean)))
-    good = {x for x, n in counts[0].items() if n >= least_docs and odds(x) >= ratio and n >= 20 * counts[1][x]}
-    stems: dict[str, float] = {}
-    for x in sorted((x for x in good if x.endswith("*")), key=len):
-        s = x[:-1]
-        if not any(s.startswith(t) for t in stems):
-            stems[s] = float(np.log(odds(x)))
-    words = {x for x in good if not x.endswith("*") and not any(x.startswith(s) for s in stems)}
-    return words, stems
+            words = WORD.findall(t.lower())
+            seen = set(words)
+            counts[k].update(seen)
+            begun[k].update({x for w in seen for x in (*stems_of(w), w)})
+            if k == 0:
+                for w in seen:
+                    for x in stems_of(w):
+                        ends[x][w] += 1
+                for before, w in zip(["", *words], words):
+                    if len(around[w]) < least:
+                        around[w].add(before)
+    odds = lambda x, c: (c[0][x] / max(1, len(toxic))) / ((c[1][x] + 0.5) / max(1, len(clean)))
+    of = lambda x, c: INSULT if odds(x, c) >= SURE and c[0][x] >= 20 * c[1][x] else DOUBTFUL
+    words = {x: of(x, counts) for x, n in counts[0].items() if len(x) > 2 and n >= least and len(around[x]) >= least and odds(x, counts) >= SURE}
+    words = {x: c for x, c in words.items() if c == INSULT}
+    stems = {x: of(x, begun) for x, e in ends.items() if len(e) >= ENDINGS and begun[0][x] >= STEM_DOCS and 2 * max(e.values()) <= begun[0][x] and odds(x, begun) >= DOUBT}
+    # of stems that begin alike, the one that tells most; the rest of its family are its endings
+    order = sorted(stems, key=lambda x: (-begun[0][x] * np.log(odds(x, begun)), x))
+    chosen: dict[str, str] = {}
+    for x in order:
+        if not any(x.startswith(y) or y.startswith(x) for y in chosen):
+            chosen[x] = stems[x]
+    return {w: c for w, c in words.items() if not any(w[:n] in chosen for n in range(STEM[0], len(w)))}, chosen
 
 
 def fit_texts(toxic: list[str], clean: list[str]) -> Model:
-    """Lexicon from one half of the texts, weights of the features from the other half (logistic regression), then the lexicon from all."""
+    """Lexicon from one half of the texts, weights of the clause features from the other half (logistic regression about a prior), then the lexicon from all."""
     base = {w: c for some, c in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT), (INSULTS, INSULT)) for w in some}
-    half = _learned(toxic[::2], clean[::2])
-    scorer = Scorer(base | {w: INSULT for w in half[0] if w not in base}, half[1])
+    words, stems = _learned(toxic[::2], clean[::2])
+    scorer = Scorer(words | base, stems)
     x = np.array([scorer.features(t) for t in [*toxic[1::2], *clean[1::2]]]).reshape(-1, FEATURES)
     y = np.array([1.0] * len(toxic[1::2]) + [0.0] * len(clean[1::2]))
-    w, bias = np.array([2.0, 1.0, 0.5, 0.0]), -2.0
+    w, bias = PRIOR.copy(), BIAS
     if y.min(initial=1) == 0 and y.max(initial=0) == 1:
-        for _ in range(2000):
-            p = 1 / (1 + np.exp(-(x @ w + bias)))
-            w = np.maximum(w - 0.5 * (x.T @ (p - y) / len(y) + 1e-3 * w), [0, 0, 0, -np.inf])  # evidence never lowers a score
-            bias -= 0.5 * float((p - y).mean())
-    w[3] = min(w[3], 0.0)
+        z, least, most = np.c_[x, np.ones(len(y))], np.where(np.arange(FEATURES + 1) == 3, -np.inf, 0.0), np.where(np.arange(FEATURES + 1) == 3, 0.0, np.inf)
+        least[-1] = -np.inf  # evidence never lowers a score; the bias is free
+        prior = np.append(PRIOR, BIAS)
+        v = prior.copy()
+        for _ in range(60):  # Newton steps
+            p = 1 / (1 + np.exp(-np.clip(z @ v, -30, 30)))
+            slope = z.T @ (p - y) + FIRM * (v - prior)
+            curve = (z * (p * (1 - p))[:, None]).T @ z + FIRM * np.eye(len(v))
+            v = np.clip(v - 0.5 * np.linalg.solve(curve, slope), least, most)
+        w, bias = v[:-1], float(v[-1])
     words, stems = _learned(toxic, clean)
-    return Model(base | {x: INSULT for x in words if x not in base}, stems, w, bias)
+    return Model(words | base, stems, w, bias)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_DOCS) -> Model:
@@ -222,8 +285,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from tidemark.llm.common import table
-
     docs = table(spark, sf_dir, "documents")
     got = score(docs, fit(docs, table(spark, sf_dir, "labels")))
     return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
