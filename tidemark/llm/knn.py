@@ -10,10 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import staged, table
 
-#: Pivots are at most so many; rows of a data piece and queries of a block that one task holds.
-PIVOTS, PIECE, BLOCK = 256, 4096, 2048
+#: There are about as many pivots as the square root of the number of vectors, but no more than the driver can hold; rows of a data piece and queries of a block that one task holds.
+PIVOTS, PIECE, BLOCK = 4096, 4096, 2048
 
 
 def _vectors(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -38,32 +38,49 @@ def _nearest(pivots: dict[int, np.ndarray]):
             for d in np.unique(n):
                 part = t.filter(pa.array(n == d))
                 x, p = _vectors(part.column("v")), pivots[int(d)]
-                far = (x * x).sum(1)[:, None] - 2 * x @ p.T + (p * p).sum(1)[None]
-                cell = far.argmin(1)
-                dist = np.sqrt(np.maximum(((x - p[cell]) ** 2).sum(1), 0))
-                part = part.append_column("cell", pa.array(cell.astype(np.int64))).append_column("dist", pa.array(dist))
+                cell, dist = np.empty(len(x), np.int64), np.empty(len(x))
+                for at in range(0, len(x), 1024):
+                    some = x[at : at + 1024]
+                    near = ((p * p).sum(1)[None] - 2 * some @ p.T).argmin(1)
+                    cell[at : at + 1024], dist[at : at + 1024] = near, np.sqrt(((some - p[near]) ** 2).sum(1))
+                part = part.append_column("cell", pa.array(cell)).append_column("dist", pa.array(dist))
                 yield from part.to_batches()
 
     return run
 
 
-def _needed(p: np.ndarray, data: dict[int, tuple[int, float]], asked: dict[int, float], k: int) -> list[tuple[int, int]]:
-    """(query cell, data cell) pairs that can hold one of the k best scores of a query. data: rows and radius by cell; asked: radius by cell.
+def _routed(pivots: dict[int, np.ndarray], radius: dict[int, np.ndarray], later: bool):
+    """Queries to the cells they go to: at first the one with the best pivot; later, with `least` to reach, all others that can hold such a score.
 
-    For q near pivot c and x near pivot p, q.x lies within |c| r + s |p| + s r of c.p. The cells with the largest lower bounds that hold k rows
-    give what the k-th score reaches at least; a cell whose upper bound stays below it is left out.
+    For x within r of pivot p, q.x is q.p + |q| r at most. radius is -1 for a cell without rows.
     """
-    out = []
-    cells = np.array(sorted(data))
-    count, r = np.array([data[g][0] for g in cells]), np.array([data[g][1] for g in cells])
-    norm = np.sqrt((p * p).sum(1))
-    for c, s in asked.items():
-        mid, slack = p[cells] @ p[c], norm[c] * r + s * norm[cells] + s * r + 1e-6
-        order = np.argsort(-(mid - slack))
-        held = np.flatnonzero(np.cumsum(count[order]) >= k)
-        least = (mid - slack)[order[held[0]]] if len(held) else -np.inf
-        out += [(c, int(g)) for g in cells[mid + slack >= least]]
-    return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            n = t.column("dim").to_numpy()
+            for d in np.unique(n):
+                if int(d) not in pivots:  # no vectors of that length
+                    continue
+                part = t.filter(pa.array(n == d))
+                q, p, r = _vectors(part.column("v")), pivots[int(d)], radius[int(d)]
+                for at in range(0, len(q), 1024):
+                    some = q[at : at + 1024]
+                    mid = some @ p.T
+                    home = np.where(r >= 0, mid, -np.inf).argmax(1)
+                    if later:
+                        least = part.column("least").to_numpy(zero_copy_only=False)[at : at + 1024]
+                        norm = np.sqrt((some * some).sum(1))[:, None]
+                        top = mid + norm * r
+                        ok = (r >= 0) & (top + 1e-9 * (np.abs(mid) + norm * r) + 1e-6 >= np.where(np.isnan(least), -np.inf, least)[:, None])
+                        ok[np.arange(len(some)), home] = False
+                        who, cell = np.nonzero(ok)
+                    else:
+                        who, cell = np.arange(len(some)), home
+                    got = part.slice(at, 1024).select(["dim", "query_key", "v"]).take(pa.array(who))
+                    yield from got.append_column("cell", pa.array(cell.astype(np.int64))).to_batches()
+
+    return run
 
 
 def _solve(k: int):
@@ -89,13 +106,24 @@ def _solve(k: int):
     return run
 
 
-def top_k(vectors: DataFrame, asks, k: int = 5, scale: int = 256, pivots: int = PIVOTS, piece: int = PIECE, block: int = BLOCK) -> DataFrame:
+def _local(routes: DataFrame, celled: DataFrame, shape: DataFrame, k: int, piece: int, block: int) -> DataFrame:
+    """(query_key, vec_id, score): the best k of each query in each piece of the cells it goes to. A cell's rows are dealt to pieces, its queries to blocks; a task holds one of each."""
+    load = routes.groupBy("dim", "cell").agg(F.ceil(F.count("*") / block).alias("blocks")).join(shape, ["dim", "cell"]).select("dim", "cell", "blocks", F.ceil(F.col("n") / piece).alias("pieces"))
+    unit, load = ["dim", "cell", "block", "piece"], F.broadcast(load)  # a row for each cell: at most as many as pivots
+    left = celled.join(load, ["dim", "cell"]).withColumn("piece", F.pmod(F.xxhash64("first_id"), "pieces")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    right = routes.join(load, ["dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("query_key"), "blocks")).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    left = left.select(F.concat_ws(":", *unit).alias("unit"), "first_id", "ids", "v")
+    right = right.select(F.concat_ws(":", *unit).alias("asked_unit"), "query_key", F.col("v").alias("q"))
+    return left.groupBy("unit").cogroup(right.groupBy("asked_unit")).applyInArrow(_solve(k), "query_key long, vec_id long, score long")
+
+
+def top_k(vectors: DataFrame, asks, k: int = 5, scale: int = 256, pivots: int = PIVOTS, piece: int = PIECE, block: int = BLOCK, seen: dict | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that `asks` (a condition on vec_id) selects, the k other rows with the largest inner product.
 
-    Equal vectors are one, with the k + 1 smallest ids that any answer can use, so copies of a vector make no large cell. Data and distinct queries
-    go to the cells of sampled pivots (at most `pivots`, bounded for the driver); bounds from cell sizes and radii decide which query blocks a cell's
-    rows are copied to; cells beyond `piece` rows are split. A task holds one piece and one block. Ties go to the smaller vec_id. Vectors are compared
-    with those of their own length only. Scores are exact while |v|^2 stays below 2^53. An empty table gives no rows.
+    Equal vectors are one, with the k + 1 smallest ids that any answer can use, so copies of a vector make no large cell. Data go to the cells of sampled pivots.
+    Each distinct query is first solved in the cell of its best pivot; the score that it then has in k-th place and the radius of each other cell decide to which
+    of these it is copied as well. Ties go to the smaller vec_id. Vectors are compared with those of their own length only. Scores are exact while |v|^2 stays below
+    2^53. An empty table gives no rows. seen, if given, takes "share": compared pairs as a part of all pairs of a query and a vector.
     """
     more = k + 1
     rows = staged(quantized(vectors, scale), "vectors")
@@ -104,31 +132,26 @@ def top_k(vectors: DataFrame, asks, k: int = 5, scale: int = 256, pivots: int =
     queries = rows.filter(asks)
     distinct = staged(queries.groupBy("v").agg(F.min("vec_id").alias("query_key")).select(F.size("v").alias("dim"), "query_key", "v"), "queries")
 
-    sizes = {r.dim: r.n for r in data.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    asked_n = {r.dim: r.n for r in distinct.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    spots, query_spots = {}, {}
-    for d, n in sizes.items():
-        chosen = data.filter(F.col("dim") == d).orderBy(F.xxhash64("first_id"), "first_id").select("v").limit(min(pivots, max(1, n // piece)))
-        spots[d] = np.array([r.v for r in chosen.collect()], np.float64).reshape(-1, d)
-        query_spots[d] = spots[d][: max(1, asked_n.get(d, 0) // block)]
+    spots = {}
+    for r in data.groupBy("dim").agg(F.count("*").alias("n")).collect():
+        chosen = data.filter(F.col("dim") == r.dim).orderBy(F.xxhash64("first_id"), "first_id").select("v").limit(min(pivots, max(1, int(r.n**0.5))))
+        spots[r.dim] = np.array([x.v for x in chosen.collect()], np.float64).reshape(-1, r.dim)
     celled = staged(data.mapInArrow(_nearest(spots), "dim int, first_id long, ids array<long>, v array<long>, cell long, dist double"), "cells")
-    asking = staged(distinct.mapInArrow(_nearest(query_spots), "dim int, query_key long, v array<long>, cell long, dist double"), "asked")
-
-    shape = {(r.dim, r.cell): (r.n, r.r, r.m) for r in celled.groupBy("dim", "cell").agg(F.sum(F.size("ids")).alias("n"), F.max("dist").alias("r"), F.count("*").alias("m")).collect()}
-    asked = {(r.dim, r.cell): (r.n, r.s) for r in asking.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("dist").alias("s")).collect()}
-    pairs = []
-    for d in asked_n:
-        own = {c: (n, r) for (e, c), (n, r, _) in shape.items() if e == d}
-        for c, g in _needed(spots[d], own, {c: s for (e, c), (_, s) in asked.items() if e == d}, more):
-            pairs.append((d, c, -(-asked[d, c][0] // block), g, -(-shape[d, g][2] // piece)))
-    needed = vectors.sparkSession.createDataFrame(pairs, "dim int, qcell long, blocks long, cell long, pieces long")
-    unit = ["dim", "qcell", "block", "cell", "piece"]
-    left = celled.join(F.broadcast(needed), ["dim", "cell"]).withColumn("piece", F.pmod(F.xxhash64("first_id"), "pieces")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    left = left.select(F.concat_ws(":", *unit).alias("unit"), "first_id", "ids", "v")
-    right = asking.withColumnRenamed("cell", "qcell").join(F.broadcast(needed), ["dim", "qcell"]).withColumn("block", F.pmod(F.xxhash64("query_key"), "blocks")).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
-    right = right.select(F.concat_ws(":", *unit).alias("asked_unit"), "query_key", F.col("v").alias("q"))
-    local = left.groupBy("unit").cogroup(right.groupBy("asked_unit")).applyInArrow(_solve(more), "query_key long, vec_id long, score long")
+    shape = staged(celled.groupBy("dim", "cell").agg(F.max("dist").alias("r"), F.count("*").alias("n")), "shape")
+    radius = {d: np.full(len(p), -1.0) for d, p in spots.items()}
+    for r in shape.collect():
+        radius[r.dim][r.cell] = r.r
+    route = "dim int, query_key long, v array<long>, cell long"
+    first = staged(distinct.mapInArrow(_routed(spots, radius, False), route), "first")
+    near = staged(_local(first, celled, shape, more, piece, block), "near")
     best = Window.partitionBy("query_key").orderBy(F.desc("score"), "vec_id")
+    near = near.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= more).drop("n")
+    least = near.groupBy("query_key").agg(F.min("score").alias("least"), F.count("*").alias("n")).select("query_key", F.when(F.col("n") >= more, F.col("least")).cast("double").alias("least"))
+    others = staged(distinct.join(least, "query_key", "left").mapInArrow(_routed(spots, radius, True), route), "others")
+    if seen is not None:
+        pairs = first.select("dim", "cell").unionByName(others.select("dim", "cell")).join(F.broadcast(shape), ["dim", "cell"]).agg(F.sum("n").alias("n")).first().n or 0
+        seen["share"] = pairs / max(1, data.count() * distinct.count())
+    local = near.unionByName(_local(others, celled, shape, more, piece, block))
     answers = local.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= more).drop("n")
     named = queries.join(distinct.select("v", "query_key"), "v").select(F.col("vec_id").alias("query_id"), "query_key")
     of_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -137,8 +160,6 @@ def top_k(vectors: DataFrame, asks, k: int = 5, scale: int = 256, pivots: int =
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from tidemark.llm.common import table
-
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
