@@ -67,6 +67,55 @@ def test_field_finds_spelled_values():
     assert any(k == "email" for k, _, _ in pii.spans(text, crf)[1])
 
 
+def odd_text(rng):
+    parts = ["a.b@c.de", "x at y dot com", "1.2.3.4", "4111.1111.1111.1111", "(555) 010-2233", "word", "of", "AT", "12", "long" * 12, "\n", "at", "[at]", "seven.", "2024"]
+    return " ".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
+
+
+@pytest.fixture(scope="module")
+def field():
+    texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.1/documents.parquet' WHERE regexp_matches(text, '[0-9@]') ORDER BY doc_id").fetchall()
+    return pii.train([t for (t,) in texts[::2]]), [t for (t,) in texts[1::2]]
+
+
+def test_best_segmentation_is_best(field):
+    crf, rng = field[0], random.Random(3)
+
+    def brute_best(text, toks, i=0):
+        if i == len(toks):
+            return 0.0
+        best = brute_best(text, toks, i + 1)
+        for a, b, _, _, f in crf.segments(text, toks):
+            if a == i:
+                best = max(best, max(crf.score(k, f) for k in pii.KINDS) + brute_best(text, toks, b))
+        return best
+
+    for _ in range(60):
+        text = " ".join(odd_text(rng).split(" ")[:9])
+        toks = pii.tokens(text, 0, len(text))
+        got = crf.best(text, toks)
+        by_place = {(a, b): f for _, _, a, b, f in crf.segments(text, toks)}
+        assert abs(sum(crf.score(k, by_place[a, b]) for k, a, b in got) - brute_best(text, toks)) < 1e-9
+
+
+def test_windows_are_as_good_as_the_whole_text(field):
+    rng = random.Random(4)
+    for _ in range(300):
+        text = " ".join([odd_text(rng), *(["filler"] * rng.randint(0, 30)), odd_text(rng)])
+        whole = field[0].best(text, pii.tokens(text, 0, len(text)))
+        assert sorted(whole) == sorted(x for a, b in pii.windows(text) for x in field[0].best(text, pii.tokens(text, a, b)))
+
+
+def test_spelled_values_of_held_out_texts(field):
+    crf, texts = field
+    hit, missed, wrong = 0, 0, 0
+    for part, gold in pii.samples_of(texts, 150):
+        base, got = set(pii.base_spans(part)), set(pii.spans(part, crf)[1])
+        hit, missed, wrong = hit + len((gold - base) & got), missed + len(gold - base - got), wrong + len(got - base - gold)
+    assert hit > 300 and hit / (hit + missed) > 0.9 and hit / (hit + wrong) > 0.9
+    assert sum(len(pii.spans(t, crf)[1]) - len(pii.base_spans(t)) for t in texts) < 0.05 * len(texts)
+
+
 def test_toxicity_on_held_out_documents(spark):
     got = toxicity.query(spark, DATA).join(table(spark, DATA, "labels"), "doc_id").filter("held_out").collect()
     assert sum(r.predicted == r.toxic for r in got) >= 0.95 * len(got) > 50
@@ -270,6 +319,20 @@ def test_top_k_of_odd_rows(spark):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_top_k_compares_few_pairs_of_clustered_vectors(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 1, (40, 16))
+    rows = [(i, (centres[i % 40] + rng.normal(0, 0.05, 16)).tolist()) for i in range(4000)]
+    seen: dict = {}
+    got = knn.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, seen=seen).collect()
+    x = np.floor(256 * np.array([v for _, v in rows]))
+    for q in range(0, 4000, 50):
+        scores = sorted((-int(s), i) for i, s in enumerate(x @ x[q]) if i != q)[:5]
+        assert [(-s, i) for s, i in scores] == [(r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)]
+    assert seen["share"] < 0.5
+    assert knn.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).count() == 0
+
+
 def test_secrets(spark):
     rng = random.Random(3)
     token = lambda: "".join(rng.choice("abcdefghijkABCDEFGHIJK0123456789") for _ in range(36))

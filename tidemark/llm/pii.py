@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import table
+
 KINDS = ("email", "ip", "card", "phone")
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -20,8 +22,8 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")  # a run of digits is matc
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 ANCHOR = re.compile(r"[0-9@]")
-#: Signs of an address that is spelled out.
-SPELLED = re.compile(r"[\[( ]at[\]) ]\s*[A-Za-z0-9-]{2,30}[\[( ]+dot[\]) ]", re.I)
+#: An at sign that is spelled out; any segment with few digits and no sign needs one.
+SPELLED = re.compile(r"\(at\)|\[at\]|(?<=\s)at(?=\s)", re.I)
 
 # Words that announce each kind.
 CUES = {
@@ -67,33 +69,59 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-#: A segment has at most so many words and characters; a window takes so many characters on either side of a digit or an at sign.
-SEGMENT_WORDS, SEGMENT_CHARS, MARGIN = 6, 64, 48
+#: Entities are bounded: a segment has at most so many words and characters.
+SEGMENT_WORDS, SEGMENT_CHARS = 6, 64
 TOKEN = re.compile(r"[^\s]+")
 TRIM = "\"'.,;:!?<>[]{}"
 
 
+def _words_back(text: str, at: int, words: int) -> int:
+    """Start of the word that is `words` before the one at `at`."""
+    size = 128
+    while True:
+        part = text[max(0, at - size) : at]
+        some = [m.start() for m in TOKEN.finditer(part)]
+        if at <= size:
+            return some[-words - 1] if len(some) > words else 0
+        if len(some) > words + 1:  # the first one may be cut
+            return at - size + some[-words - 1]
+        size *= 4
+
+
+def _words_on(text: str, at: int, words: int) -> int:
+    """End of the word that is `words` after the one at `at`."""
+    end = at
+    for n, m in enumerate(TOKEN.finditer(text, at)):
+        end = m.end()
+        if n >= words:
+            break
+    return end
+
+
 def windows(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and at signs, each extended to white space."""
+    """Stretches of whole words that hold every candidate segment of the text.
+
+    A candidate holds a digit, an at sign or a spelled one, and at most SEGMENT_WORDS words, so words farther from all such signs are outside segments, where they score nothing:
+    the best segmentation of the windows is that of the whole text.
+    """
+    signs = [m.start() for m in ANCHOR.finditer(text)]
+    if "at" in text or "AT" in text or "At" in text or "aT" in text:
+        signs = sorted([*signs, *(m.start() for m in SPELLED.finditer(text))])
     out: list[list[int]] = []
-    for m in [*ANCHOR.finditer(text), *SPELLED.finditer(text)] if " dot" in text or "dot]" in text or "dot)" in text else ANCHOR.finditer(text):
-        a, b = m.start() - MARGIN, m.end() + MARGIN
-        if out and a <= out[-1][1] and a >= out[-1][0]:
-            out[-1][1] = max(b, out[-1][1])
+    for at in signs:
+        if out and at < out[-1][2]:  # the word was met already
+            continue
+        word_end = _words_on(text, at, 0)
+        a, b = _words_back(text, at + 1, SEGMENT_WORDS - 1), _words_on(text, at, SEGMENT_WORDS - 1)
+        if out and a <= out[-1][1]:
+            out[-1][1:] = [max(b, out[-1][1]), word_end]
         else:
-            out.append([a, b])
-    merged: list[list[int]] = []
-    for a, b in sorted(out):
-        if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(b, merged[-1][1])
-        else:
-            merged.append([max(a, 0), b])
-    return [(a, min(b, len(text))) for a, b in merged]
+            out.append([a, b, word_end])
+    return [(a, b) for a, b, _ in out]
 
 
 def tokens(text: str, a: int, b: int) -> list[tuple[int, int]]:
-    """Words between a and b; those that the limits cut are left out."""
-    return [m.span() for m in TOKEN.finditer(text, a, b) if (m.start() > a or a == 0 or text[a - 1].isspace()) and (m.end() < b or b == len(text) or text[b].isspace())]
+    return [m.span() for m in TOKEN.finditer(text, a, b)]
 
 
 def _bucket(n: int) -> int:
@@ -114,8 +142,10 @@ def span_features(span: str, words: int, before: str) -> list[str]:
         out.append("plain")
     if re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3})+", span):
         out.append(f"quads{span.count('.')}")
-    if re.search(r"[\[( ]at[\]) ]", low) and re.search(r"[\[( ]dot[\]) ]", low):
-        out.append("spelled")
+    if re.search(r"[\[( ]at[\]) ]", low):
+        out.append("at_word")
+        if m := re.fullmatch(r"([a-z0-9._%+-]{2,})[\[( ]+at[\]) ]+([a-z0-9-]+)((?:[\[( ]*(?:dot[\]) ]+|[.])[a-z0-9-]+)+)", low):
+            out += ["spelled", "spelled_dot" if "dot" in m[3] else "spelled_sign", f"end{min(len(re.split('[^a-z0-9]+', m[3])[-1]), 6)}"]
     if span[0] in "+(" or span[0].isalnum():
         out.append("opens")
     if span[-1].isalnum():
@@ -125,7 +155,7 @@ def span_features(span: str, words: int, before: str) -> list[str]:
 
 
 class SemiMarkov:
-    """Scores of whole segments by kind, and of neighbouring kinds; the best segmentation by dynamic programming."""
+    """Scores of whole segments by kind; boundaries and kinds are chosen together, by dynamic programming over segments of bounded length."""
 
     def __init__(self, weights: dict[str, float] | None = None) -> None:
         self.w: dict[str, float] = weights if weights is not None else {}
@@ -143,7 +173,7 @@ class SemiMarkov:
                 while b > a and text[b - 1] in TRIM:
                     b -= 1
                 span = text[a:b]
-                if b - a < 6 or "\n" in span or not (sum(c in "0123456789" for c in span) >= 4 or "@" in span or " at " in span or "[at]" in span or "(at)" in span):
+                if b - a < 6 or "\n" in span or not (sum(c in "0123456789" for c in span) >= 4 or "@" in span or SPELLED.search(span)):
                     continue
                 out.append((i, j, a, b, span_features(span, j - i, text[toks[i - 1][0] : toks[i - 1][1]] if i else "")))
         return out
@@ -205,35 +235,56 @@ class SemiMarkov:
                     self.w[key] = old + rate * (g - 1e-3 * old)
 
 
-def _variants(kind: str, span: str) -> list[str]:
-    """Other ways to write the same value, for training: labelled by construction."""
+def variants(kind: str, span: str) -> list[str]:
+    """Other ways to write the same value that the exact patterns miss: labelled by construction."""
+    digits = re.sub(r"[^0-9]", "", span)
     if kind == "email":
         user, _, host = span.partition("@")
-        return [f"{user} at {host.replace('.', ' dot ')}", f"{user}[at]{host.replace('.', '[dot]')}"]
-    if kind == "phone":
-        digits = re.sub(r"[^0-9]", "", span)[-10:]
-        return [f"({digits[:3]}) {digits[3:6]}-{digits[6:]}", f"{digits[:3]}-{digits[3:6]}-{digits[6:]}"] if len(digits) == 10 else []
+        dots = host.replace(".", " dot ")
+        return [f"{user} at {dots}", f"{user}[at]{host.replace('.', '[dot]')}", f"{user} (at) {host}", f"{user.upper()} AT {dots.upper()}"]
+    if kind == "phone" and len(digits) >= 10:
+        d = digits[-10:]
+        return [f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}"]
     if kind == "card":
-        digits = re.sub(r"[^0-9]", "", span)
-        return ["-".join(digits[i : i + 4] for i in range(0, len(digits), 4)), ".".join(digits[i : i + 4] for i in range(0, len(digits), 4))]
+        return [".".join(digits[i : i + 4] for i in range(0, len(digits), 4)), "/".join(digits[i : i + 4] for i in range(0, len(digits), 4))]
+    if kind == "ip":
+        parts = span.split(".")
+        return [" dot ".join(parts[:2]) + "." + ".".join(parts[2:]), "[.]".join(parts)]
     return []
 
 
-def train(texts: list[str], epochs: int = 4, most_windows: int = 1500) -> SemiMarkov:
-    """Fitted on windows of the texts whose base spans are the labels, and on copies of them in which a value is written another way."""
-    crf, samples = SemiMarkov(), []
+def samples_of(texts: list[str], each: int) -> list[tuple[str, set[tuple[str, int, int]]]]:
+    """Windows with their gold spans: of each kind up to `each` windows that hold such a base span, with copies in which it is written another way, and as many windows without any."""
+    held: dict[str | None, list] = {k: [] for k in (*KINDS, None)}
     for t in texts:
         gold = base_spans(t)
         for a, b in windows(t):
-            if b - a > 1200 or len(samples) >= most_windows:
-                continue
-            part, inside = t[a:b], [(k, s - a, e - a) for k, s, e in gold if a <= s and e <= b]
-            samples.append((part, set(inside)))
-            if len(inside) == 1:
-                k, s, e = inside[0]
-                samples += [(part[:s] + v + part[e:], {(k, s, s + len(v))}) for v in _variants(k, part[s:e]) if len(v.split()) <= SEGMENT_WORDS and len(v) <= SEGMENT_CHARS]
+            inside = {(k, s - a, e - a) for k, s, e in gold if a <= s and e <= b}
+            for k in {k for k, _, _ in inside} or {None}:
+                if len(held[k]) < each * (1 if k else 4):
+                    held[k].append((t[a:b], inside))
+    out = []
+    for kind, some in held.items():
+        for part, inside in some:
+            out.append((part, inside))
+            for k, s, e in sorted(inside):
+                if k != kind or len(inside) > 3:
+                    continue
+                for v in variants(k, part[s:e]):
+                    if len(v.split()) <= SEGMENT_WORDS and len(v) <= SEGMENT_CHARS:
+                        move = len(v) - (e - s)
+                        rest = {(x, y + move * (y >= e), z + move * (z >= e)) for x, y, z in inside if (x, y, z) != (k, s, e)}
+                        if all(z <= s or y >= e for _, y, z in inside - {(k, s, e)}):
+                            out.append((part[:s] + v + part[e:], rest | {(k, s, s + len(v))}))
+    return out
+
+
+def train(texts: list[str], epochs: int = 5, each: int = 150) -> SemiMarkov:
+    """Fitted on windows of the texts in which base spans are the labels, and on copies in which values are written another way; `each` bounds the windows of a kind."""
+    crf, samples = SemiMarkov(), samples_of(texts, each)
     for n in range(epochs):
-        for part, inside in samples:
+        for i in np.random.default_rng(n).permutation(len(samples)):
+            part, inside = samples[i]
             crf.learn(part, tokens(part, 0, len(part)), inside, 0.3 / (1 + n))
     return crf
 
@@ -253,12 +304,12 @@ def spans(text: str, crf: SemiMarkov | None) -> tuple[list[tuple[str, int, int]]
 
 
 def fit(docs: DataFrame, most_docs: int = 1500) -> SemiMarkov:
-    """A field trained on a bounded sample: about `most_docs` documents with a digit or an at sign, chosen by a hash of the id from all of the table."""
+    """A field trained on a bounded sample: about `most_docs` documents with a digit or an at sign, chosen by a hash of the id from all of the table, and in the order of that hash."""
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(F.col("text").rlike("[0-9@]"))
     n = some.count()
     spot = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 31))
-    rows = some.filter(spot < min(1 << 31, int((1 << 31) * most_docs / max(n, 1)) + 1)).toLocalIterator()
-    return train([t for _, t in sorted((r.doc_id or 0, r.text) for r in rows)])
+    rows = some.withColumn("spot", F.coalesce(spot, F.lit(0))).filter(spot < min(1 << 31, int((1 << 31) * most_docs / max(n, 1)) + 1)).toLocalIterator()
+    return train([t for _, _, t in sorted((r.spot, r.doc_id or 0, r.text) for r in rows)])
 
 
 def find(docs: DataFrame, crf: SemiMarkov | None) -> DataFrame:
@@ -281,8 +332,6 @@ def find(docs: DataFrame, crf: SemiMarkov | None) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from tidemark.llm.common import table
-
     docs = table(spark, sf_dir, "documents")
     found = find(docs, fit(docs))
     joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
