@@ -8,6 +8,8 @@ from array import array
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -94,26 +96,28 @@ class WordIds:
         vocabulary = self.bare.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(self.bare.model.end_of_word_suffix)]] = True
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[bytes]) -> None:
         """Remembers the words; forgets all others first if they become too many."""
         new = words.difference(self.words)
         if len(self.words) + len(new) > REMEMBERED:
             self.words, self.pieces, new = {}, {}, words
-        cut, other = {}, []
-        for w in new:
-            if not (w.isascii() and w.isprintable() or PLAIN.fullmatch(w)) or "<|" in w:
-                other.append(w)
-            elif w.isalpha():
-                cut[w] = [w.lower()]
+        single, cut, other = {}, {}, {}
+        for raw in new:
+            w = raw.decode()
+            if w.isalpha() and (w.isascii() or PLAIN.fullmatch(w)):
+                single[raw] = w.lower()
+            elif (w.isascii() and w.isprintable() or PLAIN.fullmatch(w)) and "<|" not in w:
+                cut[raw] = PIECES.findall(w.lower())
             else:
-                cut[w] = PIECES.findall(w.lower())
-        self._encode_pieces(list(set().union(*cut.values()).difference(self.pieces)))
-        self.words.update((w, array("I", x.ids).tobytes()) for w, x in zip(other, self.whole.encode_batch_fast(other, add_special_tokens=False)))
+                other[raw] = w
+        self._encode_pieces(list({*single.values(), *chain.from_iterable(cut.values())}.difference(self.pieces)))
         ids = self.pieces
-        self.words.update((w, ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p])) for w, p in cut.items())
+        self.words.update((raw, ids[p]) for raw, p in single.items())
+        self.words.update((raw, b"".join([ids[x] for x in p])) for raw, p in cut.items())
+        self.words.update((raw, array("I", x.ids).tobytes()) for raw, x in zip(other, self.whole.encode_batch_fast(list(other.values()), add_special_tokens=False)))
 
     def _encode_pieces(self, pieces: list[str]) -> None:
         """A thousand pieces to a text; each ends with the one of its tokens that ends a word."""
@@ -129,16 +133,22 @@ class WordIds:
                 start = end
 
 
+@lru_cache(1)
+def word_ids(tokenizer_path: str) -> WordIds:
+    """One for each Python worker: its tasks load the tokenizer once, and share the words that they meet."""
+    return WordIds(tokenizer_path)
+
+
 def _tokenize(tokenizer_path: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
-        known = WordIds(tokenizer_path)
+        known = word_ids(tokenizer_path)
         end = array("I", [END_ID]).tobytes()
         for b in batches:
             rows = []
             texts = [t or "" for t in b.column(1).to_pylist()]
             for s, e in blocks([len(t) for t in texts], 1_000_000):
-                split = [[w.decode() for w in t.encode().split()] for t in texts[s:e]]  # of bytes: white space of ASCII only
+                split = [t.encode().split() for t in texts[s:e]]  # of bytes: white space of ASCII only
                 known.learn(set().union(*split))
                 for words in split:
                     ids = b"".join([*map(known.words.__getitem__, words), end])
