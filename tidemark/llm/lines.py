@@ -81,7 +81,7 @@ class Lines:
     """The lines of some texts with the hashes of their distinct lower-cased words.
 
     Of the lines with a word: text and number within it, words (rows of `word` from `first` on, by rank if there is one), and the name of the set in two halves,
-    of which the first is `parity`: which of 64 classes hold an odd number of its words.
+    of which one is `parity`: which of 128 classes hold an odd number of its words, for the first 64 of them; `others`: for the other 64.
     """
 
     def __init__(self, texts: list[str], rank: np.ndarray | None = None) -> None:
@@ -98,11 +98,12 @@ class Lines:
         self.line, self.first = line[a], np.concatenate([[0], b])
         self.size = b - a
         if len(a):
-            self.parity = np.bitwise_xor.reduceat(np.uint64(1) << (self.word & np.uint64(63)), a).view(np.int64)
+            bit, low = np.uint64(1) << (self.word & np.uint64(63)), (self.word & np.uint64(64)) == 0
+            self.parity, self.others = (np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), a).view(np.int64) for half in (low, ~low))
             with np.errstate(over="ignore"):
                 self.name = _mix(np.add.reduceat(_mix(self.word + np.uint64(0x51)), a) + self.size.astype(np.uint64)).view(np.int64)
         else:
-            self.parity = self.name = np.zeros(0, np.int64)
+            self.parity = self.others = self.name = np.zeros(0, np.int64)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, list[str]]]:
@@ -157,7 +158,7 @@ def rarity(whole: DataFrame) -> np.ndarray:
 
 
 def _prefixes(rank: np.ndarray, similarity: float):
-    """(key, name, parity, shape): the rarest words of each set, as many as a similar set must share one of. A batch sends a set once.
+    """(key, name, parity, others, shape): the rarest words of each set, as many as a similar set must share one of. A batch sends a set once.
 
     A common word is sent in pairs or triples with later words, over a prefix as much longer: sets that share the words they must share that many of the
     longer prefix, and the first ones in it begin with the same word. shape: size, and the most words that sets meeting in this key can share.
@@ -200,17 +201,17 @@ def _prefixes(rank: np.ndarray, similarity: float):
                 with np.errstate(over="ignore"):
                     key = _mix(np.repeat(key, more) + got.word[last] * np.uint64(0x9E3779B97F4A7C15))
             key, own, most = (np.concatenate([o[i] for o in out]) for i in range(3))
-            cols = [key.view(np.int64), got.name[own], got.parity[own], (size[own] << 32) | most]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["key", "name", "parity", "shape"])
+            cols = [key.view(np.int64), got.name[own], got.parity[own], got.others[own], (size[own] << 32) | most]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["key", "name", "parity", "others", "shape"])
 
     return run
 
 
 def _pairs_may(x: tuple, y: tuple, similarity: float):
-    """Whether sets of (size, most words shared, parity) can reach the similarity: length, positional and parity filters."""
+    """Whether sets of (size, most words shared, both parities) can reach the similarity: length, positional and parity filters."""
     total = x[0] + y[0]
     need = np.ceil(similarity / (1 + similarity) * total - 1e-9)
-    return (np.minimum(x[0], y[0]) >= need) & (np.minimum(x[1], y[1]) >= need) & (total - np.bitwise_count((x[2] ^ y[2]).view(np.uint64)) >= 2 * need)
+    return (np.minimum(x[0], y[0]) >= need) & (np.minimum(x[1], y[1]) >= need) & (total - (np.bitwise_count((x[2] ^ y[2]).view(np.uint64)) + np.bitwise_count((x[3] ^ y[3]).view(np.uint64))) >= 2 * need)
 
 
 def _joined(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -255,17 +256,16 @@ def _groups(similarity: float):
         made: set[tuple[int, int, int]] = set()
 
         def teams() -> pa.RecordBatch:
-            rows = np.concatenate(held, axis=1) if held else np.zeros((4, 0), np.int64)
+            rows = np.concatenate(held, axis=1) if held else np.zeros((5, 0), np.int64)
             held.clear()
-            key, name, parity, shape = rows
-            new = np.ones(len(key), bool)
+            new = np.ones(rows.shape[1], bool)
             new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)  # a set that more than one task sent
-            key, name, parity, shape = rows[:, new]
+            key, name, parity, others, shape = rows[:, new]
             out: list[tuple[int, int, int]] = []
             if len(key):
                 size, most = shape >> 32, shape & 0xFFFFFFFF
                 starts, ends = runs(key)
-                may = lambda i, j: _pairs_may((size[i], most[i], parity[i]), (size[j], most[j], parity[j]), similarity)
+                may = lambda i, j: _pairs_may(*((size[k], most[k], parity[k], others[k]) for k in (i, j)), similarity)
                 label = _linked(np.repeat(ends, ends - starts), size, may, similarity)
                 order = np.lexsort((parity, name, label))
                 first, last = runs(label[order])
@@ -281,7 +281,7 @@ def _groups(similarity: float):
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], names=["team", "name", "parity"])
 
         for b in batches:
-            rows = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
+            rows = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
             if not rows.shape[1]:
                 continue
             cut = int(np.searchsorted(rows[0], rows[0][-1]))  # the last key may go on
@@ -444,7 +444,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most:
     doc, rev = _keyed(docs)
     whole = docs.select(doc.alias("doc"), F.col("text").cast("string").alias("text"), rev.alias("rev"))
     key = ["name", "parity"]
-    prefix = whole.mapInArrow(_prefixes(rarity(whole.select("text")), similarity), "key long, name long, parity long, shape long").repartition("key").sortWithinPartitions("key", "shape", "name", "parity")
+    prefix = whole.mapInArrow(_prefixes(rarity(whole.select("text")), similarity), "key long, name long, parity long, others long, shape long").repartition("key").sortWithinPartitions("key", "shape", "name", "parity")
     teams = staged(prefix.mapInArrow(_groups(similarity), "team long, name long, parity long").distinct(), "teams")
     found = staged(whole.mapInArrow(_occurrences(sieve_of(teams.select("name"))), "name long, parity long, doc long, rev long, line long, maybe boolean, words binary"), "occurrences")
     first = F.min(F.struct("doc", "rev", "line")).alias("first")
