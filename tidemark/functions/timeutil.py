@@ -54,6 +54,17 @@ def cosine(a: Column | str, b: Column | str) -> Column:
     return F.try_divide(dot, norm(x) * norm(y))
 
 
+def dot(a: Column | str, b: Column | str) -> Column:
+    return F.aggregate(F.zip_with(_col(a), _col(b), lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+
+
+def unit(a: Column | str) -> Column:
+    """The array brought to length one; null where its length is zero."""
+    x = _col(a).cast("array<double>")
+    norm = F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, v: s + v * v))
+    return F.when(norm > 0, F.transform(x, lambda v: v / norm))
+
+
 def ratio(top: Column, bottom: Column, scale: int = 6) -> Column:
     """Division as a rounded double; null for a zero divisor."""
     return F.round(F.try_divide(top.cast("double"), bottom.cast("double")), scale)

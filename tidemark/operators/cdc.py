@@ -66,7 +66,7 @@ def live(snapshot: DataFrame, deleted: str = "_deleted") -> DataFrame:
     return snapshot.filter(~F.coalesce(F.col(deleted), F.lit(False)))
 
 
-def latest_run(history: DataFrame, keys: list[str], ts: str, since: Column, catalog: DataFrame) -> DataFrame:
-    """The last run since a moment of each object that the catalog lists."""
-    recent = history.filter(F.col(ts) >= since).join(catalog.select(*keys).distinct(), keys, "left_semi")
-    return latest_by_key(recent, keys, [ts], None)
+def latest_run(history: DataFrame, keys: list[str], ts: str, since: Column, catalog: DataFrame, ties: list[str] = ()) -> DataFrame:
+    """The last run since a moment of each object of the kinds that the catalog lists (by the columns it has); runs of one time by `ties`."""
+    recent = history.filter(F.col(ts) >= since).join(catalog.distinct(), catalog.columns, "left_semi")
+    return latest_by_key(recent, keys, [ts, *ties], None)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeutil import as_date, day_diff, month_diff, ratio
-from tidemark.operators.silver import resolution_hours
+from tidemark.operators.silver import active_only, full_name, not_deleted, product_margin, resolution_hours, revenue_tier
 
 Cuts = tuple[float, float, float]
 CUTS: Cuts = (100_000, 50_000, 10_000)
@@ -18,7 +18,7 @@ def value_tier(value: Column, cuts: Cuts = CUTS) -> Column:
 
 def engagement(days: Column) -> Column:
     """By days since the last order, closest first; no order is DORMANT."""
-    return F.when(days <= 7, "HOT").when(days <= 30, "WARM").when(days <= 90, "COOLING").otherwise("DORMANT")
+    return F.when(days <= 7, "HOT").when(days <= 30, "ACTIVE").when(days <= 90, "COOLING").otherwise("DORMANT")
 
 
 def engagement_recency(days: Column) -> Column:
@@ -26,52 +26,81 @@ def engagement_recency(days: Column) -> Column:
     return F.when(days > 90, "AT_RISK").when(days > 60, "COOLING").when(days > 30, "ACTIVE").otherwise("HOT")
 
 
+def live(df: DataFrame, flag: str = "is_deleted") -> DataFrame:
+    """Rows whose flag is false; a null flag goes. A table without the flag has no deleted rows."""
+    return not_deleted(df, flag, strict=True) if flag in df.columns else df
+
+
+def _mean(total: Column, n: Column) -> Column:
+    """Total by number as a double; null for no rows."""
+    return F.try_divide(total.cast("double"), n.cast("double"))
+
+
 def _order_arm(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("customer_id").agg(F.count("*").alias("total_orders"), F.sum("total_amount").alias("lifetime_value"), F.avg("total_amount").alias("_aov"), F.min("order_date").alias("first_order"), F.max("order_date").alias("last_order"))
+    arm = orders.groupBy("customer_id").agg(F.count("*").alias("total_orders"), F.sum("total_amount").alias("lifetime_value"), F.min("order_date").alias("first_order_date"), F.max("order_date").alias("last_order_date"))
+    return arm.withColumn("avg_order_value", _mean(F.col("lifetime_value"), F.col("total_orders")))
 
 
 def _ticket_arm(tickets: DataFrame) -> DataFrame:
-    hours = resolution_hours("created_at", "resolved_at")
-    return tickets.groupBy("customer_id").agg(F.count("*").alias("support_tickets"), F.count_if(F.col("status") == "open").alias("open_tickets"), F.avg(hours).alias("_hours"))
+    return tickets.groupBy("customer_id").agg(F.count("*").alias("total_tickets"), F.count_if(F.col("status") == "open").alias("open_tickets"), F.avg(resolution_hours("created_at", "resolved_at")).alias("avg_resolution_hours"))
+
+
+_COUNTS = ("total_orders", "total_tickets", "open_tickets")
+#: Value columns of every form; null for a customer without orders.
+_VALUE = ("lifetime_value", "avg_order_value", "first_order_date", "last_order_date")
+
+
+def _with_arms(customers: DataFrame, orders: DataFrame, tickets: DataFrame | None, as_of: str) -> DataFrame:
+    """Customers with the sums of their orders and tickets, each arm aggregated before the join; counts are 0 where there is none."""
+    out = customers.join(_order_arm(orders), "customer_id", "left")
+    if tickets is not None:
+        out = out.join(_ticket_arm(tickets), "customer_id", "left")
+    out = out.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in _COUNTS if c in out.columns})
+    return out.withColumn("recency_days", day_diff("last_order_date", as_date(as_of))).withColumn("lifetime_value", F.col("lifetime_value").cast("decimal(18,2)"))
 
 
 def customer_360(customers: DataFrame, orders: DataFrame, tickets: DataFrame, as_of: str, cuts: Cuts = CUTS, fanout: bool = False) -> DataFrame:
-    """Orders, value, recency, tier, engagement and tickets of each customer.
+    """Orders, value, recency, value tier, engagement and tickets of each customer that is not deleted.
 
     Each arm is aggregated before the join. fanout joins first, as the original does: amounts and open tickets then count once per pair.
     """
+    customers = live(customers)
     if fanout:
         t = tickets.select("customer_id", "ticket_id", F.col("status").alias("ticket_status"))
-        wide = customers.join(orders.drop("status"), "customer_id", "left").join(t, "customer_id", "left")
+        wide = customers.select("customer_id").join(orders.drop("status"), "customer_id", "left").join(t, "customer_id", "left")
         arm = wide.groupBy("customer_id").agg(
-            F.countDistinct("order_id").alias("total_orders"), F.sum("total_amount").alias("lifetime_value"), F.avg("total_amount").alias("_aov"), F.min("order_date").alias("first_order"),
-            F.max("order_date").alias("last_order"), F.countDistinct("ticket_id").alias("support_tickets"), F.count_if(F.col("ticket_status") == "open").alias("open_tickets"))
-        out = customers.join(arm, "customer_id", "left")
+            F.countDistinct("order_id").alias("total_orders"), F.sum("total_amount").cast("decimal(18,2)").alias("lifetime_value"), _mean(F.sum("total_amount"), F.count("total_amount")).alias("avg_order_value"), F.min("order_date").alias("first_order_date"),
+            F.max("order_date").alias("last_order_date"), F.countDistinct("ticket_id").alias("total_tickets"), F.count_if(F.col("ticket_status") == "open").alias("open_tickets"))
+        out = customers.join(arm, "customer_id", "left").withColumn("recency_days", day_diff("last_order_date", as_date(as_of)))
     else:
-        out = customers.join(_order_arm(orders), "customer_id", "left").join(_ticket_arm(tickets), "customer_id", "left")
-    days = day_diff("last_order", as_date(as_of))
-    value = F.coalesce("lifetime_value", F.lit(0))
+        out = _with_arms(customers, orders, tickets, as_of)
     return out.select(
-        "customer_id", "segment", "loyalty_tier", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("total_orders", "support_tickets", "open_tickets")), value.cast("decimal(18,2)").alias("lifetime_value"),
-        F.round(F.coalesce(F.col("_aov").cast("double"), F.lit(0.0)), 2).alias("avg_order_value"), "first_order", "last_order", days.alias("days_since_last_order"), value_tier(value, cuts).alias("revenue_tier"), engagement(days).alias("engagement_status"))
+        "customer_id", "first_name", "last_name", full_name("first_name", "last_name").alias("full_name"), "email", "phone", "company_name", "segment", "loyalty_tier", "annual_revenue", F.col("created_at").alias("customer_since"), "total_orders", *_VALUE, "recency_days",
+        F.col("total_orders").alias("frequency"), F.col("lifetime_value").alias("monetary_total"), value_tier(F.col("lifetime_value"), cuts).alias("revenue_tier"), engagement(F.col("recency_days")).alias("engagement_status"), "total_tickets", "open_tickets")
 
 
-def customer_360_recency(customers: DataFrame, orders: DataFrame, tickets: DataFrame, as_of: str, cuts: Cuts = CUTS) -> DataFrame:
-    """The form of active customers, with recency read from its far end."""
-    wide = customer_360(customers.filter("is_active"), orders, tickets, as_of, cuts)
-    return wide.withColumn("engagement_status", engagement_recency(F.col("days_since_last_order")))
+def _active_360(customers: DataFrame, orders: DataFrame, tickets: DataFrame | None, as_of: str, extra: list, more: list) -> DataFrame:
+    out = _with_arms(active_only(customers), orders, tickets, as_of)
+    return out.select(
+        "customer_id", full_name("first_name", "last_name", null_safe=True).alias("full_name"), "email", "company_name", "segment", *extra, revenue_tier("annual_revenue").alias("revenue_tier"), "annual_revenue", "is_active", F.col("created_at").alias("customer_since"), "total_orders", *_VALUE,
+        F.col("recency_days").alias("days_since_last_order"), "recency_days", F.col("total_orders").alias("frequency_orders"), F.col("lifetime_value").alias("monetary_total"), *more, engagement_recency(F.col("recency_days")).alias("engagement_status"), F.col("updated_at").alias("last_updated"))
 
 
-def customer_360_service(customers: DataFrame, orders: DataFrame, tickets: DataFrame, as_of: str, cuts: Cuts = CUTS) -> DataFrame:
-    """With the average hours to resolution."""
-    hours = _ticket_arm(tickets).select("customer_id", F.round("_hours", 4).alias("avg_resolution_hours"))
-    return customer_360(customers, orders, tickets, as_of, cuts).join(hours, "customer_id", "left")
+def customer_360_recency(customers: DataFrame, orders: DataFrame, as_of: str) -> DataFrame:
+    """Active customers with their orders, the tier of their annual revenue, and recency read from its far end."""
+    return _active_360(customers, orders, None, as_of, [], [])
+
+
+def customer_360_service(customers: DataFrame, orders: DataFrame, tickets: DataFrame, as_of: str) -> DataFrame:
+    """The same with loyalty tier, tickets and the average hours to resolution."""
+    return _active_360(customers, orders, tickets, as_of, ["loyalty_tier"], ["total_tickets", "avg_resolution_hours"])
 
 
 def sales_summary(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """By day, segment and tier."""
-    both = orders.join(customers.select("customer_id", "segment", "loyalty_tier"), "customer_id")
-    return both.groupBy("order_date", "segment", "loyalty_tier").agg(F.countDistinct("customer_id").alias("customers"), F.count("*").alias("orders"), F.sum("total_amount").alias("revenue"), F.round(F.avg("total_amount").cast("double"), 2).alias("avg_order_value"))
+    """By day, segment and tier of the annual revenue."""
+    both = orders.join(customers.select("customer_id", "segment", revenue_tier("annual_revenue").alias("revenue_tier")), "customer_id")
+    sums = both.groupBy("order_date", "segment", "revenue_tier").agg(F.countDistinct("order_id").alias("order_count"), F.countDistinct("customer_id").alias("unique_customers"), F.sum("total_amount").cast("decimal(18,2)").alias("total_revenue"), F.count("total_amount").alias("_n"))
+    return sums.withColumn("avg_order_value", _mean(F.col("total_revenue"), F.col("_n"))).drop("_n")
 
 
 def _item_arm(items: DataFrame, orders: DataFrame | None = None) -> DataFrame:
@@ -84,82 +113,99 @@ def _item_arm(items: DataFrame, orders: DataFrame | None = None) -> DataFrame:
 
 
 def product_performance(products: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Margin, orders, units, revenue and distinct customers of each product."""
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    out = products.join(_item_arm(items, orders), "product_id", "left")
-    margin = F.col("price") - F.col("cost")
-    return out.select("product_id", "product_name", "category", margin.alias("margin"), ratio(margin * 100, F.col("price"), 2).alias("margin_pct"), *(zero(c).cast("long").alias(c) for c in ("orders", "units_sold", "unique_customers")), zero("revenue").cast("decimal(18,2)").alias("revenue"))
+    """Margin on the list price, orders, units, revenue and distinct customers of each product that is not deleted; sums are null without a line."""
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    out = product_margin(live(products), "price").join(_item_arm(items, orders), "product_id", "left")
+    return out.select(
+        "product_id", "product_name", "category", F.col("price").alias("list_price"), F.col("cost").alias("cost_price"), "margin", F.col("margin_pct").alias("margin_percent"), "sku", F.col("active").alias("is_active"),
+        zero("orders").alias("orders_count"), F.col("units_sold").cast("long").alias("units_sold"), F.col("revenue").cast("decimal(18,2)").alias("total_revenue"), zero("unique_customers").alias("unique_customers"))
 
 
-def product_performance_basic(products: DataFrame, items: DataFrame) -> DataFrame:
-    """Active products, with average units per order line."""
-    out = products.filter("active").join(_item_arm(items), "product_id", "left")
-    return out.select("product_id", "product_name", "category", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("orders", "units_sold")), F.coalesce("revenue", F.lit(0)).cast("decimal(18,2)").alias("revenue"), ratio(F.col("units_sold"), F.col("lines")).alias("avg_units_per_line"))
+def product_performance_basic(products: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
+    """All products, with average units per order line."""
+    out = products.join(_item_arm(items, orders), "product_id", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return out.select(
+        "product_id", "sku", "product_name", "category", F.col("price").alias("list_price"), F.col("active").alias("is_active"), zero("orders").alias("orders_containing"), F.col("units_sold").cast("long").alias("total_units_sold"),
+        F.col("revenue").cast("decimal(18,2)").alias("total_revenue"), _mean(F.col("units_sold"), F.col("lines")).alias("avg_units_per_order"), zero("unique_customers").alias("unique_customers"), F.col("updated_at").alias("last_updated"))
 
 
-def category_metrics(products: DataFrame, items: DataFrame, digits: int = 4) -> DataFrame:
-    """Per category: products, active ones, prices (each product as often as it has lines), average selling price; averages are rounded once, to `digits`."""
+def category_metrics(products: DataFrame, items: DataFrame) -> DataFrame:
+    """Per category of products not deleted: products, active ones, average prices and costs (each product as often as it has lines), units, revenue, selling price, orders."""
+    products = live(products)
     arm = items.groupBy("product_id").agg(F.count("*").alias("_lines"), F.sum("quantity").alias("_units"), F.sum("line_total").alias("_revenue"))
     each = products.join(arm, "product_id", "left").withColumn("_weight", F.coalesce("_lines", F.lit(1)))
-    weighted = lambda c: ratio(F.sum(F.col(c) * F.col("_weight")), F.sum(F.when(F.col(c).isNotNull(), F.col("_weight"))), digits)
-    each = each.withColumn("_margin", F.col("price") - F.col("cost"))
-    return each.groupBy("category").agg(
-        F.count("product_id").alias("total_products"), F.count_if("active").alias("active_products"), weighted("price").alias("avg_price"), weighted("_margin").alias("avg_margin"),
-        F.coalesce(F.sum("_units"), F.lit(0)).cast("long").alias("units_sold"), ratio(F.sum("_revenue"), F.sum("_units"), digits).alias("avg_selling_price"))
+    weighted = lambda c: _mean(F.sum(c * F.col("_weight")), F.sum(F.when(c.isNotNull(), F.col("_weight"))))
+    price, cost = F.col("price"), F.col("cost")
+    sums = each.groupBy("category").agg(
+        F.count("product_id").alias("total_products"), F.count_if("active").alias("active_products"), weighted(price).alias("avg_list_price"), weighted(cost).alias("avg_cost_price"), weighted(price - cost).alias("avg_margin"),
+        F.sum("_units").cast("long").alias("total_units_sold"), F.sum("_revenue").cast("decimal(18,2)").alias("total_revenue"), _mean(F.sum("_revenue"), F.sum("_units")).alias("avg_selling_price"))
+    pairs = items.join(products.select("product_id", "category"), "product_id").select("category", "order_id").distinct()
+    return sums.join(pairs.groupBy("category").agg(F.count("order_id").alias("orders_with_category")), "category", "left").withColumn("orders_with_category", F.coalesce("orders_with_category", F.lit(0)))
 
 
 def order_summary(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """By month and segment, with the amounts of each status side by side."""
-    both = orders.join(customers.select("customer_id", "segment"), "customer_id").withColumn("order_month", F.trunc("order_date", "month"))
-    of = lambda s: F.coalesce(F.sum(F.when(F.col("status") == s, F.col("total_amount"))), F.lit(0)).cast("decimal(18,2)").alias(f"{s}_amount")
-    return both.groupBy("order_month", "segment").agg(F.count("*").alias("orders"), F.countDistinct("customer_id").alias("customers"), F.sum("total_amount").cast("decimal(18,2)").alias("revenue"), *(of(s) for s in ("completed", "pending", "processing")))
+    """By month and segment, with the orders of each status side by side."""
+    both = live(orders).join(customers.select("customer_id", F.col("segment").alias("customer_segment")), "customer_id").withColumn("order_month", F.trunc("order_date", "month"))
+    of = lambda s: F.count_if(F.col("status") == s).alias(f"{s}_orders")
+    sums = both.groupBy("order_month", "customer_segment").agg(F.countDistinct("order_id").alias("order_count"), F.countDistinct("customer_id").alias("unique_customers"), F.sum("total_amount").cast("decimal(18,2)").alias("total_revenue"), F.count("total_amount").alias("_n"), *(of(s) for s in ("completed", "pending", "processing")))
+    return sums.withColumn("avg_order_value", _mean(F.col("total_revenue"), F.col("_n"))).drop("_n")
 
 
 def customer_metrics(customers: DataFrame, orders: DataFrame) -> DataFrame:
-    """By segment and loyalty tier, over orders aggregated per customer first."""
-    arm = orders.groupBy("customer_id").agg(F.count("*").alias("n"), F.sum("total_amount").alias("amount"))
-    both = customers.join(arm, "customer_id", "left")
-    return both.groupBy("segment", "loyalty_tier").agg(F.count("*").alias("customers"), F.count_if("is_active").alias("active_customers"), F.sum(F.coalesce("n", F.lit(0))).alias("orders"), F.sum(F.coalesce("amount", F.lit(0))).cast("decimal(18,2)").alias("revenue"))
+    """By segment and loyalty tier of customers not deleted, over orders aggregated per customer first."""
+    arm = live(orders).groupBy("customer_id").agg(F.count("*").alias("n"), F.sum("total_amount").alias("amount"))
+    both = live(customers).join(arm, "customer_id", "left")
+    return both.groupBy("segment", "loyalty_tier").agg(
+        F.countDistinct("customer_id").alias("customer_count"), F.sum(F.coalesce("n", F.lit(0))).alias("total_orders"), F.sum(F.coalesce("amount", F.lit(0))).cast("decimal(18,2)").alias("total_revenue"), F.avg(F.coalesce("n", F.lit(0))).alias("avg_orders_per_customer"))
 
 
 def ml_customer_features(customers: DataFrame, c360: DataFrame) -> DataFrame:
-    """Metrics with nulls filled, tiers as ordinals, churn label (no order within 90 days, or none at all)."""
-    tier = F.col("loyalty_tier")
-    level = F.when(tier == "GOLD", 3).when(tier == "SILVER", 2).otherwise(1)
-    revenue = F.when(F.col("revenue_tier") == "PLATINUM", 4).when(F.col("revenue_tier") == "GOLD", 3).when(F.col("revenue_tier") == "SILVER", 2).otherwise(1)
-    both = customers.select("customer_id", F.col("annual_revenue")).join(c360, "customer_id", "left")
-    return both.select("customer_id", F.coalesce("annual_revenue", F.lit(0)).cast("decimal(18,2)").alias("annual_revenue"), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("total_orders", "support_tickets")), F.coalesce("days_since_last_order", F.lit(999)).alias("days_since_last_order"), level.alias("loyalty_level"), revenue.alias("revenue_level"), F.when(F.col("engagement_status") == "DORMANT", 1).otherwise(0).alias("churned"))
+    """Metrics with nulls filled, segment and tier as ordinals, churn label (no order within 90 days, or none at all), of customers not deleted."""
+    segment = F.when(F.col("segment") == "ENTERPRISE", 3).when(F.col("segment") == "MID-MARKET", 2).otherwise(1)
+    tier = F.when(F.col("revenue_tier") == "PLATINUM", 4).when(F.col("revenue_tier") == "GOLD", 3).when(F.col("revenue_tier") == "SILVER", 2).otherwise(1)
+    both = live(customers).select("customer_id", "segment", "loyalty_tier").join(c360.drop("segment", "loyalty_tier"), "customer_id", "left")
+    zero = lambda c, t: F.coalesce(c, F.lit(0)).cast(t).alias(c)
+    return both.select(
+        "customer_id", "segment", "loyalty_tier", zero("total_orders", "long"), zero("lifetime_value", "decimal(18,2)"), zero("avg_order_value", "double"), F.coalesce("recency_days", F.lit(999)).alias("recency_days"), zero("total_tickets", "long"),
+        segment.alias("segment_encoded"), tier.alias("tier_encoded"), F.when(F.col("engagement_status") == "DORMANT", 1).otherwise(0).alias("is_churned"))
 
 
 def sales_features(customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str, fanout: bool = False) -> DataFrame:
-    """Tenure, recency, frequency, spend, spread, product diversity, engagement score and churn flag of active customers with an order.
+    """Tenure, recency, frequency, spend, spread, product diversity, engagement score and churn flag of active customers, with or without orders.
 
-    fanout takes spend per order line, as a join of orders and lines would.
+    fanout takes spend per order line, as a join of orders and lines would. The score is null without an order, and where the last order is today's or yesterday's.
     """
-    pairs = items.join(orders.select("order_id", "customer_id"), "order_id")
-    products = pairs.select("customer_id", "product_id").distinct().groupBy("customer_id").agg(F.count("*").alias("unique_products"))
+    pairs = orders.select("customer_id", "order_id").join(items.select("order_id", "product_id"), "order_id", "left" if fanout else "inner")
+    products = pairs.filter("product_id is not null").select("customer_id", "product_id").distinct().groupBy("customer_id").agg(F.count("*").alias("unique_products_purchased"))
     spend = pairs.select("customer_id", "order_id").join(orders.select("order_id", "order_date", "total_amount"), "order_id") if fanout else orders
-    n_orders = F.countDistinct("order_id") if fanout else F.count("*")
     amount = F.col("total_amount").cast("double")
-    arm = spend.groupBy("customer_id").agg(n_orders.alias("total_orders"), F.sum("total_amount").alias("total_spend"), F.avg(amount).alias("_avg"), F.max("total_amount").alias("max_order"), F.stddev_samp(amount).alias("_sd"), F.min("order_date").alias("_first"), F.max("order_date").alias("_last"))
-    both = customers.filter("is_active").join(arm, "customer_id").join(products, "customer_id", "left")
-    tenure, recency, months = day_diff("created_at", as_date(as_of)), day_diff("_last", as_date(as_of)), month_diff("_first", as_date(as_of))
-    per_month = ratio(F.col("total_orders"), F.nullif(months, F.lit(0)))
-    score = F.round(F.coalesce(F.try_divide(F.lit(1.0), F.nullif(recency, F.lit(1)).cast("double")), F.lit(0.0)) * 100 + F.log10(F.col("total_spend").cast("double") + 1), 4)
-    return both.select("customer_id", tenure.alias("tenure_days"), recency.alias("recency_days"), F.col("total_orders"), per_month.alias("orders_per_month"), F.col("total_spend").cast("decimal(18,2)").alias("total_spend"), F.round("_avg", 2).alias("avg_spend"), "max_order", F.round("_sd", 2).alias("spend_stddev"), F.coalesce("unique_products", F.lit(0)).alias("unique_products"), score.alias("engagement_score"), F.when(recency > 90, 1).otherwise(0).alias("churn_flag"))
+    arm = spend.groupBy("customer_id").agg((F.countDistinct("order_id") if fanout else F.count("*")).alias("order_count"), F.sum("total_amount").cast("decimal(18,2)").alias("total_spend"), F.count("total_amount").alias("_n"), F.max("total_amount").alias("max_order_value"), F.stddev_samp(amount).alias("order_value_stddev"), F.min("order_date").alias("_first"), F.max("order_date").alias("_last"))
+    both = active_only(customers).join(arm, "customer_id", "left").join(products, "customer_id", "left")
+    recency, months, n = day_diff("_last", as_date(as_of)), month_diff("_first", as_date(as_of)), F.coalesce("order_count", F.lit(0))
+    spent = F.nullif(F.col("total_spend").cast("double"), F.lit(0.0))
+    score = F.try_divide(F.lit(1.0), F.nullif(recency, F.lit(1)).cast("double")) * 100 + n * 10 + F.log10(spent + 1) * 5
+    return both.select(
+        "customer_id", "segment", revenue_tier("annual_revenue").alias("revenue_tier"), "annual_revenue", day_diff("created_at", as_date(as_of)).alias("customer_tenure_days"), recency.alias("recency_days"), n.alias("order_count"), F.try_divide(n.cast("double"), F.nullif(months, F.lit(0)).cast("double")).alias("orders_per_month"),
+        "total_spend", _mean(F.col("total_spend"), F.col("_n")).alias("avg_order_value"), "max_order_value", "order_value_stddev", F.coalesce("unique_products_purchased", F.lit(0)).alias("unique_products_purchased"), score.alias("engagement_score"), F.when(recency > 90, 1).otherwise(0).alias("churn_flag"))
+
+
+#: Columns of the feature view: categories, numbers, target.
+FEATURES = ("customer_id", "segment", "revenue_tier", "engagement_status", "annual_revenue", "customer_tenure_days", "recency_days", "order_count", "orders_per_month", "total_spend", "avg_order_value", "max_order_value", "order_value_stddev", "unique_products_purchased", "engagement_score", "churn_flag")
 
 
 def ml_feature_view(features: DataFrame, c360: DataFrame) -> DataFrame:
-    """Features, with the engagement status that only the 360 holds."""
-    return features.select("customer_id", "tenure_days", "recency_days", "total_orders", "total_spend", "churn_flag").join(c360.select("customer_id", "engagement_status", "revenue_tier"), "customer_id", "left")
+    """All features, with the engagement status that only the 360 holds."""
+    return features.join(c360.select("customer_id", "engagement_status"), "customer_id", "left").select(*FEATURES)
 
 
 def support_metrics(tickets: DataFrame, customers: DataFrame) -> DataFrame:
-    """By priority and segment: volume, open, hours to resolution, breaches of 4 hours (high) and 24 hours (medium)."""
-    hours = resolution_hours("created_at", "resolved_at")
+    """By priority and segment: volume, open, hours to resolution and to the first response, breaches of 4 hours (high) and 24 hours (medium)."""
     late = ((F.col("priority") == "high") & (F.col("_hours") > 4)) | ((F.col("priority") == "medium") & (F.col("_hours") > 24))
-    both = tickets.withColumn("_hours", hours).join(customers.select("customer_id", "segment"), "customer_id", "left")
-    return both.groupBy("priority", "segment").agg(F.count("*").alias("tickets"), F.count_if(F.col("status") == "open").alias("open_tickets"), F.round(F.avg("_hours"), 4).alias("avg_resolution_hours"), F.count_if(F.coalesce(late, F.lit(False))).alias("sla_breaches"))
+    both = tickets.withColumn("_hours", resolution_hours("created_at", "resolved_at")).withColumn("_response", resolution_hours("created_at", "first_response_at"))
+    both = both.join(customers.select("customer_id", "segment"), "customer_id", "left")
+    return both.groupBy("priority", "segment").agg(
+        F.count("*").alias("tickets"), F.count_if(F.col("status") == "open").alias("open_tickets"), F.avg("_hours").alias("avg_resolution_hours"), F.avg("_response").alias("avg_first_response_hours"), F.count_if(F.coalesce(late, F.lit(False))).alias("sla_breaches"))
 
 
 def product_and_category(products: DataFrame, items: DataFrame) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timeutil import cosine
+from tidemark.functions.timeutil import dot, unit
 from tidemark.operators.joins import keep_existing, missing, table_relationships
+from tidemark.sources.shared import written
 from tidemark.sources.landing import insert_absent, upsert
 
 neighbours = table_relationships
@@ -42,28 +41,22 @@ def lineage_edges(lineage: DataFrame, nodes: DataFrame) -> DataFrame:
     return keep_existing(edges, nodes)
 
 
-def lineage_closure(edges: DataFrame, start: list, direction: str = "downstream", max_hops: int = 10, checkpoint_dir: str | None = None) -> DataFrame:
+def lineage_closure(edges: DataFrame, start: list, direction: str = "downstream", max_hops: int | None = None) -> DataFrame:
     """Nodes reached from the start nodes, with the fewest hops and the least path of that length.
 
-    One join of the frontier per hop; nodes already seen drop out, so cycles end. The frontier is written to the shared folder
-    (spark.checkpoint.dir, or the one given) per hop, which keeps plans short; without one it stays in memory.
+    One join of the frontier per hop, up to max_hops or, without it, until nothing new is reached; nodes already seen drop out, so cycles end. The distinct
+    edges are made once, and the frontier is written to the shared folder per hop, which keeps plans short.
     """
     spark = edges.sparkSession
     a, b = ("source_node_id", "target_node_id") if direction == "downstream" else ("target_node_id", "source_node_id")
-    step = edges.select(F.col(a).alias("_from"), F.col(b).alias("node_id")).distinct()
+    step = written(edges.select(F.col(a).alias("_from"), F.col(b).alias("node_id")).distinct())
     kind = edges.schema[a].dataType.simpleString()
     found = spark.createDataFrame([(x,) for x in start], f"node_id {kind}").select("node_id", F.lit(0).alias("hop"), F.col("node_id").cast("string").alias("path"))
-    root = checkpoint_dir or spark.conf.get("spark.checkpoint.dir", None)
-    frontier = found
-    for hop in range(1, max_hops + 1):
+    frontier, hop = found, 0
+    while max_hops is None or hop < max_hops:
+        hop += 1
         reached = frontier.select(F.col("node_id").alias("_from"), "path").join(step, "_from").groupBy("node_id").agg(F.min(F.concat("path", F.lit(">"), F.col("node_id").cast("string"))).alias("path"))
-        fresh = reached.join(found.select("node_id"), "node_id", "left_anti").select("node_id", F.lit(hop).alias("hop"), "path")
-        if root:
-            at = f"{root.rstrip('/')}/closure-{uuid.uuid4().hex}"
-            fresh.write.parquet(at)
-            fresh = spark.read.parquet(at)
-        else:
-            fresh = fresh.cache()
+        fresh = written(reached.join(found.select("node_id"), "node_id", "left_anti").select("node_id", F.lit(hop).alias("hop"), "path"))
         if fresh.isEmpty():
             break
         found, frontier = found.unionByName(fresh), fresh
@@ -102,11 +95,23 @@ def extract_refs(log: DataFrame, sql_col: str, key: str) -> DataFrame:
 
 
 def validate_refs(refs: DataFrame, tables: DataFrame, most: int = 5) -> DataFrame:
-    """Distinct references that no table has, with up to `most` tables whose name holds the other's, in order. The catalog is small: it goes to every task."""
+    """Distinct references that no table has, with up to `most` tables whose name holds the other's, in order.
+
+    Where one name holds the other, the whole of the shorter one is a stretch of the longer: each name is joined by equality with the stretches of the
+    names on the other side, so no pair is looked at in vain. Names are short; a name of n characters has n (n + 1) / 2 stretches.
+    """
     names = refs.select("table_name").distinct()
     lost = names.join(tables.select(F.upper("table_name").alias("table_name")), "table_name", "left_anti")
-    near = tables.select(F.upper("table_name").alias("_c")).distinct()
-    both = lost.join(F.broadcast(near), F.expr("contains(table_name, _c) or contains(_c, table_name)"), "left")
+    near = tables.select(F.upper("table_name").alias("_c")).filter("length(_c) > 0").distinct()
+
+    def stretches(df: DataFrame, name: str) -> DataFrame:
+        n = F.length(name)
+        starts = df.filter(n > 0).select(name, F.explode(F.sequence(F.lit(1), n)).alias("_s"))
+        return starts.select(name, F.explode(F.sequence(F.lit(1), n - F.col("_s") + 1)).alias("_n"), "_s").select(name, F.substring(F.col(name), F.col("_s"), F.col("_n")).alias("_part")).distinct()
+
+    inside = stretches(lost, "table_name").join(near.withColumn("_part", F.col("_c")), "_part").select("table_name", "_c")
+    around = stretches(near, "_c").join(lost.withColumn("_part", F.col("table_name")), "_part").select("table_name", "_c")
+    both = lost.join(inside.union(around).distinct(), "table_name", "left")
     return both.groupBy("table_name").agg(F.array_join(F.slice(F.sort_array(F.collect_set("_c")), 1, most), ", ").alias("suggestions"))
 
 
@@ -161,20 +166,23 @@ def run_dashboard(executions: DataFrame, now: str) -> DataFrame:
 
     out = lambda c, k: F.try_variant_get(F.try_parse_json(c), f"$.{k}", "long")
     end = F.coalesce("completed_at", F.lit(now).cast("timestamp_ntz"))
-    return executions.withColumn("_end", end).select("execution_id", "status", out("planner_output", "tables_planned").alias("tables_planned"), out("executor_output", "success_count").alias("succeeded"), out("validator_output", "failed").alias("failed"), second_diff("started_at", "_end").cast("long").alias("duration_s"))
+    counts = {"tables_triggered": ("planner_output", "tables_planned"), "executions_succeeded": ("executor_output", "success_count"), "executions_failed": ("executor_output", "fail_count"), "validations_passed": ("validator_output", "passed_count"), "validations_failed": ("validator_output", "failed_count"), "learnings_captured": ("reflector_output", "learnings_count")}
+    return executions.withColumn("_end", end).select("execution_id", "workflow_name", "trigger_type", "status", "current_phase", *(out(*v).alias(k) for k, v in counts.items()), "retry_count", second_diff("started_at", "_end").cast("long").alias("duration_seconds"), "started_at", "completed_at", "last_error")
 
 
-def similar_items(vectors: DataFrame, queries: DataFrame, k: int, query_most: int = 10_000) -> DataFrame:
+def similar_items(vectors: DataFrame, queries: DataFrame, k: int, query_bytes: int = 64 << 20) -> DataFrame:
     """The k most similar vectors of each query by cosine, the query itself left out. Vectors and queries: (vec_id, embedding).
 
-    Queries are counted first: up to query_most go to every task; more are compared in that many at a time.
+    Vectors are brought to length one once. Queries are measured first: up to query_bytes of them go to every task; more are compared in blocks of about that many.
+    The k best of each task's rows are chosen before any are shuffled.
     """
-    total = queries.count()
-    parts, out = max(1, -(-total // query_most)), None
+    size = queries.agg(F.sum(8 * F.size("embedding"))).first()[0] or 0
+    parts, out = max(1, -(-size // query_bytes)), None
+    whole = vectors.select("vec_id", unit("embedding").alias("_v"))
+    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc_nulls_last(), "vec_id")
     for p in range(parts):
-        some = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == p).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("_q"))
-        scored = vectors.join(F.broadcast(some), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(cosine("_q", "embedding"), 6).alias("similarity"))
-        w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc_nulls_last(), "vec_id")
+        some = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == p).select(F.col("vec_id").alias("query_id"), unit("embedding").alias("_q"))
+        scored = whole.join(F.broadcast(some), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot("_q", "_v"), 6).alias("similarity"))
         best = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
         out = best if out is None else out.unionByName(best)
     return out

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeutil import as_date
+from tidemark.sources.shared import written
 
 #: A rules table with more rows is not broadcast.
 RULES_MOST = 100_000
@@ -43,8 +44,11 @@ def pattern_join(df: DataFrame, rules: DataFrame, name: str, pattern: str, how:
         return inner
     if how == "left_semi":
         return inner.select(*df.columns).distinct()
+    alone = df.join(inner.select(name).distinct(), name, "left_anti").select(*df.columns)
     if how == "left_anti":
-        return df.join(inner.select(name).distinct(), name, "left_anti").select(*df.columns)
+        return alone
+    if how == "left":
+        return inner.unionByName(alone, allowMissingColumns=True)
     raise ValueError(how)
 
 
@@ -78,13 +82,16 @@ def top_k(df: DataFrame, by: str, k: int, tiebreak: list[str]) -> DataFrame:
 
 
 def running_number(df: DataFrame, order: list[Column | str]) -> DataFrame:
-    """Row numbers over a total order without one sorting task: rows are dealt by range, numbered within, and offset by the sizes before."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number: both uses below see the same ranges
-    dealt = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    """Row numbers over a total order without one sorting task: rows are dealt by range, numbered within, and offset by the sizes before.
+
+    The dealt rows are written once: sizes and numbers must come from the same ranges, and a range exchange that is planned twice samples its bounds twice.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
     sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).select("_part", F.coalesce("_before", F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return dealt.join(F.broadcast(before), "_part").withColumn("seq", within.cast("long") + F.col("_before")).drop("_part", "_before")
+    return dealt.join(F.broadcast(before), "_part").withColumn("seq", within.cast("long") + F.col("_before")).drop("_part", "_before")  # a row for each range
 
 
 def scalar_counts(**tables: DataFrame) -> DataFrame:

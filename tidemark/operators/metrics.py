@@ -63,33 +63,41 @@ def sales_view(orders: DataFrame, customers: DataFrame) -> MetricView:
 
 
 def question(name: str, sales: MetricView, c360: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
-    """Canned questions: aov_by_segment, trend, at_risk, best_sellers, open_tickets."""
+    """Canned questions: aov_by_segment, trend, at_risk, best_sellers, enterprise_at_risk, open_tickets."""
     if name == "aov_by_segment":
         return sales.query(["segment"], ["orders", "aov"])
     if name == "trend":
         return sales.query(["month", "segment"], ["orders", "revenue"])
     if name == "at_risk":
-        return c360.filter("engagement_status = 'DORMANT' and lifetime_value > 0").select("customer_id", "segment", "lifetime_value", "days_since_last_order")
+        return c360.filter("engagement_status = 'DORMANT' and lifetime_value > 0").select("customer_id", "segment", "lifetime_value", "recency_days")
     if name == "best_sellers":
-        return products.orderBy(F.col("revenue").desc_nulls_last(), "product_id").select("product_id", "product_name", "revenue").limit(10)
+        return products.filter("is_active").orderBy(F.col("total_revenue").desc_nulls_last(), "product_id").select("product_id", "product_name", "category", "units_sold", "total_revenue", "unique_customers").limit(10)
+    if name == "enterprise_at_risk":
+        return c360.filter("segment = 'ENTERPRISE' and engagement_status = 'AT_RISK'").orderBy(F.col("lifetime_value").desc_nulls_last(), "customer_id").select("customer_id", "full_name", "company_name", "lifetime_value", "days_since_last_order", "engagement_status")
     if name == "open_tickets":
         return c360.filter("open_tickets > 0").select("customer_id", "open_tickets")
     raise KeyError(name)
 
 
-def churn_insights(c360: DataFrame, log: DataFrame, as_of: str, value_cuts: tuple[float, float] = (50_000, 10_000), days: int = 90, quiet: int = 7) -> DataFrame:
-    """Customers without an order for more than `days`: severity by recency and value, a text, and the figures as JSON; none with a churn insight in the last `quiet` days."""
-    recency, value = F.col("days_since_last_order"), F.col("lifetime_value")
-    severity = F.when((recency > 2 * days) & (value >= value_cuts[0]), "CRITICAL").when((recency > 2 * days) | (value >= value_cuts[0]), "HIGH").when(value >= value_cuts[1], "MEDIUM").otherwise("LOW")
-    text = F.concat(F.lit("No order for "), recency.cast("string"), F.lit(" days"))
-    data = F.to_json(F.struct(value.cast("string").alias("lifetime_value"), recency.alias("days"), F.col("total_orders")))
-    found = c360.filter(recency > days).select("customer_id", F.lit("CHURN_RISK").alias("insight_type"), severity.alias("insight_severity"), text.alias("recommendation"), data.alias("supporting_data"))
-    return suppress_recent(found, log.filter("insight_type = 'CHURN_RISK'"), "customer_id", "generated_at", quiet, as_of)
+# Insight types and texts.
+CHURN, UPSELL = "CHURN_RISK", "UPSELL_OPPORTUNITY"
+CHURN_TEXTS = ("URGENT: Schedule executive call - high value customer at risk", "Send personalized re-engagement email with special offer", "Monitor - proactive check-in recommended")
+UPSELL_TEXT = "Customer shows growth potential - recommend premium tier upgrade"
 
 
-def upsell_insights(c360: DataFrame, log: DataFrame, as_of: str, segments: tuple[str, ...], least_orders: int = 3, quiet: int = 30) -> DataFrame:
-    """Recently active customers of the given segments with enough orders; none with an upsell insight in the last `quiet` days."""
-    found = c360.filter(F.col("engagement_status").isin("HOT", "WARM") & F.col("segment").isin(*segments) & (F.col("total_orders") >= least_orders))
-    text = F.concat(F.lit("Offer a higher tier to segment "), F.col("segment"))
-    out = found.select("customer_id", F.lit("UPSELL").alias("insight_type"), F.lit("MEDIUM").alias("insight_severity"), text.alias("recommendation"))
-    return suppress_recent(out, log.filter("insight_type = 'UPSELL'"), "customer_id", "generated_at", quiet, as_of)
+def churn_insights(c360: DataFrame, log: DataFrame, as_of: str, value_cut: float = 50_000, quiet: int = 7) -> DataFrame:
+    """Customers at risk or cooling: severity by days without an order and value, a text, and the figures as JSON; none with a churn insight in the last `quiet` days."""
+    days, value = F.col("days_since_last_order"), F.col("lifetime_value")
+    severity = F.when((days > 90) & (value > value_cut), "HIGH").when(days > 60, "MEDIUM").otherwise("LOW")
+    text = F.when(days > 90, CHURN_TEXTS[0]).when(days > 60, CHURN_TEXTS[1]).otherwise(CHURN_TEXTS[2])
+    data = F.to_json(F.struct(days.alias("days_inactive"), value.alias("lifetime_value"), "segment"))
+    found = c360.filter(F.col("engagement_status").isin("AT_RISK", "COOLING")).select("customer_id", F.lit(CHURN).alias("insight_type"), severity.alias("insight_severity"), text.alias("recommendation"), data.alias("supporting_data"))
+    return suppress_recent(found, log.filter(F.col("insight_type") == CHURN), "customer_id", "generated_at", quiet, as_of)
+
+
+def upsell_insights(c360: DataFrame, log: DataFrame, as_of: str, tier: str = "SMB", least_orders: int = 3, quiet: int = 30) -> DataFrame:
+    """Hot customers of the lowest revenue tier with enough orders; none with an upsell insight in the last `quiet` days."""
+    found = c360.filter((F.col("engagement_status") == "HOT") & (F.col("revenue_tier") == tier) & (F.col("total_orders") >= least_orders))
+    data = F.to_json(F.struct(F.col("revenue_tier").alias("current_tier"), F.col("total_orders").alias("order_frequency"), F.round("avg_order_value", 2).cast("decimal(18,2)").alias("avg_order_value")))
+    out = found.select("customer_id", F.lit(UPSELL).alias("insight_type"), F.lit("MEDIUM").alias("insight_severity"), F.lit(UPSELL_TEXT).alias("recommendation"), data.alias("supporting_data"))
+    return suppress_recent(out, log.filter(F.col("insight_type") == UPSELL), "customer_id", "generated_at", quiet, as_of)

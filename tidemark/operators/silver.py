@@ -45,15 +45,15 @@ def full_name(first: str, last: str, null_safe: bool = False) -> Column:
 
 
 # Company-name patterns and segments, first match wins.
-SEGMENT_PATTERNS = (("%corp%", "ENTERPRISE"), ("%global%", "ENTERPRISE"), ("%inc%", "MID_MARKET"), ("%solutions%", "MID_MARKET"), ("%startup%", "STARTUP"))
+SEGMENT_PATTERNS = (("%enterprise%", "ENTERPRISE"), ("%corp%", "ENTERPRISE"), ("%startup%", "STARTUP"), ("%labs%", "STARTUP"))
 
 
-def derive_segment(col: str, patterns=SEGMENT_PATTERNS, default: str = "SMB") -> Column:
+def derive_segment(col: str, patterns=SEGMENT_PATTERNS, default: str = "MID-MARKET") -> Column:
     first = F.when(F.col(col).ilike(patterns[0][0]), patterns[0][1])
     return reduce(lambda c, p: c.when(F.col(col).ilike(p[0]), p[1]), patterns[1:], first).otherwise(default)
 
 
-def revenue_tier(col: str, cuts: tuple[int, int] = (1_000_000, 100_000), names=("ENTERPRISE", "MID_MARKET", "SMB")) -> Column:
+def revenue_tier(col: str, cuts: tuple[int, int] = (1_000_000, 100_000), names=("ENTERPRISE", "MID-MARKET", "SMB")) -> Column:
     return F.when(F.col(col) >= cuts[0], names[0]).when(F.col(col) >= cuts[1], names[1]).otherwise(names[2])
 
 
@@ -63,12 +63,12 @@ def order_calendar(df: DataFrame, as_of: str, day: str = "order_date") -> DataFr
 
 
 def product_margin(df: DataFrame, basis: str = "cost", price: str = "price", cost: str = "cost") -> DataFrame:
-    """margin, and margin_pct on cost (0 without a positive cost) or on price (rounded to cents)."""
-    margin = F.col(price) - F.col(cost)
+    """margin and margin_pct. On cost: a missing cost counts as none in the margin, and the percentage is 0 without a positive cost. On price: both null without a cost, the percentage rounded to cents, 0 without a positive price."""
     if basis == "cost":
-        pct = F.when(F.col(cost) > 0, F.round(margin / F.col(cost) * 100, 4)).otherwise(F.lit(0))
-        return df.withColumn("margin", margin).withColumn("margin_pct", pct.cast("decimal(18,4)"))
-    return df.withColumn("margin", margin).withColumn("margin_pct", F.round(F.try_divide(margin, F.col(price)) * 100, 2).cast("decimal(18,2)"))
+        pct = F.when(F.col(cost) > 0, F.round((F.col(price) - F.col(cost)) / F.col(cost) * 100, 4)).otherwise(F.lit(0))
+        return df.withColumn("margin", F.col(price) - F.coalesce(F.col(cost), F.lit(0).cast(df.schema[cost].dataType))).withColumn("margin_pct", pct.cast("decimal(18,4)"))
+    margin = F.col(price) - F.col(cost)
+    return df.withColumn("margin", margin).withColumn("margin_pct", F.when(F.col(price) > 0, F.round(margin * 100 / F.col(price), 2)).otherwise(F.lit(0)).cast("decimal(18,2)"))
 
 
 def line_totals(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timeutil import as_date, day_diff, ratio
 from tidemark.operators.joins import running_number
+from tidemark.sources.shared import written
 
 
 def daily(df: DataFrame, day: str, dim: str, measure: Column, n: str = "n", total: str = "total") -> DataFrame:
@@ -36,8 +37,8 @@ def lag_features(spine: DataFrame, dim: str, lags: tuple[int, ...] = (1, 7), col
 def percent_ranks(df: DataFrame, value: str, out: str) -> DataFrame:
     """percent_rank over the whole table without one sorting task: distinct values are counted, numbered by ranges, and joined back."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number: both uses below see the same ranges
-    dealt = counts.repartitionByRange(n, value).sortWithinPartitions(value).withColumn("_part", F.spark_partition_id())
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(counts.repartitionByRange(n, value).withColumn("_part", F.spark_partition_id()))  # once: both uses below must see the same ranges
     before_part = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = dealt.groupBy("_part").agg(F.sum("_n").alias("_size")).withColumn("_base", F.coalesce(F.sum("_size").over(before_part), F.lit(0)))
     total = df.agg(F.count(value).alias("_total"))
@@ -63,8 +64,8 @@ def ntiles(df: DataFrame, order: list[Column], key: str, n: int, out: str) -> Da
 
 def rfm_score(c360: DataFrame, n: int = 5) -> DataFrame:
     """Quantiles of recency (recent is high), frequency and value, and their digits side by side."""
-    some = c360.filter("last_order is not null")
-    axes = {"r": [-F.col("days_since_last_order")], "f": [F.col("total_orders")], "m": [F.col("lifetime_value")]}
+    some = c360.filter("last_order_date is not null")
+    axes = {"r": [-F.col("recency_days")], "f": [F.col("total_orders")], "m": [F.col("lifetime_value")]}
     out = some.select("customer_id")
     for name, order in axes.items():
         out = out.join(ntiles(some, order, "customer_id", n, name), "customer_id")
@@ -74,7 +75,7 @@ def rfm_score(c360: DataFrame, n: int = 5) -> DataFrame:
 def churn_signals(c360: DataFrame, tickets: DataFrame, as_of: str, tickets_as_of: str, tau: float = 30.0) -> DataFrame:
     """At risk from 60 days without an order, tickets of the last 30 days, and engagement that decays as exp(-days / tau)."""
     recent = tickets.filter(F.col("created_at").cast("date") > F.date_sub(as_date(tickets_as_of), 30)).groupBy("customer_id").agg(F.count("*").alias("tickets_30d"))
-    days = F.col("days_since_last_order")
+    days = F.col("recency_days")
     return c360.join(recent, "customer_id", "left").select("customer_id", F.coalesce(days >= 60, F.lit(True)).alias("at_risk"), F.coalesce("tickets_30d", F.lit(0)).alias("tickets_30d"), F.round(F.coalesce(F.exp(-days / tau), F.lit(0.0)), 6).alias("engagement_decay"))
 
 

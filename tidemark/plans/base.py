@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.bindings import oracle
+from tidemark.sources.shared import scratch  # noqa: F401  (queries take it from here)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,9 +21,3 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return register
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder under the shared one; only without that (tests) a local one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root.rstrip('/')}/work-{uuid.uuid4().hex}"

@@ -19,10 +19,12 @@ ENTITIES: dict[str, tuple[str, list[str], str]] = {
         "CAST(c_acctbal * 1000 AS DECIMAL(15,2)) AS annual_revenue",
         "CASE WHEN c_acctbal >= 7000 THEN 'GOLD' WHEN c_acctbal >= 3000 THEN 'SILVER' ELSE 'BRONZE' END AS loyalty_tier",
         "c_nationkey % 4 <> 0 AS is_active", "DATE '1995-01-01' + CAST(c_custkey % 1000 AS INT) AS created_at",
+        "concat('+1-555-', CAST(c_custkey AS STRING)) AS phone", "DATE '1998-01-01' + CAST(c_nationkey AS INT) AS updated_at", "CASE WHEN c_acctbal < -900 THEN true WHEN c_acctbal > 9900 THEN NULL ELSE false END AS is_deleted",
     ], "true"),
     "products": ("part", [
         "p_partkey AS product_id", "p_name AS product_name", "p_type AS category", "CAST(p_retailprice AS DECIMAL(10,2)) AS price",
         "CASE WHEN p_size % 10 = 0 THEN NULL ELSE CAST(p_size * 10 AS DECIMAL(10,2)) END AS cost", "concat(p_brand, '-', CAST(p_partkey AS STRING)) AS sku", "p_size <= 40 AS active",
+        "DATE '1996-01-01' + CAST(p_size AS INT) AS updated_at", "CASE WHEN p_size = 50 THEN true WHEN p_size = 49 THEN NULL ELSE false END AS is_deleted",
     ], "true"),
     "sales": ("orders", [
         "o_orderkey AS order_id", "o_custkey AS customer_id", "CAST(o_orderdate AS DATE) AS order_date",
@@ -35,9 +37,10 @@ ENTITIES: dict[str, tuple[str, list[str], str]] = {
     "user_events": ("events", [
         "event_id", "user_id", "event_type", "ts",
         "min(CASE WHEN event_type = 'purchase' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS resolved_at",
+        "min(CASE WHEN event_type <> 'error' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS first_response_at",
     ], "true"),
     "tickets": ("user_events", [
-        "event_id AS ticket_id", "user_id AS customer_id", "ts AS created_at", "resolved_at", "CASE WHEN resolved_at IS NULL THEN 'open' ELSE 'resolved' END AS status",
+        "event_id AS ticket_id", "user_id AS customer_id", "ts AS created_at", "resolved_at", "first_response_at", "CASE WHEN resolved_at IS NULL THEN 'open' ELSE 'resolved' END AS status",
         "CASE event_id % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS priority",
     ], "event_type = 'error'"),
     # soft-delete change log: a later version of a line per ship date, removed ones flagged

@@ -23,9 +23,6 @@ def q2(spark, d):
     return quality.field_profile(entity(spark, d, "products"), ["product_id", "category", "cost", "active"])
 
 
-PAIRS = [("a", 100, 97), ("b", 100, 80), ("c", 0, 5), ("d", 7, 7)]
-
-
 @query("q3_check_row_count", """WITH p AS (SELECT o_orderstatus AS table_name, count(*) AS s, count(*) FILTER (o_orderkey % 20 <> 0 OR o_orderstatus = 'F') AS t FROM orders GROUP BY 1)
 SELECT table_name, s AS source_rows, t AS target_rows, round(CAST(abs(s - t) AS DOUBLE) * 100 / nullif(s, 0), 4) AS variance_pct, round(CAST(abs(s - t) AS DOUBLE) * 100 / nullif(s, 0), 4) < 5 AS passed FROM p""")
 def q3(spark, d):
@@ -111,7 +108,7 @@ def d1(spark, d):
     return evolve.discover_schema(entity(spark, d, "payloads").select(F.try_parse_json("payload_json").alias("payload")))
 
 
-@query("d1_discover_schema_packed", " UNION ALL ".join(f"SELECT '{c}' AS key, count({c}) AS occurrences, count(DISTINCT {c}) AS distinct_values, round((1 - CAST(count({c}) AS DOUBLE) / count(*)) * 100, 4) AS null_pct FROM products" for c in ("product_id", "product_name", "category", "price", "cost", "sku", "active")))
+@query("d1_discover_schema_packed", " UNION ALL ".join(f"SELECT '{c}' AS key, count({c}) AS occurrences, count(DISTINCT {c}) AS distinct_values, round((1 - CAST(count({c}) AS DOUBLE) / count(*)) * 100, 4) AS null_pct FROM products" for c in ("product_id", "product_name", "category", "price", "cost", "sku", "active", "updated_at", "is_deleted")))
 def d1_packed(spark, d):
     got = evolve.discover_schema(_packed(spark, d))
     # a decimal without a fraction reads as an integer, so a key can have two kinds
@@ -211,7 +208,7 @@ def _catalog(spark, d):
     return counts, cols.select(F.split_part("table_name", F.lit("."), F.lit(1)).alias("schema_name"), F.split_part("table_name", F.lit("."), F.lit(2)).alias("table_name"), F.upper("column_name").alias("column_name"), "data_type", "ordinal")
 
 
-NODE_COUNTS = "SELECT 'DATABASE' AS node_type, 1 AS n UNION ALL SELECT 'SCHEMA', 2 UNION ALL SELECT 'TABLE', 3 UNION ALL SELECT 'COLUMN', 22"
+NODE_COUNTS = "SELECT 'DATABASE' AS node_type, 1 AS n UNION ALL SELECT 'SCHEMA', 2 UNION ALL SELECT 'TABLE', 3 UNION ALL SELECT 'COLUMN', 27"
 
 
 @query("g1_build_nodes", f"{NODE_COUNTS}")
@@ -225,7 +222,7 @@ def g1_props(spark, d):
     return n.select("node_id", F.get_json_object("properties", "$.layer").alias("layer"), F.get_json_object("properties", "$.row_count").cast("long").alias("row_count"))
 
 
-@query("g2_build_edges", "SELECT 'CONTAINS' AS edge_type, 3 AS n UNION ALL SELECT 'HAS_COLUMN', 22")
+@query("g2_build_edges", "SELECT 'CONTAINS' AS edge_type, 3 AS n UNION ALL SELECT 'HAS_COLUMN', 27")
 def g2(spark, d):
     return graph.build_edges(graph.build_nodes(*_catalog(spark, d), "ANALYTICS")).groupBy("edge_type").agg(F.count("*").alias("n"))
 
@@ -306,15 +303,15 @@ def g12(spark, d):
     return graph.coverage_gaps(lineage, tables)
 
 
-@query("g14_merge_learnings", """WITH n AS (SELECT user_id, event_id, CAST(event_id % 100 AS DOUBLE) / 100 AS c, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i, count(*) OVER (PARTITION BY user_id) AS k FROM events WHERE event_id % 97 = 0),
-b AS (SELECT user_id, max(k) AS k, sum(c / pow(2, k - i + 1)) AS s, max(CASE WHEN i = 1 THEN c END) AS f FROM n GROUP BY 1), t AS (SELECT DISTINCT user_id FROM events WHERE user_id < 40)
+@query("g14_merge_learnings", """WITH n AS (SELECT user_id, event_id, CAST(event_id % 100 AS DOUBLE) / 100 AS c, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i, count(*) OVER (PARTITION BY user_id) AS k FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'),
+b AS (SELECT user_id, max(k) AS k, sum(c / pow(2, k - i + 1)) AS s, max(CASE WHEN i = 1 THEN c END) AS f FROM n GROUP BY 1), t AS (SELECT DISTINCT user_id FROM events WHERE ts < TIMESTAMP '2024-01-03 00:00:00')
 SELECT 'u' || coalesce(t.user_id, b.user_id) AS pattern_signature, coalesce(CASE WHEN t.user_id IS NOT NULL THEN 3 END, 0) + coalesce(b.k, 0) AS times_observed,
  round(CASE WHEN b.user_id IS NULL THEN 0.5 WHEN t.user_id IS NULL THEN s + f / pow(2, k) ELSE 0.5 / pow(2, k) + s END, 6) AS confidence_score FROM t FULL OUTER JOIN b ON t.user_id = b.user_id""")
 def g14(spark, d):
     e = entity(spark, d, "events")
     sign = F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("pattern_signature")
-    target = e.filter("user_id < 40").select(sign).distinct().select("pattern_signature", F.lit(3).cast("long").alias("times_observed"), F.lit(0.5).alias("confidence_score"))
-    new = e.filter("event_id % 97 = 0").select(sign, ((F.col("event_id") % 100).cast("double") / 100).alias("confidence_score"), F.col("event_id").alias("seq"))
+    target = e.filter("ts < timestamp_ntz'2024-01-03 00:00:00'").select(sign).distinct().select("pattern_signature", F.lit(3).cast("long").alias("times_observed"), F.lit(0.5).alias("confidence_score"))
+    new = e.filter("ts >= timestamp_ntz'2024-01-10 00:00:00'").select(sign, ((F.col("event_id") % 100).cast("double") / 100).alias("confidence_score"), F.col("event_id").alias("seq"))
     return graph.merge_learnings(target, new)
 
 
@@ -325,18 +322,22 @@ def g15(spark, d):
     return graph.active_directives(directives, entity(spark, d, "part").select(F.col("p_type").alias("table_name")).distinct())
 
 
-@query("g16_run_dashboard", """SELECT ticket_id AS execution_id, status, customer_id AS tables_planned, ticket_id % 7 AS succeeded, CAST(NULL AS BIGINT) AS failed, CAST(date_diff('second', created_at, coalesce(resolved_at, TIMESTAMP '2024-01-31 00:00:00')) AS BIGINT) AS duration_s FROM tickets""")
+@query("g16_run_dashboard", """SELECT ticket_id AS execution_id, 'workflow' AS workflow_name, priority AS trigger_type, status, 'reflect' AS current_phase, customer_id AS tables_triggered, ticket_id % 7 AS executions_succeeded, ticket_id % 3 AS executions_failed, CAST(NULL AS BIGINT) AS validations_passed, CAST(NULL AS BIGINT) AS validations_failed,
+ ticket_id % 5 AS learnings_captured, CAST(ticket_id % 4 AS INT) AS retry_count, CAST(date_diff('second', created_at, coalesce(resolved_at, TIMESTAMP '2024-01-31 00:00:00')) AS BIGINT) AS duration_seconds, created_at AS started_at, resolved_at AS completed_at, CAST(NULL AS STRING) AS last_error FROM tickets""")
 def g16(spark, d):
-    t = entity(spark, d, "tickets")
-    runs = t.select(F.col("ticket_id").alias("execution_id"), "status", F.to_json(F.struct(F.col("customer_id").alias("tables_planned"))).alias("planner_output"), F.to_json(F.struct((F.col("ticket_id") % 7).alias("success_count"))).alias("executor_output"), F.lit("not json").alias("validator_output"), F.col("created_at").alias("started_at"), F.col("resolved_at").alias("completed_at"))
+    t, n = entity(spark, d, "tickets"), F.col("ticket_id")
+    runs = t.select(
+        n.alias("execution_id"), F.lit("workflow").alias("workflow_name"), F.col("priority").alias("trigger_type"), "status", F.lit("reflect").alias("current_phase"), F.to_json(F.struct(F.col("customer_id").alias("tables_planned"))).alias("planner_output"),
+        F.to_json(F.struct((n % 7).alias("success_count"), (n % 3).alias("fail_count"))).alias("executor_output"), F.lit("not json").alias("validator_output"), F.to_json(F.struct((n % 5).alias("learnings_count"))).alias("reflector_output"),
+        (n % 4).cast("int").alias("retry_count"), F.col("created_at").alias("started_at"), F.col("resolved_at").alias("completed_at"), F.lit(None).cast("string").alias("last_error"))
     return graph.run_dashboard(runs, "2024-01-31 00:00:00")
 
 
-@query("v1_similar_items", """WITH s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id < 10),
+@query("v1_similar_items", """WITH s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC NULLS LAST, vec_id) AS INT) AS rank FROM s) SELECT query_id, vec_id, round(similarity, 4) AS similarity, rank FROM r WHERE rank <= 5""")
 def v1(spark, d):
     e = entity(spark, d, "embeddings").select("vec_id", "embedding")
-    return graph.similar_items(e, e.filter("vec_id < 10"), 5).withColumn("similarity", F.round("similarity", 4))
+    return graph.similar_items(e, e.filter("vec_id % 50 = 0"), 5).withColumn("similarity", F.round("similarity", 4))
 
 
 def _folder(spark, d, parts):
@@ -355,7 +356,7 @@ def r1(spark, d):
     return spark.read.parquet(f"{at}/out").agg(F.count("*").alias("n"), F.sum("line_total").alias("total"))
 
 
-@query("r2_pending_rows", "SELECT count(*) AS pending, count(*) > 0 AS has_data FROM line_changes WHERE _updated_at > DATE '1998-01-01'")
+@query("r2_pending_rows", "SELECT count(*) AS pending, count(*) > 0 AS has_data FROM line_changes WHERE _updated_at >= DATE '1998-01-01'")
 def r2(spark, d):
     import datetime
 
@@ -383,19 +384,31 @@ def r6(spark, d):
     return streaming.stream_gold(stream, ["month"], lambda x: x.groupBy("month").agg(F.count("*").alias("n"), F.sum("line_total").cast("decimal(18,2)").alias("total")), f"{at}/rows", f"{at}/gold", f"{at}/cp").latest()
 
 
-@query("r7_process_incremental", "SELECT 'lines' AS table_name, max(_updated_at) AS last_ts, 100 + count(*) FILTER (_updated_at > DATE '1998-01-01') AS rows_processed FROM line_changes")
+@query("r5_stream_latest_stateful", LIVE)
+def r5(spark, d):
+    at, schema = _folder(spark, d, 4)
+    got = streaming.latest_stateful(streaming.stream_changes(spark, f"{at}/in", schema, 1), KEYS, TOTAL, f"{at}/out", f"{at}/cp")
+    return cdc.live(got).drop("_deleted")
+
+
+@query("r7_process_incremental", "SELECT 'lines' AS table_name, max(_updated_at) AS last_ts, 100 + count(*) FILTER (_updated_at >= DATE '1998-01-01') AS rows_processed FROM line_changes")
 def r7(spark, d):
-    marks = spark.createDataFrame([("lines", 100)], "table_name string, rows_processed long").select("table_name", F.lit("1998-01-01").cast("date").alias("last_ts"), "rows_processed")
-    return streaming.process_incremental(entity(spark, d, "line_changes"), marks, "lines", "_updated_at", lambda x: x)[1]
+    marks = spark.createDataFrame([("lines", 100)], "table_name string, rows_processed long").select("table_name", F.lit("1998-01-01").cast("date").alias("last_ts"), F.array().cast("array<long>").alias("seen"), "rows_processed")
+    return streaming.process_incremental(entity(spark, d, "line_changes"), marks, "lines", "_updated_at", lambda x: x)[1].drop("seen")
 
 
-@query("r8_stage_latency", "WITH s AS (SELECT 0 AS position, 'landing' AS stage, max(ts) AS t FROM events UNION ALL SELECT 1, 'bronze', max(ts) FROM events WHERE event_id % 3 = 0 UNION ALL SELECT 2, 'silver', max(ts) FROM events WHERE event_id % 1000 = 0) SELECT position, stage, CAST(date_diff('second', t, lag(t) OVER (ORDER BY position)) AS BIGINT) AS lag_s FROM s")
+@query("r8_stage_latency", "WITH s AS (SELECT 0 AS position, 'landing' AS stage, max(ts) AS t FROM events UNION ALL SELECT 1, 'bronze', max(ts) FROM events WHERE event_type <> 'signup' UNION ALL SELECT 2, 'silver', max(ts) FROM events WHERE event_type = 'purchase') SELECT position, stage, CAST(date_diff('second', t, lag(t) OVER (ORDER BY position)) AS BIGINT) AS lag_s FROM s")
 def r8(spark, d):
+    return streaming.stage_latency({n: (df, "ts") for n, df in _layers(spark, d).items()})
+
+
+def _layers(spark, d):
     e = entity(spark, d, "events")
-    return streaming.stage_latency({"landing": (e, "ts"), "bronze": (e.filter("event_id % 3 = 0"), "ts"), "silver": (e.filter("event_id % 1000 = 0"), "ts")})
+    bronze = e.filter("event_type <> 'signup'")
+    return {"landing": e, "bronze": bronze, "silver": bronze.filter("event_type = 'purchase'").groupBy("user_id").agg(F.max("ts").alias("ts"))}
 
 
-@query("r8_freshness", "SELECT CAST(date_diff('second', (SELECT max(ts) FROM events WHERE event_id % 1000 = 0), max(ts)) AS BIGINT) AS lag_s, date_diff('second', (SELECT max(ts) FROM events WHERE event_id % 1000 = 0), max(ts)) <= 300 AS within_sla FROM events")
+@query("r8_freshness", "SELECT CAST(date_diff('second', (SELECT max(ts) FROM events WHERE event_type = 'purchase'), max(ts)) AS BIGINT) AS lag_s, date_diff('second', (SELECT max(ts) FROM events WHERE event_type = 'purchase'), max(ts)) <= 300 AS within_sla FROM events")
 def r8_fresh(spark, d):
-    e = entity(spark, d, "events")
-    return streaming.freshness(e, e.filter("event_id % 1000 = 0"), "ts")
+    layers = _layers(spark, d)
+    return streaming.freshness(layers["landing"], layers["silver"], "ts")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -15,9 +15,10 @@ from tidemark.operators.cdc import live, merge_changes
 from tidemark.sources.landing import pack_bronze, upsert
 
 
-def stream_changes(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
-    """Files appended to a folder, as a stream; what lies there at the start is its first rows."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files_per_batch)).parquet(path)
+def stream_changes(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000, after: object = None) -> DataFrame:
+    """Files appended to a folder, as a stream. What lies there at the start is its first rows; with `after` (a time), only files written later count."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files_per_batch)).parquet(path)
+    return stream if after is None else stream.filter(F.col("_metadata.file_modification_time") > F.lit(after))
 
 
 def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> None:
@@ -35,9 +36,19 @@ def stream_bronze(stream: DataFrame, source_table: str) -> DataFrame:
     return pack_bronze(stream, source_table).select("payload_json", "source_table", "ingested_at")
 
 
-def pending_rows(df: DataFrame, since: object, ts: str) -> DataFrame:
-    """Rows after a checkpoint: their number, and whether there are any."""
-    return df.filter(F.col(ts) > F.lit(since)).agg(F.count("*").alias("pending")).withColumn("has_data", F.col("pending") > 0)
+def after_mark(df: DataFrame, ts: str, mark: Column, seen: Column) -> DataFrame:
+    """Rows later than a mark, and those of the mark's own time whose hash `seen` does not hold: a row that comes late with an equal time is not lost."""
+    return df.filter(mark.isNull() | (F.col(ts) > mark) | ((F.col(ts) == mark) & ~F.coalesce(F.array_contains(seen, row_hash(df)), F.lit(False))))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """What tells rows of one time apart."""
+    return F.xxhash64(*(F.col(f"`{c}`") for c in df.columns if not c.startswith("_mark")))
+
+
+def pending_rows(df: DataFrame, since: object, ts: str, seen: list[int] = ()) -> DataFrame:
+    """Rows after a checkpoint (a time, and the hashes of rows of that time that are done): their number, and whether there are any."""
+    return after_mark(df, ts, F.lit(since), F.array(*map(F.lit, seen)).cast("array<long>")).agg(F.count("*").alias("pending")).withColumn("has_data", F.col("pending") > 0)
 
 
 class Versions:
@@ -65,7 +76,11 @@ class Versions:
         return self.before(1 << 62)
 
     def write(self, df: DataFrame, n: int) -> None:
+        """Version n; those before the one that a replay of batch n would read go."""
         df.write.mode("overwrite").parquet(self.at(n))
+        for old in [i for i in self.ids() if i < n][:-1]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.at(old))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stream_latest(stream: DataFrame, keys: list[str], order: list[str], root: str, checkpoint: str) -> Versions:
@@ -96,7 +111,8 @@ class _Latest(StatefulProcessor):
         rank = lambda r: tuple((r[i] is None, 0 if r[i] is None else r[i]) for i in at)
         best = tuple(self.state.get()) if self.state.exists() else None
         for batch in rows:
-            clean = batch[names].astype(object).where(batch[names].notna(), None)
+            batch = batch.set_axis(names, axis=1)  # by place: names with a leading underscore come changed
+            clean = batch.astype(object).where(batch.notna(), None)
             for r in clean.itertuples(index=False, name=None):
                 if best is None or rank(r) > rank(best):
                     best = r
@@ -113,15 +129,32 @@ def stream_latest_stateful(stream: DataFrame, keys: list[str], order: list[str])
     return stream.groupBy(*keys).transformWithStateInPandas(_Latest(stream.schema, order), stream.schema, "Update", "None")
 
 
+def latest_stateful(stream: DataFrame, keys: list[str], order: list[str], root: str, checkpoint: str) -> DataFrame:
+    """The latest row of each key after all that is there, with keyed state; what each batch changes is appended under root, and the last change of a key counts."""
+    spark = stream.sparkSession
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        changed = stream_latest_stateful(stream, keys, order)
+        query = changed.writeStream.outputMode("update").foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{root}/batch={n}"))
+        query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    got = spark.read.schema(stream.schema).option("basePath", root).parquet(root)
+    return got.groupBy(*keys).agg(F.max_by(F.struct(*(c for c in stream.columns if c not in keys)), "batch").alias("_row")).select(*keys, "_row.*")
+
+
 def stream_gold(stream: DataFrame, group: list[str], aggregate: Callable[[DataFrame], DataFrame], rows_root: str, gold_root: str, checkpoint: str) -> Versions:
     """Rows appended; of the aggregate only the groups that a batch touches are reckoned again."""
-    spark = stream.sparkSession
+    spark, schema = stream.sparkSession, stream.schema
     gold = Versions(spark, gold_root)
 
     def each(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{rows_root}/batch={n}")
-        rows = spark.read.parquet(*[f"{rows_root}/batch={i}" for i in [*gold.ids(), n] if i <= n])
-        touched = batch.select(*group).distinct()
+        kept = spark.read.schema(schema).option("basePath", rows_root).parquet(rows_root)
+        rows = kept.filter(F.col("batch") <= n).drop("batch")
+        touched = spark.read.schema(schema).parquet(f"{rows_root}/batch={n}").select(*group).distinct()
         fresh = aggregate(rows.join(touched, group, "left_semi"))
         old = gold.before(n)
         gold.write(fresh if old is None else old.join(touched, group, "left_anti").unionByName(fresh), n)
@@ -131,11 +164,17 @@ def stream_gold(stream: DataFrame, group: list[str], aggregate: Callable[[DataFr
 
 
 def process_incremental(df: DataFrame, checkpoints: DataFrame, table: str, ts: str, fn: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(fn of the rows after the table's checkpoint, checkpoints advanced to the largest time seen). No new rows leave the checkpoint as it is."""
-    mark = checkpoints.filter(F.col("table_name") == table).select(F.max("last_ts").alias("_mark"))
-    new = df.crossJoin(F.broadcast(mark)).filter(F.col("_mark").isNull() | (F.col(ts) > F.col("_mark"))).drop("_mark")
-    seen = new.agg(F.max(ts).alias("last_ts"), F.count("*").alias("rows_processed")).filter("last_ts is not null").select(F.lit(table).alias("table_name"), "last_ts", "rows_processed")
-    return fn(new), upsert(checkpoints, seen, ["table_name"], {"rows_processed": lambda o, n: o + n})
+    """(fn of the rows after the table's checkpoint, checkpoints advanced to the largest time seen). No new rows leave the checkpoint as it is.
+
+    checkpoints: (table_name, last_ts, seen, rows_processed); seen holds the hashes of the rows of last_ts that are done, so that others of that time count as new.
+    """
+    mark = checkpoints.filter(F.col("table_name") == table).groupBy().agg(F.max_by(F.struct("last_ts", "seen"), "last_ts").alias("_mark"))
+    new = after_mark(df.crossJoin(F.broadcast(mark)), ts, F.col("_mark.last_ts"), F.col("_mark.seen"))  # one row
+    top = new.agg(F.max(ts).alias("last_ts"), F.count("*").alias("rows_processed")).filter("last_ts is not null")
+    at_top = new.join(F.broadcast(top), F.col(ts) == F.col("last_ts")).groupBy("last_ts", "rows_processed").agg(F.collect_set(row_hash(df)).alias("_new"), F.first(F.when(F.col("_mark.last_ts") == F.col("last_ts"), F.col("_mark.seen"))).alias("_old"))
+    none = F.array().cast("array<long>")
+    done = at_top.select(F.lit(table).alias("table_name"), "last_ts", F.sort_array(F.array_union("_new", F.coalesce("_old", none))).alias("seen"), "rows_processed")
+    return fn(new.drop("_mark")), upsert(checkpoints, done, ["table_name"], {"rows_processed": lambda o, n: o + n})
 
 
 def stage_latency(stages: dict[str, tuple[DataFrame, str]]) -> DataFrame:
