@@ -28,8 +28,9 @@ def read_landing(spark: SparkSession, path: str, entity: str) -> DataFrame:
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, parts: int = 16, **options: str) -> DataFrame:
     """A source table over JDBC, in ranges of a numeric key between its least and greatest value."""
     reader = spark.read.format("jdbc").options(url=url, **options)
-    low, high = reader.option("query", f"SELECT min({key}) AS low, max({key}) AS high FROM {table}").load().first()
-    whole = reader.option("dbtable", table)
+    name = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(key)
+    low, high = reader.option("query", f"SELECT min({name}) AS low, max({name}) AS high FROM {table}").load().first()
+    whole = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
     if low is None:
         return whole.load()
     return whole.options(partitionColumn=key, lowerBound=str(low), upperBound=str(high + 1), numPartitions=str(parts), fetchsize="10000").load()
