@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, filtered
+from tidemark.llm.common import blocks, filtered, table
 
 Q = 10
 #: Edits allowed, as a part of the item's length; less where the lemma would leave no shared q-gram.
@@ -18,6 +18,8 @@ BUDGET = 0.06
 #: Characters of benchmark text in one index, which goes to every task; a larger benchmark is dealt to several indexes, one after another.
 INDEX_CHARS = 8_000_000
 BLOCK_CHARS = 1_000_000
+#: Pairs of a gram in a text and its places in items that are looked at together; a gram that very many items hold makes more steps, not more memory.
+EXPANDED = 2_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SLOTS = 22
 
@@ -113,12 +115,14 @@ def matches(texts: list[str], index: Index, q: int = Q) -> list[tuple[int, int,
     """(text, item, start, end, edits) in normalised texts: stretches within the budget, one for each place of an item."""
     out = []
     for n, (_, t) in enumerate(index.items):
-        if len(t) < q:  # shorter than a gram: exact occurrences
+        if len(t) < q:  # shorter than a gram: exact occurrences as whole words
             for i, x in enumerate(texts):
                 at = x.find(t)
                 while at >= 0:
-                    out.append((i, n, at, at + len(t), 0))
-                    at = x.find(t, at + len(t))
+                    end = at + len(t)
+                    if not (t[0].isalnum() and x[at - 1 : at].isalnum() or t[-1].isalnum() and x[end : end + 1].isalnum()):
+                        out.append((i, n, at, end, 0))
+                    at = x.find(t, end)
     x = codes("\0".join(texts))
     bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
     h = gram_hashes(x, q)
@@ -126,18 +130,26 @@ def matches(texts: list[str], index: Index, q: int = Q) -> list[tuple[int, int,
     slot = np.minimum(np.searchsorted(index.grams, h[hit]), max(0, len(index.grams) - 1))
     same = index.grams[slot] == h[hit] if len(index.grams) else np.zeros(len(hit), bool)
     hit, slot = hit[same], slot[same]
-    many = index.first[slot + 1] - index.first[slot]
-    flat = np.repeat(index.first[slot] - np.concatenate([[0], np.cumsum(many)[:-1]]) if len(many) else many, many) + np.arange(many.sum())
-    item, diagonal = index.item[flat], np.repeat(hit, many) - index.place[flat]
-    stride = 2 * index.budget[item] + 1
-    band = diagonal // stride
-    key = np.concatenate([band, band - 1]) + (1 << 40)
-    key = (np.concatenate([item, item]) << 41) + key
-    keys, counts = np.unique(key, return_counts=True)
+    size = np.array([len(t) for _, t in index.items], np.int64)
+    keys, counts, full = np.zeros(0, np.int64), np.zeros(0, np.int64), [np.zeros(0, np.int64)]
+    many = index.first[slot + 1] - index.first[slot] if len(slot) else slot
+    for s, e in blocks(many.tolist(), EXPANDED):
+        n = many[s:e]
+        flat = np.repeat(index.first[slot[s:e]] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        item, diagonal = index.item[flat], np.repeat(hit[s:e], n) - index.place[flat]
+        band = diagonal // (2 * index.budget[item] + 1)
+        key = (np.concatenate([item, item]) << 41) + np.concatenate([band, band - 1]) + (1 << 40)
+        keys, at = np.unique(np.concatenate([keys, key]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([counts, np.ones(len(key), np.int64)]), len(keys)).astype(np.int64)
+        item, band = keys >> 41, (keys & ((1 << 41) - 1)) - (1 << 40)
+        full.append(keys[counts >= index.least[item]])
+        # a band whose last place has passed takes no more grams, and one that is full is known
+        open_ = (counts < index.least[item]) & ((band + 2) * (2 * index.budget[item] + 1) + size[item] >= hit[e - 1])
+        keys, counts = keys[open_], counts[open_]
+    keys = np.unique(np.concatenate(full))
     item = keys >> 41
-    good = counts >= index.least[item]
     done: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for n, j in zip(item[good].tolist(), ((keys[good] & ((1 << 41) - 1)) - (1 << 40)).tolist()):
+    for n, j in zip(item.tolist(), ((keys & ((1 << 41) - 1)) - (1 << 40)).tolist()):
         k, t = int(index.budget[n]), index.items[n][1]
         width = 2 * k + 1
         low, high = j * width, (j + 2) * width - 1
@@ -195,7 +207,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, index_chars: int = INDE
     """(doc_id, item_id, start, end, edits): stretches of documents within the edit budget of a benchmark item, in code points of the text.
 
     Case and white space do not count. Whole texts are searched. An item of q characters or more is found if it differs by at most `BUDGET` of its length;
-    a shorter one only as it stands; an empty or null one never. Repeated documents give their rows again, repeated items (of one id) once. The benchmark's size is
+    a shorter one only as it stands, between word boundaries; an empty or null one never. Repeated documents give their rows again, repeated items (of one id) once. The benchmark's size is
     counted first: up to `index_chars` characters make one index, more are dealt by a hash of the id to as many as needed, each searched over all documents.
     """
     found = None
@@ -232,7 +244,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, index_chars: int = INDEX_C
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from tidemark.llm.common import table
-
     got = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return got.select("doc_id", "item_id", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "edits")
