@@ -82,6 +82,6 @@ def contaminated(docs, items, q=10, budget=0.06):
     for d, text in docs:
         for n, item in items:
             t, p = plain(text), plain(item)
-            if p and (p in t if len(p) < q else edits(p, t) <= max(0, min(int(budget * len(p)), (len(p) - q) // q))):
+            if p and (re.search(("\\b" if p[0].isalnum() else "") + re.escape(p) + ("\\b" if p[-1].isalnum() else ""), t) is not None if len(p) < q else edits(p, t) <= max(0, min(int(budget * len(p)), (len(p) - q) // q))):
                 out.add((d, n))
     return out

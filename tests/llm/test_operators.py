@@ -200,7 +200,7 @@ def test_decontamination(spark):
                 k = rng.randrange(len(t))
                 t = t[:k] + rng.choice(["", "z", t[k] + "y"]) + t[k + 1 :]
         docs.append((d, text(rng.randint(0, 90)) + t.replace(" ", "  \n").upper() + text(rng.randint(0, 90))))
-    docs += [(90, None), (91, ""), (92, "a tiny one")]
+    docs += [(90, None), (91, ""), (92, "a tiny one"), (93, "tinysaurus")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = brute.contaminated(docs, items)
     for most in (decontaminate.INDEX_CHARS, 300):
@@ -210,6 +210,19 @@ def test_decontamination(spark):
         assert {r.doc_id for r in clean.collect()} == {d for d, _ in docs} - {d for d, _ in want}
         assert clean.columns == frame(spark, []).columns
     assert decontaminate.contamination(frame(spark, docs), bench.limit(0)).count() == 0
+    assert decontaminate.contamination(frame(spark, docs).limit(0), bench).count() == 0
+
+
+def test_grams_that_many_items_hold(monkeypatch):
+    rng = random.Random(7)
+    common = "the answer to the question is "
+    items = [(i, common + "".join(rng.choice("abcdef") for _ in range(60))) for i in range(200)]
+    index = decontaminate.Index.of(items)
+    texts = [(common + " ") * 40, items[3][1] + " and " + items[7][1][:-2] + "x", "", "q" * 50_000, (common * 300) + items[9][1]]
+    want = decontaminate.matches(texts, index)
+    monkeypatch.setattr(decontaminate, "EXPANDED", 50)
+    assert decontaminate.matches(texts, index) == want
+    assert {(d, index.items[n][0]) for d, n, *_ in want} == {(1, 3), (1, 7), (4, 9)} == {(d, n) for d, n in brute.contaminated(list(enumerate(texts[:2])), items[3:8:4])} | {(4, 9)}
 
 
 @pytest.mark.parametrize("most", [lines.GROUP_MOST, 3])
@@ -346,13 +359,22 @@ def test_secrets(spark):
 
 
 def test_the_sample_of_findings_is_drawn_in_parallel(spark, monkeypatch):
-    plans = []
-    monkeypatch.setattr(secrets, "staged", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
-    found = secrets.label(secrets.with_features(secrets.candidates(frame(spark, [(1, "order number 20240101000001 was shipped")]))))
-    assert secrets.train(found) is None
+    plans, write = [], secrets.staged
+    monkeypatch.setattr(secrets, "staged", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, name))
+    secrets.train(secrets.with_kind(secrets.with_features(secrets.candidates(frame(spark, [(1, "order number 20240101000001 was shipped")])))))
     assert "Coalesce" not in plans[0] and "Exchange" in plans[0]
 
 
+@pytest.mark.parametrize("kind", ["cloud_key", "forge_token", "payment_key"])
+def test_secrets_of_a_format_left_out_of_training(spark, kind):
+    found = secrets.with_kind(secrets.with_features(secrets.planted(spark, 9000).filter("start >= 6000")))  # beyond those of the training
+    got = secrets.scored(found, secrets.train(found.limit(0), leave_out=(kind,))).select("kind", "label", (F.col("chance") >= secrets.KEEP).alias("kept")).collect()
+    unseen = [r.kept for r in got if r.kind == kind]
+    assert len(unseen) > 50 and sum(unseen) >= 0.6 * len(unseen)
+    clean, rest = [r.kept for r in got if r.label == 0], [r.kept for r in got if r.label == 1 and r.kind != kind]
+    assert sum(clean) <= 0.05 * len(clean) and sum(rest) >= 0.95 * len(rest)
+
+
 def _packed_well(got, texts, window):
     from tokenizers import Tokenizer
 

@@ -7,13 +7,13 @@ from functools import reduce
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import staged, table
 
-#: The forest is trained on about so many findings, chosen by a hash from all of them.
-SAMPLE_FINDINGS = 20_000
+#: The forest is trained on so many planted findings, and on about so many natural look-alikes, chosen by a hash from all of them.
+PLANTED, SAMPLE_FINDINGS = 6000, 20_000
 TREES, DEPTH = 24, 7
 KEEP = 0.5
 #: Characters kept on either side of a candidate, for neighbouring words.
@@ -24,7 +24,7 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]*[A-Z
 #: The same without a leading name and sign of assignment, which count as neighbours.
 ASSIGNED = r"^[A-Za-z_][A-Za-z_-]{1,30}="
 
-# Public formats of keys, for labelling findings.
+# Public formats of keys.
 FORMATS = {
     "cloud_key": r"^(?:AKIA|ASIA)[A-Z0-9]{16}$",
     "forge_token": r"^gh[pousr]_[A-Za-z0-9]{36}$",
@@ -90,45 +90,74 @@ def with_features(found: DataFrame) -> DataFrame:
     return found.withColumns({k: F.coalesce(c.cast("double"), F.lit(0.0)) for k, c in made.items()})
 
 
-def label(found: DataFrame) -> DataFrame:
-    """Adds kind and label: 1 for findings in a public key format, or announced and random to the eye; 0 for numbers, words and denied ones; null where unsure."""
+# What stands before and after a planted secret, and before a planted look-alike.
+ANNOUNCED = (("token = \"", "\""), ("password: ", " "), ("api_key=", " "), ("secret = '", "'"), ("Authorization: Bearer ", " "), ("access_key = \"", "\""), ("client_secret: \"", "\","))
+MENTIONED = (("commit ", " "), ("checksum ", "."), ("order number ", " "), ("version ", " "), ("see ", ","), ("isbn ", " "), ("id: ", " "), ("uuid = \"", "\""), ("(", ")"), ("", " "))
+PATHS = ("web", "books", "news", "code/app.py", "conf/settings.env", "tests/fixture.txt", "docs/readme.md")
+#: Natural look-alikes: numbers, dates and versions, identifiers in the common layout, and text that words cover. The value alone decides.
+LOOK_ALIKES = r"^[0-9_/+-]+$|^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^[vV]?[0-9]+(?:[-_][0-9]+)*[A-Za-z]{0,3}$"
+
+
+def planted(spark: SparkSession, n: int = PLANTED, leave_out: tuple[str, ...] = ()) -> DataFrame:
+    """n labelled findings made by rule: secrets of each format and without one, in announcing context or none, and look-alikes where such stand.
+
+    Random-looking values without a format are secrets only where they are announced: the same forty hexadecimal digits are a token or a commit. leave_out: formats to do without.
+    """
+    rows = spark.range(n).withColumn("hex", F.concat(F.sha2(F.concat(F.lit("a"), "id"), 256), F.sha2(F.concat(F.lit("b"), "id"), 256)))
+    mixed, digits = F.regexp_replace(F.base64(F.unhex("hex")), "[^A-Za-z0-9]", "7"), F.regexp_replace("hex", "[^0-9]", "")
+    size = lambda low, high: F.lit(low) + F.pmod(F.xxhash64("id", F.lit(low), F.lit(high)), F.lit(high - low + 1)).cast("int")
+    part = lambda c, low, high: F.substring(c, F.lit(1), size(low, high))
+    formats = {
+        "cloud_key": F.concat(F.lit("AKIA"), F.substring(F.upper(mixed), 1, 16)), "forge_token": F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), "payment_key": F.concat(F.lit("sk_live_"), part(mixed, 16, 32)),
+        "chat_token": F.concat(F.lit("xoxb-"), F.substring(digits, 1, 12), F.lit("-"), F.substring(mixed, 1, 24)), "web_token": F.concat(F.lit("eyJ"), part(mixed, 30, 80)),
+    }
+    uuid = F.concat_ws("-", *(F.substring("hex", at, k) for at, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+    words = F.concat(F.lit("data"), F.substring(digits, 1, 2), F.lit("the"), F.substring(digits, 3, 1), F.lit("user"), F.substring("hex", 1, 2), F.lit("ing"))
+    free = [F.substring("hex", 1, 40), F.substring("hex", 1, 32), part(mixed, 16, 48), part("hex", 20, 64)]
+    lookalike = [F.substring("hex", 1, 40), F.substring("hex", 1, 64), uuid, part(digits, 10, 24), F.concat(F.lit("ORD-2024-"), F.substring(digits, 1, 8)), words, part(mixed, 12, 30)]
+    made = [(k, v, 1.0) for k, v in formats.items() if k not in leave_out] + [("free", v, 1.0) for v in free] + [("other", v, 0.0) for v in lookalike]
+    spot = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(len(made))).cast("int")
+    rows = rows.withColumn("made", F.element_at(F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("value"), F.lit(y).alias("label")) for k, v, y in made)), spot + 1)).select("id", "made.*")
+    pick = lambda some, seed: F.element_at(F.array(*(F.struct(F.lit(x).alias("b"), F.lit(y).alias("a")) for x, y in some)), (F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(len(some))) + 1).cast("int"))
+    bare = (F.col("kind") != "free") & (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(3)) == 0)
+    near = F.when((F.col("label") == 1) & ~bare, pick(ANNOUNCED, 11)).otherwise(pick(MENTIONED, 13))
+    path = F.element_at(F.array(*map(F.lit, PATHS)), (F.pmod(F.xxhash64("id", F.lit(17)), F.lit(len(PATHS))) + 1).cast("int"))
+    return rows.withColumn("near", near).select(F.lit(-1).cast("long").alias("doc_id"), path.alias("path"), "value", F.col("id").alias("start"), F.col("id").alias("end"), F.concat(F.lit("some words and "), "near.b").alias("before"), F.concat("near.a", F.lit(" then more")).alias("after"), "label")
+
+
+def with_kind(found: DataFrame) -> DataFrame:
+    """Adds kind: the public format of the value, or whether a word announces it."""
     kind = reduce(lambda rest, k: F.when(F.col("value").rlike(FORMATS[k]), F.lit(k)).otherwise(rest), reversed(FORMATS), F.when(F.col("cue") == 1, F.lit("announced")).otherwise(F.lit("other")))
-    mixed = F.col("value").rlike("[A-Za-z]") & F.col("value").rlike("[0-9]") & (F.col("turns") >= 0.12) & (F.col("covered") < 0.4)
-    plain = ~F.col("value").rlike("[A-Za-z]") | (F.col("covered") >= 0.6) | (F.col("denied") == 1)
-    sure = F.when(kind.isin(*FORMATS) & (F.col("denied") == 0), 1.0).when((F.col("cue") == 1) & mixed & (F.col("denied") == 0), 1.0).when(plain | ((F.col("cue") == 0) & (F.col("turns") < 0.12)), 0.0)
-    return found.withColumn("kind", kind).withColumn("label", sure)
+    return found.withColumn("kind", kind)
 
 
-def train(labelled: DataFrame, most: int = SAMPLE_FINDINGS):
-    """A random forest on labelled findings, or None where they are all alike."""
-    known = labelled.filter("label is not null")
-    n = known.count()
+def train(found: DataFrame, most: int = SAMPLE_FINDINGS, leave_out: tuple[str, ...] = ()):
+    """A random forest on planted findings and on natural look-alikes among `found`, as many of these as a sample of `most` findings holds."""
     spot = F.pmod(F.xxhash64("doc_id", "start", F.lit(7)), F.lit(1 << 31))
-    some = known.filter(spot < min(1 << 31, int((1 << 31) * most / max(n, 1)) + 1)).select("label", *FEATURES)
+    alike = found.filter(F.col("value").rlike(LOOK_ALIKES) & ~F.col("kind").isin(*FORMATS))
+    n = alike.count()
+    natural = alike.filter(spot < min(1 << 31, int((1 << 31) * most / max(n, 1)) + 1)).withColumn("label", F.lit(0.0))
+    some = with_features(planted(found.sparkSession, leave_out=leave_out)).select("label", *FEATURES).unionByName(natural.select("label", *FEATURES))
     some = staged(some.repartition(1).sortWithinPartitions("label", *FEATURES), "findings")
-    if some.select("label").distinct().count() < 2:
-        return None
     return RandomForestClassifier(labelCol="label", featuresCol="vector", numTrees=TREES, maxDepth=DEPTH, seed=11, subsamplingRate=0.8).fit(VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(some))
 
 
-def scan(docs: DataFrame, most: int = SAMPLE_FINDINGS, keep: float = KEEP) -> DataFrame:
+def scored(found: DataFrame, model) -> DataFrame:
+    """found with chance, the forest's probability that a finding is a secret."""
+    return model.transform(VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(found)).withColumn("chance", vector_to_array("probability")[1])
+
+
+def scan(docs: DataFrame, most: int = SAMPLE_FINDINGS, keep: float = KEEP, leave_out: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, start, end, kind, value, probability) of the findings that the forest keeps.
 
-    Every whole text is searched. Findings are staged once; the forest is trained on a bounded sample of the labelled ones and applied to all.
-    Null texts and paths are empty. Repeated rows give their findings again; an empty table gives none. If all labelled findings are alike,
-    the labels decide (probability 1 or 0; 0 where unsure).
+    Every whole text is searched. Findings are staged once; the forest is trained on planted findings and a bounded sample of natural look-alikes, and applied to all.
+    Null texts and paths are empty. Repeated rows give their findings again; an empty table gives none. leave_out: formats without planted findings, to measure what the
+    forest finds without having seen them.
     """
-    found = staged(label(with_features(candidates(docs))), "candidates")
-    model = train(found, most)
-    if model is None:
-        scored = found.withColumn("chance", F.coalesce("label", F.lit(0.0)))
-    else:
-        scored = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(found)).withColumn("chance", vector_to_array("probability")[1])
-    return scored.filter(F.col("chance") >= keep).select("doc_id", "start", "end", "kind", "value", F.round("chance", 6).alias("probability"))
+    found = staged(with_kind(with_features(candidates(docs))), "candidates")
+    return scored(found, train(found, most, leave_out)).filter(F.col("chance") >= keep).select("doc_id", "start", "end", "kind", "value", F.round("chance", 6).alias("probability"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from tidemark.llm.common import table
-
     got = scan(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "kind", "probability", F.sha2("value", 256).alias("value_sha256"))
