@@ -8,15 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir. Only where that is unset, as in tests on one machine, under a temporary one, which the session then keeps."""
+def shared_root(spark: SparkSession) -> str:
+    """spark.checkpoint.dir. Only where that is unset, as in tests on one machine, a temporary folder, which the session then keeps."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/work-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder under the shared one."""
+    return f"{shared_root(spark)}/work-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:
