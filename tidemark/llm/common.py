@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -10,25 +9,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared import shared_root
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the corpus; the path may be one that only Spark can open."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset (tests), a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read again: lineage ends here, and a lost executor costs no recomputation."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

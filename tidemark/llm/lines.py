@@ -118,8 +118,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, slots, counts): the counters above zero, in blocks."""
     total = np.zeros(COUNTERS, np.int64)
     for _, _, texts in _texts(batches):
-        slot, n = np.unique(_counter(_hashed(texts)[0]), return_counts=True)
-        total[slot] += n
+        np.add.at(total, _counter(_hashed(texts)[0]), 1)
     slot = np.flatnonzero(total)
     if len(slot):
         a, b = runs(slot // COUNTER_BLOCK)
@@ -246,7 +245,7 @@ def _linked(end: np.ndarray, size: np.ndarray, may, similarity: float) -> np.nda
 
 
 def _groups(similarity: float):
-    """Rows sorted by key and shape to (team, name, parity): sets that share a key and that pairs which pass the filters connect.
+    """Rows sorted by key to (team, name, parity): sets that share a key and that pairs which pass the filters connect.
 
     A team is named by its least member, so that the teams which a cluster of sets forms under its many words are mostly one; their union holds all of their pairs.
     """
@@ -258,6 +257,7 @@ def _groups(similarity: float):
         def teams() -> pa.RecordBatch:
             rows = np.concatenate(held, axis=1) if held else np.zeros((5, 0), np.int64)
             held.clear()
+            rows = rows[:, np.lexsort((rows[2], rows[1], rows[4], rows[0]))]
             new = np.ones(rows.shape[1], bool)
             new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)  # a set that more than one task sent
             key, name, parity, others, shape = rows[:, new]
@@ -444,7 +444,7 @@ def repeated_lines(docs: DataFrame, similarity: float = SIMILARITY, group_most:
     doc, rev = _keyed(docs)
     whole = docs.select(doc.alias("doc"), F.col("text").cast("string").alias("text"), rev.alias("rev"))
     key = ["name", "parity"]
-    prefix = whole.mapInArrow(_prefixes(rarity(whole.select("text")), similarity), "key long, name long, parity long, others long, shape long").repartition("key").sortWithinPartitions("key", "shape", "name", "parity")
+    prefix = whole.mapInArrow(_prefixes(rarity(whole.select("text")), similarity), "key long, name long, parity long, others long, shape long").repartition("key").sortWithinPartitions("key")
     teams = staged(prefix.mapInArrow(_groups(similarity), "team long, name long, parity long").distinct(), "teams")
     found = staged(whole.mapInArrow(_occurrences(sieve_of(teams.select("name"))), "name long, parity long, doc long, rev long, line long, maybe boolean, words binary"), "occurrences")
     first = F.min(F.struct("doc", "rev", "line")).alias("first")
@@ -479,7 +479,8 @@ def without_repeats(docs: DataFrame, counts: bool = True, **how) -> DataFrame:
     new = {"text": kept}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("_gone").isNull(), F.col("_row.n_chars")).otherwise(F.length(kept).cast(docs.schema["n_chars"].dataType))
-    added = {"_lines": F.size(parts), "_removed": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))} if counts else {}
+    body = F.coalesce(text.cast("string"), F.lit(""))
+    added = {"_lines": (F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit(""))) + 1).cast("int"), "_removed": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))} if counts else {}
     return found.select(*(new.get(c, column(c, "_row")).alias(c) for c in docs.columns if c.lower() not in added), *(v.alias(k) for k, v in added.items()))
 
 
