@@ -22,6 +22,8 @@ STEPS = 5
 DEEP, DEEPER = 1 << 13, 1 << 21
 #: Slots of the sieve that tells sets which may have a similar one from those that cannot; 4 MB, whatever the corpus.
 SIEVE = 1 << 25
+#: Sets that a task remembers having sent; a set that it forgets is sent again, which costs time only.
+REMEMBERED = 100_000
 #: Members of a group that one task compares; a larger group is compared in pairs of parts.
 GROUP_MOST = 4096
 
@@ -116,13 +118,13 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, slots, counts): the counters above zero, in blocks."""
-    total = np.zeros(COUNTERS, np.int64)
+    total = np.zeros(COUNTERS, np.int32)
     for _, _, texts in _texts(batches):
         np.add.at(total, _counter(_hashed(texts)[0]), 1)
     slot = np.flatnonzero(total)
     if len(slot):
         a, b = runs(slot // COUNTER_BLOCK)
-        rows = [((slot[s:e] % COUNTER_BLOCK).astype(np.uint16).tobytes(), total[slot[s:e]].tobytes()) for s, e in zip(a, b)]
+        rows = [((slot[s:e] % COUNTER_BLOCK).astype(np.uint16).tobytes(), total[slot[s:e]].astype(np.int64).tobytes()) for s, e in zip(a, b)]
         yield pa.RecordBatch.from_arrays([pa.array((slot[a] // COUNTER_BLOCK).astype(np.int32)), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], names=["block", "slots", "counts"])
 
 
@@ -174,7 +176,7 @@ def _prefixes(rank: np.ndarray, similarity: float):
                 if k not in sent:
                     fresh[i] = True
                     sent.add(k)
-            if len(sent) > 300_000:
+            if len(sent) > REMEMBERED:
                 sent.clear()
             size = got.size
             need = np.where(fresh & (size >= similarity * (size + 1) - 1e-9), size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
@@ -276,7 +278,7 @@ def _groups(similarity: float):
                     if row not in made:
                         made.add(row)
                         out.append(row)
-                if len(made) > 500_000:
+                if len(made) > REMEMBERED:
                     made.clear()
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], names=["team", "name", "parity"])
 
@@ -297,10 +299,11 @@ def _groups(similarity: float):
 
 def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, bits): the slots of the sets of some teams."""
-    seen = np.zeros(SIEVE, bool)
+    bits = np.zeros(SIEVE // 8, np.uint8)
     for b in batches:
-        seen[_slot(b.column(0).to_numpy(zero_copy_only=False))] = True
-    bits = np.packbits(seen).reshape(-1, COUNTER_BLOCK)
+        slot = _slot(b.column(0).to_numpy(zero_copy_only=False))
+        np.bitwise_or.at(bits, slot >> 3, (128 >> (slot & 7)).astype(np.uint8))
+    bits = bits.reshape(-1, COUNTER_BLOCK)
     full = np.flatnonzero(bits.any(1))
     yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([bits[k].tobytes() for k in full], pa.binary())], names=["block", "bits"])
 
@@ -345,7 +348,7 @@ def _occurrences(sieve: np.ndarray):
             for i in np.flatnonzero(maybe).tolist():
                 k = (int(got.name[i]), int(got.parity[i]))
                 if k not in sent:
-                    if len(sent) < 300_000:
+                    if len(sent) < REMEMBERED:
                         sent.add(k)
                     words[i] = got.word[got.first[i] : got.first[i + 1]].tobytes()
             at = pa.array(s + got.text_of[got.line])

@@ -23,8 +23,8 @@ WINDOW = 2048
 END_ID = 1
 #: Documents whose last pieces are packed together; their lengths fill all but the last few windows without a gap.
 GROUP = 8192
-#: Distinct chunks of text whose ids a task remembers.
-REMEMBERED = 700_000
+#: Distinct words whose ids a worker remembers.
+REMEMBERED = 200_000
 
 
 def closest_fill(counts: Counter, lengths: list[int], capacity: int) -> list[int]:
