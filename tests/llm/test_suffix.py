@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -52,14 +53,31 @@ def test_matches_brute_force(spark, group_bytes):
     assert got == brute(rows)
 
 
-def test_slices_of_long_texts(spark, monkeypatch):
-    rng = random.Random(1)
-    text = "".join(rng.choice("abcd ") for _ in range(5000))
-    rows = [(1, text), (2, text[:2500] + "zz" + text[2600:])]
-    monkeypatch.setattr(suffix, "SLICE", 1 << 20)
+def test_slices_of_long_texts(spark):
+    rng = np.random.default_rng(1)
+    text = rng.integers(97, 123, suffix.SLICE + 60_000).astype(np.uint8).tobytes().decode()
+    edge = suffix.SLICE
+    rows = [(1, text), (2, "zz" + text[edge - 400 : edge + 400] + "yy" + text[edge - 130 : edge - 30]), (3, text[:edge][-99:] + text[edge + 1 :][:120])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in suffix.remove_repeats(docs).collect()}
-    assert got == brute(rows)
+    assert got == brute(rows) and got[2][1] == 900
+
+
+def test_texts_without_ids_stay_apart(spark):
+    """Two texts without an id whose checksums agree in their low bits, one of them with a repeat of a third."""
+    rng, seen = random.Random(9), {}
+    made = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = made(300)
+    while True:
+        alone, beside = made(400), shared + made(60)
+        for kind, t in (("alone", alone), ("beside", beside)):
+            seen.setdefault(zlib.crc32(t.encode()) & 0xFFFFFF, {})[kind] = t
+        pair = seen[zlib.crc32(alone.encode()) & 0xFFFFFF]
+        if len(pair) == 2:
+            break
+    docs = spark.createDataFrame([(1, shared), (None, pair["alone"]), (None, pair["beside"])], "doc_id long, text string")
+    got = {r.n_bytes: [(s.start, s.end) for s in r.spans] for r in suffix.remove_repeats(docs).collect()}
+    assert got == {300: [], 400: [], 360: [(0, 300)]}
 
 
 def test_contexts_do_not_depend_on_slices():
