@@ -8,7 +8,7 @@ from array import array
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -89,7 +89,7 @@ class WordIds:
     def __init__(self, tokenizer_path: str) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(tokenizer_path)
+        self.path = tokenizer_path
         self.bare = Tokenizer.from_file(tokenizer_path)
         self.bare.normalizer = None
         self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -99,6 +99,13 @@ class WordIds:
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    @cached_property
+    def whole(self):
+        """The tokenizer as it is; loaded only where a word needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def learn(self, words: set[bytes]) -> None:
         """Remembers the words; forgets all others first if they become too many."""
         new = words.difference(self.words)
@@ -117,7 +124,8 @@ class WordIds:
         ids = self.pieces
         self.words.update((raw, ids[p]) for raw, p in single.items())
         self.words.update((raw, b"".join([ids[x] for x in p])) for raw, p in cut.items())
-        self.words.update((raw, array("I", x.ids).tobytes()) for raw, x in zip(other, self.whole.encode_batch_fast(list(other.values()), add_special_tokens=False)))
+        if other:
+            self.words.update((raw, array("I", x.ids).tobytes()) for raw, x in zip(other, self.whole.encode_batch_fast(list(other.values()), add_special_tokens=False)))
 
     def _encode_pieces(self, pieces: list[str]) -> None:
         """A thousand pieces to a text; each ends with the one of its tokens that ends a word."""
