@@ -215,9 +215,8 @@ def _pairs_may(x: tuple, y: tuple, similarity: float):
     return (np.minimum(x[0], y[0]) >= need) & (np.minimum(x[1], y[1]) >= need) & (total - (np.bitwise_count((x[2] ^ y[2]).view(np.uint64)) + np.bitwise_count((x[3] ^ y[3]).view(np.uint64))) >= 2 * need)
 
 
-def _joined(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Labels of n rows: the least row that links (i, j) reach."""
-    label = np.arange(n)
+def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels after links (i, j): the least row that links reach; label: what is joined already, each row's least one."""
     while True:
         new = label.copy()
         low = np.minimum(label[i], label[j])
@@ -229,21 +228,29 @@ def _joined(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
+#: Links that are held before they are joined; what is joined already makes no more links.
+LINKS = 200_000
+
+
 def _linked(end: np.ndarray, size: np.ndarray, may, similarity: float) -> np.ndarray:
     """Labels of rows sorted by group and size: equal for rows of one group that pairs for which may(i, j) holds connect.
 
     Each row is held against those after it, step by step, until the group ends (at `end`) or the sizes lie too far apart.
     """
-    one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    label, one, two, held = np.arange(len(end)), [], [], 0
     i, step = np.arange(len(end)), 0
     while len(i):
         step += 1
         i = i[i + step < end[i]]
         i = i[size[i] >= similarity * size[i + step] - 1e-9]
-        ok = i[may(i, i + step)]
+        ok = i[label[i] != label[i + step]]
+        ok = ok[may(ok, ok + step)]
         one.append(ok)
         two.append(ok + step)
-    return _joined(len(end), np.concatenate(one), np.concatenate(two))
+        held += len(ok)
+        if held > LINKS:
+            label, one, two, held = _joined(label, np.concatenate(one), np.concatenate(two)), [], [], 0
+    return _joined(label, np.concatenate(one), np.concatenate(two)) if one else label
 
 
 def _groups(similarity: float):
