@@ -437,3 +437,23 @@ def test_closest_fill_is_best():
         sums = {sum(n for k, n in enumerate(rest) if m >> k & 1) for m in range(1 << len(rest))}
         assert sum(got) == max(s + sizes[-1] for s in sums if s + sizes[-1] <= 40)
         assert all(got.count(n) <= counts[n] for n in got)
+
+
+@pytest.mark.parametrize("most", [lines.LINKS, 3])
+def test_links_are_joined_as_they_come(monkeypatch, most):
+    monkeypatch.setattr(lines, "LINKS", most)
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        n = int(rng.integers(1, 40))
+        group, size = np.sort(rng.integers(0, 5, n)), np.sort(rng.integers(5, 12, n))
+        may = rng.random((n, n)) < 0.15
+        may = may | may.T
+        end = np.searchsorted(group, group, "right")
+        got = lines._linked(end, size, lambda i, j: may[i, j], 0.8).tolist()
+        want = list(range(n))
+        for _ in range(n):
+            for i in range(n):
+                for j in range(i):
+                    if group[i] == group[j] and size[j] >= 0.8 * size[i] - 1e-9 and may[i, j]:
+                        want[i] = want[j] = min(want[i], want[j])
+        assert got == want

@@ -216,7 +216,8 @@ def _pairs_may(x: tuple, y: tuple, similarity: float):
 
 
 def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Labels after links (i, j): the least row that links reach; label: what is joined already, each row's least one."""
+    """Labels after links (i, j): the least row that links reach; label: what is joined already, which links each row with its label."""
+    i, j = np.concatenate([i, np.arange(len(label))]), np.concatenate([j, label])
     while True:
         new = label.copy()
         low = np.minimum(label[i], label[j])
