@@ -370,7 +370,7 @@ def similar_earlier(sets: list[np.ndarray], similarity: float, part: list[int] |
     size = np.array([len(x) for x in sets])
     owner = np.repeat(np.arange(len(sets)), size)
     words, code = np.unique(np.concatenate(sets), return_inverse=True)
-    if len(sets) * len(words) <= 1 << 22:  # all shared words at once
+    if len(sets) <= 512 and len(sets) * len(words) <= 1 << 22:  # all shared words at once
         has = np.zeros((len(sets), len(words)), np.float32)
         has[owner, code] = 1
         both = has @ has.T
