@@ -21,11 +21,11 @@ def _vectors(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.asarray(col.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(col), -1)
 
 
-def quantized(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of each component. Null vectors, and those with null or non-finite components, take no part; repeated rows count once."""
+def quantized(vectors: DataFrame, scale: int = 256, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(vec_id, kept columns, v): floor(scale * x) of each component. Null vectors, and those with null or non-finite components, take no part; repeated rows count once."""
     x = F.col("embedding").cast("array<double>")
     sound = x.isNotNull() & F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
-    return vectors.select(F.col("vec_id").cast("long"), "embedding").filter(sound & F.col("vec_id").isNotNull()).select("vec_id", F.transform(x, lambda e: F.floor(e * scale)).alias("v")).distinct()
+    return vectors.select(F.col("vec_id").cast("long"), *keep, "embedding").filter(sound & F.col("vec_id").isNotNull()).select("vec_id", *keep, F.transform(x, lambda e: F.floor(e * scale)).alias("v")).distinct()
 
 
 def _nearest(pivots: dict[int, np.ndarray]):

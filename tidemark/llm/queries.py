@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, knn, language, lines, packing, pii, secrets, simhash, suffix, toxicity
+from tidemark.llm import audit, decontaminate, knn, language, lines, negatives, packing, pii, secrets, simhash, suffix, toxicity
 
 QUERIES = {
     "op1_semi_markov_pii": pii.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_set_join_lines": lines.query,
     "op9_forest_secret_scan": secrets.query,
     "op10_min_slack_packing": packing.query,
+    "op11_slot_hard_negatives": negatives.query,
+    "op13_filter_audit": audit.query,
 }
 
-ORACLE_SQL = {"op6_voronoi_top_k": knn.ORACLE}
+ORACLE_SQL = {"op6_voronoi_top_k": knn.ORACLE, "op11_slot_hard_negatives": negatives.ORACLE, "op13_filter_audit": audit.ORACLE}
