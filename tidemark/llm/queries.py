@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import audit, decontaminate, knn, language, lines, negatives, packing, pii, secrets, simhash, suffix, toxicity
+from tidemark.llm import audit, decontaminate, knn, language, lines, negatives, packing, pii, rules, secrets, simhash, suffix, toxicity
 
 QUERIES = {
     "op1_semi_markov_pii": pii.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_forest_secret_scan": secrets.query,
     "op10_min_slack_packing": packing.query,
     "op11_slot_hard_negatives": negatives.query,
+    "op12_quality_rules": rules.query,
     "op13_filter_audit": audit.query,
 }
 
