@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime
+import json
 import time
 import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import cdc, gold, graph, joins, metrics, silver, windows
+from tidemark.operators import cdc, evolve, gold, graph, joins, metrics, silver, windows
 from tidemark.plans.bindings import entity
 from tidemark.sources import landing
 from tidemark.streaming import pipelines as streaming
@@ -73,7 +75,8 @@ def test_customer_360_of_active_customers(seed):
     got = by(gold.customer_360_service(c, o, t, AS_OF), "customer_id")
     assert set(got) == {1, 2, 3, 5}
     assert [(got[i].revenue_tier, got[i].engagement_status, got[i].total_orders, got[i].lifetime_value) for i in (1, 2, 3)] == [("ENTERPRISE", "HOT", 2, 105_000), ("MID-MARKET", "COOLING", 1, 100), ("SMB", "HOT", 0, None)]
-    assert got[1].avg_resolution_hours == 3.0 and got[2].full_name == "Bo"  # one hour boundary, and five
+    assert got[1].avg_resolution_hours == 3.0 and (got[1].full_name, got[2].full_name) == ("Ann Lee", None)  # one hour boundary, and five
+    assert by(gold.customer_360_recency(c, o, AS_OF), "customer_id")[2].full_name == "Bo "
     assert "total_tickets" not in gold.customer_360_recency(c, o, AS_OF).columns
 
 
@@ -90,7 +93,9 @@ def test_summaries(seed):
     assert by(gold.product_performance_basic(p, i, o), "product_id")[102].total_units_sold is None
     cat = by(gold.category_metrics(p, i), "category")["office"]
     assert (cat.total_products, cat.active_products, cat.total_units_sold, cat.orders_with_category, cat.avg_list_price, cat.avg_cost_price, cat.avg_selling_price) == (2, 1, 7, 3, 25 / 3, 4.0, 65 / 7)
-    sup = {r.priority: r for r in gold.support_metrics(t, c).collect()}
+    sup = {r.priority: r for r in gold.support_metrics(t, c, "2024-06-04 01:00:00").collect()}
+    early = {r.priority: r for r in gold.support_metrics(t, c, "2024-06-04 00:00:00").collect()}
+    assert (sup["medium"].sla_breaches, early["medium"].sla_breaches) == (1, 0)  # open for 25 hours, and for 24
     assert (sup["high"].tickets, sup["high"].sla_breaches, sup["high"].avg_resolution_hours, sup["high"].avg_first_response_hours, sup["medium"].open_tickets) == (2, 1, 3.0, 1.5, 1)
 
 
@@ -134,13 +139,90 @@ def test_percent_ranks_of_a_wide_table(spark):
         assert abs(r.rank - values.index(r.v) / (len(values) - 1)) < 1e-6
 
 
-def test_pattern_join_beyond_the_broadcast(spark, monkeypatch):
-    names = spark.createDataFrame([("alpha_1",), ("alpha_2",), ("beta",), (None,)], "name string")
-    rules = spark.createDataFrame([("r1", "alpha%"), ("r2", "%a"), ("r3", "zz%")], "rule string, pat string")
-    want = {how: sorted(map(str, joins.pattern_join(names, rules, "name", "pat", how).collect())) for how in ("inner", "left", "left_semi", "left_anti")}
-    monkeypatch.setattr(joins, "RULES_MOST", 1)
-    for how, rows in want.items():
-        assert sorted(map(str, joins.pattern_join(names, rules, "name", "pat", how).collect())) == rows
+@pytest.mark.parametrize("share", [1, 1000])
+def test_pattern_join_of_every_kind(spark, monkeypatch, share):
+    monkeypatch.setattr(joins, "LIKE_SHARE", share)
+    monkeypatch.setattr(joins.like_matches, "__defaults__", (share,))
+    some = ["alpha_1", "alpha_1", "alpha%2", "beta", "", "a", "ab", "xaby", "a_b", "äöü", "back\\slash", None, None, "ALPHA_1", "zz top zz", "new\nline"]
+    names = spark.createDataFrame([(i, n) for i, n in enumerate(some)], "i int, name string")
+    pats = ["alpha%", "%a", "%", "%", "_", "__", "a%_", "%ab%", r"alpha\_%", r"alpha\%2", r"%\\%", "", "äö_", "zz%zz", "none%", "%h_1", None, "%\n%", "_%b%"]
+    rules = spark.createDataFrame([(f"r{j}", p) for j, p in enumerate(pats)], "rule string, pat string")
+    for how in ("inner", "left", "right", "full", "left_semi", "left_anti"):
+        want = names.join(F.broadcast(rules), F.expr("name LIKE pat"), how)
+        got = joins.pattern_join(names, rules, "name", "pat", how)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), how
+    assert joins.pattern_join(names.limit(0), rules, "name", "pat").count() == 0 == joins.pattern_join(names, rules.limit(0), "name", "pat", "left_semi").count()
+    assert joins.pattern_join(names, rules.limit(0), "name", "pat", "left_anti").count() == len(some)
+    plan = joins.pattern_join(names, rules, "name", "pat")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def leaf_paths(value, path="$"):
+    """Paths, kinds and occurrences of one decoded payload."""
+    if isinstance(value, dict) and value:
+        return [x for k, v in value.items() for x in leaf_paths(v, f"{path}.{k}")]
+    if isinstance(value, list) and value:
+        return [x for v in value for x in leaf_paths(v, f"{path}[*]")]
+    names = {dict: "OBJECT", list: "ARRAY", str: "STRING", bool: "BOOLEAN", int: "BIGINT", type(None): "VOID"}
+    return [(path, names[type(value)])]
+
+
+def test_paths_of_any_depth(spark):
+    deep = {"z": 1}
+    for i in range(12):
+        deep = {"d": deep, "e": {}} if i % 2 else {"d": [deep, [], {}]}
+    payloads = [{"a": {"b": {"c": {"d": {"e": 1}}}}, "z": 1, "m": {}, "n": []}, deep, {"a": 3, "n": [[[["x"]]]]}, {"a": [{"b": None}, {"b": True}], "<": {"a<b": {">": {}}}, "nulls": [None, None]}, [1, "s"], "text", None]
+    df = spark.createDataFrame([(json.dumps(p),) for p in payloads] + [(None,), ("{broken",)], "t string").select(F.try_parse_json("t").alias("payload"))
+    want = Counter(x for p in payloads for x in leaf_paths(p))
+    assert {(r.path, r.value_type): r.occurrences for r in evolve.discover_paths(df).collect()} == want
+    shallow = {r.path: r.value_type for r in evolve.discover_paths(df, depth=1).collect()}
+    assert shallow["$.m"] == "OBJECT" and shallow["$.z"] == "BIGINT" and "$.a.b" not in shallow
+    assert evolve.discover_paths(df.limit(0)).count() == 0
+
+
+def test_merged_schema(spark):
+    df = lambda *texts: spark.createDataFrame([(t,) for t in texts], "t string").select(F.try_parse_json("t").alias("payload"))
+    value = lambda d: evolve.infer_payload_schema(d).first()[0]
+    assert value(df('{"a":1}', '{"b":[1.5],"a":null}', None, "{bad")) == "OBJECT<a: BIGINT, b: ARRAY<DECIMAL(2,1)>>"
+    assert value(df('{"a":1}', '{"a":{"b":1}}')) == "OBJECT<a: VARIANT>"
+
+
+def test_latest_version_within_a_day(spark):
+    def log(*rows):
+        return spark.createDataFrame([(json.dumps(r),) for r in rows], "j string").select(F.parse_json("j").alias("payload"))
+
+    base = {"customer_id": 1, "last_name": "Lee", "company_name": "Old Labs", "created_at": "2024-01-01T10:00:00.5", "updated_at": "2024-01-02", "phone": "1", "industry": "it"}
+    day = "2024-05-01T"
+    got = silver.silver_customers(log(base | {"first_name": "Zoe", "_updated_at": day + "08:00:00"}, base | {"first_name": "Amy", "_updated_at": day + "17:00:00"}, base | {"first_name": "Eve", "_updated_at": day + "16:59:59.999999"})).collect()
+    assert [(r.first_name, r.full_name, r.phone, r.industry, r.cdc_timestamp, r.created_at, r.updated_at, r.customer_segment) for r in got] == [("Amy", "Amy Lee", "1", "it", datetime.datetime(2024, 5, 1, 17), datetime.datetime(2024, 1, 1, 10, 0, 0, 500000), datetime.datetime(2024, 1, 2), "STARTUP")]
+    gone = log(base | {"first_name": "Amy", "_updated_at": day + "17:00:00"}, base | {"first_name": "Zoe", "_updated_at": day + "17:00:00.000001", "_deleted": True})
+    assert silver.silver_customers(gone).count() == 0
+    order = {"order_id": 7, "customer_id": 1, "order_date": "2024-03-30T23:30:00", "total_amount": "12.50", "shipping_address": "Road 1", "notes": None}
+    got = silver.silver_orders(log(order | {"status": "new", "_updated_at": day + "09:00:00"}, order | {"status": "sent", "_updated_at": day + "10:00:00", "_deleted": False}), "2024-04-01").collect()
+    assert [(r.status, r.order_date, r.order_month, r.days_since_order, r.shipping_address, r.notes, float(r.total_amount)) for r in got] == [("sent", datetime.datetime(2024, 3, 30, 23, 30), D(2024, 3, 1), 2, "Road 1", None, 12.5)]
+    ticket = {"ticket_id": 3, "customer_id": 1, "subject": "s", "description": "d", "priority": "high", "status": "open", "created_at": "2024-05-01T23:59:00", "_updated_at": day + "01:00:00"}
+    got = silver.silver_tickets(log(ticket, ticket | {"status": "resolved", "resolved_at": "2024-05-02T00:01:00", "_updated_at": day + "02:00:00"})).collect()
+    assert [(r.status, r.subject, r.description, r.resolution_hours) for r in got] == [("resolved", "s", "d", 1)]
+    product = {"product_id": 5, "price": "10", "cost": None, "sku": "k", "created_at": "not a time", "active": True}
+    got = silver.silver_products(log(product | {"_updated_at": day + "01:00:00"}, product | {"price": "bad", "cost": "4", "_updated_at": day + "00:59:00"})).collect()
+    assert [(float(r.price), float(r.margin), float(r.margin_pct), r.sku, r.created_at) for r in got] == [(10, 10, 0, "k", None)]
+    item = {"item_id": 9, "order_id": 7, "product_id": 5, "quantity": 3, "unit_price": "2.50", "discount_percent": 10}
+    got = silver.silver_items(log(item | {"_updated_at": day + "01:00:00"}, item | {"quantity": 4, "_updated_at": day + "01:00:01"})).collect()
+    assert [(float(r.gross_total), float(r.net_total)) for r in got] == [(10, 9)]
+
+
+def test_versions_of_one_time_by_log_position(spark):
+    rows = [("Zoe", 2), ("Amy", 1)]
+    df = spark.createDataFrame([(json.dumps({"customer_id": 1, "first_name": n, "_updated_at": "2024-05-01T08:00:00"}), p) for n, p in rows], "j string, lsn long").select(F.parse_json("j").alias("payload"), "lsn")
+    assert [r.first_name for r in silver.silver_customers(df, "lsn").collect()] == ["Zoe"]
+    assert "lsn" not in silver.silver_customers(df, "lsn").columns
+
+
+def test_packed_times_keep_microseconds(spark):
+    df = spark.sql("SELECT timestamp_ntz'2024-05-01 08:00:00.000001' AS a, timestamp'2024-05-01 08:00:00.000002' AS b")
+    got = landing.pack_bronze(df, "x").select(F.variant_get("payload", "$.a", "timestamp_ntz"), F.variant_get("payload", "$.b", "timestamp")).first()
+    assert [t.microsecond for t in got] == [1, 2]
 
 
 def test_closure_goes_on_until_nothing_is_new(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.joins import key_diff, pattern_join
+from tidemark.sources.shared import written
 
 
 def _kind(value: Column) -> Column:
@@ -14,6 +15,11 @@ def _kind(value: Column) -> Column:
     return F.regexp_replace(F.schema_of_variant(value), r"\(.*\)", "")
 
 
+def _bare(schema: str) -> Column:
+    """A type without its precision and its inner types."""
+    return F.regexp_extract(schema, "^[A-Z_]+", 0)
+
+
 def discover_schema(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Top-level keys of all payloads: type, least sample, rows with the key, share of rows without it, distinct values."""
     rows = df.select(F.col(payload).alias("_p"))
@@ -26,22 +32,56 @@ def discover_schema(df: DataFrame, payload: str = "payload") -> DataFrame:
     return out.crossJoin(F.broadcast(total)).select("key", "value_type", "occurrences", "sample_value", "distinct_values", F.round((1 - F.col("occurrences") / F.col("_total")) * 100, 4).alias("null_pct"))
 
 
-def discover_paths(df: DataFrame, payload: str = "payload", depth: int = 4) -> DataFrame:
-    """Leaf paths (neither object nor array) with type and count; array places read [*]. Deeper values count as leaves of their own kind."""
-    level = df.select(F.lit("$").alias("path"), F.col(payload).alias("value"))
-    leaves = None
-    for _ in range(depth):
-        inner = level.select("path", F.col("value").alias("_p")).lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_p").outer()))
-        inner = inner.select(F.concat("path", F.when(F.col("key").isNull(), "[*]").otherwise(F.concat(F.lit("."), "key"))).alias("path"), "value", _kind(F.col("value")).alias("value_type"))
-        nested = F.col("value_type").rlike("^(OBJECT|ARRAY)")
-        found = inner.filter(~nested).groupBy("path", "value_type").agg(F.count("*").alias("occurrences"))
-        leaves = found if leaves is None else leaves.unionByName(found)
-        level = inner.filter(F.schema_of_variant("value").rlike("^(OBJECT|ARRAY)")).select("path", "value")
-    return leaves.groupBy("path", "value_type").agg(F.sum("occurrences").alias("occurrences"))
+#: Levels that one pass unfolds: expressions nested deeper than this take the analyzer long.
+LEVELS = 3
+
+
+def _unfolded(rows: DataFrame, levels: int) -> DataFrame:
+    """(path, value) rows with each object and array replaced by what it holds, `levels` times, by one explode; scalars and empty containers stay."""
+
+    def inside(x: Column) -> Column:
+        members = F.map_entries(F.try_variant_get(x["value"], "$", "map<string,variant>"))
+        elements = F.try_variant_get(x["value"], "$", "array<variant>")
+        one = lambda path, value: F.struct(path.alias("path"), value.alias("value"))
+        return (
+            F.when(F.size(members) > 0, F.transform(members, lambda m: one(F.concat(x["path"], F.lit("."), m["key"]), m["value"])))
+            .when(F.size(elements) > 0, F.transform(elements, lambda e: one(F.concat(x["path"], F.lit("[*]")), e)))
+            .otherwise(F.array(one(x["path"], x["value"])))
+        )
+
+    leaves = F.array(F.struct("path", "value"))
+    for _ in range(levels):
+        leaves = F.flatten(F.transform(leaves, inside))
+    return rows.select(F.explode(leaves).alias("l")).select("l.path", "l.value")
+
+
+def discover_paths(df: DataFrame, payload: str = "payload", depth: int | None = None) -> DataFrame:
+    """Leaf paths of all payloads, however deep, with type and count; array places read [*]. Leaves are scalars, JSON nulls (VOID), and empty containers (OBJECT, ARRAY).
+
+    A pass unfolds LEVELS levels of each row in place and counts what it finds over one explode; only where containers are left that hold something, these are written
+    and go through another pass. depth, if given, is where to stop: deeper containers count as leaves of their own kind. Null payloads have no paths.
+    """
+    rows = df.filter(F.col(payload).isNotNull()).select(F.lit("$").alias("path"), F.col(payload).alias("value"))
+    out, left = None, depth
+    while True:
+        levels = LEVELS if left is None else min(LEVELS, left)
+        found = _unfolded(rows, levels).withColumn("_s", F.schema_of_variant("value"))
+        deeper = left is None or left > levels
+        # a list of nulls has the schema of an empty one: its size decides
+        holds = F.col("_s").startswith("OBJECT<") & ~F.col("_s").startswith("OBJECT<>") | F.coalesce(F.size(F.try_variant_get("value", "$", "array<variant>")) > 0, F.lit(False))
+        folded = holds if deeper else F.lit(False)
+        counts = found.groupBy("path", _bare("_s").alias("value_type"), folded.alias("_folded")).agg(F.count("*").alias("occurrences"))
+        counts = written(counts)
+        done = counts.filter("not _folded").drop("_folded")
+        out = done if out is None else out.unionByName(done)
+        if not counts.filter("_folded").limit(1).count():
+            return out.groupBy("path", "value_type").agg(F.sum("occurrences").alias("occurrences"))
+        rows = written(found.filter(folded).select("path", "value"))
+        left = None if left is None else left - levels
 
 
 def infer_payload_schema(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row: the schema that all payloads fit, merged over all rows."""
+    """One row: the schema that all payloads fit, merged over all rows; null without any payload."""
     return df.agg(F.schema_of_variant_agg(payload).alias("payload_schema"))
 
 

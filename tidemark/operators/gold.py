@@ -79,10 +79,10 @@ def customer_360(customers: DataFrame, orders: DataFrame, tickets: DataFrame, as
         F.col("total_orders").alias("frequency"), F.col("lifetime_value").alias("monetary_total"), value_tier(F.col("lifetime_value"), cuts).alias("revenue_tier"), engagement(F.col("recency_days")).alias("engagement_status"), "total_tickets", "open_tickets")
 
 
-def _active_360(customers: DataFrame, orders: DataFrame, tickets: DataFrame | None, as_of: str, extra: list, more: list) -> DataFrame:
+def _active_360(customers: DataFrame, orders: DataFrame, tickets: DataFrame | None, as_of: str, extra: list, more: list, null_safe: bool = True) -> DataFrame:
     out = _with_arms(active_only(customers), orders, tickets, as_of)
     return out.select(
-        "customer_id", full_name("first_name", "last_name", null_safe=True).alias("full_name"), "email", "company_name", "segment", *extra, revenue_tier("annual_revenue").alias("revenue_tier"), "annual_revenue", "is_active", F.col("created_at").alias("customer_since"), "total_orders", *_VALUE,
+        "customer_id", full_name("first_name", "last_name", null_safe).alias("full_name"), "email", "company_name", "segment", *extra, revenue_tier("annual_revenue").alias("revenue_tier"), "annual_revenue", "is_active", F.col("created_at").alias("customer_since"), "total_orders", *_VALUE,
         F.col("recency_days").alias("days_since_last_order"), "recency_days", F.col("total_orders").alias("frequency_orders"), F.col("lifetime_value").alias("monetary_total"), *more, engagement_recency(F.col("recency_days")).alias("engagement_status"), F.col("updated_at").alias("last_updated"))
 
 
@@ -92,8 +92,8 @@ def customer_360_recency(customers: DataFrame, orders: DataFrame, as_of: str) ->
 
 
 def customer_360_service(customers: DataFrame, orders: DataFrame, tickets: DataFrame, as_of: str) -> DataFrame:
-    """The same with loyalty tier, tickets and the average hours to resolution."""
-    return _active_360(customers, orders, tickets, as_of, ["loyalty_tier"], ["total_tickets", "avg_resolution_hours"])
+    """The same with loyalty tier, tickets and the average hours to resolution; a name of which a part is missing is null."""
+    return _active_360(customers, orders, tickets, as_of, ["loyalty_tier"], ["total_tickets", "avg_resolution_hours"], null_safe=False)
 
 
 def sales_summary(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -199,9 +199,11 @@ def ml_feature_view(features: DataFrame, c360: DataFrame) -> DataFrame:
     return features.join(c360.select("customer_id", "engagement_status"), "customer_id", "left").select(*FEATURES)
 
 
-def support_metrics(tickets: DataFrame, customers: DataFrame) -> DataFrame:
-    """By priority and segment: volume, open, hours to resolution and to the first response, breaches of 4 hours (high) and 24 hours (medium)."""
-    late = ((F.col("priority") == "high") & (F.col("_hours") > 4)) | ((F.col("priority") == "medium") & (F.col("_hours") > 24))
+def support_metrics(tickets: DataFrame, customers: DataFrame, as_of: str) -> DataFrame:
+    """By priority and segment: volume, open, hours to resolution and to the first response, and breaches: open for more than 4 hours (high) or 24 hours (medium),
+    up to the resolution or, without one, up to as_of (a time)."""
+    open_for = F.coalesce("_hours", resolution_hours("created_at", F.lit(as_of).cast("timestamp_ntz")))
+    late = ((F.upper("priority") == "HIGH") & (open_for > 4)) | ((F.upper("priority") == "MEDIUM") & (open_for > 24))
     both = tickets.withColumn("_hours", resolution_hours("created_at", "resolved_at")).withColumn("_response", resolution_hours("created_at", "first_response_at"))
     both = both.join(customers.select("customer_id", "segment"), "customer_id", "left")
     return both.groupBy("priority", "segment").agg(

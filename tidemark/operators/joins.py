@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.timeutil import as_date
 from tidemark.sources.shared import written
 
-#: A rules table with more rows is not broadcast.
-RULES_MOST = 100_000
+#: Names of one index entry that a task compares with the patterns that look it up.
+LIKE_SHARE = 200_000
 
 
 def missing(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -30,25 +30,63 @@ def suppress_recent(df: DataFrame, log: DataFrame, key: str, at: str, days: int,
     return missing(df, recent, [key])
 
 
+def _literal_run(pattern: Column) -> Column:
+    """The longest stretch of a LIKE pattern without wildcards, escapes undone; empty if there is none."""
+    runs = F.transform(F.regexp_extract_all(pattern, F.lit(r"((?:[^%_\\]|\\.)+)"), F.lit(1)), lambda r: F.regexp_replace(r, r"\\(.)", "$1"))
+    return F.coalesce(F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))["run"], F.lit(""))
+
+
+def _grams(text: Column, size: int) -> Column:
+    """Distinct stretches of `size` characters, marked with their size."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - (size - 1))).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.concat(F.lit(f"{size}:"), F.substring(text, i, F.lit(size)))))
+
+
+def like_matches(names: DataFrame, patterns: DataFrame, share: int = LIKE_SHARE) -> DataFrame:
+    """(name, pattern) of all distinct names and the distinct LIKE patterns that fit them, by an inverted index instead of a comparison of all pairs.
+
+    A name is listed under each stretch of 3 characters in it (shorter ones for patterns whose literal text is shorter); a pattern looks up that stretch of its longest
+    literal run that the fewest names have, and the pairs found are verified. Patterns of wildcards alone look up the length that they ask for. Only entries that some
+    pattern could look up are kept. An entry with more than `share` names is dealt to several parts, and the patterns that look it up are copied to each.
+    """
+    name = names.select(F.col(names.columns[0]).alias("name")).filter("name is not null").distinct()
+    run = _literal_run(F.col("pattern"))
+    pattern = patterns.select(F.col(patterns.columns[0]).alias("pattern")).filter("pattern is not null").distinct().withColumn("_run", run)
+    singles = F.length(F.regexp_replace("pattern", "%", ""))
+    shape = F.array(F.concat(F.when(F.col("pattern").contains("%"), "+").otherwise("="), singles.cast("string")))
+    asked = F.when(F.length("_run") >= 3, _grams(F.col("_run"), 3)).when(F.length("_run") == 2, _grams(F.col("_run"), 2)).when(F.length("_run") == 1, _grams(F.col("_run"), 1)).otherwise(shape)
+    wanted = written(pattern.select("pattern", F.explode(asked).alias("key")))
+    lengths = F.concat(F.array(F.concat(F.lit("="), F.length("name").cast("string"))), F.transform(F.sequence(F.lit(0), F.length("name")), lambda i: F.concat(F.lit("+"), i.cast("string"))))
+    all_keys = F.concat(_grams(F.col("name"), 3), _grams(F.col("name"), 2), _grams(F.col("name"), 1), lengths)
+    listed = written(name.select("name", F.explode(all_keys).alias("key")).join(wanted.select("key").distinct(), "key", "left_semi"))
+    sizes = listed.groupBy("key").agg(F.count("*").alias("n"))
+    best = wanted.join(sizes, "key", "left").groupBy("pattern").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("key"))).alias("k")).select("pattern", "k.*").filter("n > 0")
+    chosen = written(best.withColumn("parts", F.ceil(F.col("n") / share)))
+    large = chosen.filter("parts > 1").select("key", "parts").distinct()
+    dealt = listed.join(large, "key", "left").select("key", F.pmod(F.xxhash64("name"), F.coalesce("parts", F.lit(1))).alias("part"), "name")
+    copied = chosen.select("pattern", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    return dealt.join(copied, ["key", "part"]).filter(F.expr("name LIKE pattern")).select("name", "pattern")
+
+
 def pattern_join(df: DataFrame, rules: DataFrame, name: str, pattern: str, how: str = "inner") -> DataFrame:
-    """Names with the LIKE patterns that fit them. The rules are counted first: a small table goes to every task; with a larger one,
-    patterns that start with three or more literal characters meet names by these, and only the others are compared with every name."""
-    if rules.limit(RULES_MOST + 1).count() <= RULES_MOST:
-        return df.join(F.broadcast(rules), F.expr(f"{name} LIKE {pattern}"), how)
-    literal = F.regexp_extract(pattern, r"^([^%_\\]{3,})", 1)
-    keyed = rules.withColumn("_head", F.left(literal, F.lit(3)))
-    by_head = df.withColumn("_head", F.left(F.col(name), F.lit(3))).join(keyed.filter("_head <> ''"), "_head").filter(F.expr(f"{name} LIKE {pattern}")).drop("_head")
-    other = df.join(keyed.filter("_head = ''").drop("_head"), F.expr(f"{name} LIKE {pattern}"))
-    inner = by_head.unionByName(other)
+    """Names with the LIKE patterns that fit them, as a join of the given kind on `name LIKE pattern`: inner, left, right, full, left_semi or left_anti.
+
+    The pairs of distinct names and patterns come from like_matches; everything else is equi-joins, alike at every size. Repeated rows stay repeated, null names and null patterns fit nothing.
+    """
+    met = like_matches(df.select(name), rules.select(pattern)).select(F.col("name").alias("_name"), F.col("pattern").alias("_pattern"))
+    if how in ("left_semi", "left_anti"):
+        return df.join(met.select("_name").distinct(), F.col(name) == F.col("_name"), how)
     if how == "inner":
-        return inner
-    if how == "left_semi":
-        return inner.select(*df.columns).distinct()
-    alone = df.join(inner.select(name).distinct(), name, "left_anti").select(*df.columns)
-    if how == "left_anti":
-        return alone
+        return df.join(met, F.col(name) == F.col("_name")).join(rules, F.col("_pattern") == F.col(pattern)).drop("_name", "_pattern")
+    met = written(met)
+    ruled = rules.join(met, F.col(pattern) == F.col("_pattern"))
     if how == "left":
-        return inner.unionByName(alone, allowMissingColumns=True)
+        return df.join(ruled, F.col(name) == F.col("_name"), "left").select(*df.columns, *rules.columns)
+    if how == "right":
+        return rules.join(df.join(met, F.col(name) == F.col("_name")), F.col(pattern) == F.col("_pattern"), "left").select(*df.columns, *rules.columns)
+    if how == "full":
+        without = rules.join(met.select("_pattern").distinct(), F.col(pattern) == F.col("_pattern"), "left_anti")
+        return df.join(ruled, F.col(name) == F.col("_name"), "left").select(*df.columns, *rules.columns).unionByName(without, allowMissingColumns=True)
     raise ValueError(how)
 
 

@@ -38,9 +38,9 @@ def fill_defaults(df: DataFrame, values: dict[str, object]) -> DataFrame:
 
 
 def full_name(first: str, last: str, null_safe: bool = False) -> Column:
-    """Both names with a space; null if one is, or without the missing one."""
+    """Both names with a space; null if one is, or with nothing in place of the missing one (the space stays)."""
     if null_safe:
-        return F.trim(F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit(""))))
+        return F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit("")))
     return F.concat(F.col(first), F.lit(" "), F.col(last))
 
 
@@ -114,38 +114,49 @@ def active_only(df: DataFrame, flag: str = "is_active") -> DataFrame:
     return df.filter(F.col(flag))
 
 
-CUSTOMER: Spec = [("customer_id", "$.customer_id", "long"), ("first_name", "$.first_name", "string"), ("last_name", "$.last_name", "string"), ("email", "$.email", "string"), ("company_name", "$.company_name", "string"), ("annual_revenue", "$.annual_revenue", "decimal(15,2)"), ("created_at", "$.created_at", "date"), ("_updated_at", "$._updated_at", "date"), ("_deleted", "$._deleted", "boolean")]
-ORDER: Spec = [("order_id", "$.order_id", "long"), ("customer_id", "$.customer_id", "long"), ("order_date", "$.order_date", "date"), ("status", "$.status", "string"), ("total_amount", "$.total_amount", "decimal(12,2)"), ("_updated_at", "$._updated_at", "date"), ("_deleted", "$._deleted", "boolean")]
-PRODUCT: Spec = [("product_id", "$.product_id", "long"), ("product_name", "$.product_name", "string"), ("category", "$.category", "string"), ("price", "$.price", "decimal(10,2)"), ("cost", "$.cost", "decimal(10,2)"), ("active", "$.active", "boolean"), ("_updated_at", "$._updated_at", "date"), ("_deleted", "$._deleted", "boolean")]
-ITEM: Spec = [("item_id", "$.item_id", "long"), ("order_id", "$.order_id", "long"), ("product_id", "$.product_id", "long"), ("quantity", "$.quantity", "int"), ("unit_price", "$.unit_price", "decimal(10,2)"), ("discount_percent", "$.discount_percent", "decimal(5,2)"), ("_updated_at", "$._updated_at", "date"), ("_deleted", "$._deleted", "boolean")]
-TICKET: Spec = [("ticket_id", "$.ticket_id", "long"), ("customer_id", "$.customer_id", "long"), ("priority", "$.priority", "string"), ("status", "$.status", "string"), ("created_at", "$.created_at", "timestamp_ntz"), ("resolved_at", "$.resolved_at", "timestamp_ntz"), ("_updated_at", "$._updated_at", "date"), ("_deleted", "$._deleted", "boolean")]
+def _spec(**fields: str) -> Spec:
+    """A field for each keyword, from the payload key of the same name."""
+    return [(name, f"$.{name}", kind) for name, kind in fields.items()]
 
 
-def _current(bronze: DataFrame, spec: Spec, key: str) -> DataFrame:
-    """Typed payloads, the latest of each key, without deleted ones; equal versions by the remaining columns."""
-    typed = require_keys(flatten_and_type(bronze, spec), [key])
+#: What every change row carries: its commit time, to the microsecond, and whether it deletes.
+_CHANGE = {"_updated_at": "timestamp_ntz", "_deleted": "boolean"}
+CUSTOMER = _spec(customer_id="long", first_name="string", last_name="string", email="string", phone="string", company_name="string", industry="string", annual_revenue="decimal(15,2)", created_at="timestamp_ntz", updated_at="timestamp_ntz", **_CHANGE)
+ORDER = _spec(order_id="long", customer_id="long", order_date="timestamp_ntz", status="string", total_amount="decimal(12,2)", shipping_address="string", notes="string", **_CHANGE)
+PRODUCT = _spec(product_id="long", product_name="string", category="string", price="decimal(10,2)", cost="decimal(10,2)", sku="string", active="boolean", created_at="timestamp_ntz", **_CHANGE)
+ITEM = _spec(item_id="long", order_id="long", product_id="long", quantity="int", unit_price="decimal(10,2)", discount_percent="decimal(5,2)", **_CHANGE)
+TICKET = _spec(ticket_id="long", customer_id="long", subject="string", description="string", priority="string", status="string", created_at="timestamp_ntz", resolved_at="timestamp_ntz", **_CHANGE)
+
+
+def _current(bronze: DataFrame, spec: Spec, key: str, position: str | None = None) -> DataFrame:
+    """Typed payloads, the latest of each key by commit time, without deleted ones; the time comes out as cdc_timestamp.
+
+    Versions of one time: by the log position, a column of bronze, if given; then by the remaining columns, so that the result does not depend on chance.
+    """
+    typed = require_keys(flatten_and_type(bronze, spec, keep=[position] if position else ()), [key])
     rest = [n for n, _, _ in spec if n not in (key, "_updated_at")]
-    return latest_by_key(typed, [key], ["_updated_at", *rest])
+    latest = latest_by_key(typed, [key], ["_updated_at", *([position] if position else []), *rest])
+    return latest.withColumnRenamed("_updated_at", "cdc_timestamp").drop("_deleted", *([position] if position else []))
 
 
-def silver_customers(bronze: DataFrame) -> DataFrame:
-    return _current(bronze, CUSTOMER, "customer_id").withColumn("full_name", full_name("first_name", "last_name")).withColumn("customer_segment", derive_segment("company_name"))
+def silver_customers(bronze: DataFrame, position: str | None = None) -> DataFrame:
+    return _current(bronze, CUSTOMER, "customer_id", position).withColumn("full_name", full_name("first_name", "last_name")).withColumn("customer_segment", derive_segment("company_name"))
 
 
-def silver_orders(bronze: DataFrame, as_of: str) -> DataFrame:
-    return order_calendar(_current(bronze, ORDER, "order_id"), as_of)
+def silver_orders(bronze: DataFrame, as_of: str, position: str | None = None) -> DataFrame:
+    return order_calendar(_current(bronze, ORDER, "order_id", position), as_of)
 
 
-def silver_products(bronze: DataFrame) -> DataFrame:
-    return product_margin(_current(bronze, PRODUCT, "product_id"))
+def silver_products(bronze: DataFrame, position: str | None = None) -> DataFrame:
+    return product_margin(_current(bronze, PRODUCT, "product_id", position))
 
 
-def silver_items(bronze: DataFrame) -> DataFrame:
-    return line_totals(_current(bronze, ITEM, "item_id"))
+def silver_items(bronze: DataFrame, position: str | None = None) -> DataFrame:
+    return line_totals(_current(bronze, ITEM, "item_id", position))
 
 
-def silver_tickets(bronze: DataFrame) -> DataFrame:
-    return _current(bronze, TICKET, "ticket_id").withColumn("resolution_hours", resolution_hours("created_at", "resolved_at"))
+def silver_tickets(bronze: DataFrame, position: str | None = None) -> DataFrame:
+    return _current(bronze, TICKET, "ticket_id", position).withColumn("resolution_hours", resolution_hours("created_at", "resolved_at"))
 
 
 def silver_from_changelog(log: DataFrame, keys: list[str], defaults: dict[str, object], upper: list[str] = (), lower: list[str] = (), tier_on: str | None = None) -> DataFrame:

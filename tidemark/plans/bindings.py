@@ -14,7 +14,7 @@ CUTS = (4_000_000, 2_500_000, 1_000_000)
 #: name: (source, expressions, condition); expressions read alike in both engines.
 ENTITIES: dict[str, tuple[str, list[str], str]] = {
     "customers": ("customer", [
-        "c_custkey AS customer_id", "split_part(c_name, '#', 1) AS first_name", "split_part(c_name, '#', 2) AS last_name", "concat(lower(c_name), '@x.io') AS email",
+        "c_custkey AS customer_id", "split_part(c_name, '#', 1) AS first_name", "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE split_part(c_name, '#', 2) END AS last_name", "concat(lower(c_name), '@x.io') AS email",
         "CASE c_nationkey % 3 WHEN 0 THEN 'Acme Corp' WHEN 1 THEN 'Startup Labs' ELSE 'Solutions' END AS company_name", "c_mktsegment AS segment",
         "CAST(c_acctbal * 1000 AS DECIMAL(15,2)) AS annual_revenue",
         "CASE WHEN c_acctbal >= 7000 THEN 'GOLD' WHEN c_acctbal >= 3000 THEN 'SILVER' ELSE 'BRONZE' END AS loyalty_tier",

@@ -115,10 +115,31 @@ def d1_packed(spark, d):
     return got.groupBy("key").agg(F.sum("occurrences").alias("occurrences"), F.sum("distinct_values").alias("distinct_values"), F.round(100 - F.sum(100 - F.col("null_pct")), 4).alias("null_pct"))
 
 
-@query("d2_discover_paths", "SELECT '$.event_id' AS path, 'BIGINT' AS value_type, count(*) AS occurrences FROM events UNION ALL SELECT '$.nested.k', 'BIGINT', count(*) FROM events UNION ALL SELECT '$.tags[*]', 'STRING', 2 * count(*) FROM events")
+#: Payloads nested up to twelve deep, with empty containers, lists of objects, and a key that is a number here and an object there; alike in both engines.
+DEEP = """concat('{"id":', CAST(event_id AS STRING), ',"type":"', event_type, '","empty":', CASE WHEN event_id % 2 = 0 THEN '{}' ELSE '[]' END, ',"list":[1,{"x":"y"},[]],"mixed":', CASE WHEN event_id % 3 = 0 THEN '7' WHEN event_id % 3 = 1 THEN concat('{"in":', props, '}') ELSE 'null' END, ',"deep":', repeat('{"d":', CAST(event_id % 11 AS INT)), props, repeat('}', CAST(event_id % 11 AS INT)), '}')"""
+#: Leaves of json texts by DuckDB: scalars, nulls and containers that hold nothing.
+LEAVES = """SELECT regexp_replace(fullkey, '\\[[0-9]+\\]', '[*]', 'g') AS path, CASE type WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' WHEN 'NULL' THEN 'VOID' WHEN 'DOUBLE' THEN 'DECIMAL' ELSE type END AS value_type, count(*) AS occurrences
+ FROM t, json_tree(t.j) WHERE type NOT IN ('OBJECT', 'ARRAY') OR value IN ('{}', '[]') GROUP BY 1, 2"""
+
+
+@query("d2_discover_paths", f"WITH t AS (SELECT {DEEP} AS j FROM events) {LEAVES}")
 def d2(spark, d):
-    text = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"nested":'), "payload_json", F.lit(',"tags":["a","b"]}'))
-    return evolve.discover_paths(entity(spark, d, "payloads").select(F.parse_json(text).alias("payload")))
+    return evolve.discover_paths(entity(spark, d, "events").select(F.parse_json(F.expr(DEEP)).alias("payload")))
+
+
+@query("d2_discover_paths_packed", f"""WITH o AS (SELECT l_orderkey, l_orderkey % 7 AS m, json_group_array(json_object('line', l_linenumber, 'part', l_partkey, 'flag', l_returnflag)) AS lines FROM lineitem GROUP BY 1),
+t AS (SELECT CASE WHEN m = 0 THEN json_object('order', l_orderkey, 'lines', json_array()) ELSE json_object('order', l_orderkey, 'lines', lines) END AS j FROM o) {LEAVES}""")
+def d2_packed(spark, d):
+    line = F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag"))
+    orders = entity(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    lines = F.when(F.col("l_orderkey") % 7 == 0, F.slice("lines", 1, 0)).otherwise(F.col("lines"))
+    return evolve.discover_paths(landing.pack_bronze(orders.select(F.col("l_orderkey").alias("order"), lines.alias("lines")), "orders", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
+
+
+@query("d8_infer_payload_schema_events", """SELECT 'OBJECT<event_id: BIGINT, event_type: STRING' || CASE WHEN count(*) FILTER (json_type(json_extract(props, '$.k')) NOT IN ('UBIGINT', 'BIGINT')) > 0 THEN ', props: VARIANT' ELSE ', props: OBJECT<k: BIGINT>' END || '>' AS payload_schema FROM events""")
+def d8_bound(spark, d):
+    e = entity(spark, d, "events").select("event_id", "event_type", F.from_json("props", "k bigint").alias("props"))
+    return evolve.infer_payload_schema(landing.pack_bronze(e, "events", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
 
 
 SCHEMA_ROWS = "(VALUES ('T', 'ID'), ('T', 'NAME'), ('T', 'EXTRA'), ('T', '_SYS_A')) a(table_name, name)"

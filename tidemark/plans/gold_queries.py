@@ -53,7 +53,7 @@ def a2(spark, d):
     return gold.customer_360_recency(*_e(spark, d, "customers", "sales"), AS_OF)
 
 
-@query("a3_customer_360_service", f"WITH {C360} SELECT * FROM f360")
+@query("a3_customer_360_service", f"WITH {C360} SELECT f360.* REPLACE (first_name || ' ' || last_name AS full_name) FROM f360 JOIN customers USING (customer_id)")
 def a3(spark, d):
     return gold.customer_360_service(*_e(spark, d, "customers", "sales", "tickets"), AS_OF)
 
@@ -139,10 +139,10 @@ def a12(spark, d):
     return gold.ml_feature_view(_features(spark, d), gold.customer_360_recency(*_e(spark, d, "customers", "sales"), AS_OF))
 
 
-@query("a13_support_metrics", """WITH t AS (SELECT t.*, date_diff('hour', created_at, resolved_at) AS h, date_diff('hour', created_at, first_response_at) AS r FROM tickets t)
-SELECT priority, segment, count(*) AS tickets, count(*) FILTER (status = 'open') AS open_tickets, avg(h) AS avg_resolution_hours, avg(r) AS avg_first_response_hours, count(*) FILTER ((priority = 'high' AND h > 4) OR (priority = 'medium' AND h > 24)) AS sla_breaches FROM t LEFT JOIN customers USING (customer_id) GROUP BY 1, 2""")
+@query("a13_support_metrics", """WITH t AS (SELECT t.*, date_diff('hour', created_at, resolved_at) AS h, date_diff('hour', created_at, first_response_at) AS r, date_diff('hour', created_at, coalesce(resolved_at, TIMESTAMP '2024-01-20 12:00:00')) AS age FROM tickets t)
+SELECT priority, segment, count(*) AS tickets, count(*) FILTER (status = 'open') AS open_tickets, avg(h) AS avg_resolution_hours, avg(r) AS avg_first_response_hours, count(*) FILTER ((priority = 'high' AND age > 4) OR (priority = 'medium' AND age > 24)) AS sla_breaches FROM t LEFT JOIN customers USING (customer_id) GROUP BY 1, 2""")
 def a13(spark, d):
-    return gold.support_metrics(*_e(spark, d, "tickets", "customers"))
+    return gold.support_metrics(*_e(spark, d, "tickets", "customers"), "2024-01-20 12:00:00")
 
 
 @query("a14_product_and_category", f"""WITH {PRODUCT}, b AS (SELECT product_id, category, units_sold, revenue FROM products LEFT JOIN ia USING (product_id))

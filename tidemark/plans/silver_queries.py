@@ -127,7 +127,7 @@ def p3(spark, d):
     return silver.fill_defaults(entity(spark, d, "products").select("product_id", "cost"), {"cost": 0})
 
 
-@query("p4_full_name", "SELECT customer_id, first_name || ' ' || last_name AS full_name, trim(coalesce(first_name, '') || ' ' || coalesce(CASE WHEN customer_id % 3 = 0 THEN NULL ELSE last_name END, '')) AS safe_name FROM customers")
+@query("p4_full_name", "SELECT customer_id, first_name || ' ' || last_name AS full_name, coalesce(first_name, '') || ' ' || coalesce(CASE WHEN customer_id % 3 = 0 THEN NULL ELSE last_name END, '') AS safe_name FROM customers")
 def p4(spark, d):
     c = entity(spark, d, "customers").withColumn("other", F.expr("CASE WHEN customer_id % 3 = 0 THEN NULL ELSE last_name END"))
     return c.select("customer_id", silver.full_name("first_name", "last_name").alias("full_name"), silver.full_name("first_name", "other", True).alias("safe_name"))
@@ -211,54 +211,77 @@ def p16(spark, d):
     return n(silver.not_deleted(f, strict=True), "strict").union(n(silver.not_deleted(f), "loose")).union(n(silver.active_only(entity(spark, d, "customers")), "active"))
 
 
-# two versions of each entity row in three; every tenth is deleted by its last version
-def _versions(name: str, change: str) -> str:
-    key = {"customers": "customer_id", "sales": "order_id", "products": "product_id", "items": "item_id", "tickets": "ticket_id"}[name]
-    return f"SELECT *, DATE '2001-09-01' AS _updated_at, false AS _deleted FROM {name} UNION ALL SELECT * REPLACE ({change}), DATE '2001-09-02' AS _updated_at, {key} % 10 = 0 AS _deleted FROM {name} WHERE {key} % 3 = 0"
+#: Expressions for landing columns that the bound entities lack, alike in both engines.
+EXTRA = {
+    "customers": {"industry": "CASE WHEN customer_id % 5 = 0 THEN NULL ELSE lower(segment) END"},
+    "sales": {"shipping_address": "concat('Road ', CAST(customer_id AS STRING))", "notes": "CASE WHEN order_id % 4 = 0 THEN 'call first' END"},
+    "products": {"created_at": "updated_at - 30"},
+    "items": {},
+    "tickets": {"subject": "concat('Error ', CAST(ticket_id AS STRING))", "description": "CASE WHEN ticket_id % 3 = 0 THEN NULL ELSE concat(priority, ' case') END"},
+}
+#: Commit times of a row's versions, several on one day and not in the order of their values: which rows have them, and what they change; the last one deletes every tenth key.
+VERSION_TIMES = ((1, "2001-09-01 17:00:00.000001"), (2, "2001-09-01 08:00:00"), (3, "2001-09-01 17:00:00.000002"))
+VERSION_KEYS = {"customers": "customer_id", "sales": "order_id", "products": "product_id", "items": "item_id", "tickets": "ticket_id"}
+CHANGED = {"customers": ("company_name", "concat('Zoe Global ', company_name)", "concat('Amy ', company_name)"), "sales": ("status", "'shipped'", "'returned'"), "products": ("price", "CAST(price + 7 AS DECIMAL(10,2))", "CAST(price + 1 AS DECIMAL(10,2))"), "items": ("quantity", "CAST(quantity + 9 AS INT)", "CAST(quantity + 1 AS INT)"), "tickets": ("status", "'waiting'", "'closed'")}
 
 
-def _bronze(spark, d, name, column, change):
-    base = entity(spark, d, name)
-    key = base.columns[0]
-    first = base.withColumn("_updated_at", F.lit("2001-09-01").cast("date")).withColumn("_deleted", F.lit(False))
-    second = base.filter(f"{key} % 3 = 0").withColumn(column, F.expr(change).cast(base.schema[column].dataType)).withColumn("_updated_at", F.lit("2001-09-02").cast("date")).withColumn("_deleted", F.expr(f"{key} % 10 = 0"))
-    return landing.pack_bronze(first.unionByName(second), name, loaded())
+def _parts(name: str) -> list[tuple[str, str, str, str]]:
+    """(condition, changed value, commit time, deleted) of the versions of an entity's rows."""
+    key, (column, early, late) = VERSION_KEYS[name], CHANGED[name]
+    times = dict(VERSION_TIMES)
+    return [("true", column, times[1], "false"), (f"{key} % 2 = 0", early, times[2], f"{key} % 4 = 0"), (f"{key} % 3 = 0", late, times[3], f"{key} % 10 = 0")]
+
+
+def _versions(name: str) -> str:
+    column = CHANGED[name][0]
+    more = "".join(f", {e} AS {c}" for c, e in EXTRA[name].items())
+    return " UNION ALL ".join(f"SELECT * REPLACE ({value} AS {column}){more}, TIMESTAMP '{at}' AS _updated_at, {deleted} AS _deleted FROM {name} WHERE {condition}" for condition, value, at, deleted in _parts(name))
+
+
+def _bronze(spark, d, name):
+    column, base = CHANGED[name][0], entity(spark, d, name)
+    wide = base.withColumns({c: F.expr(e) for c, e in EXTRA[name].items()})
+    out = None
+    for condition, value, at, deleted in _parts(name):
+        one = wide.filter(condition).withColumns({column: F.expr(value).cast(base.schema[column].dataType), "_updated_at": F.lit(at).cast("timestamp_ntz"), "_deleted": F.expr(deleted)})
+        out = one if out is None else out.unionByName(one)
+    return landing.pack_bronze(out, name, loaded())
+
+
+def _latest(name: str, columns: str, ties: str = "") -> str:
+    """SQL over the live latest versions."""
+    key = VERSION_KEYS[name]
+    return f"WITH v AS ({_versions(name)}), r AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY _updated_at DESC NULLS FIRST{ties}) = 1) SELECT {columns} FROM r WHERE NOT _deleted"
 
 
-LATEST = "FROM v QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY _updated_at DESC NULLS FIRST{ties}) = 1"
 #: item_id repeats in lineitem, and such rows have the same version time; as the operator, by the remaining columns.
 ITEM_TIES = "".join(f", {c} DESC NULLS FIRST" for c in ("order_id", "product_id", "quantity", "unit_price", "discount_percent", "_deleted"))
 
 
-@query("t1_silver_customers", f"""WITH v AS ({_versions('customers', "'Global ' || company_name AS company_name")}), r AS (SELECT * {LATEST.format(key='customer_id', ties='')})
-SELECT customer_id, first_name || ' ' || last_name AS full_name, company_name, annual_revenue, created_at,
- CASE WHEN company_name ILIKE '%enterprise%' OR company_name ILIKE '%corp%' THEN 'ENTERPRISE' WHEN company_name ILIKE '%startup%' OR company_name ILIKE '%labs%' THEN 'STARTUP' ELSE 'MID-MARKET' END AS customer_segment FROM r WHERE NOT _deleted""")
+@query("t1_silver_customers", _latest("customers", """customer_id, first_name, last_name, first_name || ' ' || last_name AS full_name, email, phone, company_name, industry, annual_revenue, CAST(created_at AS TIMESTAMP) AS created_at, CAST(updated_at AS TIMESTAMP) AS updated_at, _updated_at AS cdc_timestamp,
+ CASE WHEN company_name ILIKE '%enterprise%' OR company_name ILIKE '%corp%' THEN 'ENTERPRISE' WHEN company_name ILIKE '%startup%' OR company_name ILIKE '%labs%' THEN 'STARTUP' ELSE 'MID-MARKET' END AS customer_segment"""))
 def t1(spark, d):
-    return silver.silver_customers(_bronze(spark, d, "customers", "company_name", "'Global ' || company_name")).select("customer_id", "full_name", "company_name", "annual_revenue", "created_at", "customer_segment")
+    return silver.silver_customers(_bronze(spark, d, "customers"))
 
 
-@query("t2_silver_orders", f"""WITH v AS ({_versions('sales', "'returned' AS status")}), r AS (SELECT * {LATEST.format(key='order_id', ties='')})
-SELECT order_id, customer_id, order_date, status, total_amount, CAST(date_trunc('month', order_date) AS DATE) AS order_month, CAST(date_diff('day', order_date, DATE '{AS_OF}') AS INT) AS days_since_order FROM r WHERE NOT _deleted""")
+@query("t2_silver_orders", _latest("sales", f"order_id, customer_id, CAST(order_date AS TIMESTAMP) AS order_date, status, total_amount, shipping_address, notes, _updated_at AS cdc_timestamp, CAST(date_trunc('month', order_date) AS DATE) AS order_month, CAST(date_diff('day', order_date, DATE '{AS_OF}') AS INT) AS days_since_order"))
 def t2(spark, d):
-    return silver.silver_orders(_bronze(spark, d, "sales", "status", "'returned'"), AS_OF).select("order_id", "customer_id", "order_date", "status", "total_amount", "order_month", "days_since_order")
+    return silver.silver_orders(_bronze(spark, d, "sales"), AS_OF)
 
 
-@query("t3_silver_products", f"""WITH v AS ({_versions('products', "CAST(price + 1 AS DECIMAL(10,2)) AS price")}), r AS (SELECT * {LATEST.format(key='product_id', ties='')})
-SELECT product_id, product_name, category, price, cost, price - coalesce(cost, 0) AS margin, round(CASE WHEN cost > 0 THEN round(CAST(price - cost AS DOUBLE) / CAST(cost AS DOUBLE) * 100, 4) ELSE 0 END, 2) AS margin_pct FROM r WHERE NOT _deleted""")
+@query("t3_silver_products", _latest("products", "product_id, product_name, category, price, cost, sku, active, CAST(created_at AS TIMESTAMP) AS created_at, _updated_at AS cdc_timestamp, price - coalesce(cost, 0) AS margin, round(CASE WHEN cost > 0 THEN round(CAST(price - cost AS DOUBLE) / CAST(cost AS DOUBLE) * 100, 4) ELSE 0 END, 2) AS margin_pct"))
 def t3(spark, d):
-    return silver.silver_products(_bronze(spark, d, "products", "price", "price + 1")).select("product_id", "product_name", "category", "price", "cost", "margin", F.round(F.col("margin_pct").cast("double"), 2).alias("margin_pct"))
+    return silver.silver_products(_bronze(spark, d, "products")).withColumn("margin_pct", F.round(F.col("margin_pct").cast("double"), 2))
 
 
-@query("t4_silver_order_items", f"""WITH v AS ({_versions('items', "quantity + 1 AS quantity")}), r AS (SELECT * {LATEST.format(key='item_id', ties=ITEM_TIES)})
-SELECT item_id, order_id, product_id, quantity, CAST(quantity * unit_price AS DECIMAL(18,2)) AS gross_total FROM r WHERE NOT _deleted""")
+@query("t4_silver_order_items", _latest("items", "item_id, order_id, product_id, quantity, unit_price, discount_percent, _updated_at AS cdc_timestamp, CAST(quantity * unit_price AS DECIMAL(18,2)) AS gross_total, CAST(round(quantity * unit_price * (100 - discount_percent) / 100.0, 4) AS DECIMAL(18,4)) AS net_total", ITEM_TIES))
 def t4(spark, d):
-    return silver.silver_items(_bronze(spark, d, "items", "quantity", "quantity + 1")).select("item_id", "order_id", "product_id", "quantity", "gross_total")
+    return silver.silver_items(_bronze(spark, d, "items"))
 
 
-@query("t5_silver_tickets", f"""WITH v AS ({_versions('tickets', "'closed' AS status")}), r AS (SELECT * {LATEST.format(key='ticket_id', ties='')})
-SELECT ticket_id, customer_id, priority, status, CAST(date_diff('hour', created_at, resolved_at) AS BIGINT) AS resolution_hours FROM r WHERE NOT _deleted""")
+@query("t5_silver_tickets", _latest("tickets", "ticket_id, customer_id, subject, description, priority, status, created_at, resolved_at, _updated_at AS cdc_timestamp, CAST(date_diff('hour', created_at, resolved_at) AS BIGINT) AS resolution_hours"))
 def t5(spark, d):
-    return silver.silver_tickets(_bronze(spark, d, "tickets", "status", "'closed'")).select("ticket_id", "customer_id", "priority", "status", "resolution_hours")
+    return silver.silver_tickets(_bronze(spark, d, "tickets"))
 
 
 LOG_LATEST = "SELECT * FROM event_log QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY _cdc_timestamp DESC NULLS FIRST, _cdc_lsn DESC NULLS FIRST) = 1"

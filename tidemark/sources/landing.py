@@ -57,10 +57,14 @@ def ingest_json(df: DataFrame, col: str, source: str, loaded_at: Column | None =
     return df.select(at.alias("_metadata_load_ts"), F.lit(source).alias("_metadata_source"), F.col(col).alias("raw_text"), F.try_parse_json(col).alias("raw_payload"))
 
 
+#: Times keep their microseconds in payloads: versions of one row may lie closer together than a millisecond.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def pack_bronze(df: DataFrame, source_table: str, ingested_at: Column | None = None) -> DataFrame:
     """Whole rows as payload, keys with null values left out; payload_json is the same as text."""
     at = ingested_at if ingested_at is not None else F.current_timestamp()
-    text = F.to_json(F.struct(*df.columns))
+    text = F.to_json(F.struct(*df.columns), TIMES)
     return df.select(F.parse_json(text).alias("payload"), text.alias("payload_json"), F.lit(source_table).alias("source_table"), at.alias("ingested_at"))
 
 
