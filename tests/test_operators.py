@@ -231,6 +231,39 @@ def test_closure_goes_on_until_nothing_is_new(spark):
     assert graph.lineage_closure(edges, ["0"], max_hops=3).count() == 3
 
 
+@pytest.mark.parametrize("at_once", [(7, 3), (1000, 1000)])
+def test_similar_items_equal_all_pairs(spark, at_once):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0.3, 1) for _ in range(5)]) for i in range(80)] + [(80, [0.0] * 5), (81, [0.0] * 5), (82, None), (83, [1.0, 2.0]), (84, [2.0, 4.0]), (85, [])]
+    rows += [(90 + i, rows[7][1]) for i in range(6)]  # ties
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+    def cosine(a, b):
+        if not a or not b or len(a) != len(b) or not any(a) or not any(b):
+            return None
+        return round(sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5, 6)
+
+    asked = [r for r in rows if r[0] % 7 == 0 or r[0] in (80, 82, 83)]
+    want = []
+    for i, q in asked:
+        best = sorted(((cosine(q, v), j) for j, v in rows if j != i), key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))[:4]
+        want += [(i, j, s, n) for n, (s, j) in enumerate(best, 1)]
+    seen = {}
+    got = graph.similar_items(df, df.filter(F.col("vec_id").isin([i for i, _ in asked])), 4, *at_once, seen=seen)
+    assert sorted((r.query_id, r.vec_id, r.similarity, r["rank"]) for r in got.collect()) == sorted(want, key=lambda x: x[:2])
+    assert seen["share"] < 0.3
+    assert graph.similar_items(df.limit(0), df, 4).count() == 0 == graph.similar_items(df, df.limit(0), 4).count()
+
+
+def test_similar_items_compares_few(spark):
+    e, seen = entity(spark, LARGE, "embeddings").select("vec_id", "embedding"), {}
+    got = graph.similar_items(e, e.filter("vec_id % 50 = 0"), 5, seen=seen)
+    assert got.count() == 200 and seen["share"] < 0.02
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_near_names(spark):
     refs = spark.createDataFrame([(1, "RAW.F"), (1, "RAW.O"), (2, "NONE")], "k int, table_name string")
     tables = spark.createDataFrame([("raw.o",), ("raw.f_old",), ("f",), ("one",)], "table_name string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,19 +172,78 @@ def run_dashboard(executions: DataFrame, now: str) -> DataFrame:
     return executions.withColumn("_end", end).select("execution_id", "workflow_name", "trigger_type", "status", "current_phase", *(out(*v).alias(k) for k, v in counts.items()), "retry_count", second_diff("started_at", "_end").cast("long").alias("duration_seconds"), "started_at", "completed_at", "last_error")
 
 
-def similar_items(vectors: DataFrame, queries: DataFrame, k: int, query_bytes: int = 64 << 20) -> DataFrame:
-    """The k most similar vectors of each query by cosine, the query itself left out. Vectors and queries: (vec_id, embedding).
-
-    Vectors are brought to length one once. Queries are measured first: up to query_bytes of them go to every task; more are compared in blocks of about that many.
-    The k best of each task's rows are chosen before any are shuffled.
+#: Levels of an approximated component on either side of zero, and vectors and queries that a task compares.
+LEVELS, VECTORS, QUERIES = 127, 65_536, 4_096
+
+
+def approximated(vectors: DataFrame) -> DataFrame:
+    """(vec_id, dim, code, scale, error): vectors of length one with a byte for each component (code times scale), and the length of what that leaves out. A vector
+    without a length has no code; it is similar to none."""
+    rows = vectors.select("vec_id", unit("embedding").alias("_v"))
+    top = F.array_max(F.transform("_v", F.abs))
+    rows = rows.withColumn("scale", top / LEVELS).withColumn("code", F.transform("_v", lambda x: F.round(x / F.col("scale")).cast("tinyint")))
+    left = F.zip_with("_v", "code", lambda x, c: x - c * F.col("scale"))
+    return rows.select("vec_id", F.size("_v").alias("dim"), "code", "scale", F.sqrt(F.aggregate(left, F.lit(0.0), lambda s, e: s + e * e)).alias("error"))
+
+
+def _survivors(k: int):
+    """Of a piece of approximated vectors, those that can be among the k best of each query of a block: (query_id, vec_id, low, high). Zero vectors count as -2."""
+
+    def matrix(t: pa.Table, name: str) -> np.ndarray:
+        flat = t.column(name).combine_chunks()
+        return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if left.num_rows and right.num_rows:
+            ids, sizes = left.column("vec_id").to_numpy(), left.column("dim").fill_null(0).to_numpy()
+            asked, asked_sizes = right.column("query_id").to_numpy(), right.column("query_dim").fill_null(0).to_numpy()
+            for size in np.unique(asked_sizes):
+                same, who = np.flatnonzero(sizes == size) if size > 0 else np.empty(0, np.int64), np.flatnonzero(asked_sizes == size)
+                if len(same):
+                    part = left.take(pa.array(same))
+                    codes = matrix(part, "code") * part.column("scale").to_numpy()[:, None]
+                    slack = part.column("error").to_numpy() + 2e-6  # the answer is ranked by a rounded cosine
+                    q = matrix(right.take(pa.array(who)), "q")
+                for n, i in enumerate(who):
+                    low, high = np.full(len(ids), -2.0), np.full(len(ids), -2.0)
+                    if len(same):
+                        near = codes @ q[n]
+                        low[same], high[same] = near - slack, near + slack
+                    at = np.flatnonzero(ids != asked[i])
+                    if len(at) > k:
+                        least = np.partition(low[at], len(at) - k)[len(at) - k]
+                        at = at[high[at] >= least]
+                        zero = at[high[at] == -2.0]
+                        at = np.concatenate((at[high[at] > -2.0], zero[np.argsort(ids[zero], kind="stable")][:k]))
+                    out.append((np.full(len(at), asked[i]), ids[at], low[at], high[at]))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 2 + [np.empty(0)] * 2
+        return pa.table(dict(zip(("query_id", "vec_id", "low", "high"), cols)))
+
+    return run
+
+
+def similar_items(vectors: DataFrame, queries: DataFrame, k: int, vectors_at_once: int = VECTORS, queries_at_once: int = QUERIES, seen: dict | None = None) -> DataFrame:
+    """(query_id, vec_id, similarity, rank): the k most similar vectors of each query by cosine, rounded to six digits; ties by vec_id, no similarity last, the query itself left out. Vectors and queries: (vec_id, embedding).
+
+    Exact, by approximation columns: a byte a component gives each cosine up to the length of what the bytes leave out, a query being of length one. A task holds a piece of
+    the vectors and a block of the queries, drops what k others surely beat, and of the rest what k others of any piece surely beat goes too; only for the survivors
+    are the vectors themselves read and compared. Needs no clusters. Ids are integers. seen, if given, takes "share": exact comparisons as a part of all pairs.
     """
-    size = queries.agg(F.sum(8 * F.size("embedding"))).first()[0] or 0
-    parts, out = max(1, -(-size // query_bytes)), None
-    whole = vectors.select("vec_id", unit("embedding").alias("_v"))
-    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc_nulls_last(), "vec_id")
-    for p in range(parts):
-        some = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == p).select(F.col("vec_id").alias("query_id"), unit("embedding").alias("_q"))
-        scored = whole.join(F.broadcast(some), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot("_q", "_v"), 6).alias("similarity"))
-        best = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        out = best if out is None else out.unionByName(best)
-    return out
+    total, asked = vectors.count(), queries.count()
+    pieces, blocks = max(1, -(-total // vectors_at_once)), max(1, -(-asked // queries_at_once))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    unit_of = lambda p, b: (p * blocks + b).cast("long")
+    wanted = queries.select(F.col("vec_id").alias("query_id"), unit("embedding").alias("q"))
+    left = approximated(vectors).withColumn("_b", spread(blocks)).withColumn("unit", unit_of(F.pmod(F.xxhash64("vec_id"), F.lit(pieces)), F.col("_b"))).drop("_b")
+    right = wanted.withColumn("query_dim", F.size("q")).withColumn("_p", spread(pieces)).withColumn("asked", unit_of(F.col("_p"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)))).drop("_p")
+    near = written(left.groupBy("unit").cogroup(right.groupBy("asked")).applyInArrow(_survivors(k), "query_id long, vec_id long, low double, high double"))
+    by_low = Window.partitionBy("query_id").orderBy(F.desc("low"), "vec_id")
+    least = near.withColumn("n", F.row_number().over(by_low)).filter(F.col("n") <= k).groupBy("query_id").agg(F.min("low").alias("least"))
+    pairs = written(near.join(least, "query_id").filter("high >= least").select("query_id", "vec_id").distinct())
+    if seen is not None:
+        seen["share"] = pairs.count() / max(1, total * asked)
+    exact = pairs.join(vectors.select("vec_id", unit("embedding").alias("_v")), "vec_id").join(wanted.distinct(), "query_id")
+    best = Window.partitionBy("query_id").orderBy(F.col("similarity").desc_nulls_last(), "vec_id")
+    scored = exact.select("query_id", "vec_id", F.round(dot("_v", "q"), 6).alias("similarity"))
+    return scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

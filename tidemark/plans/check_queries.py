@@ -394,15 +394,17 @@ def r3(spark, d):
 @query("r4_stream_latest", LIVE)
 def r4(spark, d):
     at, schema = _folder(spark, d, 4)
-    got = streaming.stream_latest(streaming.stream_changes(spark, f"{at}/in", schema, 1), KEYS, TOTAL, f"{at}/snap", f"{at}/cp")
+    got = streaming.stream_latest(streaming.stream_changes(spark, f"{at}/in", schema, 1), KEYS, TOTAL, f"{at}/snap", f"{at}/cp", 16)
     return cdc.live(got.latest()).drop("_deleted")
 
 
-@query("r6_stream_gold", "SELECT CAST(date_trunc('month', _updated_at) AS DATE) AS month, count(*) AS n, CAST(sum(line_total) AS DECIMAL(18,2)) AS total FROM line_changes GROUP BY 1")
+@query("r6_stream_gold", """SELECT CAST(date_trunc('month', _updated_at) AS DATE) AS month, count(*) AS n, CAST(sum(line_total) AS DECIMAL(18,2)) AS total, min(line_total) AS least, max(_updated_at) AS last_change, round(avg(CAST(line_total AS DOUBLE)), 6) AS mean, count(DISTINCT product_id) AS products, count(DISTINCT supplier_id) AS suppliers FROM line_changes GROUP BY 1""")
 def r6(spark, d):
     at, schema = _folder(spark, d, 3)
     stream = streaming.stream_changes(spark, f"{at}/in", schema, 1).withColumn("month", F.trunc("_updated_at", "month"))
-    return streaming.stream_gold(stream, ["month"], lambda x: x.groupBy("month").agg(F.count("*").alias("n"), F.sum("line_total").cast("decimal(18,2)").alias("total")), f"{at}/rows", f"{at}/gold", f"{at}/cp").latest()
+    measures = {"n": ("count", "*"), "total": ("sum", "line_total"), "least": ("min", "line_total"), "last_change": ("max", "_updated_at"), "mean": ("avg", "line_total"), "products": ("count_distinct", "product_id"), "suppliers": ("count_distinct", "supplier_id")}
+    got = streaming.stream_gold(stream, ["month"], measures, f"{at}/gold", f"{at}/cp", 8).latest()
+    return got.withColumns({"total": F.col("total").cast("decimal(18,2)"), "mean": F.round("mean", 6)})
 
 
 @query("r5_stream_latest_stateful", LIVE)

@@ -11,8 +11,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from tidemark.functions.timeutil import second_diff
-from tidemark.operators.cdc import live, merge_changes
+from tidemark.operators.cdc import live
 from tidemark.sources.landing import pack_bronze, upsert
+from tidemark.streaming.store import BUCKETS, GroupStore, KeyedStore, latest_store
 
 
 def stream_changes(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000, after: object = None) -> DataFrame:
@@ -51,49 +52,14 @@ def pending_rows(df: DataFrame, since: object, ts: str, seen: list[int] = ()) ->
     return after_mark(df, ts, F.lit(since), F.array(*map(F.lit, seen)).cast("array<long>")).agg(F.count("*").alias("pending")).withColumn("has_data", F.col("pending") > 0)
 
 
-class Versions:
-    """Snapshots in folders by batch id: a batch reads the version before its own and writes its own, so a replayed batch gives the same one."""
+def stream_latest(stream: DataFrame, keys: list[str], order: list[str], root: str, checkpoint: str, buckets: int = BUCKETS) -> KeyedStore:
+    """Keeps the latest row of each key, deleted ones as tombstones: rows are ordered by change time, not by arrival. Read it with live(store.latest()).
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def ids(self) -> list[int]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        names = [s.getPath() for s in fs.listStatus(path)]
-        return sorted(int(p.getName()[2:]) for p in names if p.getName().startswith("v-") and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
-
-    def at(self, n: int) -> str:
-        return f"{self.root}/v-{n}"
-
-    def before(self, n: int) -> DataFrame | None:
-        old = [i for i in self.ids() if i < n]
-        return self.spark.read.parquet(self.at(old[-1])) if old else None
-
-    def latest(self) -> DataFrame | None:
-        return self.before(1 << 62)
-
-    def write(self, df: DataFrame, n: int) -> None:
-        """Version n; those before the one that a replay of batch n would read go."""
-        df.write.mode("overwrite").parquet(self.at(n))
-        for old in [i for i in self.ids() if i < n][:-1]:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.at(old))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def stream_latest(stream: DataFrame, keys: list[str], order: list[str], root: str, checkpoint: str) -> Versions:
-    """Keeps the latest row of each key, deleted ones as tombstones: rows are ordered by change time, not by arrival. Read it with live(versions.latest())."""
-    versions = Versions(stream.sparkSession, root)
-
-    def each(batch: DataFrame, n: int) -> None:
-        old = versions.before(n)
-        rows = batch if old is None else old.unionByName(batch)
-        versions.write(merge_changes(rows.limit(0), rows, keys, order), n)
-
-    run_available(stream, checkpoint, each)
-    return versions
+    A batch writes its own rows, and rewrites a bucket of keys only once as many rows have come to it as it has (KeyedStore).
+    """
+    store = latest_store(stream.sparkSession, root, stream.schema, keys, order, buckets)
+    run_available(stream, checkpoint, store.apply)
+    return store
 
 
 class _Latest(StatefulProcessor):
@@ -145,21 +111,10 @@ def latest_stateful(stream: DataFrame, keys: list[str], order: list[str], root:
     return got.groupBy(*keys).agg(F.max_by(F.struct(*(c for c in stream.columns if c not in keys)), "batch").alias("_row")).select(*keys, "_row.*")
 
 
-def stream_gold(stream: DataFrame, group: list[str], aggregate: Callable[[DataFrame], DataFrame], rows_root: str, gold_root: str, checkpoint: str) -> Versions:
-    """Rows appended; of the aggregate only the groups that a batch touches are reckoned again."""
-    spark, schema = stream.sparkSession, stream.schema
-    gold = Versions(spark, gold_root)
-
-    def each(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{rows_root}/batch={n}")
-        kept = spark.read.schema(schema).option("basePath", rows_root).parquet(rows_root)
-        rows = kept.filter(F.col("batch") <= n).drop("batch")
-        touched = spark.read.schema(schema).parquet(f"{rows_root}/batch={n}").select(*group).distinct()
-        fresh = aggregate(rows.join(touched, group, "left_semi"))
-        old = gold.before(n)
-        gold.write(fresh if old is None else old.join(touched, group, "left_anti").unionByName(fresh), n)
-
-    run_available(stream, checkpoint, each)
+def stream_gold(stream: DataFrame, group: list[str], measures: dict[str, tuple[str, str]], root: str, checkpoint: str, buckets: int = BUCKETS) -> GroupStore:
+    """Aggregates of an append-only stream, kept current by what each batch adds: only the states of the groups it touches are read, no earlier rows (GroupStore)."""
+    gold = GroupStore(stream.sparkSession, root, stream.schema, group, measures, buckets)
+    run_available(stream, checkpoint, gold.apply)
     return gold
 
 
