@@ -191,3 +191,37 @@ def test_audit_of_other_filters(spark):
 def test_fold_of_the_rules(spark):
     got = rules.query(spark, "/root/testdata/sf0.001").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
+
+
+def test_language_of_rows_without_ids(spark):
+    from tidemark.llm import language
+
+    rows = [(None if i % 2 else i, ["the cat and the dog", "der Hund und die Katze"][i % 4 // 2] * 3, ["en", "de"][i % 4 // 2]) for i in range(40)] + [(None, None, "en"), (None, "x", None), (None, "the cat", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language.fit(docs, steps=5)
+    assert net.langs == ["de", "en"]
+    assert language.identify(docs, net).count() == len(rows) and language.keep_known(docs, net, 0.0).count() == len(rows) - 1
+
+
+def test_one_of_each_group_stays_and_no_other_text_goes(spark):
+    from tidemark.llm import simhash
+
+    long = lambda s: " ".join(f"{s}{i}" for i in range(40))
+    rows = [(1, long("a"), "s"), (1, long("b"), "s"), (2, long("c"), "s"), (3, long("a"), "s"), (1, long("a"), "s"), (1, long("a"), "t"), (None, long("a"), "s"), (None, long("a"), "s"), (4, None, "s"), (5, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `source.x` string")
+    got = [(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()]
+    assert sorted(got, key=str) == sorted([(1, long("a")), (1, long("b")), (2, long("c")), (None, long("a")), (None, long("a")), (4, None)], key=str)
+
+
+def test_secret_candidates_of_a_text_full_of_them(spark):
+    import time
+
+    from tidemark.llm import secrets
+
+    values = [f"{i:06d}abcdef0123456789" for i in range(200_000)]
+    text = "é " + " ".join(values)
+    begun = time.time()
+    got = secrets.candidates(spark.createDataFrame([(1, text, None)], "doc_id long, text string, source string")).agg(F.count("*").alias("n"), F.max("start").alias("last"), F.sum("start").alias("sum")).first()
+    assert time.time() - begun < 30
+    at = [2 + 23 * i for i in range(200_000)]
+    assert (got.n, got.last, got["sum"]) == (200_000, at[-1], sum(at))

@@ -159,12 +159,12 @@ def train(langs: list[str], texts: list[list[bytes]], steps: int = STEPS, seed:
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS, steps: int = STEPS) -> Network | None:
-    """A network learned from text and non-null lang of rows outside the held-out fold; None if there are none."""
+    """A network learned from text and non-null lang of rows outside the held-out fold, rows without an id among them; None if there are none."""
     known = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).filter((fold(F.col("doc_id")) != 1) & F.col("text").isNotNull() & F.col("lang").isNotNull())
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
-    spot, chosen = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 31)), F.lit(False)
+    spot, chosen = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")), F.lit(7)), F.lit(1 << 31)), F.lit(False)
     for a, n in counts.items():
         chosen |= (F.col("lang") == a) & (spot < min(1 << 31, int((1 << 31) * per_language / n) + 1))
     langs = sorted(counts)
@@ -173,7 +173,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_DOCS, steps: int = STEPS) ->
         texts[langs.index(r.lang)].append((r.doc_id, r.text.encode("utf-8", "surrogatepass")))
     if not any(t for some in texts for _, t in some):
         return None
-    return train(langs, [[t for _, t in sorted(some)] for some in texts], steps)
+    return train(langs, [[t for _, t in sorted(some, key=lambda r: (r[0] is None, r[0] or 0, r[1]))] for some in texts], steps)
 
 
 def _identify(net: Network | None):

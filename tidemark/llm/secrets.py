@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged, table
@@ -42,17 +42,19 @@ def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, path, value, start, end, before, after) of every candidate in every whole text; code points, ends exclusive."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"), text.alias("body"))
-    found = rows.withColumn("found", F.regexp_extract_all("body", F.lit(CANDIDATE), F.lit(0))).filter(F.size("found") > 0)
+    found = rows.withColumn("found", F.regexp_extract_all("body", F.lit(CANDIDATE), F.lit(0))).filter(F.size("found") > 0).withColumn("row", F.monotonically_increasing_id())
     gaps = F.split("body", CANDIDATE, -1)
-    lengths = F.transform(F.arrays_zip(F.slice(gaps, 1, F.size("found")).alias("g"), F.col("found").alias("f")), lambda z: F.struct(F.length(z["g"]).cast("long").alias("g"), F.length(z["f"]).cast("long").alias("f")))
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
-    starts = F.aggregate(lengths, empty, lambda acc, n: F.struct((acc["at"] + n["g"] + n["f"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"] + n["g"])).alias("starts")))["starts"]
-    near = F.transform(gaps, lambda g: F.struct(F.left(g, F.lit(NEAR)).alias("head"), F.right(g, F.lit(NEAR)).alias("tail")))
-    each = found.select("doc_id", "path", "found", starts.alias("starts"), near.alias("near")).select("doc_id", "path", "starts", "near", F.posexplode("found").alias("i", "whole"))
+    side = lambda take: F.transform(gaps, lambda g: take(g, F.lit(NEAR)))
+    before, after = F.slice(side(F.right), 1, F.size("found")), F.slice(side(F.left), 2, F.size("found"))
+    parts = F.arrays_zip(F.col("found").alias("whole"), F.transform(gaps, F.length).alias("gap"), before.alias("tail"), after.alias("head"))
+    each = found.select("doc_id", "path", "row", F.posexplode(parts).alias("i", "c")).select("doc_id", "path", "row", "i", "c.*").filter("whole is not null")
+    # A candidate starts after all gaps up to its own and all candidates before it.
+    until = F.sum((F.col("gap") + F.length("whole")).cast("long")).over(Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
+    each = each.withColumn("at", until - F.length("whole"))
     name = F.regexp_extract("whole", ASSIGNED, 0)
     each = each.withColumn("name", name).withColumn("value", F.expr("substring(whole, length(name) + 1)"))
-    start = F.expr("starts[i]") + F.length("name")
-    return each.select("doc_id", "path", "value", start.alias("start"), (start + F.length("value")).alias("end"), F.concat(F.expr("near[i].tail"), "name").alias("before"), F.expr("near[i + 1].head").alias("after"))
+    start = F.col("at") + F.length("name")
+    return each.select("doc_id", "path", "value", start.alias("start"), (start + F.length("value")).alias("end"), F.concat("tail", "name").alias("before"), F.col("head").alias("after"))
 
 
 def _share(value: Column, pattern: str) -> Column:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import columns, runs, staged, with_hot
+from tidemark.llm.common import column, columns, runs, staged, with_hot
 from tidemark.llm.graph import classes
 
 SHINGLE = 4
@@ -200,13 +200,17 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
 
 
 def keep_one(docs: DataFrame, groups=near_duplicates, **how) -> DataFrame:
-    """docs without all but one document of each group that `groups` finds: the one with the smallest doc_id stays, and of repeated rows with that id one.
+    """docs without all but one document of each group that `groups` finds: the one with the smallest doc_id stays.
 
-    Rows without an id all stay: nothing can name the one to keep.
+    Of rows that repeat its id and text one stays, the least by a hash of its columns. Different texts under that id all stay: an id alone cannot tell which of them the group
+    meant, and none may be lost. Rows without an id all stay as well: nothing can name the one to keep.
     """
     firsts = groups(docs, **how).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id is not null").join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*columns(docs)).union(docs.filter("doc_id is null"))
+    named = docs.filter("doc_id is not null").join(firsts, "doc_id", "left_semi").select(*columns(docs))
+    hashed = [column(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    name = [F.col("doc_id"), F.xxhash64("text").alias("_a"), F.xxhash64(F.lit(1), F.col("text")).alias("_b"), F.col("text").isNull().alias("_none")]
+    kept = named.groupBy(*name).agg(F.min_by(F.struct(*columns(docs)), F.xxhash64(*hashed)).alias("_row"))
+    return kept.select(*(column(c, "_row") for c in docs.columns)).union(docs.filter("doc_id is null"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
