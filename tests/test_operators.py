@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import re
 import time
 import uuid
 from collections import Counter
@@ -11,10 +12,11 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import cdc, evolve, gold, graph, joins, metrics, silver, windows
+from tidemark.operators import cdc, evolve, gold, graph, joins, metrics, quality, references, silver, windows
 from tidemark.plans.bindings import entity
 from tidemark.sources import landing
 from tidemark.streaming import pipelines as streaming
+from tidemark.streaming.store import HistoryStore
 
 LARGE = "/root/testdata/sf0.1"
 D = datetime.date
@@ -320,3 +322,61 @@ def test_stream_without_what_was_there_before(spark, tmp_path):
     spark.range(5, 8).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     streaming.append_available(streaming.stream_changes(spark, f"{tmp_path}/in", frame.schema, after=now), f"{tmp_path}/cp", f"{tmp_path}/out")
     assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [5, 6, 7]
+
+
+STATEMENTS = [
+    ("SELECT * FROM a", "A"), ("select x from db.s.t t1 join u on t1.i = u.i", "DB.S.T U"), ("SELECT 1", ""), ("", ""), ("FROM a SELECT x", "A"),
+    ("SELECT * FROM a, b c, d.e AS f WHERE a.x IN (1, 2)", "A B D.E"), ("SELECT * FROM a -- FROM b\nJOIN c USING (i)", "A C"), ("SELECT /* FROM x */ y FROM z", "Z"), ("SELECT 'a FROM b', y FROM c", "C"), ("SELECT 'it''s FROM b' FROM c", "C"),
+    ('SELECT * FROM "My Table"', "MY TABLE"), ("SELECT * FROM `db`.`t`", "DB.T"), ('SELECT * FROM "a"."b""c"', 'A.B"C'), ("SELECT * FROM db . t", "DB.T"),
+    ("WITH q AS (SELECT * FROM r) SELECT * FROM q JOIN s ON true", "R S"), ("WITH q AS (SELECT * FROM a), w AS (SELECT * FROM q) SELECT * FROM w, q", "A"), ("WITH q (i, j) AS (SELECT * FROM a) SELECT * FROM q", "A"), ("WITH t AS (SELECT * FROM t) SELECT * FROM t", "T"),
+    ("WITH RECURSIVE n AS (SELECT 1 FROM seed UNION ALL SELECT i + 1 FROM n) SELECT * FROM n", "SEED"), ("SELECT * FROM (WITH q AS (SELECT * FROM a) SELECT * FROM q) x JOIN q ON true", "A Q"), ("WITH q AS (SELECT 1) SELECT * FROM db.q", "DB.Q"),
+    ("SELECT * FROM (SELECT * FROM a WHERE x IN (SELECT y FROM b)) s, c", "A B C"), ("SELECT extract(year FROM d), trim(both FROM e) FROM f", "F"), ("SELECT * FROM a WHERE x IS NOT DISTINCT FROM y", "A"), ("SELECT * FROM range(10) r, LATERAL flatten(x) f, t", "T"),
+    ("SELECT * FROM a LEFT OUTER JOIN LATERAL (SELECT * FROM b) x ON true CROSS JOIN c", "A B C"), ("SELECT f(a, b) FROM t GROUP BY x, y ORDER BY u, v", "T"), ("SELECT * FROM a UNION ALL SELECT * FROM b EXCEPT SELECT * FROM c", "A B C"), ("SELECT * FROM a; WITH b AS (SELECT 1) SELECT * FROM b; SELECT * FROM b", "A B"),
+    ("INSERT INTO t SELECT * FROM s", "S"), ("MERGE INTO t USING s ON t.i = s.i WHEN MATCHED THEN UPDATE SET x = 1", ""), ("SELECT * FROM a JOIN b ON a.x = b.x, c", "A B C"), ("CREATE VIEW v AS SELECT * FROM a", "A"), ("SELECT * FROM a WHERE x = 'open FROM b", "A"), ("SELECT * FROM ((a JOIN b ON true) JOIN c ON true)", "A B C"),
+]
+
+
+@pytest.mark.parametrize("sql, want", STATEMENTS)
+def test_tables_that_statements_read(sql, want):
+    assert references.tables_read(sql) == set(re.findall(r"MY TABLE|\S+", want))
+
+
+def test_references_of_a_log(spark):
+    log = spark.createDataFrame([(1, "SELECT * FROM a, a"), (1, "SELECT * FROM a"), (2, None), (3, "")], "k int, sql string")
+    assert [tuple(r) for r in graph.extract_refs(log, "sql", "k").collect()] == [(1, "A")]
+
+
+@pytest.mark.parametrize("cuts", [(90,), (10, 11, 50, 90), (45, 90)])
+def test_history_by_batches_in_any_order(spark, tmp_path, cuts):
+    import random
+
+    rows = [(None if i % 19 == 4 else i % 5, (i * 13) % 23, "xyz"[i % 7 % 3], i % 4) for i in range(90)]
+    random.Random(len(cuts)).shuffle(rows)
+    frame = lambda some: spark.createDataFrame(some, "id long, at int, state string, other int")
+    history = HistoryStore(spark, f"{tmp_path}/h", frame([]).schema, ["id"], "at", ["state"], 3)
+    assert history.latest() is None
+    for n, (a, b) in enumerate(zip((0, *cuts), cuts)):
+        history.apply(frame(rows[a:b]), n)
+        if n == 1:
+            history.apply(frame(rows[a:b]), n)  # a replay
+    history.apply(frame(rows[:20]), len(cuts))  # what is known already
+    want = cdc.scd2(frame(rows).distinct(), ["id"], "at", ["state"], ["state", "other"])
+    assert sorted(map(str, history.latest().collect())) == sorted(map(str, want.collect()))
+
+
+def test_keys_of_several_columns(spark):
+    rows = [(i // 4, i % 4, "x", i if i else None, i // 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "a int, b int, c string, `d.e` int, f int")
+    assert quality.key_sets(df) == [("a", "b"), ("b", "f")]
+    assert quality.key_sets(df.filter("`d.e` is not null")) == [("d.e",), ("a", "b"), ("b", "f")]
+    assert quality.key_sets(df.unionByName(df)) == [] == quality.key_sets(df.limit(0))
+    assert quality.key_sets(df.drop("d.e", "f"), 1) == []
+    three = spark.createDataFrame([(i // 9, i // 3 % 3, i % 3) for i in range(27)], "a int, b int, c int")
+    assert quality.key_sets(three) == [] and quality.key_sets(three, 3) == [("a", "b", "c")]
+
+
+def test_bounded_sample(spark):
+    df = spark.range(500)
+    got = quality.sample_rows(df, 100)
+    assert got.count() == 100 and got.join(df, "id", "left_anti").count() == 0
+    assert quality.sample_rows(df.limit(3)).count() == 3

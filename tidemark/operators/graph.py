@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeutil import dot, unit
+from tidemark.operators.references import extract_refs  # noqa: F401  (part of the graph's interface)
 from tidemark.operators.joins import keep_existing, missing, table_relationships
 from tidemark.sources.shared import written
 from tidemark.sources.landing import insert_absent, upsert
@@ -88,14 +89,6 @@ def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return one(nodes, "node_type", "node").unionByName(one(edges, "edge_type", "edge")).select("element", "type", "n")
 
 
-REFERENCE = r"(?i)\b(?:FROM|JOIN)\s+([A-Za-z_][A-Za-z0-9_.]*)"
-
-
-def extract_refs(log: DataFrame, sql_col: str, key: str) -> DataFrame:
-    """Tables that statements read, upper case, once per statement."""
-    return log.select(key, F.explode(F.regexp_extract_all(sql_col, F.lit(REFERENCE), F.lit(1))).alias("_t")).select(key, F.upper("_t").alias("table_name")).distinct()
-
-
 def validate_refs(refs: DataFrame, tables: DataFrame, most: int = 5) -> DataFrame:
     """Distinct references that no table has, with up to `most` tables whose name holds the other's, in order.
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
+from math import prod
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -103,5 +105,31 @@ def key_candidates(df: DataFrame) -> DataFrame:
     return unique.agg(F.min_by("field", F.struct("unnamed", "ordinal")).alias("key_column"), F.count("*").alias("candidates"))
 
 
+def key_sets(df: DataFrame, most: int = 2) -> list[tuple[str, ...]]:
+    """The least sets of up to `most` columns that identify rows: no nulls, no two rows alike in them; by size, then by place. An empty table has none.
+
+    Level by level. A set is tried only if none of its parts is a key and the product of its columns' distinct values can reach the number of rows; all sets of a level are
+    counted by sketches in one pass, without a shuffle of rows, and only those that the sketch cannot exclude are counted exactly, each by one aggregation.
+    """
+    cols = [f.name for f in df.schema if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    error = 0.02
+    total, *counts = df.agg(F.count("*"), *(F.struct(F.count(F.col(f"`{c}`")).alias("n"), F.approx_count_distinct(F.col(f"`{c}`"), error).alias("d")) for c in cols)).first()
+    if not total:
+        return []
+    values = {c: r.d * (1 + 6 * error) + 1 for c, r in zip(cols, counts) if r.n == total}
+    usable, keys = [c for c in cols if c in values], []
+    for size in range(1, most + 1):
+        sets = [s for s in combinations(usable, size) if not any(set(k) <= set(s) for k in keys) and prod(values[c] for c in s) >= total]
+        if not sets:
+            continue
+        named = [[F.col(f"`{c}`") for c in s] for s in sets]
+        seen = df.agg(*(F.approx_count_distinct(F.struct(*s), error).alias(str(i)) for i, s in enumerate(named))).first()
+        for s, group, d in zip(sets, named, seen):
+            if d * (1 + 6 * error) + 1 >= total and df.groupBy(*group).count().filter("count > 1").limit(1).count() == 0:
+                keys.append(s)
+    return keys
+
+
 def sample_rows(df: DataFrame, n: int = 100) -> DataFrame:
+    """Any n rows (all, if fewer), for a first look."""
     return df.limit(n)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, evolve, graph, joins, quality
@@ -10,6 +12,7 @@ from tidemark.plans.bindings import entity
 from tidemark.plans.silver_queries import KEYS, LIVE, TOTAL
 from tidemark.sources import landing
 from tidemark.streaming import pipelines as streaming
+from tidemark.streaming.store import HistoryStore
 
 
 @query("q1_quality_summary", "SELECT count(*) AS total_rows, count(*) FILTER (event_id % 11 = 0) AS null_payloads, min(event_id) AS earliest_load, max(event_id) AS latest_load FROM events")
@@ -89,6 +92,21 @@ def l2(spark, d):
     return quality.key_candidates(entity(spark, d, "orders").select("o_orderstatus", "o_totalprice", "o_orderkey", "o_custkey"))
 
 
+#: Columns among which keys are looked for, and the SQL that counts each set of one or two of them.
+KEYED = {"lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"), "orders": ("o_orderkey", "o_custkey", "o_orderdate"), "events": ("user_id", "ts", "event_type")}
+
+
+def _sets(table: str) -> str:
+    pairs = [(c,) for c in KEYED[table]] + list(itertools.combinations(KEYED[table], 2))
+    return " UNION ALL ".join(f"SELECT '{table}' AS table_name, '{','.join(p)}' AS key_columns, {len(p)} AS size, (SELECT count(*) = (SELECT count(*) FROM {table}) FROM (SELECT DISTINCT {', '.join(p)} FROM {table})) AS is_key" for p in pairs)
+
+
+@query("l2_key_sets", f"""WITH s AS ({' UNION ALL '.join(map(_sets, KEYED))}) SELECT table_name, key_columns, size FROM s WHERE is_key AND NOT (size = 2 AND EXISTS (SELECT 1 FROM s t WHERE t.is_key AND t.size = 1 AND t.table_name = s.table_name AND list_contains(string_split(s.key_columns, ','), t.key_columns)))""")
+def l2_sets(spark, d):
+    rows = [(t, ",".join(k), len(k)) for t, cols in KEYED.items() for k in quality.key_sets(entity(spark, d, t).select(*cols))]
+    return spark.createDataFrame(rows, "table_name string, key_columns string, size int")
+
+
 @query("l3_sample_rows")
 def l3(spark, d):
     return quality.sample_rows(entity(spark, d, "payloads"), 100)
@@ -293,7 +311,8 @@ def g8(spark, d):
 
 def _statements(spark, d):
     """A statement log made of the orders: each reads the table of its status, and of its priority."""
-    return entity(spark, d, "orders").select("o_orderkey", F.concat(F.lit("SELECT * FROM raw."), "o_orderstatus", F.lit(" x JOIN dim_"), F.substring("o_orderpriority", 1, 1), F.lit(" y ON x.k = y.k")).alias("sql_text"))
+    o = entity(spark, d, "orders")
+    return o.select("o_orderkey", F.concat(F.lit("WITH picked AS (SELECT * FROM raw."), "o_orderstatus", F.lit(" r /* FROM hidden */ WHERE note = 'read FROM text') SELECT * FROM picked x, \"dim_"), F.substring("o_orderpriority", 1, 1), F.lit("\" y -- JOIN nothing\nWHERE x.k = y.k AND extract(year FROM x.day) > 2000")).alias("sql_text"))
 
 
 REFS = "rf AS (SELECT o_orderkey, upper('raw.' || o_orderstatus) AS table_name FROM orders UNION SELECT o_orderkey, upper('dim_' || substr(o_orderpriority, 1, 1)) FROM orders)"
@@ -407,6 +426,16 @@ def r6(spark, d):
     return got.withColumns({"total": F.col("total").cast("decimal(18,2)"), "mean": F.round("mean", 6)})
 
 
+@query("c5_scd2_by_batches", """WITH o AS (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM events), k AS (SELECT * FROM o WHERE b IS NULL OR b <> event_type)
+SELECT user_id, event_type, event_id AS valid_from, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS valid_to, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) IS NULL AS is_current FROM k""")
+def c5_batches(spark, d):
+    log = entity(spark, d, "events").select("user_id", "event_id", "event_type")
+    history = HistoryStore(spark, scratch(spark), log.schema, ["user_id"], "event_id", ["event_type"], 8)
+    for n, condition in enumerate(("event_id % 3 = 2", "event_id % 3 = 0", "event_id % 3 = 1")):  # each batch comes late for the one before
+        history.apply(log.filter(condition), n)
+    return history.latest().select("user_id", "event_type", "valid_from", "valid_to", "is_current")
+
+
 @query("r5_stream_latest_stateful", LIVE)
 def r5(spark, d):
     at, schema = _folder(spark, d, 4)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -174,3 +174,39 @@ class GroupStore:
             return None
         value = lambda n, kind: F.try_divide(F.col(f"{n}__s").cast("double"), F.col(f"{n}__n").cast("double")) if kind == "avg" else F.col(n)
         return got.select(*self.group, *(value(n, kind).alias(n) for n, (kind, _) in self.measures.items()))
+
+
+class HistoryStore:
+    """History (SCD type 2) kept by batches that may come late and in any order: the same as `scd2` over all changes at once.
+
+    All change rows are kept, those that change nothing too: a late change may give them a meaning. A batch reads the changes of its own keys only, cuts these keys' spans anew and
+    appends them as their newest generation; an older generation of a key is dropped when its bucket is rewritten. Changes of one time are ordered by their other columns.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, keys: list[str], order: str, tracked: list[str], buckets: int = BUCKETS) -> None:
+        self.keys, self.order, self.tracked = keys, order, tracked
+        self.rest = [c for c in schema.names if c not in (*keys, order)]
+        self.changes = KeyedStore(spark, f"{root}/changes", schema, keys, lambda df: df.distinct(), buckets)
+        sample = self._spans(spark.createDataFrame([], schema), 0)
+        newest = Window.partitionBy(*keys).orderBy(F.desc("_generation"))
+        self.spans = KeyedStore(spark, f"{root}/spans", sample.schema, keys, lambda df: df.withColumn("_r", F.rank().over(newest)).filter("_r = 1").drop("_r"), buckets)
+
+    def _spans(self, rows: DataFrame, generation: int) -> DataFrame:
+        from tidemark.operators.cdc import scd2
+
+        return scd2(rows, self.keys, self.order, self.tracked, self.rest).withColumn("_generation", F.lit(generation).cast("long"))
+
+    def apply(self, batch: DataFrame, version: int) -> None:
+        known = self.changes.before(version, batch)
+        rows = batch
+        if known is not None:
+            touched = batch.select(*self.keys).distinct()
+            same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in self.keys]
+            rows = batch.unionByName(known.alias("a").join(touched.alias("b"), same, "left_semi"))
+        self.spans.apply(self._spans(rows.distinct(), version), version)
+        self.changes.apply(batch, version)
+
+    def latest(self) -> DataFrame | None:
+        """All spans: the change's columns, valid_from, valid_to (null while current), is_current."""
+        got = self.spans.latest()
+        return None if got is None else got.drop("_generation")
