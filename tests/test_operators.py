@@ -380,3 +380,17 @@ def test_bounded_sample(spark):
     got = quality.sample_rows(df, 100)
     assert got.count() == 100 and got.join(df, "id", "left_anti").count() == 0
     assert quality.sample_rows(df.limit(3)).count() == 3
+
+
+def test_a_second_run_of_insights_is_suppressed_by_the_first(spark, seed):
+    c, o, *_ = seed
+    c360 = gold.customer_360_recency(c, o, "2024-10-20")
+    none = spark.createDataFrame([], "customer_id long, insight_type string, generated_at timestamp_ntz")
+    first = metrics.generate_insights(c360, none, "2024-10-20 08:00:00")
+    rows = first.collect()
+    assert rows and len({r.insight_id for r in rows}) == len(rows)
+    assert {(r.generated_by, r.generated_at, r.synced_to_postgres, r.actioned) for r in rows} == {("insight_rules", datetime.datetime(2024, 10, 20, 8), False, False)}
+    assert sorted(map(str, metrics.generate_insights(c360, none, "2024-10-20 08:00:00").collect())) == sorted(map(str, rows))
+    assert metrics.generate_insights(c360, first, "2024-10-26 08:00:00").count() == 0
+    again = metrics.generate_insights(c360, first, "2024-10-27 08:00:00").collect()
+    assert {r.customer_id for r in again} == {r.customer_id for r in rows if r.insight_type == metrics.CHURN}

@@ -101,3 +101,21 @@ def upsell_insights(c360: DataFrame, log: DataFrame, as_of: str, tier: str = "SM
     data = F.to_json(F.struct(F.col("revenue_tier").alias("current_tier"), F.col("total_orders").alias("order_frequency"), F.round("avg_order_value", 2).cast("decimal(18,2)").alias("avg_order_value")))
     out = found.select("customer_id", F.lit(UPSELL).alias("insight_type"), F.lit("MEDIUM").alias("insight_severity"), F.lit(UPSELL_TEXT).alias("recommendation"), data.alias("supporting_data"))
     return suppress_recent(out, log.filter(F.col("insight_type") == UPSELL), "customer_id", "generated_at", quiet, as_of)
+
+
+def insight_rows(insights: DataFrame, at: str, by: str = "insight_rules") -> DataFrame:
+    """Insights as they are stored: an id of their own, who made them and when, not written back and not acted on yet.
+
+    The id follows from customer, kind and time, so that a run that is repeated after a failure gives the same rows.
+    """
+    made = F.lit(at).cast("timestamp_ntz")
+    name = F.sha2(F.concat_ws("|", F.col("insight_type"), F.col("customer_id").cast("string"), F.lit(at)), 256)
+    return insights.select(
+        name.alias("insight_id"), "customer_id", "insight_type", "insight_severity", "recommendation", "supporting_data", F.lit(by).alias("generated_by"), made.alias("generated_at"),
+        F.lit(False).alias("synced_to_postgres"), F.lit(False).alias("actioned"))
+
+
+def generate_insights(c360: DataFrame, log: DataFrame, at: str, value_cut: float = 50_000) -> DataFrame:
+    """Both kinds of insights of one run at a time, as stored rows; what the log (stored rows of earlier runs) suppresses is left out. Append the result to the log."""
+    day = at[:10]
+    return insight_rows(churn_insights(c360, log, day, value_cut).unionByName(upsell_insights(c360, log, day)), at)

@@ -344,13 +344,13 @@ def g12(spark, d):
 
 
 @query("g14_merge_learnings", """WITH n AS (SELECT user_id, event_id, CAST(event_id % 100 AS DOUBLE) / 100 AS c, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i, count(*) OVER (PARTITION BY user_id) AS k FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'),
-b AS (SELECT user_id, max(k) AS k, sum(c / pow(2, k - i + 1)) AS s, max(CASE WHEN i = 1 THEN c END) AS f FROM n GROUP BY 1), t AS (SELECT DISTINCT user_id FROM events WHERE ts < TIMESTAMP '2024-01-03 00:00:00')
+b AS (SELECT user_id, max(k) AS k, sum(c / pow(2, k - i + 1)) AS s, max(CASE WHEN i = 1 THEN c END) AS f FROM n GROUP BY 1), t AS (SELECT DISTINCT user_id FROM events WHERE ts < TIMESTAMP '2024-01-10 00:00:00')
 SELECT 'u' || coalesce(t.user_id, b.user_id) AS pattern_signature, coalesce(CASE WHEN t.user_id IS NOT NULL THEN 3 END, 0) + coalesce(b.k, 0) AS times_observed,
  round(CASE WHEN b.user_id IS NULL THEN 0.5 WHEN t.user_id IS NULL THEN s + f / pow(2, k) ELSE 0.5 / pow(2, k) + s END, 6) AS confidence_score FROM t FULL OUTER JOIN b ON t.user_id = b.user_id""")
 def g14(spark, d):
     e = entity(spark, d, "events")
     sign = F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("pattern_signature")
-    target = e.filter("ts < timestamp_ntz'2024-01-03 00:00:00'").select(sign).distinct().select("pattern_signature", F.lit(3).cast("long").alias("times_observed"), F.lit(0.5).alias("confidence_score"))
+    target = e.filter("ts < timestamp_ntz'2024-01-10 00:00:00'").select(sign).distinct().select("pattern_signature", F.lit(3).cast("long").alias("times_observed"), F.lit(0.5).alias("confidence_score"))
     new = e.filter("ts >= timestamp_ntz'2024-01-10 00:00:00'").select(sign, ((F.col("event_id") % 100).cast("double") / 100).alias("confidence_score"), F.col("event_id").alias("seq"))
     return graph.merge_learnings(target, new)
 

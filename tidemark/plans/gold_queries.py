@@ -297,6 +297,18 @@ def i2(spark, d):
     return metrics.upsell_insights(_f360(spark, d), _log(spark, d), EVENTS_AS_OF)
 
 
+#: The time of a run that makes both kinds of insights.
+RUN_AT = f"{EVENTS_AS_OF} 09:30:00"
+
+
+@query("i3_insight_rows", f"""WITH {C360}, i AS (SELECT customer_id, 'CHURN_RISK' AS insight_type, CASE WHEN days_since_last_order > 90 AND lifetime_value > 2500000 THEN 'HIGH' WHEN days_since_last_order > 60 THEN 'MEDIUM' ELSE 'LOW' END AS insight_severity, days_since_last_order AS days FROM f360 WHERE engagement_status IN ('AT_RISK', 'COOLING') AND {_given('<>', 7)}
+ UNION ALL SELECT customer_id, 'UPSELL_OPPORTUNITY', 'MEDIUM', NULL FROM f360 WHERE engagement_status = 'HOT' AND revenue_tier = 'SMB' AND total_orders >= 3 AND {_given('=', 30)})
+SELECT sha256(insight_type || '|' || customer_id || '|{RUN_AT}') AS insight_id, customer_id, insight_type, insight_severity, CASE WHEN days IS NULL THEN '{metrics.UPSELL_TEXT}' WHEN days > 90 THEN '{metrics.CHURN_TEXTS[0]}' WHEN days > 60 THEN '{metrics.CHURN_TEXTS[1]}' ELSE '{metrics.CHURN_TEXTS[2]}' END AS recommendation,
+ 'insight_rules' AS generated_by, TIMESTAMP '{RUN_AT}' AS generated_at, false AS synced_to_postgres, false AS actioned FROM i""")
+def i3(spark, d):
+    return metrics.generate_insights(_f360(spark, d), _log(spark, d), RUN_AT, 2_500_000).drop("supporting_data")  # i1 and i2 compare it
+
+
 @query("i4_metric_view", "SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, status, count(order_id) AS orders, sum(total_amount) AS revenue, count(DISTINCT customer_id) AS customers FROM sales JOIN customers USING (customer_id) WHERE loyalty_tier = 'GOLD' GROUP BY 1, 2")
 def i4(spark, d):
     return metrics.sales_view(*_e(spark, d, "sales", "customers")).query(["month", "status"], ["orders", "revenue", "customers"], "loyalty_tier = 'GOLD'")
