@@ -439,7 +439,7 @@ def c5_batches(spark, d):
 @query("r5_stream_latest_stateful", LIVE)
 def r5(spark, d):
     at, schema = _folder(spark, d, 4)
-    got = streaming.latest_stateful(streaming.stream_changes(spark, f"{at}/in", schema, 1), KEYS, TOTAL, f"{at}/out", f"{at}/cp")
+    got = streaming.latest_stateful(streaming.stream_changes(spark, f"{at}/in", schema, 1), KEYS, TOTAL, f"{at}/out", f"{at}/cp", 16)
     return cdc.live(got).drop("_deleted")
 
 

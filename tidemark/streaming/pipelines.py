@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 from tidemark.functions.timeutil import second_diff
-from tidemark.operators.cdc import live
+from tidemark.operators.cdc import latest_by_key_agg, live
 from tidemark.sources.landing import pack_bronze, upsert
 from tidemark.streaming.store import BUCKETS, GroupStore, KeyedStore, latest_store
 
@@ -62,53 +60,25 @@ def stream_latest(stream: DataFrame, keys: list[str], order: list[str], root: st
     return store
 
 
-class _Latest(StatefulProcessor):
-    """One value of state per key: the row with the largest order columns."""
-
-    def __init__(self, schema: StructType, order: list[str]) -> None:
-        self.schema, self.order = schema, order
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("latest", self.schema)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = self.schema.names
-        at = [names.index(c) for c in self.order]
-        rank = lambda r: tuple((r[i] is None, 0 if r[i] is None else r[i]) for i in at)
-        best = tuple(self.state.get()) if self.state.exists() else None
-        for batch in rows:
-            batch = batch.set_axis(names, axis=1)  # by place: names with a leading underscore come changed
-            clean = batch.astype(object).where(batch.notna(), None)
-            for r in clean.itertuples(index=False, name=None):
-                if best is None or rank(r) > rank(best):
-                    best = r
-        self.state.update(best)
-        yield pd.DataFrame([best], columns=names)
-
-    def close(self) -> None:
-        pass
-
-
 def stream_latest_stateful(stream: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The same with keyed state (RocksDB provider needed): emits a key's latest row when it changes. State holds one row per key and never expires, since a late
-    row must still find its key; there is no watermark."""
-    return stream.groupBy(*keys).transformWithStateInPandas(_Latest(stream.schema, order), stream.schema, "Update", "None")
+    """The same with keyed state: a streaming aggregation that keeps one row for each key and, in update mode, emits a key's latest row when a batch touches it. A batch is reduced
+    to one row for each key before it meets the state. State never expires, since a late row must still find its key; there is no watermark."""
+    return latest_by_key_agg(stream, keys, order, None)
 
 
-def latest_stateful(stream: DataFrame, keys: list[str], order: list[str], root: str, checkpoint: str) -> DataFrame:
-    """The latest row of each key after all that is there, with keyed state; what each batch changes is appended under root, and the last change of a key counts."""
+def latest_stateful(stream: DataFrame, keys: list[str], order: list[str], root: str, checkpoint: str, buckets: int = BUCKETS) -> DataFrame:
+    """The latest row of each key after all that is there, with keyed state; the rows that each batch changes go to a store under root, which puts its parts together as they pile up."""
     spark = stream.sparkSession
+    store = latest_store(spark, root, stream.schema, keys, order, buckets)
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # state may outgrow the memory
     try:
         changed = stream_latest_stateful(stream, keys, order)
-        query = changed.writeStream.outputMode("update").foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{root}/batch={n}"))
-        query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        changed.writeStream.outputMode("update").foreachBatch(store.apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.set(provider, before)
-    got = spark.read.schema(stream.schema).option("basePath", root).parquet(root)
-    return got.groupBy(*keys).agg(F.max_by(F.struct(*(c for c in stream.columns if c not in keys)), "batch").alias("_row")).select(*keys, "_row.*")
+    return store.latest()
 
 
 def stream_gold(stream: DataFrame, group: list[str], measures: dict[str, tuple[str, str]], root: str, checkpoint: str, buckets: int = BUCKETS) -> GroupStore:
