@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import random
 import re
 import time
 import uuid
@@ -394,3 +395,77 @@ def test_a_second_run_of_insights_is_suppressed_by_the_first(spark, seed):
     assert metrics.generate_insights(c360, first, "2024-10-26 08:00:00").count() == 0
     again = metrics.generate_insights(c360, first, "2024-10-27 08:00:00").collect()
     assert {r.customer_id for r in again} == {r.customer_id for r in rows if r.insight_type == metrics.CHURN}
+
+
+def test_a_hop_moves_no_edges(spark):
+    edges = spark.createDataFrame([(str(i % 500), str(i * 7 % 501)) for i in range(3000)] + [(None, "1"), ("1", None)], "source_node_id string, target_node_id string")
+    index = graph.edge_index(edges, buckets=4)
+    assert index.count() == len({(i % 500, i * 7 % 501) for i in range(3000)})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = lambda steps: spark.range(50).select(F.col("id").cast("string").alias("_from")).join(steps, "_from")._jdf.queryExecution().executedPlan().toString()
+        plan = shown(index)
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        assert "SelectedBucketsCount: 1 out of 4" in shown(index.filter(F.col("_from").isin(["7"])))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(graph.lineage_closure(edges, ["3"], index=index).collect()) == sorted(graph.lineage_closure(edges, ["3"]).collect())
+
+
+def reached(edges):
+    after = {}
+    for a, b in edges:
+        after.setdefault(a, set()).add(b)
+        after.setdefault(b, set())
+    out = {}
+    for start in after:
+        seen, todo = set(), [start]
+        while todo:
+            todo += (fresh := after[todo.pop()] - seen)
+            seen |= fresh
+        out[start] = len(seen - {start})
+    return out
+
+
+def test_impact_of_all_nodes(spark):
+    rng = random.Random(5)
+    pairs = [(f"n{rng.randrange(60)}", f"n{rng.randrange(60)}") for _ in range(70)] + [("x", "y"), ("y", "x"), ("z", "z"), ("x", "y")]
+    edges = spark.createDataFrame(pairs + [(None, "q")], "source_node_id string, target_node_id string")
+    want = reached(pairs)
+    got = {r.node_id: r for r in graph.impact_of_all(edges).collect()}
+    assert {k: r.downstream for k, r in got.items()} == want and all(r.exact for r in got.values())
+    assert {r.warning for r in got.values()} == {"HIGH_IMPACT" if n > 5 else "HAS_DEPENDENTS" if n else "NONE" for n in want.values()}
+    # beyond the bound sketches answer, and a chain shows that they go all the way
+    some = {r.node_id: r for r in graph.impact_of_all(edges, exact_most=3).collect()}
+    assert all(abs(r.downstream - want[k]) <= (0 if r.exact else max(1, 0.1 * want[k])) for k, r in some.items()) and len({r.exact for r in some.values()}) == 2
+    empty = graph.impact_of_all(edges.limit(0))
+    assert empty.count() == 0 and empty.columns == ["node_id", "downstream", "exact", "warning"]
+
+
+def test_database_parts_of_like_size(spark):
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    # most keys lie close together, a few very far away
+    rows = spark.range(4000).select(F.when(F.col("id") < 3900, F.col("id")).otherwise(F.col("id") * 1_000_000).alias("k"), F.lit("v").alias("t"))
+    rows.write.format("jdbc").options(url=url, dbtable="skewed").save()
+    size = lambda df: [r.n for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(size(landing.read_jdbc(spark, url, "skewed", "k", parts=8))) > 3000
+    even = landing.read_jdbc_even(spark, url, "skewed", "k", parts=8)
+    assert len(size(even)) == 8 and max(size(even)) < 2 * min(size(even)) and even.exceptAll(rows).count() == 0 == rows.exceptAll(even).count()
+    # a third of the rows with one key, and rows without any
+    hot = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 100 != 1, F.col("id")).alias("k"))
+    landing.write_back(hot, url, "hot")
+    assert landing.read_jdbc_even(spark, url, "hot", "k", parts=8).exceptAll(hot).count() == 0 and landing.read_jdbc_even(spark, url, "hot", "k", parts=8).count() == 900
+    landing.write_back(hot.limit(0), url, "vacant")
+    assert landing.read_jdbc_even(spark, url, "vacant", "k").count() == 0
+
+
+def test_profiles_by_sketches(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 7).alias("a.b"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("half"), F.lit(None).cast("string").alias("none"))
+    exact = {r.field: r for r in quality.field_profile(df, df.columns).collect()}
+    rough = quality.field_profile(df, df.columns, 0.02)
+    for r in rough.collect():
+        e = exact[r.field]
+        assert (r.total_rows, r.null_count) == (e.total_rows, e.null_count) and abs(r.cardinality - e.cardinality) <= 0.12 * e.cardinality
+    assert "hashpartitioning" not in rough._jdf.queryExecution().executedPlan().toString()
+    assert quality.key_candidates(df).first() == ("id", 1) and quality.key_candidates(df.limit(0)).first() == (None, 0)
+    assert quality.key_candidates(df.unionByName(df.limit(1))).first() == (None, 0)

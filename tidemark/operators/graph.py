@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeutil import dot, unit
 from tidemark.operators.references import extract_refs  # noqa: F401  (part of the graph's interface)
 from tidemark.operators.joins import keep_existing, missing, table_relationships
-from tidemark.sources.shared import written
+from tidemark.sources.shared import scratch, written
 from tidemark.sources.landing import insert_absent, upsert
 
 neighbours = table_relationships
@@ -44,21 +44,43 @@ def lineage_edges(lineage: DataFrame, nodes: DataFrame) -> DataFrame:
     return keep_existing(edges, nodes)
 
 
-def lineage_closure(edges: DataFrame, start: list, direction: str = "downstream", max_hops: int | None = None) -> DataFrame:
-    """Nodes reached from the start nodes, with the fewest hops and the least path of that length.
+#: Frontiers of at most so many nodes are named to the scan of an edge index, which then opens their buckets only.
+NAMED = 1_000
+
+
+def edge_index(edges: DataFrame, direction: str = "downstream", buckets: int | None = None) -> DataFrame:
+    """Distinct (_from, node_id) steps of one direction, as a table in the shared folder, in buckets and in order of _from.
 
-    One join of the frontier per hop, up to max_hops or, without it, until nothing new is reached; nodes already seen drop out, so cycles end. The distinct
-    edges are made once, and the frontier is written to the shared folder per hop, which keeps plans short.
+    A join on _from then moves the other side alone, and the index serves any number of closures. Without a number there are as many buckets as shuffle partitions.
+    Edges with a null end lead nowhere and are left out.
     """
     spark = edges.sparkSession
     a, b = ("source_node_id", "target_node_id") if direction == "downstream" else ("target_node_id", "source_node_id")
-    step = written(edges.select(F.col(a).alias("_from"), F.col(b).alias("node_id")).distinct())
-    kind = edges.schema[a].dataType.simpleString()
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch(spark)
+    name = "edges_" + path.rsplit("-", 1)[1]
+    step = edges.select(F.col(a).alias("_from"), F.col(b).alias("node_id")).dropna().distinct()
+    step.repartition(n, "_from").write.bucketBy(n, "_from").sortBy("_from").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def lineage_closure(edges: DataFrame, start: list, direction: str = "downstream", max_hops: int | None = None, index: DataFrame | None = None) -> DataFrame:
+    """Nodes reached from the start nodes, with the fewest hops and the least path of that length.
+
+    One join of the frontier per hop, up to max_hops or, without it, until nothing new is reached; nodes already seen drop out, so cycles end. The edges lie in an
+    `edge_index` of the direction (index, if given), so a hop moves its frontier only, and a small frontier reads its own buckets only. The frontier is written to the
+    shared folder per hop, which keeps plans short.
+    """
+    spark = edges.sparkSession
+    step = edge_index(edges, direction) if index is None else index
+    kind = step.schema["_from"].dataType.simpleString()
     found = spark.createDataFrame([(x,) for x in start], f"node_id {kind}").select("node_id", F.lit(0).alias("hop"), F.col("node_id").cast("string").alias("path"))
     frontier, hop = found, 0
     while max_hops is None or hop < max_hops:
         hop += 1
-        reached = frontier.select(F.col("node_id").alias("_from"), "path").join(step, "_from").groupBy("node_id").agg(F.min(F.concat("path", F.lit(">"), F.col("node_id").cast("string"))).alias("path"))
+        named = [r.node_id for r in frontier.select("node_id").limit(NAMED + 1).collect()]
+        near = step.filter(F.col("_from").isin(named)) if len(named) <= NAMED else step
+        reached = frontier.select(F.col("node_id").alias("_from"), "path").join(near, "_from").groupBy("node_id").agg(F.min(F.concat("path", F.lit(">"), F.col("node_id").cast("string"))).alias("path"))
         fresh = written(reached.join(found.select("node_id"), "node_id", "left_anti").select("node_id", F.lit(hop).alias("hop"), "path"))
         if fresh.isEmpty():
             break
@@ -66,9 +88,61 @@ def lineage_closure(edges: DataFrame, start: list, direction: str = "downstream"
     return found.filter("hop > 0")
 
 
+def _warning(downstream: Column) -> Column:
+    return F.when(downstream > 5, "HIGH_IMPACT").when(downstream > 0, "HAS_DEPENDENTS").otherwise("NONE")
+
+
 def impact(changed: DataFrame, closure: DataFrame) -> DataFrame:
     """Number of downstream nodes of what changed, and a warning by their number."""
-    return changed.crossJoin(closure.agg(F.count("*").alias("downstream"))).withColumn("warning", F.when(F.col("downstream") > 5, "HIGH_IMPACT").when(F.col("downstream") > 0, "HAS_DEPENDENTS").otherwise("NONE"))
+    return changed.crossJoin(closure.agg(F.count("*").alias("downstream"))).withColumn("warning", _warning(F.col("downstream")))
+
+
+def downstream_sketches(edges: DataFrame, max_hops: int | None = None, bits: int = 12, index: DataFrame | None = None) -> DataFrame:
+    """(node_id, estimate): nodes that each node reaches, itself left out, for all nodes at once; an estimate, off by some 1.6 % at 12 bits and mostly exact below a few hundred.
+
+    Every node holds a sketch of itself and what it reaches; a hop unites it with those of its successors, until none changes. A sketch has at most about 2 ** bits bytes,
+    so a hop moves edges times that and never the reached sets, however large these are.
+    """
+    back = edge_index(edges, "upstream") if index is None else index  # _from: the later node, which passes its sketch to node_id before it
+    kind = back.schema["_from"].dataType
+    ids = back.select(F.col("_from").alias("node_id")).union(back.select(F.col("node_id").cast(kind))).distinct()
+    key = F.col("node_id").cast("string")
+    now = written(ids.groupBy("node_id").agg(F.hll_sketch_agg(key, F.lit(bits)).alias("sketch")))
+    hop = 0
+    while max_hops is None or hop < max_hops:
+        hop += 1
+        passed = back.join(now.select(F.col("node_id").alias("_from"), "sketch"), "_from").select("node_id", "sketch")
+        united = passed.unionByName(now.select("node_id", "sketch")).groupBy("node_id").agg(F.hll_union_agg("sketch").alias("sketch"))
+        size = F.hll_sketch_estimate("sketch")
+        after = written(united)
+        changed = after.select("node_id", size.alias("_n")).join(now.select("node_id", size.alias("_was")), "node_id").filter("_n <> _was").limit(1).count()
+        now = after
+        if not changed:
+            break
+    return now.select("node_id", F.greatest(F.hll_sketch_estimate("sketch") - 1, F.lit(0)).alias("estimate"))
+
+
+def impact_of_all(edges: DataFrame, exact_most: int = 10_000, max_hops: int | None = None) -> DataFrame:
+    """(node_id, downstream, exact, warning) of every node with an edge: how many other nodes it reaches.
+
+    Sketches tell the sizes first. Nodes that reach about exact_most others at most are then counted from the pairs themselves, all starts at once: a hop joins the pairs that
+    are new with the edge index, and pairs seen before drop out, so cycles end. Their pairs are at most exact_most for each node; larger sets stay estimates (exact is false),
+    and no set is ever held by one task.
+    """
+    later, earlier = edge_index(edges, "downstream"), edge_index(edges, "upstream")
+    sizes = written(downstream_sketches(edges, max_hops, index=earlier))
+    few = sizes.filter(F.col("estimate") <= F.lit(1.1 * exact_most)).select(F.col("node_id").alias("start"))
+    fresh = written(few.join(later.select(F.col("_from").alias("start"), "node_id"), "start").filter("start <> node_id"))
+    pairs, hop = fresh, 1
+    while (max_hops is None or hop < max_hops) and not fresh.isEmpty():
+        hop += 1
+        reached = fresh.select("start", F.col("node_id").alias("_from")).join(later, "_from").filter("start <> node_id").select("start", "node_id").distinct()
+        fresh = written(reached.join(pairs, ["start", "node_id"], "left_anti"))
+        pairs = pairs.unionByName(fresh)
+    counts = pairs.groupBy(F.col("start").alias("node_id")).agg(F.count("*").alias("_n"))
+    exact = F.col("estimate") <= F.lit(1.1 * exact_most)
+    n = F.when(exact, F.coalesce("_n", F.lit(0))).otherwise(F.col("estimate"))
+    return sizes.join(counts, "node_id", "left").select("node_id", n.alias("downstream"), exact.alias("exact"), _warning(n).alias("warning"))
 
 
 def suggest_joins(columns: DataFrame, foreign_keys: DataFrame) -> DataFrame:

@@ -18,9 +18,13 @@ def quality_summary(df: DataFrame, payload: str = "payload", loaded: str = "inge
     return df.agg(F.count("*").alias("total_rows"), F.count_if(F.col(payload).isNull()).alias("null_payloads"), F.min(loaded).alias("earliest_load"), F.max(loaded).alias("latest_load"))
 
 
-def field_profile(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Rows, nulls and distinct values of each field; distinct values by one aggregation of (field, value) pairs."""
-    pairs = df.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields))).alias("p")).select("p.*")
+def field_profile(df: DataFrame, fields: list[str], error: float | None = None) -> DataFrame:
+    """Rows, nulls and distinct values of each field: exact, by one aggregation of (field, value) pairs; or, with an error, distinct values by sketches of that relative
+    standard deviation, in one pass that shuffles a row for each task, however many fields and values there are."""
+    if error is not None:
+        cells = [F.struct(F.lit(f).alias("field"), F.count("*").alias("total_rows"), F.count_if(F.col(f"`{f}`").isNull()).alias("null_count"), F.approx_count_distinct(F.col(f"`{f}`").cast("string"), error).alias("cardinality")) for f in fields]
+        return df.agg(F.array(*cells).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+    pairs = df.select(F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").cast("string").alias("value")) for f in fields))).alias("p")).select("p.*")
     counts = pairs.groupBy("field", "value").agg(F.count("*").alias("_n"))
     return counts.groupBy("field").agg(F.sum("_n").alias("total_rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0)).alias("null_count"), F.count("value").alias("cardinality"))
 
@@ -93,14 +97,23 @@ def validation_summary(results: DataFrame) -> DataFrame:
     return results.agg(F.count("*").alias("checks"), F.count_if(ok).alias("passed"), F.count_if(~ok).alias("failed")).withColumn("overall", F.when(F.col("failed") == 0, "PASSED").otherwise("FAILED"))
 
 
+#: Relative standard deviation of the sketches that leave out what cannot be a key; six of them are allowed for.
+ERROR = 0.02
+
+
+def _may_be_unique(distinct: int, total: int) -> bool:
+    return distinct * (1 + 6 * ERROR) + 1 >= total
+
+
 def key_candidates(df: DataFrame) -> DataFrame:
-    """The column that identifies rows: unique and not null, names ending in _id or key first, then by place.
+    """The column that identifies rows: unique and not null, names ending in _id or key first, then by place; null, and no candidates, if there is none.
 
-    Distinct values of all columns come from one aggregation of (column, value) pairs.
+    One pass of sketches over all columns shuffles no rows; only columns that it cannot exclude are counted exactly.
     """
     cols = [f.name for f in df.schema if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
-    profile = field_profile(df, cols)
-    places = df.sparkSession.createDataFrame([(c, i, not c.lower().endswith(("_id", "key"))) for i, c in enumerate(cols)], "field string, ordinal int, unnamed boolean")
+    left = [r.field for r in field_profile(df, cols, ERROR).collect() if r.total_rows and not r.null_count and _may_be_unique(r.cardinality, r.total_rows)]
+    places = df.sparkSession.createDataFrame([(c, i, not c.lower().endswith(("_id", "key"))) for i, c in enumerate(cols) if c in left], "field string, ordinal int, unnamed boolean")
+    profile = field_profile(df, left) if left else field_profile(df, cols[:1]).limit(0)
     unique = profile.join(places, "field").filter("null_count = 0 and cardinality = total_rows")
     return unique.agg(F.min_by("field", F.struct("unnamed", "ordinal")).alias("key_column"), F.count("*").alias("candidates"))
 
@@ -112,20 +125,19 @@ def key_sets(df: DataFrame, most: int = 2) -> list[tuple[str, ...]]:
     counted by sketches in one pass, without a shuffle of rows, and only those that the sketch cannot exclude are counted exactly, each by one aggregation.
     """
     cols = [f.name for f in df.schema if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
-    error = 0.02
-    total, *counts = df.agg(F.count("*"), *(F.struct(F.count(F.col(f"`{c}`")).alias("n"), F.approx_count_distinct(F.col(f"`{c}`"), error).alias("d")) for c in cols)).first()
+    total, *counts = df.agg(F.count("*"), *(F.struct(F.count(F.col(f"`{c}`")).alias("n"), F.approx_count_distinct(F.col(f"`{c}`"), ERROR).alias("d")) for c in cols)).first()
     if not total:
         return []
-    values = {c: r.d * (1 + 6 * error) + 1 for c, r in zip(cols, counts) if r.n == total}
+    values = {c: r.d * (1 + 6 * ERROR) + 1 for c, r in zip(cols, counts) if r.n == total}
     usable, keys = [c for c in cols if c in values], []
     for size in range(1, most + 1):
         sets = [s for s in combinations(usable, size) if not any(set(k) <= set(s) for k in keys) and prod(values[c] for c in s) >= total]
         if not sets:
             continue
         named = [[F.col(f"`{c}`") for c in s] for s in sets]
-        seen = df.agg(*(F.approx_count_distinct(F.struct(*s), error).alias(str(i)) for i, s in enumerate(named))).first()
+        seen = df.agg(*(F.approx_count_distinct(F.struct(*s), ERROR).alias(str(i)) for i, s in enumerate(named))).first()
         for s, group, d in zip(sets, named, seen):
-            if d * (1 + 6 * error) + 1 >= total and df.groupBy(*group).count().filter("count > 1").limit(1).count() == 0:
+            if _may_be_unique(d, total) and df.groupBy(*group).count().filter("count > 1").limit(1).count() == 0:
                 keys.append(s)
     return keys
 

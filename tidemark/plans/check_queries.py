@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 from pyspark.sql import functions as F
@@ -266,6 +267,38 @@ def g2(spark, d):
     return graph.build_edges(graph.build_nodes(*_catalog(spark, d), "ANALYTICS")).groupBy("edge_type").agg(F.count("*").alias("n"))
 
 
+#: The given tables, and the types of their columns as DuckDB names them beside Spark's names.
+TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier")
+CATALOG = f"cat AS (SELECT upper(table_name) AS table_name, upper(column_name) AS column_name FROM duckdb_columns() WHERE table_name IN ({', '.join(repr(t) for t in TABLES)}) AND schema_name = 'main')"
+
+
+def _whole_catalog(spark, d):
+    """Tables with their rows, and columns, of all given tables: names that begin alike lie in one schema."""
+    frames = {t.upper(): entity(spark, d, t) for t in TABLES}
+    rows = functools.reduce(lambda a, b: a.union(b), (f.agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_name"), "row_count") for t, f in frames.items()))
+    schema = F.when(F.col("table_name") < "D", "BRONZE").when(F.col("table_name") < "O", "SILVER").otherwise("GOLD")
+    columns = evolve.column_catalog(frames).withColumn("column_name", F.upper("column_name"))
+    return rows.withColumn("schema_name", schema), columns.withColumn("schema_name", schema)
+
+
+IN_SCHEMA = "CASE WHEN table_name < 'D' THEN 'BRONZE' WHEN table_name < 'O' THEN 'SILVER' ELSE 'GOLD' END"
+
+
+@query("g1_nodes_of_all_tables", f"""WITH {CATALOG}, c AS (SELECT *, {IN_SCHEMA} AS s FROM cat), n AS ({' UNION ALL '.join(f"SELECT '{t.upper()}' AS t, count(*) AS row_count FROM {t}" for t in TABLES)})
+SELECT 'DB:LAKE' AS node_id, 'DATABASE' AS node_type, 'LAKE' AS name, NULL AS layer, NULL AS row_count UNION ALL SELECT DISTINCT 'SCHEMA:' || s, 'SCHEMA', s, lower(s), NULL FROM c
+UNION ALL SELECT DISTINCT 'TABLE:' || s || '.' || table_name, 'TABLE', table_name, lower(s), row_count FROM c JOIN n ON t = table_name UNION ALL SELECT 'COLUMN:' || s || '.' || table_name || '.' || column_name, 'COLUMN', column_name, NULL, NULL FROM c""")
+def g1_all(spark, d):
+    nodes = graph.build_nodes(*_whole_catalog(spark, d), "LAKE")
+    of = lambda k: F.get_json_object("properties", f"$.{k}")
+    return nodes.select("node_id", "node_type", "name", of("layer").alias("layer"), of("row_count").cast("long").alias("row_count"))
+
+
+@query("g2_edges_of_all_tables", f"""WITH {CATALOG}, c AS (SELECT *, {IN_SCHEMA} AS s FROM cat)
+SELECT DISTINCT 'SCHEMA:' || s AS source_node_id, 'TABLE:' || s || '.' || table_name AS target_node_id, 'CONTAINS' AS edge_type FROM c UNION ALL SELECT 'TABLE:' || s || '.' || table_name, 'COLUMN:' || s || '.' || table_name || '.' || column_name, 'HAS_COLUMN' FROM c""")
+def g2_all(spark, d):
+    return graph.build_edges(graph.build_nodes(*_whole_catalog(spark, d), "LAKE"))
+
+
 @query("g3_lineage_edges", "SELECT 'TABLE:BRONZE.PRODUCTS' AS source_node_id, 'TABLE:SILVER.ORDERS' AS target_node_id, 'FEEDS' AS edge_type")
 def g3(spark, d):
     lineage = spark.createDataFrame([("BRONZE", "PRODUCTS", "SILVER", "ORDERS", "FEEDS"), ("SILVER", "ORDERS", "GOLD", "NONE", "FEEDS")], "source_schema string, source_table string, target_schema string, target_table string, edge_type string")
@@ -289,6 +322,12 @@ def g5(spark, d):
     return graph.impact(spark.createDataFrame([("c1",)], "table_name string"), graph.lineage_closure(_graph(spark, d), ["c1"], "downstream", 5))
 
 
+@query("g5_impact_of_all", f"""WITH {EDGES}, u AS (SELECT DISTINCT a, b FROM ed), r AS (SELECT a, b FROM u UNION SELECT x.a, y.b FROM u x JOIN u y ON y.a = x.b), n AS (SELECT a AS node_id FROM u UNION SELECT b FROM u)
+SELECT node_id, count(b) AS downstream, true AS exact, CASE WHEN count(b) > 5 THEN 'HIGH_IMPACT' WHEN count(b) > 0 THEN 'HAS_DEPENDENTS' ELSE 'NONE' END AS warning FROM n LEFT JOIN r ON r.a = node_id GROUP BY 1""")
+def g5_all(spark, d):
+    return graph.impact_of_all(_graph(spark, d))
+
+
 @query("g6_neighbours", f"WITH {EDGES} SELECT b AS neighbour_id, upper(b) AS neighbour_name, kind AS edge_type, 'OUTGOING' AS direction FROM ed WHERE a = 'o7' UNION ALL SELECT a, upper(a), kind, 'INCOMING' FROM ed WHERE b = 'o7'")
 def g6(spark, d):
     e = _graph(spark, d)

@@ -36,6 +36,30 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str, parts: int =
     return whole.options(partitionColumn=key, lowerBound=str(low), upperBound=str(high + 1), numPartitions=str(parts), fetchsize="10000").load()
 
 
+def even_bounds(keys: DataFrame, key: str, parts: int, accuracy: int = 100) -> list:
+    """Values of a numeric key that cut its rows into at most `parts` ranges of like size, from the quantiles of all rows; each range is off by about 1 / accuracy of a part.
+
+    A value that holds more rows than a part stays whole, so there may be fewer ranges.
+    """
+    cuts = keys.agg(F.percentile_approx(key, F.array(*(F.lit(i / parts) for i in range(1, parts))), parts * accuracy).alias("q")).first().q if parts > 1 else None
+    return sorted(set(cuts or []))
+
+
+def read_jdbc_even(spark: SparkSession, url: str, table: str, key: str, parts: int = 16, **options: str) -> DataFrame:
+    """A source table over JDBC, in ranges of a numeric key that hold like numbers of rows, however unevenly its values lie; rows without a key are in the first.
+
+    The key column is read first, alone and in ranges of values; its quantiles are summed up on the executors, so only the bounds reach the driver.
+    """
+    name = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(key)
+    cuts = even_bounds(read_jdbc(spark, url, table, key, parts, **options).select(key), key, parts)
+    whole = spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize="10000", **options)
+    if not cuts:
+        return whole.load()
+    # a quantile is the last value of its range
+    tests = [f"{name} <= {cuts[0]} OR {name} IS NULL", *(f"{name} > {a} AND {name} <= {b}" for a, b in zip(cuts, cuts[1:])), f"{name} > {cuts[-1]}"]
+    return spark.read.jdbc(url, table, predicates=tests, properties={"fetchsize": "10000", **options})
+
+
 def read_changelog(spark: SparkSession, path: str) -> DataFrame:
     """Op-coded change rows; the payload parsed, malformed ones null."""
     return spark.read.schema(CHANGELOG).parquet(path).withColumn("payload", F.try_parse_json("raw_payload"))
