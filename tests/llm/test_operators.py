@@ -124,11 +124,13 @@ def test_toxicity_on_held_out_documents(spark):
 
 def test_grammar_composes_negation_report_and_targets():
     scorer = toxicity.Scorer({}, {})
-    assert scorer.clause("YoI") == scorer.clause("IoY") == (0, 1.5) and scorer.clause("ooI") == (1, 1.0)  # aimed from either side, plain
-    assert scorer.clause("YNI")[0] == scorer.clause("RooYI")[0] == scorer.clause("YoIR")[0] == 3  # negated, reported before or after
-    assert scorer.clause("TY") == scorer.clause("YT") == (2, 1.5) and scorer.clause("Too") == (5, 0.0)
+    assert scorer.clause("YoI") == scorer.clause("IoY") == scorer.clause("ZBooI") == (0, 1.5) and scorer.clause("ooI") == (2, 1.0)  # aimed from either side, predicate, plain
+    assert scorer.clause("YNI")[0] == scorer.clause("RooYI")[0] == scorer.clause("YoIR")[0] == scorer.clause("YBNM")[0] == 3  # negated, reported before or after
+    assert scorer.clause("AWTY") == scorer.clause("GTP") == scorer.clause("OGoT") == (1, 1.5)  # intended, at a person
+    assert scorer.clause("TY") == scorer.clause("AWTo") == scorer.clause("YTo") == (5, 0.0)  # no intention, no person
+    assert scorer.clause("YBM") == scorer.clause("YBMF") == scorer.clause("YM") == (0, 1.5) and scorer.clause("YBMo") == scorer.clause("YooM") == scorer.clause("Mo") == (2, 0.5)  # what an everyday word describes
     assert scorer.clause("oVo") == (4, 0.5) and scorer.clause("NVo")[0] == 3
-    assert scorer.clause("Ioooooo" + "Y") == (1, 1.0)  # too far
+    assert scorer.clause("Ioooooo" + "Y") == (2, 1.0)  # too far
 
 
 @pytest.fixture(scope="module")
@@ -136,14 +138,110 @@ def toxicity_model(spark):
     return toxicity.fit(table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels"))
 
 
-@pytest.mark.parametrize("text,toxic", [
-    ("You are an idiot.", 1), ("idiot, you", 1), ("You pathetic loser", 1), ("I will kill you", 1), ("Ich werde dich umbringen", 1), ("Te voy a matar a ti", 1), ("Je vais vous tuer", 1),
-    ("It is well worth the money.", 0), ("You are a worthy friend", 0), ("A clownfish lives in the sea", 0), ("You are not an idiot", 0), ("He said you are an idiot", 0), ("You are an idiot, he said", 0),
-    ("kill the process", 0), ("", 0), ("word " * 200_000, 0)])
-def test_toxicity_of_sentences(toxicity_model, text, toxic):
+#: Sentences that hold a word of the lexicon, and mean no harm; and some that do.
+HARMLESS = [
+    "Take out the trash on Monday.",
+    "Stupid bug in my code, fixed it.",
+    "The clownfish is a fool for anemones",
+    "Smash your avocado on toast",
+    "Beat the eggs and your butter until smooth",
+    "Burn these calories",
+    "Attack your homework early",
+    "You crush it every day",
+    "You threw out the trash yesterday",
+    "The garbage truck comes on Tuesday and you can hear it",
+    "Fools rush in where angels fear to tread",
+    "They hired a clown for the party",
+    "You can kill the process with a signal",
+    "I will kill the process",
+    "We will destroy the old build folder",
+    "I'm going to burn the candle tonight",
+    "The loser of the match shakes hands",
+    "This coupon is worthless after May",
+    "A worthless check bounced",
+    "The smell was disgusting",
+    "He is a trash collector in the city",
+    "She was a clown school teacher",
+    "Jerk chicken is my favourite dish",
+    "You are not stupid",
+    "Nobody is worthless",
+    "He said you are an idiot",
+    "They called him a moron",
+    "The film has a pathetic fallacy",
+    "Pond scum grows in warm water",
+    "Dumb terminals connect to a server",
+    "No fool would sell now",
+    "You are a worthy friend",
+    "The gladiators attack the lions",
+    "The knight must kill the dragon",
+    "Does it hurt?",
+    "My legs hurt after you made me run",
+    "I will shoot the photos tomorrow",
+    "We are going to shoot a film",
+    "I will attack the problem first",
+    "It is a murder mystery",
+    "Don't hurt yourself",
+    "I would never hurt you",
+    "Sie sagte, du bist ein Idiot",
+    "Du bist kein Idiot",
+    "Der Trottel ist eine Figur im Stück",
+    "Das Programm beenden und den Prozess töten",
+    "Wir werden die Akten vernichten",
+    "Müll bitte trennen",
+    "Il faut tuer le processus",
+    "Nous allons brûler du bois",
+    "Tu n'es pas un idiot",
+    "Les ordures sont dans la rue",
+    "Il a dit que vous êtes un idiot",
+    "Un débile mental est un personnage du roman",
+    "Vamos a quemar calorías",
+    "Voy a matar el proceso",
+    "No eres idiota",
+    "Dijo que eres un idiota",
+    "El payaso hizo reír a los niños",
+    "La basura se recoge el lunes",
+    "Destruir los documentos viejos",
+    "Garbage in, garbage out",
+    "Trash and garbage go in the same bin, filth in the other",
+    "You look great in that clown costume",
+    "It is well worth the money.",
+    "A clownfish lives in the sea",
+    "You are an idiot, he said",
+    "",
+    "word " * 200_000,
+    "Trash is sorted. The trash goes to a plant. Garbage burns there. Filth is washed away.",
+]
+HARMFUL = [
+    "You are an idiot.",
+    "idiot, you",
+    "You pathetic loser",
+    "I will kill you",
+    "Ich werde dich umbringen",
+    "Te voy a matar a ti",
+    "Je vais vous tuer",
+    "You are so stupid",
+    "She is a worthless moron",
+    "They are trash and everyone knows it",
+    "We will hurt your family",
+    "I'm going to stab him",
+    "Du bist ein Idiot",
+    "Vous êtes des imbéciles",
+    "Eres un idiota",
+    "You are garbage",
+    "you stupid clown",
+    "I'll burn you",
+    "Those people are scum",
+    "He is such a loser",
+    "Are you dumb",
+    "What a bunch of idiots and losers, all scum",
+]
+
+
+def test_toxicity_of_sentences(toxicity_model):
     scorer = toxicity.Scorer(toxicity_model.words, toxicity_model.stems)
-    score = 1 / (1 + np.exp(-(scorer.features(text) @ toxicity_model.weights + toxicity_model.bias)))
-    assert (score >= toxicity.THRESHOLD) == bool(toxic)
+    score = lambda t: 1 / (1 + np.exp(-(scorer.features(t) @ toxicity_model.weights + toxicity_model.bias)))
+    assert [t for t in HARMLESS if score(t) >= toxicity.THRESHOLD] == [] and len(HARMLESS) > 60
+    assert [t for t in HARMFUL if score(t) < toxicity.THRESHOLD] == []
 
 
 def test_toxicity_of_odd_rows(spark):

@@ -19,25 +19,61 @@ from tidemark.llm.common import fold, held_out, table
 SAMPLE_DOCS = 3000
 THRESHOLD = 0.7
 
-# Everyday words of each class, in English, German, French and Spanish; insults are also learned from the labels.
+# Words of each class, in English, German, French and Spanish; insults are also learned from the labels.
 INSULTS = """
-idiot idiots moron morons stupid dumb fool fools loser losers scum trash garbage worthless pathetic disgusting clown clowns jerk jerks vermin filth imbecile
-idioten trottel dummkopf versager abschaum arschloch widerling schwachkopf vollidiot
-idiote crétin imbécile abruti ordure minable connard débile
-idiota imbécil estúpido estúpida escoria cretino gilipollas pendejo
+idiot idiots moron morons loser losers imbecile imbeciles scumbag scumbags asshole assholes
+idioten trottel dummkopf versager arschloch widerling schwachkopf vollidiot
+idiote idiotes crétin crétins imbécile imbéciles abruti connard débile
+idiota idiotas imbécil estúpido estúpida cretino gilipollas pendejo
 """.split()
+#: Insults that have an everyday sense as well; the words of a line share one.
+EVERYDAY = """
+stupid dumb fool fools
+trash garbage filth vermin scum abschaum ordure escoria
+worthless pathetic minable
+disgusting
+clown clowns
+jerk jerks
+"""
+SENSES = {w: line.split()[0] for line in EVERYDAY.strip().splitlines() for w in line.split()}
 THREATS = """
-kill hurt destroy beat smash burn attack crush stab shoot murder
+kill hurt destroy burn attack stab shoot murder strangle
 umbringen töten verprügeln erschießen erstechen vernichten
 tuer frapper détruire brûler écraser égorger
 matar golpear destruir quemar aplastar apuñalar
 """.split()
 TARGETS = """
-you your yours yourself he she they him her them his their these those everyone
-du dich dir dein deine ihr euch sie ihn ihnen
-tu te toi ton vous votre ils elles lui leur
-tú ti usted ustedes vosotros ellos ellas os
+you yourself him them her everyone
+sie
+toi
+ti usted ustedes vosotros ellos ellas
 """.split()
+#: Pronouns that are subjects only.
+SUBJECTS = """
+he she they
+du ihr er
+tu ils elles il elle
+tú él ella
+""".split()
+#: Pronouns that stand before the verb whose object they are.
+OBJECTS = "dich dir euch ihn ihnen te vous os".split()
+PERSONS = """
+person people man men woman women guy guys boy girl kid kids child children family
+mensch menschen leute mann frau kind kinder
+personne gens homme femme enfant enfants
+persona gente hombre mujer niño niños
+""".split()
+COPULAS = """
+are is am was were
+ist sind
+es est sont
+son
+""".split()
+#: Copulas that tell their person.
+YOU_ARE = "you're he's she's they're bist seid êtes eres sois".split()
+FIRST, WILL = "i i'm we we're ich wir je nous yo".split(), "will gonna going shall".split()
+#: Intention of a first person in one word.
+INTENTS = "i'll we'll werde werden vais allons voy vamos".split()
 NEGATIONS = """
 not never no without isn't aren't wasn't don't doesn't won't nobody hardly
 nicht nie niemals kein keine keinen ohne
@@ -50,9 +86,20 @@ sagte sagt schrieb behauptete zitierte angeblich
 dit disait écrit prétendait selon
 dijo dice escribió afirmó según
 """.split()
+#: Words that can follow a predicate without making it an attribute.
+LINKS = """
+and or but for who because so to at in of on with if when now today always anyway
+und oder aber weil
+et ou mais
+y o pero
+""".split()
 
-#: Classes of the words of a clause: insult, threat, target, negation, reported speech, other, and learned word that clean texts also hold now and then.
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, DOUBTFUL = "ITYNRoV"
+#: Classes of the words of a clause: insult, insult with an everyday sense, threat, target, subject pronoun, object pronoun, person, copula, copula with its person, first
+#: person, will, intention, negation, reported speech, link, other, and learned word that clean texts also hold now and then.
+INSULT, COMMON, THREAT, TARGET, SUBJECT, OBJECT, PERSON, COPULA, PREDICATE, SELF, WILLING, INTENT, NEGATION, REPORT, LINK, OTHER, DOUBTFUL = "IMTYZOPBCAWGNRFoV"
+CLASSES = ((LINKS, LINK), (PERSONS, PERSON), (COPULAS, COPULA), (YOU_ARE, PREDICATE), (FIRST, SELF), (WILL, WILLING), (INTENTS, INTENT), (SUBJECTS, SUBJECT), (TARGETS, TARGET), (OBJECTS, OBJECT), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT), (SENSES, COMMON), (INSULTS, INSULT))
+#: Weights of what the grammar writes; the second transducer adds them up.
+WORTH = {INSULT: 1.0, COMMON: 0.5, "J": 1.5, "K": 1.5, "U": 1.5, DOUBTFUL: 0.5, "D": 0.75}
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE = re.compile(r"[.!?;\n]+")
 
@@ -67,22 +114,27 @@ class Transducer:
     def step(self, state: int, letter: str) -> tuple[int, str, float]:
         return self.arcs.get((state, letter)) or (self.reset.get(state, 0), letter, 0.0)
 
-    def then(self, other: "Transducer", letters: str) -> "Transducer":
-        """Composition: what this one writes, the other reads; weights add up."""
-        names, todo, arcs = {(0, 0): 0}, [(0, 0)], {}
-        while todo:
-            a, b = todo.pop()
-            for x in letters:
-                na, y, wa = self.step(a, x)
-                nb, z, wb = other.step(b, y)
-                if (na, nb) not in names:
-                    names[na, nb] = len(names)
-                    todo.append((na, nb))
-                arcs[names[a, b], x] = (names[na, nb], z, wa + wb)
-        return Transducer(arcs)
+
+@dataclass
+class Composed:
+    """Composition of transducers: what one writes, the next reads; weights add up. Of the states, tuples of those of the parts, only those that texts reach are made, once."""
+
+    parts: list[Transducer]
+    arcs: dict[tuple[tuple, str], tuple[tuple, str, float]] = field(default_factory=dict)
+
+    def step(self, state: tuple, letter: str) -> tuple[tuple, str, float]:
+        got = self.arcs.get((state, letter))
+        if got is None:
+            after, out, total = [], letter, 0.0
+            for part, s in zip(self.parts, state):
+                s, out, w = part.step(s, out)
+                after.append(s)
+                total += w
+            got = self.arcs[state, letter] = (tuple(after), out, total)
+        return got
 
     def run(self, letters: str) -> tuple[str, float]:
-        state, out, total = 0, [], 0.0
+        state, out, total = (0,) * len(self.parts), [], 0.0
         for x in letters:
             state, y, w = self.step(state, x)
             out.append(y)
@@ -90,35 +142,38 @@ class Transducer:
         return "".join(out), total
 
 
-def _after(trigger: str, letter: str, out: str, reach: int, weight: float = 0.0) -> Transducer:
-    """Rewrites `letter` to `out` if `trigger` stood at most `reach` letters before; a reach of 0 means anywhere before."""
+def _after(triggers: str, letter: str, out: str, reach: int) -> Transducer:
+    """Rewrites `letter` to `out` if one of the triggers stood at most `reach` letters before; a reach of 0 means anywhere before."""
     if reach == 0:
-        return Transducer({(0, trigger): (1, trigger, 0.0), (1, letter): (1, out, weight)}, {1: 1})
-    arcs = {(s, trigger): (1, trigger, 0.0) for s in range(reach + 1)}
-    arcs |= {(s, letter): ((s + 1) % (reach + 1), out, weight) for s in range(1, reach + 1)}
+        return Transducer({**{(0, t): (1, t, 0.0) for t in triggers}, (1, letter): (1, out, 0.0)}, {1: 1})
+    arcs = {(s, t): (1, t, 0.0) for s in range(reach + 1) for t in triggers}
+    arcs |= {(s, letter): ((s + 1) % (reach + 1), out, 0.0) for s in range(1, reach + 1)}
     return Transducer(arcs, {s: (s + 1) % (reach + 1) for s in range(1, reach + 1)})
 
 
-def grammar() -> tuple[Transducer, Transducer]:
-    """Two transducers: the first reads a clause, the second reads what it wrote from the end.
+def grammar() -> tuple[Composed, Composed]:
+    """Two composed transducers: the first reads a clause, the second reads what it wrote from the end.
 
-    Negation within three words before cancels an insult or a threat; so does reported speech anywhere before or after. A target within four words on either side aims
-    what is left. Letters out: i, t, v cancelled; J, U, W aimed; I, T, V plain (insult, threat, doubtful insult). The second one weighs: aimed insult 1.5, plain insult 1,
-    aimed threat 1.5, doubtful insult 0.5 and, aimed, 0.75; a plain threat nothing.
+    Negation within three words before cancels an insult or a threat; so does reported speech anywhere before or after. An insult is aimed as the predicate of a person
+    (at most four words after the copula) or beside a target (two words). An insult with an everyday sense is aimed as a predicate or directly after a target, and not
+    where another word follows that it describes ("a stupid bug"). A threat is aimed if a first person intends it (within four words before) and its object is a person:
+    at most two words after, or an object pronoun at most four before. Letters out: i, t, v cancelled; J aimed, U aimed threat, D aimed doubtful; I, M, V plain; T and S
+    threats at nobody. Weights: aimed insult or threat 1.5, plain insult 1, plain everyday insult and doubtful word 0.5, aimed doubtful word 0.75.
     """
-    letters = "ITYNRoV"
-    aim = [(TARGET, INSULT, "J", 4), (TARGET, THREAT, "U", 4), (TARGET, DOUBTFUL, "W", 4)]
-    cancel = [("I", "i"), ("T", "t"), ("V", "v"), ("J", "i"), ("U", "t"), ("W", "v")]
-    forward = [*((NEGATION, x, y, 3) for x, y in cancel[:3]), *((REPORT, x, y, 0) for x, y in cancel[:3]), *aim]
-    backward = [*((REPORT, x, y, 0) for x, y in cancel), *aim]
-    both = []
-    for rules in (forward, backward):
-        whole = Transducer({})
-        for r in rules:
-            whole = whole.then(_after(*r), letters + "itvJUW")
-        both.append(whole)
-    weigh = Transducer({(0, x): (0, x, w) for x, w in (("I", 1.0), ("J", 1.5), ("U", 1.5), ("V", 0.5), ("W", 0.75))})
-    return both[0], both[1].then(weigh, letters + "itvJUW")
+    target = TARGET + SUBJECT + OBJECT
+    cancel = [("I", "i"), ("M", "i"), ("T", "t"), ("V", "v"), ("J", "i"), ("K", "i"), ("S", "t"), ("U", "t"), ("D", "v")]
+    forward = [
+        *((NEGATION, x, y, 3) for x, y in cancel[:4]), *((REPORT, x, y, 0) for x, y in cancel[:4]),
+        (SELF, WILLING, INTENT, 2), (INTENT, THREAT, "S", 4), (OBJECT, "S", "U", 4),
+        (target + PERSON, COPULA, PREDICATE, 2), (PREDICATE, INSULT, "J", 4), (PREDICATE, COMMON, "K", 4),
+        (target, INSULT, "J", 2), (TARGET + SUBJECT, COMMON, "K", 1), ("K", COMMON, "K", 1), ("K", INSULT, "J", 1), (target, DOUBTFUL, "D", 4),
+    ]
+    backward = [
+        *((REPORT, x, y, 0) for x, y in cancel), (OTHER, "K", COMMON, 1), ("K", COMMON, "K", 1), ("J", COMMON, "K", 1),
+        (TARGET + OBJECT + PERSON, "S", "U", 2), (target, INSULT, "J", 2), (target, DOUBTFUL, "D", 4),
+    ]
+    weigh = Transducer({(0, x): (0, "J" if x == "K" else x, w) for x, w in WORTH.items()})
+    return Composed([_after(*r) for r in forward]), Composed([*(_after(*r) for r in backward), weigh])
 
 
 @dataclass
@@ -131,11 +186,14 @@ class Model:
     bias: float
 
 
-#: Features of a document: logarithms of its clauses with an aimed insult, with a plain one, with an aimed threat, with a cancelled match only; weight per hundred words;
-#: weight of its doubtful clauses, up to 4, and per hundred words.
+#: Features of a document: logarithm of its clauses with an aimed insult; its plain insults beyond the first, each in at most two clauses, an everyday sense counting half, up to 4;
+#: logarithms of its clauses with an aimed threat, and with a cancelled match only; weight per hundred words, where one of the first three is not zero; weight of its
+#: doubtful clauses, up to 4, and per hundred words. So one word that is aimed at nobody never counts.
 FEATURES = 7
 # What the weights are taken to be where the labels say nothing, and how firmly.
-PRIOR, BIAS, FIRM = np.array([4.0, 3.0, 4.0, -0.5, 0.3, 1.0, 0.5]), -3.0, 0.1
+PRIOR, BIAS, FIRM = np.array([6.0, 3.0, 6.0, -0.5, 0.3, 1.0, 0.5]), -3.0, 0.1
+#: One aimed clause alone scores at least this, whatever the labels say: few of them may hold any.
+AIMED = 0.8
 
 
 class Scorer:
@@ -144,11 +202,11 @@ class Scorer:
         self.find = ahocorasick.Automaton()
         for w in stems:
             self.find.add_word(w, (len(w), False))
-        for w in (w for w, c in words.items() if c in (INSULT, THREAT, DOUBTFUL)):
+        for w in (w for w, c in words.items() if c in (INSULT, COMMON, THREAT, DOUBTFUL)):
             self.find.add_word(w, (len(w), w not in stems))
         if len(self.find):
             self.find.make_automaton()
-        self.seen: dict[str, tuple[int, float]] = {}
+        self.seen: dict[str, tuple[int, float, str]] = {}
 
     def letter(self, word: str) -> str:
         got = self.words.get(word)
@@ -156,15 +214,18 @@ class Scorer:
             got = next((self.stems[word[:n]] for n in range(STEM[0], STEM[1] + 1) if word[:n] in self.stems), OTHER) if self.stems else OTHER
         return got
 
-    def clause(self, letters: str) -> tuple[int, float]:
-        """(kind, weight) of a clause: 0 aimed insult, 1 plain insult, 2 aimed threat, 3 cancelled, 4 doubtful, 5 nothing."""
+    def read(self, letters: str) -> tuple[int, float, str]:
+        """Kind and weight of a clause, and what the grammar makes of each word. Kinds: 0 aimed insult, 1 aimed threat, 2 plain insult, 3 cancelled, 4 doubtful, 5 nothing."""
         if letters not in self.seen:
             if len(self.seen) > 100_000:
                 self.seen.clear()
             written, w = self.rules[1].run(self.rules[0].run(letters)[0][::-1])
-            self.seen[letters] = next((k for k, marks in enumerate(("J", "I", "U", "itv", "VW")) if any(m in written for m in marks)), 5), w
+            self.seen[letters] = next((k for k, marks in enumerate(("J", "U", "IM", "itv", "VD")) if any(m in written for m in marks)), 5), w, written[::-1]
         return self.seen[letters]
 
+    def clause(self, letters: str) -> tuple[int, float]:
+        return self.read(letters)[:2]
+
     def features(self, text: str) -> np.ndarray:
         """Whole text, clause by clause; only clauses in which the automaton finds a whole word that is an insult or a threat are read word by word."""
         low, out = text.lower(), np.zeros(FEATURES)
@@ -173,7 +234,7 @@ class Scorer:
         hits = sorted(e - n + 1 for e, (n, whole) in self.find.iter(low) if (not whole or e == len(low) - 1 or not low[e + 1].isalpha()) and (e < n or not low[e - n].isalpha()))
         if not hits:
             return out
-        counts, total, doubtful = [0.0] * 6, 0.0, 0.0
+        counts, total, doubtful, plain = [0.0] * 6, 0.0, 0.0, {}
         ends = [m.start() for m in CLAUSE.finditer(low)] + [len(low)]
         start = k = 0
         for end in ends:
@@ -181,15 +242,20 @@ class Scorer:
             while k < len(hits) and hits[k] < end:
                 any_hit, k = True, k + 1
             if any_hit:
-                kind, w = self.clause("".join(map(self.letter, WORD.findall(low, start, end))))
+                words = WORD.findall(low, start, end)
+                kind, w, marks = self.read("".join(map(self.letter, words)))
                 counts[kind] += 1
-                if kind == 4:
-                    doubtful += w
-                else:
-                    total += w
+                unsure = WORTH[DOUBTFUL] * marks.count(DOUBTFUL) + WORTH["D"] * marks.count("D")
+                doubtful += unsure
+                total += w - unsure
+                if kind == 2:
+                    for x, m in {(SENSES.get(x, x), m) for x, m in zip(words, marks) if m in (INSULT, COMMON)}:
+                        plain[x] = min(plain.get(x, 0.0) + WORTH[m], 2 * WORTH[m])
             start = end
         n = max(20, low.count(" ") + 1)
-        return np.array([*np.log1p(counts[:4]), min(100 * total / n, 10.0), min(doubtful, 4.0), min(100 * doubtful / n, 5.0)])
+        beyond = min(max(0.0, sum(plain.values()) - 1), 4.0)
+        dense = min(100 * total / n, 10.0) if counts[0] or counts[1] or beyond else 0.0
+        return np.array([np.log1p(counts[0]), beyond, np.log1p(counts[1]), np.log1p(counts[3]), dense, min(doubtful, 4.0), min(100 * doubtful / n, 5.0)])
 
 
 #: Shortest and longest beginning that is learned as a stem; different endings and documents that it takes; how much oftener toxic documents hold it, to be doubtful and to be an insult.
@@ -197,7 +263,8 @@ STEM, ENDINGS, STEM_DOCS, DOUBT, SURE = (3, 9), 5, 8, 4.0, 30.0
 
 
 def _learned(toxic: list[str], clean: list[str], least: int = 4) -> tuple[dict[str, str], dict[str, str]]:
-    """Whole words, and stems, that documents labelled toxic hold far more often than clean ones, with their class.
+    """Whole words, and stems, that documents labelled toxic hold far more often than clean ones, with their class; a whole word is doubtful, as labels of documents do not
+    tell what it means.
 
     A word must stand in at least `least` documents and after as many different words, so that copies of one text teach nothing. A stem must take several endings,
     none of them in most of its documents: "worthless" alone makes no stem of "worth".
@@ -221,7 +288,7 @@ def _learned(toxic: list[str], clean: list[str], least: int = 4) -> tuple[dict[s
     odds = lambda x, c: (c[0][x] / max(1, len(toxic))) / ((c[1][x] + 0.5) / max(1, len(clean)))
     of = lambda x, c: INSULT if odds(x, c) >= SURE and c[0][x] >= 20 * c[1][x] else DOUBTFUL
     words = {x: of(x, counts) for x, n in counts[0].items() if len(x) > 2 and n >= least and len(around[x]) >= least and odds(x, counts) >= SURE}
-    words = {x: c for x, c in words.items() if c == INSULT}
+    words = {x: DOUBTFUL for x, c in words.items() if c == INSULT}
     stems = {x: of(x, begun) for x, e in ends.items() if len(e) >= ENDINGS and begun[0][x] >= STEM_DOCS and 2 * max(e.values()) <= begun[0][x] and odds(x, begun) >= DOUBT}
     # of stems that begin alike, the one that tells most; the rest of its family are its endings
     order = sorted(stems, key=lambda x: (-begun[0][x] * np.log(odds(x, begun)), x))
@@ -234,7 +301,7 @@ def _learned(toxic: list[str], clean: list[str], least: int = 4) -> tuple[dict[s
 
 def fit_texts(toxic: list[str], clean: list[str]) -> Model:
     """Lexicon from one half of the texts, weights of the clause features from the other half (logistic regression about a prior), then the lexicon from all."""
-    base = {w: c for some, c in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT), (INSULTS, INSULT)) for w in some}
+    base = {w: c for some, c in CLASSES for w in some}
     words, stems = _learned(toxic[::2], clean[::2])
     scorer = Scorer(words | base, stems)
     x = np.array([scorer.features(t) for t in [*toxic[1::2], *clean[1::2]]]).reshape(-1, FEATURES)
@@ -251,6 +318,8 @@ def fit_texts(toxic: list[str], clean: list[str]) -> Model:
             curve = (z * (p * (1 - p))[:, None]).T @ z + FIRM * np.eye(len(v))
             v = np.clip(v - 0.5 * np.linalg.solve(curve, slope), least, most)
         w, bias = v[:-1], float(v[-1])
+    least = (np.log(AIMED / (1 - AIMED)) - bias) / np.log(2)
+    w[0], w[2] = max(w[0], least), max(w[2], least)
     words, stems = _learned(toxic, clean)
     return Model(words | base, stems, w, bias)
 
