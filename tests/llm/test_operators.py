@@ -81,21 +81,67 @@ def field():
 def test_best_segmentation_is_best(field):
     crf, rng = field[0], random.Random(3)
 
-    def brute_best(text, toks, i=0):
-        if i == len(toks):
+    def brute_best(segs, n, i=0, last=None):
+        """The best score from word i on; last: the kind of the segment that ends there."""
+        if i == n:
             return 0.0
-        best = brute_best(text, toks, i + 1)
-        for a, b, _, _, f in crf.segments(text, toks):
-            if a == i:
-                best = max(best, max(crf.score(k, f) for k in pii.KINDS) + brute_best(text, toks, b))
+        best = brute_best(segs, n, i + 1)
+        for a, b, _, _, f in segs:
+            for k, s in enumerate(crf.scores(f)) if a == i else ():
+                best = max(best, s + (crf.follows[last][k] if last is not None else 0.0) + brute_best(segs, n, b, k))
         return best
 
-    for _ in range(60):
-        text = " ".join(odd_text(rng).split(" ")[:9])
+    for n in range(60):
+        text = " ".join(odd_text(rng).split(" ")[:8])
         toks = pii.tokens(text, 0, len(text))
-        got = crf.best(text, toks)
-        by_place = {(a, b): f for _, _, a, b, f in crf.segments(text, toks)}
-        assert abs(sum(crf.score(k, by_place[a, b]) for k, a, b in got) - brute_best(text, toks)) < 1e-9
+        segs = crf.segments(text, toks)
+        place, total, before, last = {(a, b): (i, j, f) for i, j, a, b, f in reversed(segs)}, 0.0, -1, None
+        for k, a, b in crf.best(text, toks):
+            i, j, f = place[a, b]
+            kind = pii.KINDS.index(k)
+            options = [(crf.scores(g)[kind], q) for _, q, x, y, g in segs if (x, y) == (a, b)]
+            total += max(options)[0] + (crf.follows[last][kind] if before == i else 0.0)
+            before, last = j, kind
+        assert abs(total - brute_best(segs, len(toks))) < 1e-9
+
+
+def test_slope_is_that_of_the_likelihood():
+    """Against the likelihood over all segmentations, one by one, with weights moved a little."""
+    rng, crf = np.random.default_rng(5), pii.SemiMarkov()
+    text = "mail a.b@c.de 10.0.0.7 call 555-123-4567 or 12.5.2020 x"
+    toks, names = pii.tokens(text, 0, len(text)), {"": 0}
+    segs = [(i, j, np.array([0, *(names.setdefault(x, len(names)) for x in f)])) for i, j, _, _, f in crf.segments(text, toks)]
+    gold = {(1, 2): 0, (2, 3): 1, (4, 5): 3}
+    labels = [gold.get((i, j), -1) for i, j, _ in segs]
+    pairs = np.zeros((4, 4))
+    pairs[0, 1] = 1
+    lattice = pii.Lattice([(len(toks), segs, labels, pairs)] * 2)
+    w, follows = rng.normal(size=(len(names), 4)), rng.normal(size=(4, 4))
+
+    def every(i=0, last=None):
+        if i == len(toks):
+            return [0.0]
+        out = every(i + 1)
+        for a, b, f in segs:
+            for k in range(4) if a == i else ():
+                s = w[f, k].sum() + (follows[last, k] if last is not None else 0.0)
+                out += [s + x for x in every(b, k)]
+        return out
+
+    def likelihood():
+        some = sum(w[f, k].sum() for (_, _, f), k in zip(segs, labels) if k >= 0) + follows[0, 1]
+        return 2 * (some - np.logaddexp.reduce(every()))
+
+    up, up_follows = lattice.slope(w, follows)
+    for grid, slope in ((w, up), (follows, up_follows)):
+        for at in rng.permutation(grid.size)[:6]:
+            at = np.unravel_index(at, grid.shape)
+            kept, ends = grid[at], []
+            for move in (1e-4, -1e-4):
+                grid[at] = kept + move
+                ends.append(likelihood())
+            grid[at] = kept
+            assert abs((ends[0] - ends[1]) / 2e-4 - slope[at]) < 1e-4
 
 
 def test_windows_are_as_good_as_the_whole_text(field):
@@ -116,6 +162,39 @@ def test_spelled_values_of_held_out_texts(field):
     assert sum(len(pii.spans(t, crf)[1]) - len(pii.base_spans(t)) for t in texts) < 0.05 * len(texts)
 
 
+#: Numbers and phrases that are no personal data.
+NOT_PERSONAL = [
+    "released on 2024-01-31 by us", "pi is 3.14159265 or so", "at latitude 52.520008 today", "see invoice 123-456-7890 for it", "IBAN DE89 3704 0044 0532 0130 00 please",
+    "we use 1.2.3 build 20240131 now", "meet at noon at gate.com today", "On 31.12.2019 we met", "the years 1999-2004 were good", "order 4938-2231-00 shipped", "score 12:30-14:30 on 1/2/2020",
+    "it cost 1,234,567.89 dollars", "ISBN 978-3-16-148410-0", "look at docs.site.org for help", "Phone: 2024-01-31", "a ratio of 0.333333333", "kernel 5.15.0-91 is out", "from 08:15 to 17:45 daily",
+    "population 83 200 000 in total", "ticket 555-123-4567 is closed", "version 10.4.12 of the tool", "between 1990-1995 and 2001-2005", "born 12/11/1987 in Rome", "he ran 42.195 km in 2:05:30",
+]
+PERSONAL = [
+    ("host 10 dot 0 dot 0 dot 7 is up", "ip", "10 dot 0 dot 0 dot 7"), ("call 123-456-7890 now", "phone", "123-456-7890"), ("call (555) 010-2233 now", "phone", "(555) 010-2233"),
+    ("write anna.smith at mailbox dot org soon", "email", "anna.smith at mailbox dot org"), ("reach bob[at]mail[dot]com", "email", "bob[at]mail[dot]com"),
+    ("card 4111.1111.1111.1111 ok", "card", "4111.1111.1111.1111"), ("server 10[.]1[.]2[.]3 down", "ip", "10[.]1[.]2[.]3"), ("phone 555.010.2233", "phone", "555.010.2233"),
+]
+
+
+def test_field_leaves_other_numbers(field):
+    wrong = {t: [t[a:b] for _, a, b in pii.spans(t, field[0])[1]] for t in NOT_PERSONAL}
+    assert not any(wrong.values()), wrong
+    for text, kind, value in PERSONAL:
+        assert (kind, value) in [(k, text[a:b]) for k, a, b in pii.spans(text, field[0])[1]], text
+
+
+def test_field_leaves_held_out_lookalikes(field):
+    """Shapes as taught, numbers and places not seen."""
+    rng, wrong, n = np.random.default_rng(77), [], 0
+    for _ in range(60):
+        for shape in pii.lookalikes(rng):
+            text = f"we had {shape} then"
+            base, got = pii.spans(text, field[0])
+            wrong += [text[a:b] for k, a, b in set(got) - set(base)]
+            n += 1
+    assert len(wrong) < 0.01 * n, wrong
+
+
 def test_toxicity_on_held_out_documents(spark):
     got = toxicity.query(spark, DATA).join(table(spark, DATA, "labels"), "doc_id").filter("held_out").collect()
     assert sum(r.predicted == r.toxic for r in got) >= 0.95 * len(got) > 50
