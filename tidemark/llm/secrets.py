@@ -20,9 +20,16 @@ KEEP = 0.5
 NEAR = 40
 
 #: A run of at least ten token characters with a digit among them, matched whole.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]*[A-Za-z0-9+/_-]{10,}+=*+"
-#: The same without a leading name and sign of assignment, which count as neighbours.
-ASSIGNED = r"^[A-Za-z_][A-Za-z_-]{1,30}="
+TOKEN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]*[A-Za-z0-9+/_-]{10,}+=*+"
+#: A private key in its armour, over any number of lines; headers within may hold a few single signs.
+ARMOUR = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]*+(?:-{1,4}+[^-]++){0,20}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+#: A name that ends in a word for a password, and the sign that assigns it.
+NAMED = r"(?i:[a-z_-]{0,30}(?:password|passwd|passphrase|pwd|secret))[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?"
+#: What such a name announces: 6 to 256 characters with a letter or digit, and with a sign that tokens lack.
+PASSWORD = r"(?<![A-Za-z0-9+/_=-])" + NAMED + r"(?=[^\s\"'<>]{0,255}[!@#$%^&*?~{}])(?=[^\s\"'<>]{0,255}[A-Za-z0-9])[^\s\"'<>]{5,255}[^\s\"'<>.,;:)]"
+CANDIDATE = f"{ARMOUR}|{PASSWORD}|{TOKEN}"
+#: A candidate's leading name and sign of assignment, which count as neighbours.
+ASSIGNED = rf"^(?:{NAMED}|[A-Za-z_][A-Za-z_-]{{1,30}}=)"
 
 # Public formats of keys.
 FORMATS = {
@@ -31,9 +38,10 @@ FORMATS = {
     "payment_key": r"^[sr]k_(?:live|test)_[A-Za-z0-9]{16,}$",
     "chat_token": r"^xox[abprs]-[A-Za-z0-9-]{10,}$",
     "web_token": r"^eyJ[A-Za-z0-9_-]{10,}$",
+    "private_key": r"^-----BEGIN [A-Z ]*PRIVATE KEY-----",
 }
 # Words that announce a secret, words that deny one, and a small dictionary.
-SECRET_CUES = "password|passwd|pwd|token|secret|apikey|api_key|api-key|access_key|private|credential|bearer|auth"
+SECRET_CUES = "password|passwd|passphrase|pwd|token|secret|apikey|api_key|api-key|access_key|private|credential|bearer|auth"
 DENYING_CUES = "example|sample|dummy|test|placeholder|version|revision|commit|checksum|uuid|isbn|phone|order|invoice"
 DICTIONARY = "the|and|ing|tion|ment|er|an|in|on|at|en|es|de|la|le|user|name|data|file|page|test|pass|word|item|code|http|www|com"
 
@@ -66,7 +74,7 @@ def _times(value: Column, pattern: str) -> Column:
     return F.size(F.regexp_extract_all(value, F.lit(pattern), F.lit(0))).cast("double")
 
 
-FEATURES = ["length", "digits", "uppers", "hexes", "turns", "case_turns", "distinct", "covered", "cue", "denied", "assigned", "quoted", "path_denied", "path_config"]
+FEATURES = ["length", "digits", "uppers", "hexes", "turns", "case_turns", "distinct", "covered", "cue", "denied", "assigned", "quoted", "signs", "template", "path_denied", "path_config"]
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -86,6 +94,8 @@ def with_features(found: DataFrame) -> DataFrame:
         "denied": (before.rlike(DENYING_CUES) | F.lower("after").rlike(DENYING_CUES)).cast("double"),
         "assigned": before.rlike(r"[=:]\s*[\"']?$").cast("double"),
         "quoted": (before.rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double"),
+        "signs": _share(v, "[^A-Za-z0-9]"),
+        "template": v.rlike(r"^[$%#@]?[({][^)}]*[)}]+$|^[$%][A-Za-z_]+%?$|\*{3}").cast("double"),
         "path_denied": F.lower("path").rlike("test|example|sample|fixture|doc").cast("double"),
         "path_config": F.lower("path").rlike("conf|env|settings|secret|deploy").cast("double"),
     }
@@ -95,6 +105,8 @@ def with_features(found: DataFrame) -> DataFrame:
 # What stands before and after a planted secret, and before a planted look-alike.
 ANNOUNCED = (("token = \"", "\""), ("password: ", " "), ("api_key=", " "), ("secret = '", "'"), ("Authorization: Bearer ", " "), ("access_key = \"", "\""), ("client_secret: \"", "\","))
 MENTIONED = (("commit ", " "), ("checksum ", "."), ("order number ", " "), ("version ", " "), ("see ", ","), ("isbn ", " "), ("id: ", " "), ("uuid = \"", "\""), ("(", ")"), ("", " "))
+PASSWORDS = (("password: ", " "), ("password=\"", "\""), ("db_password = '", "'"), ("pwd=", ";"), ("passwd: ", ","), ("client_secret=", " "))
+TEMPLATES = ("${DB_PASSWORD}", "{{ password }}", "{{password}}", "%PASSWORD%", "$PASSWORD", "{password}", "********", "your-password!", "${env.SECRET}", "%(password)s", "{user.name}", "#{secret}")
 PATHS = ("web", "books", "news", "code/app.py", "conf/settings.env", "tests/fixture.txt", "docs/readme.md")
 #: Natural look-alikes: numbers, dates and versions, identifiers in the common layout, and text that words cover. The value alone decides.
 LOOK_ALIKES = r"^[0-9_/+-]+$|^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^[vV]?[0-9]+(?:[-_][0-9]+)*[A-Za-z]{0,3}$"
@@ -112,17 +124,21 @@ def planted(spark: SparkSession, n: int = PLANTED, leave_out: tuple[str, ...] =
     formats = {
         "cloud_key": F.concat(F.lit("AKIA"), F.substring(F.upper(mixed), 1, 16)), "forge_token": F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), "payment_key": F.concat(F.lit("sk_live_"), part(mixed, 16, 32)),
         "chat_token": F.concat(F.lit("xoxb-"), F.substring(digits, 1, 12), F.lit("-"), F.substring(mixed, 1, 24)), "web_token": F.concat(F.lit("eyJ"), part(mixed, 30, 80)),
+        "private_key": F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\n"), F.substring(mixed, 1, 64), F.lit("\n"), F.substring(F.reverse(mixed), 1, 20), F.lit("==\n-----END RSA PRIVATE KEY-----")),
     }
     uuid = F.concat_ws("-", *(F.substring("hex", at, k) for at, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
     words = F.concat(F.lit("data"), F.substring(digits, 1, 2), F.lit("the"), F.substring(digits, 3, 1), F.lit("user"), F.substring("hex", 1, 2), F.lit("ing"))
     free = [F.substring("hex", 1, 40), F.substring("hex", 1, 32), part(mixed, 16, 48), part("hex", 20, 64)]
     lookalike = [F.substring("hex", 1, 40), F.substring("hex", 1, 64), uuid, part(digits, 10, 24), F.concat(F.lit("ORD-2024-"), F.substring(digits, 1, 8)), words, part(mixed, 12, 30)]
     made = [(k, v, 1.0) for k, v in formats.items() if k not in leave_out] + [("free", v, 1.0) for v in free] + [("other", v, 0.0) for v in lookalike]
+    sign = lambda seed: F.substring(F.lit("!@#$%^&*?~"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(10)).cast("int") + 1, F.lit(1))
+    template = F.element_at(F.array(*map(F.lit, TEMPLATES)), (F.pmod(F.xxhash64("id", F.lit(23)), F.lit(len(TEMPLATES))) + 1).cast("int"))
+    made += [("pass", F.concat(part(mixed, 4, 9), sign(29), F.substring(digits, 1, 2)), 1.0), ("pass", F.concat(F.substring(words, 1, 8), sign(31), sign(37)), 1.0), ("pass", template, 0.0)]
     spot = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(len(made))).cast("int")
     rows = rows.withColumn("made", F.element_at(F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("value"), F.lit(y).alias("label")) for k, v, y in made)), spot + 1)).select("id", "made.*")
     pick = lambda some, seed: F.element_at(F.array(*(F.struct(F.lit(x).alias("b"), F.lit(y).alias("a")) for x, y in some)), (F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(len(some))) + 1).cast("int"))
-    bare = (F.col("kind") != "free") & (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(3)) == 0)
-    near = F.when((F.col("label") == 1) & ~bare, pick(ANNOUNCED, 11)).otherwise(pick(MENTIONED, 13))
+    bare = (F.col("kind") != "free") & (F.col("kind") != "pass") & (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(3)) == 0)
+    near = F.when(F.col("kind") == "pass", pick(PASSWORDS, 19)).when((F.col("label") == 1) & ~bare, pick(ANNOUNCED, 11)).otherwise(pick(MENTIONED, 13))
     path = F.element_at(F.array(*map(F.lit, PATHS)), (F.pmod(F.xxhash64("id", F.lit(17)), F.lit(len(PATHS))) + 1).cast("int"))
     return rows.withColumn("near", near).select(F.lit(-1).cast("long").alias("doc_id"), path.alias("path"), "value", F.col("id").alias("start"), F.col("id").alias("end"), F.concat(F.lit("some words and "), "near.b").alias("before"), F.concat("near.a", F.lit(" then more")).alias("after"), "label")
 
