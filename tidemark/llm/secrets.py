@@ -26,7 +26,8 @@ ARMOUR = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]*+(?:-{1,4}+[^-]++){0,20}-
 #: A name that ends in a word for a password, and the sign that assigns it.
 NAMED = r"(?i:[a-z_-]{0,30}(?:password|passwd|passphrase|pwd|secret))[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?"
 #: What such a name announces: 6 to 256 characters with a letter or digit, and with a sign that tokens lack.
-PASSWORD = r"(?<![A-Za-z0-9+/_=-])" + NAMED + r"(?=[^\s\"'<>]{0,255}[!@#$%^&*?~{}])(?=[^\s\"'<>]{0,255}[A-Za-z0-9])[^\s\"'<>]{5,255}[^\s\"'<>.,;:)]"
+#: A name is looked at closely only if a sign of assignment follows its at most 40 characters.
+PASSWORD = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z_-]{3,40}+[\"']?[ \t]{0,3}[=:])" + NAMED + r"(?=[^\s\"'<>]{0,255}[!@#$%^&*?~{}])(?=[^\s\"'<>]{0,255}[A-Za-z0-9])[^\s\"'<>]{5,255}[^\s\"'<>.,;:)]"
 CANDIDATE = f"{ARMOUR}|{PASSWORD}|{TOKEN}"
 #: A candidate's leading name and sign of assignment, which count as neighbours.
 ASSIGNED = rf"^(?:{NAMED}|[A-Za-z_][A-Za-z_-]{{1,30}}=)"
