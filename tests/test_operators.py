@@ -125,6 +125,15 @@ def test_insights(spark, seed):
     assert [(r.customer_id, r.supporting_data) for r in up] == [(1, '{"current_tier":"SMB","order_frequency":2,"avg_order_value":52500.00}')]
 
 
+def test_upsell_average_of_half_a_cent(spark, seed):
+    small = seed[0].withColumn("annual_revenue", F.lit(5).cast("decimal(15,2)"))
+    amounts = ["253043.19"] * 6 + ["253043.20"] * 6  # 253043.195 on the average; the nearest double lies below it
+    o = spark.createDataFrame([(i, 1, D(2024, 6, 25), a) for i, a in enumerate(amounts)], "order_id long, customer_id long, order_date date, total_amount string").withColumn("total_amount", F.col("total_amount").cast("decimal(12,2)"))
+    log = spark.createDataFrame([], "customer_id long, insight_type string, generated_at date")
+    got = metrics.upsell_insights(gold.customer_360_recency(small, o, AS_OF), log, AS_OF).collect()
+    assert [json.loads(r.supporting_data, parse_float=str)["avg_order_value"] for r in got] == ["253043.20"]
+
+
 def test_row_numbers_of_a_wide_table(spark):
     orders = entity(spark, LARGE, "orders")
     got = joins.running_number(orders, ["o_orderdate", "o_orderkey"])
