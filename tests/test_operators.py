@@ -151,6 +151,13 @@ def test_percent_ranks_of_a_wide_table(spark):
         assert abs(r.rank - values.index(r.v) / (len(values) - 1)) < 1e-6
 
 
+def test_percent_ranks_with_nulls(spark):
+    rows = [(1, 5), (2, None), (3, 5), (4, 9), (5, None), (6, 1)]
+    got = by(windows.percent_ranks(spark.createDataFrame(rows, "i int, v int"), "v", "rank"), "i")
+    assert {i: got[i]["rank"] for i in got} == {6: 0.0, 1: 0.2, 3: 0.2, 4: 0.6, 2: 0.8, 5: 0.8}  # nulls are rows and come last
+    assert [r["rank"] for r in windows.percent_ranks(spark.createDataFrame([(1, None), (2, None)], "i int, v int"), "v", "rank").collect()] == [0.0, 0.0]
+
+
 @pytest.mark.parametrize("share", [1, 1000])
 def test_pattern_join_of_every_kind(spark, monkeypatch, share):
     monkeypatch.setattr(joins, "LIKE_SHARE", share)
