@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, evolve, gold, graph, joins, metrics, quality, references, silver, windows
+from tidemark.plans import check_queries
 from tidemark.plans.bindings import entity
 from tidemark.sources import landing
 from tidemark.streaming import pipelines as streaming
@@ -158,6 +159,15 @@ def test_percent_ranks_with_nulls(spark):
     assert [r["rank"] for r in windows.percent_ranks(spark.createDataFrame([(1, None), (2, None)], "i int, v int"), "v", "rank").collect()] == [0.0, 0.0]
 
 
+def test_streams_are_fed_by_many_tasks(spark, tmp_path):
+    lines = entity(spark, "/root/testdata/sf0.001", "lineitem").withColumn("l_suppkey", F.when(F.col("l_linenumber") > 1, F.col("l_suppkey")))
+    lines.repartition(5).write.parquet(f"{tmp_path}/lineitem.parquet")
+    at, schema, files, buckets = check_queries._folder(spark, str(tmp_path), 3)
+    fed = spark.read.schema(schema).parquet(f"{at}/in")
+    assert fed.count() == lines.count()  # lines without a supplier, too
+    assert len(fed.inputFiles()) > 3 and 3 * files >= len(fed.inputFiles()) and buckets >= 16
+
+
 @pytest.mark.parametrize("share", [1, 1000])
 def test_pattern_join_of_every_kind(spark, monkeypatch, share):
     monkeypatch.setattr(joins, "LIKE_SHARE", share)

@@ -420,18 +420,21 @@ def v1(spark, d):
 
 
 def _folder(spark, d, parts):
-    """The change log written as files of several batches, for the streams; batches by supplier, so that versions come late and out of order."""
+    """The change log written as files, for the streams, by tasks over parts of it; batches by supplier, so that versions come late and out of order. Also how many files make
+    a batch (there are about `parts` batches), and a number of buckets that grows with the log: a task of a store holds one."""
     at = scratch(spark)
     log = entity(spark, d, "line_changes")
+    batch = F.coalesce(F.pmod("supplier_id", F.lit(parts)), F.lit(0))  # a change without a supplier is one, too
     for i in range(parts):
-        log.filter(F.col("supplier_id") % parts == i).coalesce(1).write.mode("append").parquet(f"{at}/in")
-    return at, log.schema
+        log.filter(batch == i).write.mode("append").parquet(f"{at}/in")
+    files = len(spark.read.schema(log.schema).parquet(f"{at}/in").inputFiles())
+    return at, log.schema, -(-files // parts), max(16, files)
 
 
 @query("r1_stream_changes", "SELECT count(*) AS n, sum(line_total) AS total FROM line_changes")
 def r1(spark, d):
-    at, schema = _folder(spark, d, 3)
-    streaming.append_available(streaming.stream_changes(spark, f"{at}/in", schema, 1), f"{at}/cp", f"{at}/out")
+    at, schema, files, _ = _folder(spark, d, 3)
+    streaming.append_available(streaming.stream_changes(spark, f"{at}/in", schema, files), f"{at}/cp", f"{at}/out")
     return spark.read.parquet(f"{at}/out").agg(F.count("*").alias("n"), F.sum("line_total").alias("total"))
 
 
@@ -444,24 +447,24 @@ def r2(spark, d):
 
 @query("r3_stream_bronze", "SELECT 'line_changes' AS source_table, count(*) AS n, count(DISTINCT order_id) AS orders FROM line_changes")
 def r3(spark, d):
-    at, schema = _folder(spark, d, 2)
-    streaming.append_available(streaming.stream_bronze(streaming.stream_changes(spark, f"{at}/in", schema, 1), "line_changes"), f"{at}/cp", f"{at}/out")
+    at, schema, files, _ = _folder(spark, d, 2)
+    streaming.append_available(streaming.stream_bronze(streaming.stream_changes(spark, f"{at}/in", schema, files), "line_changes"), f"{at}/cp", f"{at}/out")
     return spark.read.parquet(f"{at}/out").groupBy("source_table").agg(F.count("*").alias("n"), F.countDistinct(F.get_json_object("payload_json", "$.order_id")).alias("orders"))
 
 
 @query("r4_stream_latest", LIVE)
 def r4(spark, d):
-    at, schema = _folder(spark, d, 4)
-    got = streaming.stream_latest(streaming.stream_changes(spark, f"{at}/in", schema, 1), KEYS, TOTAL, f"{at}/snap", f"{at}/cp", 16)
+    at, schema, files, buckets = _folder(spark, d, 4)
+    got = streaming.stream_latest(streaming.stream_changes(spark, f"{at}/in", schema, files), KEYS, TOTAL, f"{at}/snap", f"{at}/cp", buckets)
     return cdc.live(got.latest()).drop("_deleted")
 
 
 @query("r6_stream_gold", """SELECT CAST(date_trunc('month', _updated_at) AS DATE) AS month, count(*) AS n, CAST(sum(line_total) AS DECIMAL(18,2)) AS total, min(line_total) AS least, max(_updated_at) AS last_change, round(avg(CAST(line_total AS DOUBLE)), 6) AS mean, count(DISTINCT product_id) AS products, count(DISTINCT supplier_id) AS suppliers FROM line_changes GROUP BY 1""")
 def r6(spark, d):
-    at, schema = _folder(spark, d, 3)
-    stream = streaming.stream_changes(spark, f"{at}/in", schema, 1).withColumn("month", F.trunc("_updated_at", "month"))
+    at, schema, files, buckets = _folder(spark, d, 3)
+    stream = streaming.stream_changes(spark, f"{at}/in", schema, files).withColumn("month", F.trunc("_updated_at", "month"))
     measures = {"n": ("count", "*"), "total": ("sum", "line_total"), "least": ("min", "line_total"), "last_change": ("max", "_updated_at"), "mean": ("avg", "line_total"), "products": ("count_distinct", "product_id"), "suppliers": ("count_distinct", "supplier_id")}
-    got = streaming.stream_gold(stream, ["month"], measures, f"{at}/gold", f"{at}/cp", 8).latest()
+    got = streaming.stream_gold(stream, ["month"], measures, f"{at}/gold", f"{at}/cp", buckets).latest()
     return got.withColumns({"total": F.col("total").cast("decimal(18,2)"), "mean": F.round("mean", 6)})
 
 
@@ -477,8 +480,8 @@ def c5_batches(spark, d):
 
 @query("r5_stream_latest_stateful", LIVE)
 def r5(spark, d):
-    at, schema = _folder(spark, d, 4)
-    got = streaming.latest_stateful(streaming.stream_changes(spark, f"{at}/in", schema, 1), KEYS, TOTAL, f"{at}/out", f"{at}/cp", 16)
+    at, schema, files, buckets = _folder(spark, d, 4)
+    got = streaming.latest_stateful(streaming.stream_changes(spark, f"{at}/in", schema, files), KEYS, TOTAL, f"{at}/out", f"{at}/cp", buckets)
     return cdc.live(got).drop("_deleted")
 
 
