@@ -19,7 +19,7 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of Jaccard index 0.8 or more, over shingles of five words, hold together."""
+    """One document of each group that links of Jaccard index 0.8 or more, over shingles of five words, hold together; fingerprints in BK-trees (as in op3) and MinHash name the pairs that are compared."""
     return simhash.keep_one(docs, groups=shingles.near_duplicates)
 
 

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,22 @@ def test_stages_keep_the_columns(spark, tmp_path):
         got = stage(spark, docs, str(tmp_path))
         assert got.columns == docs.columns
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_pairs_by_digest_are_compared(spark, monkeypatch):
+    """Without MinHash bands all pairs come from the BK-trees: copies within their radius are found, and the whole sets still decide."""
+    mark = shingles._mark
+
+    def without_bands(size):
+        def run(batches):
+            for b in mark(size)(batches):
+                yield b.set_column(3, "bands", pa.nulls(b.num_rows, pa.list_(pa.int64())))
+
+        return run
+
+    monkeypatch.setattr(shingles, "_mark", without_bands)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(3, " ".join(words)), (5, " ".join([*words, "end"])), (8, " ".join(f"v{i}" for i in range(300)))]
+    assert 0 < (brute.fingerprint(rows[0][1]) ^ brute.fingerprint(rows[1][1])).bit_count() <= 4
+    got = shingles.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {3: 3, 5: 3, 8: 8}

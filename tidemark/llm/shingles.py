@@ -1,4 +1,4 @@
-"""Near-duplicates by the Jaccard index of word shingles: MinHash finds candidates, the whole sets decide."""
+"""Near-duplicates by the Jaccard index of word shingles: SimHash in sharded BK-trees and MinHash find candidates, the whole sets decide."""
 
 from __future__ import annotations
 
@@ -7,9 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import simhash
 from tidemark.llm.common import blocks, runs, staged, with_hot
 from tidemark.llm.graph import classes, components
 from tidemark.llm.lines import BLOCK_CHARS, _hashed, _mix, _sorted, has_slot, sieve_of
@@ -66,14 +68,14 @@ def bands(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _mark(size: int):
-    """(doc_id, sid, bands) of every row; a task sends the bands of a set once, and none of an empty one."""
+    """(doc_id, sid, fp, bands) of every row; a task sends the bands of a set once, and none of an empty one. fp: the SimHash fingerprint of op3."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for s, e in blocks([len(t) for t in texts], BLOCK_CHARS):
-                h, first, sid = shingled(texts[s:e], size)
+            for s, e in blocks(_lengths(b.column(1)), BLOCK_CHARS):
+                texts = [t or "" for t in b.column(1).slice(s, e - s).to_pylist()]
+                h, first, sid = shingled(texts, size)
                 full = np.flatnonzero(np.diff(first))
                 keys: list[np.ndarray | None] = [None] * (e - s)
                 if len(full):
@@ -82,11 +84,16 @@ def _mark(size: int):
                             if len(sent) < 100_000:
                                 sent.add(sid[i])
                             keys[i] = k
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(s, e - s), pa.array(sid), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "sid", "bands"])
+                fp = np.fromiter(map(simhash.fingerprint, texts), np.uint64, len(texts)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(s, e - s), pa.array(sid), pa.array(fp), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "sid", "fp", "bands"])
 
     return run
 
 
+def _lengths(texts: pa.Array) -> list[int]:
+    return pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+
+
 def _groups(batches: Iterator[pa.RecordBatch], made) -> Iterator[pa.RecordBatch]:
     """Rows sorted by their first column, dealt whole groups at a time to made(rows), which gives the columns of a table or nothing."""
     rest = None
@@ -138,9 +145,8 @@ def _wanted(sieve: np.ndarray, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for b in batches:
-            texts = [t or "" for t in b.column(0).to_pylist()]
-            for s, e in blocks([len(t) for t in texts], BLOCK_CHARS):
-                h, first, sid = shingled(texts[s:e], size)
+            for s, e in blocks(_lengths(b.column(0)), BLOCK_CHARS):
+                h, first, sid = shingled([t or "" for t in b.column(0).slice(s, e - s).to_pylist()], size)
                 out = {}
                 for i in np.flatnonzero(has_slot(sieve, sid) & (np.diff(first) > 0)).tolist():
                     if sid[i] not in sent:
@@ -214,13 +220,16 @@ def _compared(teams: DataFrame, sets: DataFrame, similarity: float, most: int) -
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, group_most: int = GROUP_MOST) -> DataFrame:
     """(doc_id, component_id) for every row of docs, with documents linked whose shingle sets have a Jaccard index of `similarity` or more.
 
-    Equal sets are one node. Sets that share a band are candidates, and no link is made without the whole sets: first, each set of a band is held against the
+    Equal sets are one node. Candidates are the sets whose fingerprints the BK-trees of op3 link, directly or by others, and those that share a MinHash band: a pair at the
+    least similarity often differs in more bits than the trees' radius. Either group is a band, and no link is made without the whole sets: first, each set of a band is held against the
     band's first; then all pairs of the sets of a band that links do not join yet, a large band in pairs of parts. component_id is the smallest doc_id that links
     reach. Texts without words are equal. Repeated rows stay, each with the same result; a null doc_id counts for no minimum; an empty table gives none.
     """
     whole = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    marks = staged(whole.mapInArrow(_mark(size), "doc_id long, sid long, bands array<long>"), "marks")
-    dealt = marks.select(F.explode("bands").alias("band"), "sid").repartition("band").sortWithinPartitions("band", "sid")
+    marks = staged(whole.mapInArrow(_mark(size), "doc_id long, sid long, fp long, bands array<long>"), "marks")
+    close = staged(components(simhash.near_links(marks.select("fp").distinct())), "close")
+    by_digest = marks.select("fp", "sid").distinct().join(close, F.col("fp") == F.col("node"), "left").select(F.xxhash64(F.coalesce("root", "fp"), F.lit("fp")).alias("band"), "sid")
+    dealt = marks.select(F.explode("bands").alias("band"), "sid").union(by_digest).repartition("band").sortWithinPartitions("band", "sid")
     shared = staged(dealt.mapInArrow(_shared, "band long, sid long, lead long"), "bands")
     needed = shared.select("sid").distinct()
     sets = whole.select("text").mapInArrow(_wanted(sieve_of(needed), size), "sid long, words binary").join(needed, "sid", "left_semi")

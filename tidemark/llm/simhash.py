@@ -173,6 +173,19 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
+def near_links(marks: DataFrame, radius: int = RADIUS, shard_most: int = SHARD_MOST) -> DataFrame:
+    """(a, b): links that span what distinct fingerprints (fp) lie within the radius of one another."""
+    todo, links = marks.select(F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("used"), "fp"), None
+    while True:
+        dealt = todo.mapInArrow(_deal, "shard long, used long, fp long").repartition("shard").sortWithinPartitions("shard", "fp")
+        got = staged(dealt.mapInArrow(_link(radius, shard_most), "kind long, a long, b long, c long"), "shards")
+        found = got.filter("kind = 0").select("a", "b")
+        links = found if links is None else links.union(found)
+        todo = got.filter("kind = 1").select(F.col("a").alias("shard"), F.col("b").alias("used"), F.col("c").alias("fp"))
+        if todo.isEmpty():
+            return links
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS, shard_most: int = SHARD_MOST) -> DataFrame:
     """(doc_id, fp, component_id) for every row of docs, with fingerprints linked at `radius` or fewer differing bits.
 
@@ -186,15 +199,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
         raise ValueError("parts of the fingerprint allow a radius of four at most")
     marks = staged(fingerprints(docs, size), "marks")
     nodes = staged(marks.groupBy(F.col("fp").alias("key")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "nodes")
-    todo, links = nodes.select(F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("used"), F.col("key").alias("fp")), None
-    while True:
-        dealt = todo.mapInArrow(_deal, "shard long, used long, fp long").repartition("shard").sortWithinPartitions("shard", "fp")
-        got = staged(dealt.mapInArrow(_link(radius, shard_most), "kind long, a long, b long, c long"), "shards")
-        found = got.filter("kind = 0").select("a", "b")
-        links = found if links is None else links.union(found)
-        todo = got.filter("kind = 1").select(F.col("a").alias("shard"), F.col("b").alias("used"), F.col("c").alias("fp"))
-        if todo.isEmpty():
-            break
+    links = near_links(nodes.select(F.col("key").alias("fp")), radius, shard_most)
     found = staged(classes(nodes, links).withColumnRenamed("key", "fp"), "classes")
     return with_hot(marks, found, ["fp"], marks.count()).select("doc_id", "fp", "component_id")
 
