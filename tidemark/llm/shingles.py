@@ -220,15 +220,17 @@ def _compared(teams: DataFrame, sets: DataFrame, similarity: float, most: int) -
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, group_most: int = GROUP_MOST) -> DataFrame:
     """(doc_id, component_id) for every row of docs, with documents linked whose shingle sets have a Jaccard index of `similarity` or more.
 
-    Equal sets are one node. Candidates are the sets whose fingerprints the BK-trees of op3 link, directly or by others, and those that share a MinHash band: a pair at the
-    least similarity often differs in more bits than the trees' radius. Either group is a band, and no link is made without the whole sets: first, each set of a band is held against the
+    Equal sets are one node. Candidates are the sets whose fingerprints the BK-trees of op3 link or that are equal, and those that share a MinHash band: a pair at the
+    least similarity often differs in more bits than the trees' radius. Either way they form a band, and no link is made without the whole sets: first, each set of a band is held against the
     band's first; then all pairs of the sets of a band that links do not join yet, a large band in pairs of parts. component_id is the smallest doc_id that links
     reach. Texts without words are equal. Repeated rows stay, each with the same result; a null doc_id counts for no minimum; an empty table gives none.
     """
     whole = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     marks = staged(whole.mapInArrow(_mark(size), "doc_id long, sid long, fp long, bands array<long>"), "marks")
-    close = staged(components(simhash.near_links(marks.select("fp").distinct())), "close")
-    by_digest = marks.select("fp", "sid").distinct().join(close, F.col("fp") == F.col("node"), "left").select(F.xxhash64(F.coalesce("root", "fp"), F.lit("fp")).alias("band"), "sid")
+    digests = staged(marks.select("fp", "sid").distinct(), "digests")
+    close = simhash.near_links(digests.select("fp").distinct()).select(F.xxhash64("a", "b", F.lit("fp")).alias("band"), F.explode(F.array("a", "b")).alias("fp"))
+    by_link = close.join(digests.groupBy("fp").agg(F.min("sid").alias("sid")), "fp").select("band", "sid")  # a pair for each link of the trees
+    by_digest = digests.select(F.xxhash64("fp", F.lit("fp")).alias("band"), "sid").union(by_link)
     dealt = marks.select(F.explode("bands").alias("band"), "sid").union(by_digest).repartition("band").sortWithinPartitions("band", "sid")
     shared = staged(dealt.mapInArrow(_shared, "band long, sid long, lead long"), "bands")
     needed = shared.select("sid").distinct()
