@@ -468,6 +468,28 @@ def test_impact_of_all_nodes(spark):
     assert empty.count() == 0 and empty.columns == ["node_id", "downstream", "exact", "warning"]
 
 
+def test_impact_of_all_without_sketches_where_walks_are_few(spark, monkeypatch):
+    def none(*args, **kwargs):
+        raise AssertionError("no node needs a sketch")
+
+    monkeypatch.setattr(graph, "downstream_sketches", none)
+    # three layers, repeated edges and an edge to itself: walks end, and no set is large
+    pairs = [(f"c{i}", f"o{i * 3 + j}") for i in range(20) for j in range(3)] + [(f"o{i}", f"p{(i * 7 + j) % 40}") for i in range(60) for j in range(4)] + [("c1", "o1"), ("c1", "c1"), ("lone", "lone")] * 2
+    got = {r.node_id: r for r in graph.impact_of_all(spark.createDataFrame(pairs, "source_node_id string, target_node_id string")).collect()}
+    assert {k: r.downstream for k, r in got.items()} == reached(pairs) and all(r.exact for r in got.values())
+
+
+def test_impact_of_all_beyond_the_walks_and_the_bound(spark):
+    # more paths than nodes, a chain longer than the hops that walks are counted for, a cycle, and a set beyond the bound
+    pairs = [(f"a{i}", f"a{j}") for i in range(12) for j in range(i + 1, 12)] + [(f"b{i}", f"b{i + 1}") for i in range(20)] + [("x", "y"), ("y", "x"), ("y", "a9")] + [("hub", f"z{i}") for i in range(60)] + [("up", "hub"), ("z0", "b18")]
+    want = reached(pairs)
+    got = {r.node_id: r for r in graph.impact_of_all(spark.createDataFrame(pairs, "source_node_id string, target_node_id string"), exact_most=30).collect()}
+    assert got.keys() == want.keys() and all(r.downstream == want[k] for k, r in got.items() if r.exact)
+    assert {k for k, r in got.items() if not r.exact} == {"hub", "up"} and all(abs(got[k].downstream - want[k]) <= 3 for k in ("hub", "up"))
+    two = {r.node_id: r.downstream for r in graph.impact_of_all(spark.createDataFrame(pairs, "source_node_id string, target_node_id string"), max_hops=2).collect()}
+    assert two["b0"] == 2 and two["x"] == 2 and two["a0"] == 11 and two["up"] == 61 and two["b20"] == 0
+
+
 def test_database_parts_of_like_size(spark):
     url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
     # most keys lie close together, a few very far away

@@ -52,15 +52,28 @@ def edge_index(edges: DataFrame, direction: str = "downstream", buckets: int | N
     """Distinct (_from, node_id) steps of one direction, as a table in the shared folder, in buckets and in order of _from.
 
     A join on _from then moves the other side alone, and the index serves any number of closures. Without a number there are as many buckets as shuffle partitions.
-    Edges with a null end lead nowhere and are left out.
+    Edges with a null end lead nowhere and are left out. Edges move once: repeats meet in the task that writes their bucket.
     """
     spark = edges.sparkSession
     a, b = ("source_node_id", "target_node_id") if direction == "downstream" else ("target_node_id", "source_node_id")
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch(spark)
     name = "edges_" + path.rsplit("-", 1)[1]
-    step = edges.select(F.col(a).alias("_from"), F.col(b).alias("node_id")).dropna().distinct()
-    step.repartition(n, "_from").write.bucketBy(n, "_from").sortBy("_from").option("path", path).saveAsTable(name)
+    step = edges.select(F.col(a).alias("_from"), F.col(b).alias("node_id")).dropna().repartition(n, "_from").distinct()
+    step.write.bucketBy(n, "_from").sortBy("_from").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def _inward(later: DataFrame) -> DataFrame:
+    """(_from, node_id) of a downstream index by its later ends, in buckets of these: each node that has edges of its own with every node before it, any other node once, with null."""
+    spark = later.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch(spark)
+    name = "edges_" + path.rsplit("-", 1)[1]
+    goes_on = later.select(F.col("_from").alias("_inner")).distinct()
+    ends = later.select(F.col("node_id").alias("_to"), F.col("_from").alias("_before")).repartition(n, "_to").join(goes_on.hint("merge"), F.col("_to") == F.col("_inner"), "left")
+    step = ends.select(F.col("_to").alias("_from"), F.when(F.col("_inner").isNotNull(), F.col("_before")).alias("node_id")).distinct()
+    step.write.bucketBy(n, "_from").sortBy("_from").option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
@@ -97,17 +110,19 @@ def impact(changed: DataFrame, closure: DataFrame) -> DataFrame:
     return changed.crossJoin(closure.agg(F.count("*").alias("downstream"))).withColumn("warning", _warning(F.col("downstream")))
 
 
-def downstream_sketches(edges: DataFrame, max_hops: int | None = None, bits: int = 12, index: DataFrame | None = None) -> DataFrame:
+def downstream_sketches(edges: DataFrame, max_hops: int | None = None, bits: int = 12, index: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
     """(node_id, estimate): nodes that each node reaches, itself left out, for all nodes at once; an estimate, off by some 1.6 % at 12 bits and mostly exact below a few hundred.
 
     Every node holds a sketch of itself and what it reaches; a hop unites it with those of its successors, until none changes. A sketch has at most about 2 ** bits bytes,
-    so a hop moves edges times that and never the reached sets, however large these are.
+    so a hop moves edges times that and never the reached sets, however large these are. known: (node_id, reached) pairs that nodes without edges here start with.
     """
     back = edge_index(edges, "upstream") if index is None else index  # _from: the later node, which passes its sketch to node_id before it
     kind = back.schema["_from"].dataType
     ids = back.select(F.col("_from").alias("node_id")).union(back.select(F.col("node_id").cast(kind))).distinct()
-    key = F.col("node_id").cast("string")
-    now = written(ids.groupBy("node_id").agg(F.hll_sketch_agg(key, F.lit(bits)).alias("sketch")))
+    held = ids.select("node_id", F.col("node_id").alias("reached"))
+    if known is not None:
+        held = held.unionByName(known.join(ids, "node_id", "left_semi"))
+    now = written(held.groupBy("node_id").agg(F.hll_sketch_agg(F.col("reached").cast("string"), F.lit(bits)).alias("sketch")))
     hop = 0
     while max_hops is None or hop < max_hops:
         hop += 1
@@ -122,27 +137,91 @@ def downstream_sketches(edges: DataFrame, max_hops: int | None = None, bits: int
     return now.select("node_id", F.greatest(F.hll_sketch_estimate("sketch") - 1, F.lit(0)).alias("estimate"))
 
 
+#: Hops over which walks are counted; what goes on after that (cycles do) is told by sketches.
+WALKS = 16
+
+
+def _walks(later: DataFrame, back: DataFrame, most: int, max_hops: int | None) -> tuple[DataFrame, int | None]:
+    """(node_id) of the nodes with more than `most` walks of any length, or walks that go on beyond WALKS hops; and the length of the longest walk, None if some do.
+
+    A node reaches at most as many nodes as walks start from it. A hop moves a number along each edge whose later end has edges of its own. Whoever comes before such a node is one too.
+    """
+    apart = F.col("_from") != F.col("node_id")
+    inner = back.filter(apart).select("_from", F.col("node_id").alias("_before"))
+    near = later.filter(apart).groupBy("_from").agg(F.count("*").alias("_walks"))
+    front, more, hop, ended = near, [], 1, max_hops is not None
+    while hop < (max_hops or WALKS):
+        front = written(inner.join(front, "_from").groupBy(F.col("_before").alias("_from")).agg(F.least(F.sum("_walks"), F.lit(most + 1)).alias("_walks")))
+        if front.isEmpty():
+            ended = True
+            break
+        more.append(front)
+        hop += 1
+    total = F.col("_walks")
+    if more:
+        far = more[0]
+        for df in more[1:]:
+            far = far.unionByName(df)
+        near = near.join(far.groupBy("_from").agg(F.sum("_walks").alias("_more")), "_from", "left")
+        total = total + F.coalesce("_more", F.lit(0))
+    many = near.filter(total > most).select(F.col("_from").alias("node_id"))
+    return (many if ended else many.union(front.select("_from")).distinct()), hop if ended else None
+
+
+def _further(ahead: DataFrame, near: DataFrame, later: DataFrame, max_hops: int | None) -> DataFrame:
+    """(start, node_id) more than one hop apart. near: the pairs one hop apart, of the same starts; ahead: (start, _from), those of them that go on."""
+    far, hop = near.filter(F.lit(False)), 1
+    while max_hops is None or hop < max_hops:
+        hop += 1
+        reached = ahead.join(later, "_from").filter("start <> node_id").select("start", "node_id").distinct()
+        fresh = written(reached.join(near.unionByName(far), ["start", "node_id"], "left_anti"))
+        if fresh.isEmpty():
+            break
+        far, ahead = far.unionByName(fresh), fresh.select("start", F.col("node_id").alias("_from"))
+    return far
+
+
 def impact_of_all(edges: DataFrame, exact_most: int = 10_000, max_hops: int | None = None) -> DataFrame:
     """(node_id, downstream, exact, warning) of every node with an edge: how many other nodes it reaches.
 
-    Sketches tell the sizes first. Nodes that reach about exact_most others at most are then counted from the pairs themselves, all starts at once: a hop joins the pairs that
-    are new with the edge index, and pairs seen before drop out, so cycles end. Their pairs are at most exact_most for each node; larger sets stay estimates (exact is false),
-    and no set is ever held by one task.
+    Walks bound the sizes first: a node with at most about exact_most of them is counted exactly from its pairs, all such starts at once. Their first hop is the edge index
+    itself; a further one joins the new pairs with it, and pairs seen before drop out. Sketches tell the sizes of the nodes that are left, from those of what they meet, and such of
+    these as reach about exact_most at most are counted from pairs as well. Pairs are at most exact_most for each node; larger sets stay estimates (exact is false), and no set is ever held by one task.
     """
-    later, earlier = edge_index(edges, "downstream"), edge_index(edges, "upstream")
-    sizes = written(downstream_sketches(edges, max_hops, index=earlier))
-    few = sizes.filter(F.col("estimate") <= F.lit(1.1 * exact_most)).select(F.col("node_id").alias("start"))
-    fresh = written(few.join(later.select(F.col("_from").alias("start"), "node_id"), "start").filter("start <> node_id"))
-    pairs, hop = fresh, 1
-    while (max_hops is None or hop < max_hops) and not fresh.isEmpty():
-        hop += 1
-        reached = fresh.select("start", F.col("node_id").alias("_from")).join(later, "_from").filter("start <> node_id").select("start", "node_id").distinct()
-        fresh = written(reached.join(pairs, ["start", "node_id"], "left_anti"))
-        pairs = pairs.unionByName(fresh)
-    counts = pairs.groupBy(F.col("start").alias("node_id")).agg(F.count("*").alias("_n"))
-    exact = F.col("estimate") <= F.lit(1.1 * exact_most)
-    n = F.when(exact, F.coalesce("_n", F.lit(0))).otherwise(F.col("estimate"))
-    return sizes.join(counts, "node_id", "left").select("node_id", n.alias("downstream"), exact.alias("exact"), _warning(n).alias("warning"))
+    most = int(1.1 * exact_most)
+    kind = edges.schema["target_node_id"].dataType
+    later = edge_index(edges.select(F.col("source_node_id").cast(kind).alias("source_node_id"), "target_node_id"), "downstream")
+    back = _inward(later)
+    many, longest = _walks(later, back, most, max_hops)
+    many = written(many)
+    start = F.col("_from").alias("start")
+    ahead = back.filter("node_id <> _from").select(F.col("node_id").alias("start"), "_from")
+    first = later.filter("node_id <> _from").select(start, "node_id")
+    some = not many.isEmpty()
+    if some:
+        ahead = ahead.join(many.select(F.col("node_id").alias("start")), "start", "left_anti")
+    deep = ahead.select("start").distinct()
+    far = _further(ahead, first.join(deep, "start", "left_semi"), later, longest)
+    found = later.groupBy("_from").agg(F.sum((F.col("node_id") != F.col("_from")).cast("long")).alias("_near")).withColumnRenamed("_from", "node_id")
+    exact, estimate = F.lit(True), F.lit(0).cast("long")
+    if some:
+        if max_hops is None:
+            # what follows a node with few walks has few walks too, so its pairs are all there
+            sub = later.join(many.withColumnRenamed("node_id", "_from"), "_from", "left_semi").select(F.col("_from").alias("source_node_id"), F.col("node_id").alias("target_node_id"))
+            few = later.join(many.withColumnRenamed("node_id", "_from"), "_from", "left_anti").select(F.col("_from").alias("node_id"), F.col("node_id").alias("reached"))
+            sizes = downstream_sketches(sub, known=few.unionByName(far.select(F.col("start").alias("node_id"), F.col("node_id").alias("reached"))))
+        else:
+            sizes = downstream_sketches(later.select(F.col("_from").alias("source_node_id"), F.col("node_id").alias("target_node_id")), max_hops)
+        sizes = written(sizes.join(many, "node_id", "left_semi"))
+        near = first.join(sizes.filter(F.col("estimate") <= most).select(F.col("node_id").alias("start")), "start", "left_semi")
+        far = far.unionByName(_further(near.select("start", F.col("node_id").alias("_from")), near, later, max_hops))
+        found = found.join(sizes, "node_id", "left")
+        estimate, exact = F.col("estimate"), F.coalesce(F.col("estimate") <= most, F.lit(True))
+    found = found.join(far.groupBy(F.col("start").alias("node_id")).agg(F.count("*").alias("_far")), "node_id", "left")
+    n = F.when(exact, F.col("_near") + F.coalesce("_far", F.lit(0))).otherwise(estimate)
+    rows = found.select("node_id", n.alias("downstream"), exact.alias("exact"))
+    ends = back.filter("node_id IS NULL").select(F.col("_from").alias("node_id"), F.lit(0).cast("long").alias("downstream"), F.lit(True).alias("exact"))
+    return rows.unionByName(ends).withColumn("warning", _warning(F.col("downstream")))
 
 
 def suggest_joins(columns: DataFrame, foreign_keys: DataFrame) -> DataFrame:
