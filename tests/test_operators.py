@@ -490,6 +490,13 @@ def test_impact_of_all_beyond_the_walks_and_the_bound(spark):
     assert two["b0"] == 2 and two["x"] == 2 and two["a0"] == 11 and two["up"] == 61 and two["b20"] == 0
 
 
+def test_payloads_packed_on_the_way_are_parsed_once(spark):
+    rows = spark.createDataFrame([(1, 5, "a", False), (None, 6, "b", False), (2, None, "c", False)], "item_id long, quantity int, _updated_at string, _deleted boolean").withColumn("_updated_at", F.lit("2001-09-01 08:00:00").cast("timestamp_ntz"))
+    got = silver.silver_items(landing.pack_bronze(rows, "items"))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+    assert sorted((r.item_id, r.quantity) for r in got.collect()) == [(1, 5), (2, None)]
+
+
 def test_database_parts_of_like_size(spark):
     url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
     # most keys lie close together, a few very far away
