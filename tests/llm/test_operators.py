@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -616,6 +617,33 @@ def test_packing_of_odd_rows(spark):
     assert [(r.start, r.length, r.doc_tokens) for r in sorted((r for r in got if r.doc_id == 4), key=lambda r: r.start)] == [(0, 2048, 5001), (2048, 2048, 5001), (4096, 905, 5001)]
 
 
+def test_word_counters_and_rows_by_size(monkeypatch):
+    texts = ["a b a\tc\x0b\x1fd\n\nA ünd\r b", "", None, "x " * 50 + "b", "\u3000 b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    want = np.zeros(lines.COUNTERS, np.int64)
+    for t in texts:
+        for w in (t or "").lower().encode().split():
+            want[lines._counter(lines._hashed([w.decode()])[0])] += 1
+    for collected in (1, 1 << 19):
+        monkeypatch.setattr(lines, "COUNTED", collected)
+        got = np.zeros(lines.COUNTERS, np.int64)
+        for b in lines._count(iter([batch, batch])):
+            for block, slots, counts in zip(*(b.column(i).to_pylist() for i in range(3))):
+                got[block * lines.COUNTER_BLOCK + np.frombuffer(slots, np.uint16).astype(np.int64)] += np.frombuffer(counts, np.int64)
+        assert (got == 2 * want).all() and got.sum() > 100
+    # keys with one row go; the others stay whole, by key and size, equal rows side by side
+    rng = np.random.default_rng(2)
+    for largest in (9, 1 << 13):
+        size, name = rng.integers(1, largest, 400), rng.integers(-3, 3, 400) << 60
+        rows = np.stack([np.sort(rng.integers(-90, 90, 400)), name, name, name, size << 32 | size])
+        keys, counts = np.unique(rows[0], return_counts=True)
+        got = lines._by_size(rows)
+        assert sorted(map(tuple, got.T)) == sorted(map(tuple, rows[:, np.isin(rows[0], keys[counts > 1])].T)) and (counts == 1).any()
+        assert [(k, s >> 32) for k, s in zip(got[0], got[4])] == sorted((k, s >> 32) for k, s in zip(got[0], got[4]))
+        new = (got[:, 1:] != got[:, :-1]).any(0).sum() + 1
+        assert new == len(np.unique(got, axis=1).T)
+
+
 def test_word_ids_are_those_of_the_whole_tokenizer():
     rng = random.Random(1)
     known = packing.WordIds(packing.tokenizer())

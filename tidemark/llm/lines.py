@@ -16,6 +16,8 @@ BLOCK_CHARS = 250_000
 #: Counters of word frequency, a byte each once they are summed: 4 MB, whatever the corpus. A counter is never below the count of one of its words.
 COUNTERS = 1 << 22
 COUNTER_BLOCK = 1 << 12
+#: Words that a task collects before it adds them to its counters.
+COUNTED = 1 << 19
 #: Steps of a counter's byte to a doubling: 5 reach 2^51.
 STEPS = 5
 #: A word counted more often keys a set only together with the next word, from DEEPER on with the next two, so that common words make no large groups.
@@ -27,8 +29,6 @@ REMEMBERED = 100_000
 #: Members of a group that one task compares; a larger group is compared in pairs of parts.
 GROUP_MOST = 4096
 
-_SOLID = np.ones(256, np.int8)
-_SOLID[[9, 10, 11, 12, 13, 32]] = 0
 _BYTE = np.random.default_rng(8).integers(1, 1 << 63, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
@@ -51,14 +51,16 @@ def _mix(h: np.ndarray) -> np.ndarray:
 def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each lower-cased word of the texts and number of its line, counted over all texts, in their order."""
     raw = np.frombuffer("\n".join(texts).lower().encode("utf-8", "surrogatepass"), np.uint8)
-    solid = np.zeros(len(raw) + 2, np.int8)
-    solid[1:-1] = _SOLID[raw]
-    edge = solid[1:] - solid[:-1]
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    solid = np.zeros(len(raw) + 2, bool)
+    solid[1:-1] = (raw != 32) & (raw - np.uint8(9) > 4)  # white space: 9 to 13, and 32
+    edge = np.flatnonzero(solid[1:] != solid[:-1])
+    starts, ends = edge[::2], edge[1::2]
     scale, inverse = _powers(len(raw))
     with np.errstate(over="ignore"):
         sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[raw] * scale[: len(raw)], out=sums[1:])
+        np.take(_BYTE, raw, out=sums[1:])
+        sums[1:] *= scale[: len(raw)]
+        np.cumsum(sums[1:], out=sums[1:])
         word = _mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
     return word, np.searchsorted(np.flatnonzero(raw == 10), starts)
 
@@ -119,8 +121,24 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, slots, counts): the counters above zero, in blocks."""
     total = np.zeros(COUNTERS, np.int32)
+    held, n = [], 0
+
+    def add() -> None:
+        """Sorted first: the counters are then met in order."""
+        slot = np.sort(np.concatenate(held))
+        a, b = runs(slot)
+        total[slot[a]] += (b - a).astype(np.int32)
+
     for _, _, texts in _texts(batches):
-        np.add.at(total, _counter(_hashed(texts)[0]), 1)
+        word = _hashed(texts)[0]
+        if len(word):
+            held.append(_counter(word).astype(np.int32))
+            n += len(word)
+        if n > COUNTED:
+            add()
+            held, n = [], 0
+    if held:
+        add()
     slot = np.flatnonzero(total)
     if len(slot):
         a, b = runs(slot // COUNTER_BLOCK)
@@ -254,6 +272,20 @@ def _linked(end: np.ndarray, size: np.ndarray, may, similarity: float) -> np.nda
     return _joined(label, np.concatenate(one), np.concatenate(two)) if one else label
 
 
+def _by_size(rows: np.ndarray) -> np.ndarray:
+    """Columns (key, name, parity, others, shape) sorted by key to those of keys with more than one, by key and size, equal ones side by side."""
+    if not rows.shape[1]:
+        return rows
+    a, b = runs(rows[0])
+    many = b - a
+    rows, group = rows[:, np.repeat(many > 1, many)], np.repeat(np.arange((many > 1).sum()), many[many > 1])
+    size = rows[4] >> 32
+    if not len(size) or group[-1] >= 1 << 18 or size.max() >= 1 << 12:
+        return rows[:, np.lexsort((rows[2], rows[1], rows[4], rows[0]))]
+    # one key; equal sets share the bits of the name, and where others do too, equal ones may come apart, which costs time only
+    return rows[:, np.argsort((group << 45) | (size << 33) | (rows[1].view(np.uint64) >> np.uint64(31)).view(np.int64))]
+
+
 def _groups(similarity: float):
     """Rows sorted by key to (team, name, parity): sets that share a key and that pairs which pass the filters connect.
 
@@ -267,7 +299,7 @@ def _groups(similarity: float):
         def teams() -> pa.RecordBatch:
             rows = np.concatenate(held, axis=1) if held else np.zeros((5, 0), np.int64)
             held.clear()
-            rows = rows[:, np.lexsort((rows[2], rows[1], rows[4], rows[0]))]
+            rows = _by_size(rows)
             new = np.ones(rows.shape[1], bool)
             new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)  # a set that more than one task sent
             key, name, parity, others, shape = rows[:, new]
