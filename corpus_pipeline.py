@@ -30,7 +30,7 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences."""
-    return packing.pack_documents(docs, packing.tokenizer())
+    return packing.pack_documents(docs, packing.tokenizer(), remembered=200_000)  # beside what the stages before it leave in the executors
 
 
 STAGES = [

@@ -644,6 +644,18 @@ def test_word_counters_and_rows_by_size(monkeypatch):
         assert new == len(np.unique(got, axis=1).T)
 
 
+def test_words_of_letters_and_a_sign_are_cut_without_a_search(monkeypatch):
+    class NoSearch:
+        def findall(self, text):
+            raise AssertionError(text)
+
+    monkeypatch.setattr(packing, "PIECES", NoSearch())
+    known, words = packing.WordIds(packing.tokenizer()), ["end.", "End,", "ÜBER!", "s:", "Ǆ?", "ª;", "straße."]
+    known.learn({w.encode() for w in words})
+    assert {w: list(memoryview(known.words[w.encode()]).cast("I")) for w in words} == {w: known.whole.encode(w, add_special_tokens=False).ids for w in words}
+    assert packing.REMEMBERED >= 400_000
+
+
 def test_word_ids_are_those_of_the_whole_tokenizer():
     rng = random.Random(1)
     known = packing.WordIds(packing.tokenizer())

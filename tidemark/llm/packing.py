@@ -24,7 +24,7 @@ END_ID = 1
 #: Documents whose last pieces are packed together; their lengths fill all but the last few windows without a gap.
 GROUP = 8192
 #: Distinct words whose ids a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 def closest_fill(counts: Counter, lengths: list[int], capacity: int) -> list[int]:
@@ -75,6 +75,8 @@ def pack(sizes: list[int], capacity: int) -> list[list[int]]:
 
 #: Words that the tokenizer's own first steps (canonical composition, white space, lower case) treat character by character: printable ASCII and Latin letters and signs.
 PLAIN = regex.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
+#: Signs that often follow a word of letters; such a word is cut without a search.
+SIGNS = frozenset(".,;:!?")
 # Fixed value: how the tokenizer cuts a word into the pieces that it encodes one by one.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
@@ -86,10 +88,10 @@ class WordIds:
     goes through the whole tokenizer, as do words that may hold one of its special tokens.
     """
 
-    def __init__(self, tokenizer_path: str) -> None:
+    def __init__(self, tokenizer_path: str, remembered: int = REMEMBERED) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.path = tokenizer_path
+        self.path, self.remembered = tokenizer_path, remembered
         self.bare = Tokenizer.from_file(tokenizer_path)
         self.bare.normalizer = None
         self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -109,13 +111,15 @@ class WordIds:
     def learn(self, words: set[bytes]) -> None:
         """Remembers the words; forgets all others first if they become too many."""
         new = words.difference(self.words)
-        if len(self.words) + len(new) > REMEMBERED:
+        if len(self.words) + len(new) > self.remembered:
             self.words, self.pieces, new = {}, {}, words
         single, cut, other = {}, {}, {}
         for raw in new:
             w = raw.decode()
             if w.isalpha() and (w.isascii() or PLAIN.fullmatch(w)):
                 single[raw] = w.lower()
+            elif w[-1] in SIGNS and w[:-1].isalpha() and (w.isascii() or PLAIN.fullmatch(w)):
+                cut[raw] = w[:-1].lower(), w[-1]
             elif (w.isascii() and w.isprintable() or PLAIN.fullmatch(w)) and "<|" not in w:
                 cut[raw] = PIECES.findall(w.lower())
             else:
@@ -142,15 +146,15 @@ class WordIds:
 
 
 @lru_cache(1)
-def word_ids(tokenizer_path: str) -> WordIds:
+def word_ids(tokenizer_path: str, remembered: int = REMEMBERED) -> WordIds:
     """One for each Python worker: its tasks load the tokenizer once, and share the words that they meet."""
-    return WordIds(tokenizer_path)
+    return WordIds(tokenizer_path, remembered)
 
 
-def _tokenize(tokenizer_path: str, window: int):
+def _tokenize(tokenizer_path: str, window: int, remembered: int = REMEMBERED):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
-        known = word_ids(tokenizer_path)
+        known = word_ids(tokenizer_path, remembered)
         end = array("I", [END_ID]).tobytes()
         for b in batches:
             rows = []
@@ -206,15 +210,15 @@ def _place(window: int, most: int):
     return run
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, group: int = GROUP) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, group: int = GROUP, remembered: int = REMEMBERED) -> DataFrame:
     """A row for each piece of each document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every `window` ids of a document fill a sequence of their own. What is left of each document goes, with that of about `group` others,
     into sequences filled by minimum bin slack. Groups follow from a hash of the row and the number of rows, so a rerun gives the same
     sequences. Null texts are empty (one id); repeated rows are packed each; an empty table gives no rows. ids never leave the task that made
-    them, only their lengths and checksums do. tokenizer_path must be readable on every executor.
+    them, only their lengths and checksums do. remembered: distinct words whose ids a worker remembers. tokenizer_path must be readable on every executor.
     """
-    lengths = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_tokenize(tokenizer_path, window), "doc_id long, doc_tokens long, crcs array<long>"), "lengths")
+    lengths = staged(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_tokenize(tokenizer_path, window, remembered), "doc_id long, doc_tokens long, crcs array<long>"), "lengths")
     groups = max(1, -(-lengths.count() // group))
     dealt = lengths.select(F.pmod(F.xxhash64("doc_id", "doc_tokens", "crcs"), F.lit(groups)).alias("group"), "doc_id", "doc_tokens", "crcs")
     placed = dealt.repartition("group").sortWithinPartitions("group", "doc_id", "doc_tokens", "crcs")
