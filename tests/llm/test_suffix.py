@@ -128,3 +128,13 @@ def test_longest_previous_factors():
                 k += 1
             best = max(best, k)
         assert got[i] == best
+
+
+@pytest.mark.parametrize("least", [20, suffix.SPAN])
+def test_factors_from_a_length_on(least):
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        start = rng.integers(0, 257, int(rng.integers(1, 250)))
+        text = np.concatenate([start, rng.integers(0, 3, 90), start, rng.integers(0, 2, 150), start[: len(start) // 2]])
+        whole, some = suffix.longest_previous_factors(text), suffix.longest_previous_factors(text, least=least)
+        assert (some[whole >= least] == whole[whole >= least]).all() and (some <= whole).all()

@@ -173,31 +173,39 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(1, [held[0]], [held[1]], [held[2]], [start], [start + ((held[3] >> 1) & 0x7F)])
 
 
-def longest_previous_factors(text: np.ndarray, most: int = 112) -> np.ndarray:
+def longest_previous_factors(text: np.ndarray, most: int = 112, least: int = 0) -> np.ndarray:
     """For each place of text (values 0 to 256), the length, up to `most` (7 times a power of two), of the longest string from there that also starts earlier.
 
     The suffix order comes from ranks of prefixes of doubled length; in it, the nearest neighbours on either side with smaller places hold the longest earlier match.
+    Lengths below `least` may come out as 0: a place whose prefix of fewer bytes stands nowhere else is sorted no further, and only neighbours that share one are compared.
     """
     n = len(text)
     x = np.concatenate([text.astype(np.int64), np.zeros(most, np.int64)])
     packed = np.zeros(n + most - 6, np.int64)
     for k in range(7):
         packed = packed << 9 | x[k : n + most - 6 + k]
-    levels, width = [], 7
-    order = np.argsort(packed[:n], kind="stable")
-
-    def ranked(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
-        rank = np.zeros(n + most, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[1], keys[order][1:] != keys[order][:-1]]))
-        return rank
-
-    rank = ranked(packed[:n], order)
-    levels.append((width, rank))
+    width, order, at = 7, np.argsort(packed[:n]), np.arange(n)  # at: the places of the order that are still sorted
+    rank = np.zeros(n + most, np.int64)
+    here, keys, levels = order, packed[order], []
+
+    def new_rank() -> np.ndarray:
+        """Where another prefix begins; a rank is the place of the first of its prefix, so it stays comparable with those that are final."""
+        new = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
+        rank[here] = (at[new] + 1)[np.cumsum(new) - 1]
+        levels.append((width, rank.copy()))
+        return new
+
+    new = new_rank()
     while width < most:
-        key = rank[:n] * (n + 2) + rank[width : width + n]
-        order = np.argsort(key, kind="stable")
-        rank, width = ranked(key, order), 2 * width
-        levels.append((width, rank))
+        if width < least:
+            shared = ~(new & np.append(new[1:], True))
+            at = at[shared]
+            here = order[at]
+        keys = rank[here] * (n + 2) + rank[here + width]
+        by = np.argsort(keys)
+        here, keys, width = here[by], keys[by], 2 * width
+        order[at] = here
+        new = new_rank()
 
     def common(i: np.ndarray, j: np.ndarray) -> np.ndarray:
         length = np.zeros(len(i), np.int64)
@@ -211,18 +219,22 @@ def longest_previous_factors(text: np.ndarray, most: int = 112) -> np.ndarray:
             length[same & ~whole] += 1
         return np.where(whole, most, np.minimum(length, most))
 
-    best = np.zeros(n, np.int64)
+    best, m = np.zeros(n, np.int64), len(here)
+    prefix = next((r for w, r in reversed(levels) if w < least), None)
     for way in (-1, 1):
-        near = np.arange(n) + way
-        todo = np.flatnonzero((near >= 0) & (near < n))
+        near = np.arange(m) + way
+        todo = np.flatnonzero((near >= 0) & (near < m))
         while True:
-            todo = todo[(near[todo] >= 0) & (near[todo] < n)]
-            todo = todo[order[near[todo]] > order[todo]]
+            todo = todo[(near[todo] >= 0) & (near[todo] < m)]
+            todo = todo[here[near[todo]] > here[todo]]
             if not len(todo):
                 break
             near[todo] = near[near[todo]]
-        has = (near >= 0) & (near < n)
-        i, j = order[has], order[near[has]]
+        has = (near >= 0) & (near < m)
+        i, j = here[has], here[near[has]]
+        if prefix is not None:
+            same = prefix[i] == prefix[j]
+            i, j = i[same], j[same]
         best[i] = np.maximum(best[i], common(i, j))
     return best
 
@@ -236,7 +248,7 @@ def _repeats(rows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, in
         text[at : at + len(r[3])] = np.frombuffer(r[3], np.uint8).astype(np.int64) + 1
         spots.append(at)
         at += len(r[3]) + 1
-    factor = longest_previous_factors(text)
+    factor = longest_previous_factors(text, least=SPAN)
     hit = np.flatnonzero(factor >= SPAN)
     if not len(hit):
         return out
