@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm import brute
 from tests.llm.test_operators import _packed_well
-from tidemark.llm import language, shingles
+from tidemark.llm import decontaminate, language, lines, packing, shingles, simhash
 from tidemark.llm.common import table
 
 
@@ -120,3 +120,31 @@ def test_pairs_by_digest_are_compared(spark, monkeypatch):
     assert 0 < (brute.fingerprint(rows[0][1]) ^ brute.fingerprint(rows[1][1])).bit_count() <= 4
     got = shingles.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == {3: 3, 5: 3, 8: 8}
+
+
+def test_stages_get_texts_in_small_batches(spark, tmp_path, monkeypatch):
+    """30 MB of texts in one partition, one of 6 MB among them, arrive a few MB at a time, whatever the session allows; none is cut or lost."""
+    corpus(spark, str(tmp_path))
+    docs = spark.range(0, 2401, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', if(id = 2400, 1200000, 2000))").alias("text"))
+
+    def sizes(docs, *args, **how):
+        def run(batches):
+            for b in batches:
+                n = [len(t) for t in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (len(n), sum(n), max(n))], names=["n", "chars", "longest"])
+
+        return docs.mapInArrow(run, "n long, chars long, longest long")
+
+    monkeypatch.setattr(language, "fit", lambda docs: None)
+    for where, name in ((language, "keep_known"), (lines, "without_repeats"), (simhash, "keep_one"), (decontaminate, "keep_clean"), (packing, "pack_documents")):
+        monkeypatch.setattr(where, name, sizes)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.set(key, "64m")
+            got = stage(spark, docs, str(tmp_path)).collect()
+            assert (sum(r.n for r in got), sum(r.chars for r in got)) == (2401, 30_000_000), name
+            assert max(r.chars - r.longest for r in got) < 5_000_000, name
+    finally:
+        spark.conf.set(key, before)
